@@ -373,7 +373,7 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "sales")
     first_versions = bind.users(tables.stream(spark, sf, "customer"), F.lit(1).alias("version"))
     known = _user_table(spark, first_versions, run)
-    table = jobs.sale_table(f"{run}/table")
+    table = jobs.sale_table(f"{run}/table", partition_by_day=False)
     writer = jobs.sale_details(_order_messages(spark, sf), _detail_messages(spark, sf), known, table, AS_OF)
     jobs.run_to_end(spark, writer, f"{run}/checkpoint")
     return table.read(spark).select("doc_id", *SALE_COLUMNS)

@@ -119,11 +119,13 @@ def users(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
 # --- sale detail ----------------------------------------------------------------------------
 
 
-def sale_table(path: str, writer: str = "main") -> KeyedTable:
+def sale_table(path: str, writer: str = "main", partition_by_day: bool = True) -> KeyedTable:
     columns = T.StructType([*_string_fields(schemas.SALE_DETAIL, "doc_id"), T.StructField("user_known", T.BooleanType())])
     # A sale with its user beats one without; repeats of an item are settled by its values.
     order = [F.col("user_known").desc(), F.col("sku_name").asc_nulls_first(), F.col("sku_id").asc_nulls_first(), F.col("sku_price").asc()]
-    return KeyedTable(path, columns, ["doc_id"], "dt", order, writer)
+    if partition_by_day:
+        return KeyedTable(path, columns, ["doc_id"], "dt", order, writer)
+    return KeyedTable(path, columns, ["doc_id"], None, order, writer, cluster_by="dt")
 
 
 def sale_details(
@@ -142,12 +144,13 @@ def sale_details(
     joined = sale_detail.join_orders_stream(orders, details, tolerance, lateness)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        buyers = batch.select(F.col("user_id").alias("id"))
+        sales = sinks.staged(batch, f"{table.path}-staging")
+        buyers = sales.select(F.col("user_id").alias("id"))
         known = users_from.read(batch.sparkSession, only=buyers)
-        rows = sale_detail.enrich_user(batch, known, F.current_timestamp() if as_of is None else as_of)
+        rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
         table.add(sale_detail.with_doc_id(rows), batch_id)
 
-    return joined.writeStream.foreachBatch(sinks.split_outputs(add)).outputMode("append")
+    return joined.writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- malformed messages ---------------------------------------------------------------------

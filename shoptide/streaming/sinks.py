@@ -24,7 +24,9 @@ class KeyedTable:
     """``order`` ranks the rows of a key, best first; later batches win among equals.
 
     ``writer`` names the query that writes. A query that starts over with a new checkpoint needs
-    a new name, since its batch numbers start over too.
+    a new name, since its batch numbers start over too. ``partition_by`` gives each value a folder,
+    right for live data, where a batch touches a day or two. ``cluster_by`` instead sorts the
+    files by a column, right for a replay of years, where folders per day would be tiny.
     """
 
     path: str
@@ -33,16 +35,20 @@ class KeyedTable:
     partition_by: str | None = None
     order: list[Column] = field(default_factory=list)
     writer: str = "main"
+    cluster_by: str | None = None
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         """Add one micro-batch. Running it again replaces the same folder."""
         rows = batch.select(*self.schema.fieldNames()).withColumn("written_at", F.current_timestamp())
         target = f"{self.path}/writer={self.writer}/batch={batch_id}"
         # Rebalancing writes few files per day without putting a large day into one task.
+        near = [c for c in (self.partition_by or self.cluster_by,) if c]
+        out = rows.hint("rebalance", *near)
         if self.partition_by:
-            rows.hint("rebalance", self.partition_by).write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
+            out.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
         else:
-            rows.hint("rebalance").write.mode("overwrite").parquet(target)
+            out = out.sortWithinPartitions(*near) if near else out
+            out.write.mode("overwrite").parquet(target)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every row written, with ``written_at``, ``writer`` and ``batch``."""
@@ -100,6 +106,16 @@ def console(df: DataFrame, rows: int = 10) -> DataStreamWriter:
     return df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
 
 
+def staged(batch: DataFrame, path: str) -> DataFrame:
+    """The micro-batch, written once and read back.
+
+    For a batch that its own output joins with: the state behind it is then worked through once,
+    also when executors are lost. The folder is reused by the next batch.
+    """
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
 def split_outputs(*outputs: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Several outputs of one micro-batch, which is computed once."""
 
