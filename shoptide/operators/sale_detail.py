@@ -27,16 +27,6 @@ def detail_side(details: DataFrame, *extra: str) -> DataFrame:
     return details.select(*[F.col(c).alias(name) for c, name in DETAIL_COLUMNS.items()], price, *extra)
 
 
-def unique_details(details: DataFrame) -> DataFrame:
-    """One row per (order_id, id); among repeats the smallest by all other columns.
-
-    Runs before the join and is keyed on both columns, so one giant order is spread over tasks.
-    """
-    keys = ["order_id", "id"]
-    rest = [F.col(c).asc_nulls_first() for c in details.columns if c not in keys]
-    return first_per_key(details, keys, rest or [F.lit(1)])
-
-
 def join_orders(orders: DataFrame, details: DataFrame) -> DataFrame:
     """Items with their order; items or orders without a partner do not appear."""
     return detail_side(details).join(order_side(orders), "order_id")
@@ -112,6 +102,19 @@ def with_doc_id(sales: DataFrame) -> DataFrame:
     return sales.withColumn("doc_id", doc_id("-", "order_id", "order_detail_id"))
 
 
+# Among repeats of an item the first in this order is kept.
+REPEAT_ORDER = ("sku_name", "sku_id", "sku_price", "order_status", "create_time", "user_id")
+
+
+def one_per_item(joined: DataFrame) -> DataFrame:
+    """One row per (order_id, order_detail_id).
+
+    The join has already brought the rows of an order together, so this needs no shuffle of its
+    own; only when a hot order was split does the optimizer add one, on both columns.
+    """
+    return first_per_key(joined, ["order_id", "order_detail_id"], [F.col(c).asc_nulls_first() for c in REPEAT_ORDER])
+
+
 def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:
     """Wide sale rows, one per (order_id, order_detail_id)."""
-    return enrich_user(join_orders(orders, unique_details(details)), users, as_of)
+    return enrich_user(one_per_item(join_orders(orders, details)), users, as_of)

@@ -51,7 +51,7 @@ UNIQUE_ITEMS = """unique_items AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY order_id, order_detail_id
-      ORDER BY sku_name NULLS FIRST, sku_id, order_price, sku_num) AS rn
+      ORDER BY sku_name NULLS FIRST, sku_id, CAST(order_price AS DOUBLE)) AS rn
     FROM items)
   WHERE rn = 1)"""
 

@@ -14,7 +14,7 @@ from shoptide.operators import alerts, dedup, metrics, sale_detail, search, user
 from shoptide.operators import text as text_ops
 from shoptide.plans import bindings as bind
 from shoptide.plans import reports
-from shoptide.session import new_run_dir
+from shoptide.session import new_run_dir, tune
 from shoptide.sources import cdc, decode, logs, tables
 from shoptide.streaming import jobs, sinks
 
@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: fn(tune(spark), sf)
         return fn
 
     return register
@@ -285,7 +285,8 @@ def sale_detail_page(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sale_detail_report")
 def sale_detail_report(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.sale_detail_report(_sales(spark, sf, SALE_DATE), SALE_DATE, KEYWORD, 1, 20)
+    sales, work_dir = _sales(spark, sf, SALE_DATE), new_run_dir(spark, "report")
+    return reports.sale_detail_report(sales, SALE_DATE, KEYWORD, 1, 20, work_dir)
 
 
 # --- alerts -----------------------------------------------------------------------------------

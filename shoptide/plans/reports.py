@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shoptide.functions import percent
 from shoptide.operators import metrics, search
+from shoptide.streaming.sinks import staged
 
 # Ids and names of the totals.
 TOTALS = {"dau": "新增日活", "new_mid": "新增设备", "order_amount": "新增交易额"}
@@ -54,13 +55,18 @@ def realtime_hours(spark: SparkSession, metric: str, date: str, dau: DataFrame,
     return hourly.select(F.lit(metric).alias("id"), label.alias("label"), "hour", F.col("value").cast("double").alias("value"))
 
 
-def sale_detail_report(sales: DataFrame, date: str, keyword: str, page: int, size: int) -> DataFrame:
+def sale_detail_report(
+    sales: DataFrame, date: str, keyword: str, page: int, size: int, work_dir: str | None = None
+) -> DataFrame:
     """(section, title, name, value, detail): total, age and gender shares, one page of rows.
 
-    All numbers come from one aggregate over the matches; the page is a second read of them that
-    keeps only its own rows.
+    All numbers come from one aggregate over the matches, the page from a second read of them.
+    Give ``work_dir``, a new folder, when ``sales`` is a join and not a stored table: the matches
+    are then written there once, and read twice.
     """
     hits = search.search(sales, date, keyword)
+    if work_dir:
+        hits = staged(hits, work_dir)
     counts = metrics.share_counts(hits)
 
     def entry(section: str, title: str | None, name: str, value) -> object:

@@ -4,29 +4,56 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-DEFAULT_CONF = {
+# Settings a session can take on at any time.
+RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Hot join keys are split at run time; the extra shuffle is cheaper than one giant task.
+    # Hot join keys are split at run time; the extra shuffle this may take is cheaper than one
+    # giant task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Keep keyed stream state on disk next to the executor instead of in its heap.
+    # Keep keyed stream state on the executors' disks instead of in their heaps.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give an existing session the settings the plans count on."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive planning for the output of a micro-batch.
+
+    A stream switches it off for its session, since the number of state partitions is fixed; the
+    batch handed to an output no longer depends on that.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def build_session(app: str = "shoptide", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

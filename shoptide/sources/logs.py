@@ -26,12 +26,13 @@ def route(
     # Variant values keep numbers, booleans and nested objects as they were sent.
     fields = F.expr(f"from_json({value}, 'map<string,variant>')")
     parsed = df.select(F.col(value).alias("sent"), at.cast("bigint").alias("ts"), fields.alias("m"))
-    others = F.to_json(F.expr("map_filter(m, (k, v) -> k <> 'ts')"))
+    parsed = parsed.withColumn("others", F.to_json(F.expr("map_filter(m, (k, v) -> k <> 'ts')")))
     # Appended as text: building a map would fail on a log that repeats a key.
+    others = F.col("others")
     body = F.when(others == "{}", "{").otherwise(F.concat(F.substr(others, F.lit(1), F.length(others) - 1), F.lit(",")))
     stamped = F.concat(body, F.lit('"ts":'), F.col("ts").cast("string"), F.lit("}"))
     kind = F.get_json_object("sent", "$.type")
-    bad = F.col("m").isNull()
+    bad = others.isNull()
     topic = F.when(kind.eqNullSafe(F.lit("startup")), F.lit(startup_topic)).otherwise(F.lit(event_topic))
     return parsed.select(
         F.when(~bad, topic).alias("topic"),

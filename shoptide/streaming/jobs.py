@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from shoptide import schemas
 from shoptide.functions import epoch_ms, mask_phone, with_log_time, with_order_time
 from shoptide.operators import alerts, dedup, sale_detail
-from shoptide.session import ROCKSDB_PROVIDER
+from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
 from shoptide.sources.decode import decoded
 from shoptide.streaming import sinks
@@ -122,7 +122,7 @@ def users(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
 def sale_table(path: str, writer: str = "main", partition_by_day: bool = True) -> KeyedTable:
     columns = T.StructType([*_string_fields(schemas.SALE_DETAIL, "doc_id"), T.StructField("user_known", T.BooleanType())])
     # A sale with its user beats one without; repeats of an item are settled by its values.
-    order = [F.col("user_known").desc(), F.col("sku_name").asc_nulls_first(), F.col("sku_id").asc_nulls_first(), F.col("sku_price").asc()]
+    order = [F.col("user_known").desc(), *[F.col(c).asc_nulls_first() for c in sale_detail.REPEAT_ORDER]]
     if partition_by_day:
         return KeyedTable(path, columns, ["doc_id"], "dt", order, writer)
     return KeyedTable(path, columns, ["doc_id"], None, order, writer, cluster_by="dt")
@@ -144,11 +144,12 @@ def sale_details(
     joined = sale_detail.join_orders_stream(orders, details, tolerance, lateness)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        sales = sinks.staged(batch, f"{table.path}-staging")
-        buyers = sales.select(F.col("user_id").alias("id"))
-        known = users_from.read(batch.sparkSession, only=buyers)
-        rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
-        table.add(sale_detail.with_doc_id(rows), batch_id)
+        with adaptive(batch.sparkSession):
+            sales = sinks.staged(batch, f"{table.path}-staging")
+            buyers = sales.select(F.col("user_id").alias("id"))
+            known = users_from.read(batch.sparkSession, only=buyers)
+            rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
+            table.add(sale_detail.with_doc_id(rows), batch_id)
 
     return joined.writeStream.foreachBatch(add).outputMode("append")
 

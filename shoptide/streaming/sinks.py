@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from shoptide.operators.keyed import first_per_key
+from shoptide.session import adaptive
 from shoptide.sources.tables import upper_columns
 
 
@@ -43,12 +44,13 @@ class KeyedTable:
         target = f"{self.path}/writer={self.writer}/batch={batch_id}"
         # Rebalancing writes few files per day without putting a large day into one task.
         near = [c for c in (self.partition_by or self.cluster_by,) if c]
-        out = rows.hint("rebalance", *near)
-        if self.partition_by:
-            out.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
-        else:
-            out = out.sortWithinPartitions(*near) if near else out
-            out.write.mode("overwrite").parquet(target)
+        with adaptive(batch.sparkSession):
+            out = rows.hint("rebalance", *near)
+            if self.partition_by:
+                out.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
+            else:
+                out = out.sortWithinPartitions(*near) if near else out
+                out.write.mode("overwrite").parquet(target)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every row written, with ``written_at``, ``writer`` and ``batch``."""
