@@ -1,0 +1,191 @@
+from __future__ import annotations
+
+import json
+import re
+
+import pytest
+from conftest import rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from shoptide.operators import metrics, search, text
+from shoptide.plans import reports
+
+SALE = "order_id string, order_detail_id string, user_id string, user_gender string, user_age int, user_level string, sku_id string, sku_name string, sku_price double, dt string"
+SOME = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def sales(spark, *people, name="red plate", dt="2024-01-15"):
+    rows = [(str(i), f"d{i}", f"u{i}", gender, age, "1", "s", name, 2.5, dt) for i, (gender, age) in enumerate(people)]
+    return spark.createDataFrame(rows, SALE)
+
+
+def dau(spark, *rows):
+    return spark.createDataFrame(rows, "mid string, log_date string, log_hour string")
+
+
+def orders(spark, *rows):
+    return spark.createDataFrame(rows, "create_date string, create_hour string, total_amount double")
+
+
+def test_totals(spark):
+    devices = dau(spark, ("a", "2024-01-15", "09"), ("b", "2024-01-15", "09"), ("a", "2024-01-14", "23"))
+    assert rows_of(metrics.dau_total(devices, "2024-01-15")) == [(2,)]
+    assert rows_of(metrics.dau_hours(devices, "2024-01-15")) == [("2024-01-15", "09", 2)]
+    amounts = orders(spark, ("2024-01-15", "09", 0.1), ("2024-01-15", "09", 0.2), ("2024-01-15", "10", 1.0))
+    assert rows_of(metrics.gmv_total(amounts, "2024-01-15")) == [(1.3,)]
+    assert rows_of(metrics.gmv_hours(amounts, "2024-01-15")) == [("2024-01-15", "09", 0.3), ("2024-01-15", "10", 1.0)]
+    assert rows_of(metrics.gmv_total(amounts, "2023-01-01")) == [(None,)]
+    assert rows_of(metrics.dau_total(devices, "2023-01-01")) == [(0,)]
+
+
+def test_hours_are_filled(spark):
+    got = metrics.fill_hours(spark, metrics.dau_hours(dau(spark, ("a", "2024-01-15", "09")), "2024-01-15"), "log_date", "2024-01-15", "2024-01-14")
+    rows = rows_of(got)
+    assert len(rows) == 48 and sum(r[2] for r in rows) == 1
+    assert ("2024-01-15", "09", 1) in rows and ("2024-01-14", "00", 0) in rows and ("2024-01-15", "23", 0) in rows
+
+
+def logs(spark, *rows):
+    return spark.createDataFrame(rows, "mid string, ts bigint")
+
+
+def test_new_devices(spark):
+    day = 86_400_000
+    df = logs(spark, ("a", 10 * day + 3_600_000), ("a", 11 * day), ("b", 11 * day + 7_200_000), ("b", 12 * day))
+    assert rows_of(metrics.new_mid_total(df, "1970-01-12")) == [(1,)]
+    assert rows_of(metrics.new_mid_hours(df, "1970-01-11", "1970-01-12")) == [("1970-01-11", "01", 1), ("1970-01-12", "02", 1)]
+
+
+def test_shares(spark):
+    df = sales(spark, ("M", 19), ("M", 20), ("F", 29), (None, 30), ("X", 0), ("M", 31))
+    assert rows_of(metrics.gender_share(df)) == [("女", 16.7), ("男", 50.0)]
+    assert dict(rows_of(metrics.age_share(df))) == {"20岁以下": 33.3, "20岁到30岁": 33.3, "30岁以上": 33.3}
+
+
+def test_shares_without_a_gender_or_rows(spark):
+    assert dict(rows_of(metrics.gender_share(sales(spark, ("M", 1))))) == {"男": 100.0, "女": 0.0}
+    empty = sales(spark, ("M", 1)).limit(0)
+    assert dict(rows_of(metrics.gender_share(empty))) == {"男": 0.0, "女": 0.0}
+    assert set(dict(rows_of(metrics.age_share(empty))).values()) == {0.0}
+
+
+@SOME
+@given(st.lists(st.tuples(st.sampled_from(["M", "F", None]), st.integers(0, 60)), min_size=1, max_size=60))
+def test_age_bands_cover_every_row_once(spark, people):
+    row = metrics.share_counts(sales(spark, *people)).first()
+    assert row.under_20 + row.from_20 + row.from_30 == row.total == len(people)
+    assert (row.under_20, row.from_30) == (sum(a < 20 for _, a in people), sum(a >= 30 for _, a in people))
+
+
+def test_sales_by_province(spark):
+    df = spark.createDataFrame([("1", 0.1), ("1", 0.2), (None, 5.0)], "province_id string, total_amount double")
+    assert rows_of(metrics.sales_by_province(df)) == [("1", 2, 0.3), (None, 1, 5.0)]
+
+
+def test_observed_sum_counts_once(spark):
+    doubled, seen = metrics.observed_sum(spark.createDataFrame([(float(i),) for i in range(1, 6)], "x double"), "x")
+    assert sorted(r.x for r in doubled.collect()) == [2.0, 4.0, 6.0, 8.0, 10.0]
+    doubled.collect()
+    assert seen.get["total"] == 15.0
+
+
+def test_terms(spark):
+    df = sales(spark, ("M", 1), ("F", 1), ("M", 2), ("F", 3), ("X", 3), (None, 3))
+    assert [tuple(r) for r in search.terms(df, "user_gender", 2).collect()] == [("F", 2), ("M", 2)]
+    assert [tuple(r) for r in search.terms(df, "user_age", 100).collect()] == [(3, 3), (1, 2), (2, 1)]
+
+
+def test_pages(spark):
+    df = spark.createDataFrame([(f"{i:02d}",) for i in range(12)], "k string")
+    assert [r.k for r in search.page(df, 2, 5, ["k"]).collect()] == ["05", "06", "07", "08", "09"]
+    assert [r.k for r in search.page(df, 3, 5, ["k"]).collect()] == ["10", "11"]
+    assert search.page(df, 4, 5, ["k"]).collect() == []
+
+
+def test_realtime_total(spark):
+    devices, starts = dau(spark, ("a", "1970-01-12", "09")), logs(spark, ("a", 10 * 86_400_000), ("a", 11 * 86_400_000))
+    got = rows_of(reports.realtime_total(devices, starts, orders(spark, ("1970-01-12", "09", 7.5)), "1970-01-12"))
+    assert got == [("dau", "新增日活", 1.0), ("new_mid", "新增设备", 0.0), ("order_amount", "新增交易额", 7.5)]
+
+
+def test_realtime_hours(spark):
+    devices = dau(spark, ("a", "2024-03-01", "09"), ("b", "2024-02-29", "10"))
+    starts = logs(spark, ("a", 1_709_280_000_000))
+    amounts = orders(spark, ("2024-03-01", "09", 7.5), ("2024-02-28", "09", 1.0))
+    ask = lambda name: rows_of(reports.realtime_hours(spark, name, "2024-03-01", devices, starts, amounts))
+    assert ask("dau") == [("dau", "today", "09", 1.0), ("dau", "yesterday", "10", 1.0)]
+    assert ask("order_amount") == [("order_amount", "today", "09", 7.5)]
+    assert ask("new_mid") == [("new_mid", "today", "08", 1.0)]
+    assert ask("else") == [("else", "today", None, None), ("else", "yesterday", None, None)]
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_sale_detail_report(spark, tmp_path, stored):
+    df = sales(spark, ("M", 19), ("F", 30), ("F", 25)).unionByName(sales(spark, ("M", 1), name="blue plate")).unionByName(sales(spark, ("M", 1), dt="2024-01-16"))
+    got = reports.sale_detail_report(df, "2024-01-15", "plate RED", 1, 2, str(tmp_path / "hits") if stored else None).collect()
+    assert [(r.section, r.title, r.name, r.value) for r in got if r.section != "detail"] == [
+        ("total", None, "total", 3.0),
+        ("stat", "年龄占比", "20岁以下", 33.3),
+        ("stat", "年龄占比", "20岁到30岁", 33.3),
+        ("stat", "年龄占比", "30岁以上", 33.3),
+        ("stat", "性别占比", "男", 33.3),
+        ("stat", "性别占比", "女", 66.7),
+    ]
+    page = [r for r in got if r.section == "detail"]
+    assert [(r.name, r.value, json.loads(r.detail)["user_age"]) for r in page] == [("0-d0", 2.5, 19), ("1-d1", 2.5, 30)]
+
+
+def test_report_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    sales(spark, ("M", 19)).write.partitionBy("dt").parquet(path)
+    stored = spark.read.schema(SALE).parquet(path)
+    plan = search.search(stored, "2024-01-15", "red").select("user_gender")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*2024-01-15", plan)
+    assert "ReadSchema: struct<user_gender:string,sku_name:string>" in plan
+
+
+def java_split(line):
+    pieces = line.split(" ")
+    while len(pieces) > 1 and pieces[-1] == "":
+        pieces.pop()
+    return [] if pieces == [""] and line else pieces
+
+
+@SOME
+@given(st.lists(st.text(alphabet="ab ", max_size=9), min_size=1, max_size=30))
+def test_word_count(spark, lines):
+    want = {}
+    for line in lines:
+        for word in java_split(line):
+            want[word] = want.get(word, 0) + 1
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert {r.word: r.n for r in text.word_count(df).collect()} == want
+
+
+def fold(values, zero, pick):
+    acc = zero
+    for v in values:
+        acc = str(pick(len(acc), len(v)))
+    return acc
+
+
+@SOME
+@given(
+    st.lists(st.lists(st.sampled_from([0, 1, 2, 3, 9, 10, 11, 99, 100, 1234]), min_size=1, max_size=7), min_size=1, max_size=12),
+    st.sampled_from(["0", "", "zero to start with"]),
+    st.sampled_from(["max", "min"]),
+)
+def test_fold_equals_the_fold_of_every_value(spark, groups, zero, pick):
+    rows = [(f"g{g:02d}", i, "x" * n) for g, sizes in enumerate(groups) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "g string, i int, v string")
+    folds = text.fold_lengths(df, "g", "i", "v", zero, pick)
+    want = {f"g{g:02d}": fold(["x" * n for n in sizes], zero, {"max": max, "min": min}[pick]) for g, sizes in enumerate(groups)}
+    assert {r.g: r.folded for r in folds.collect()} == want
+    assert text.join_folds(folds, "g", zero).first()[0] == zero + "".join(want[k] for k in sorted(want))
+
+
+def test_fold_refuses_other_picks(spark):
+    with pytest.raises(ValueError, match="pick"):
+        text.fold_lengths(spark.range(1).withColumn("v", F.lit("")), "id", "id", "v", pick="sum")
