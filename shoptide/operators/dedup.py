@@ -25,16 +25,19 @@ def first_per_day_state(logs: DataFrame, event_time: str, lateness: str = "2 day
     """Streaming form of :func:`first_per_day`, for update mode.
 
     The state holds one row per device and day. The watermark is set on the day itself, so days
-    older than ``lateness`` leave the state. A device-day is emitted again whenever an earlier log
-    arrives; the keyed sink keeps the smallest.
+    older than ``lateness`` leave the state. A device-day comes out when its first log arrives,
+    and again only if an earlier log follows; the keyed sink keeps the smallest.
     """
     order = F.struct("ts", tie) if tie else F.struct("ts")
+    fields = [c for c in logs.columns if c not in DEVICE_DAY]
+    # The clock stands still within a micro-batch, so it tells the batch a log came with.
     return (
-        logs.withColumn("day_start", F.date_trunc("day", F.col(event_time)))
+        logs.withColumns({"day_start": F.date_trunc("day", F.col(event_time)), "came": F.current_timestamp()})
         .withWatermark("day_start", lateness)
         .groupBy(*DEVICE_DAY, "day_start")
-        .agg(F.min_by(F.struct(*[c for c in logs.columns if c not in DEVICE_DAY]), order).alias("first"))
-        .select(*DEVICE_DAY, "first.*")
+        .agg(F.min_by(F.struct(*fields, "came"), order).alias("first"))
+        .filter(F.col("first.came") == F.current_timestamp())
+        .select(*DEVICE_DAY, *[F.col(f"first.{c}") for c in fields])
     )
 
 
