@@ -28,13 +28,18 @@ def _floor_to(ms: Column, width: int) -> Column:
     return ms - F.pmod(ms, F.lit(width))
 
 
+def _block(ms: Column, width: int) -> Column:
+    """Number of the stretch of ``width`` a time lies in."""
+    return F.call_function("div", _floor_to(ms, width), F.lit(width).cast("bigint"))
+
+
 def _check(size_ms: int, slide_ms: int) -> None:
     if slide_ms <= 0 or size_ms % slide_ms:
         raise ValueError("the window length must be a multiple of the slide")
 
 
 def event_facts(events: DataFrame, slide_ms: int) -> DataFrame:
-    """Distinct (mid, pane, clicked, uid): which accounts took coupons, and where clicks were."""
+    """(mid, pane, clicked, uid): which accounts took coupons, and where clicks were."""
     clicked = F.col("evid") == CLICK
     return (
         events.filter(F.col("evid").isin(COUPON, CLICK))
@@ -44,7 +49,6 @@ def event_facts(events: DataFrame, slide_ms: int) -> DataFrame:
             clicked.alias("clicked"),
             F.when(~clicked, F.col("uid")).alias("uid"),
         )
-        .distinct()
     )
 
 
@@ -54,7 +58,7 @@ def _promising(facts: DataFrame, size_ms: int, accounts: int) -> DataFrame:
     A window lies in two neighbouring blocks of its own length, so a pair of blocks with too few
     accounts holds no alert.
     """
-    block = F.floor(F.col("pane") / F.lit(size_ms))
+    block = _block(F.col("pane"), size_ms)
     pairs = (
         facts.filter(~F.col("clicked"))
         .select("mid", "uid", F.explode(F.array(block - 1, block)).alias("pair"))
@@ -70,10 +74,12 @@ def _promising(facts: DataFrame, size_ms: int, accounts: int) -> DataFrame:
 def flagged_windows(facts: DataFrame, size_ms: int, slide_ms: int, accounts: int = 3) -> DataFrame:
     """(mid, window_end) of the windows that raise an alert. Times are epoch milliseconds."""
     _check(size_ms, slide_ms)
+    # Repeats within a pane go before the windows multiply what is left.
     kept = _promising(facts, size_ms, accounts) if size_ms > 2 * slide_ms else facts
     ends = F.sequence(F.col("pane") + slide_ms, F.col("pane") + size_ms, F.lit(slide_ms).cast("bigint"))
     return (
-        kept.select("mid", "clicked", "uid", F.explode(ends).alias("window_end"))
+        kept.distinct()
+        .select("mid", "clicked", "uid", F.explode(ends).alias("window_end"))
         .distinct()
         .groupBy("mid", "window_end")
         .agg(F.bool_or("clicked").alias("vetoed"), F.count("*").alias("n"))
@@ -95,9 +101,9 @@ def _documents(windows: DataFrame, panes: DataFrame, size_ms: int) -> DataFrame:
     ``window_end - size <= at < window_end``. Blocks of the window's length make it an equi-join.
     """
     start = F.col("window_end") - size_ms
-    blocks = F.array_distinct(F.array(F.floor(start / F.lit(size_ms)), F.floor((F.col("window_end") - 1) / F.lit(size_ms))))
+    blocks = F.array_distinct(F.array(_block(start, size_ms), _block(F.col("window_end") - 1, size_ms)))
     wanted = windows.select("mid", "window_end", F.explode(blocks).alias("block"))
-    placed = panes.withColumn("block", F.floor(F.col("at") / F.lit(size_ms)))
+    placed = panes.withColumn("block", _block(F.col("at"), size_ms))
     inside = (F.col("at") >= start) & (F.col("at") < F.col("window_end"))
     ended = F.timestamp_millis("window_end")
     return (
@@ -128,7 +134,8 @@ def _log_entry(tie: str | None) -> Column:
 def coupon_alerts(events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3, tie: str | None = None) -> DataFrame:
     """Alert documents (doc_id, mid, uids, item_ids, events, ts, dt) of a table of events.
 
-    A missing account counts as an account, and stays in ``uids`` as a null.
+    A missing account counts as an account, and stays in ``uids`` as a null. Events without a
+    device belong to none and raise no alert.
     """
     alerts = last_of_minute(flagged_windows(event_facts(events, slide_ms), size_ms, slide_ms, accounts))
     took = F.col("evid") == COUPON

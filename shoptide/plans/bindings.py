@@ -117,10 +117,14 @@ def timed_orders(events: DataFrame, *extra: Column) -> DataFrame:
     return with_order_time(rows)
 
 
-def details(lineitem: DataFrame, part: DataFrame, *extra: Column) -> DataFrame:
+def details(lineitem: DataFrame, part: DataFrame | None, *extra: Column) -> DataFrame:
+    """Order items; without ``part`` their product name is null, for plans that have no use for it."""
     item = F.concat_ws("-", text("l_orderkey"), text("l_linenumber"))
-    names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
-    return lineitem.join(names, "l_partkey", "left").select(
+    named = lineitem.withColumn("sku_name", F.lit(None).cast("string"))
+    if part is not None:
+        names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
+        named = lineitem.join(names, "l_partkey", "left")
+    return named.select(
         item.alias("id"),
         text("l_orderkey").alias("order_id"),
         "sku_name",

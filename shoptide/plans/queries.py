@@ -235,14 +235,15 @@ def order_detail_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("order_detail_full_outer")
 def order_detail_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    return sale_detail.join_status(bind.orders(_t(spark, sf, "orders")), _details(spark, sf))
+    orders, lineitem = _t(spark, sf, "orders", "lineitem")
+    return sale_detail.join_status(bind.orders(orders), bind.details(lineitem, None))
 
 
 @query("order_detail_interval_join")
 def order_detail_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    orders, lineitem, part = _t(spark, sf, "orders", "lineitem", "part")
+    orders, lineitem = _t(spark, sf, "orders", "lineitem")
     left = bind.orders(orders, bind.order_arrival().alias("ingest_ts"))
-    right = bind.details(lineitem, part, bind.detail_arrival().alias("ingest_ts"))
+    right = bind.details(lineitem, None, bind.detail_arrival().alias("ingest_ts"))
     return sale_detail.join_orders_within(left, right).select("order_id", "order_detail_id").distinct()
 
 

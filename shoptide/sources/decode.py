@@ -53,3 +53,9 @@ def decoded(df: DataFrame) -> DataFrame:
 def quarantine(df: DataFrame) -> DataFrame:
     """The raw messages that did not."""
     return df.filter(F.col(MALFORMED)).select(RAW)
+
+
+def nested(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Columns of a schema that is not flat; messages that do not parse are left out."""
+    parsed = df.select(F.from_json(F.col(value).cast("string"), schema).alias("p"))
+    return parsed.filter(F.col("p").isNotNull()).select("p.*")

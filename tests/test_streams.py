@@ -255,3 +255,49 @@ def test_outputs_leave_the_stream_session_as_it_was(spark, tmp_path, messages):
     writer = jobs.dau(feed.stream(), table).foreachBatch(sinks.split_outputs(spy))
     run(spark, writer, tmp_path)
     assert len(seen) >= 3 and len(set(seen)) == 1
+
+
+def feed_folder(tmp_path, name, *messages):
+    import json
+
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "1.txt").write_text("".join(json.dumps(m) + "\n" for m in messages))
+    return str(folder)
+
+
+def run_job(tmp_path, job, source, table, *more):
+    from shoptide.__main__ import main
+
+    main([job, "--source", source, "--table", str(tmp_path / table), "--checkpoint", str(tmp_path / f"{table}-state"), "--once", *more])
+
+
+def test_jobs_run_from_the_command_line(spark, tmp_path):
+    changes = feed_folder(
+        tmp_path,
+        "changes",
+        {"table": "order_info", "event_type": "INSERT", "rows": [order("1", 0)[0]]},
+        {"table": "order_info", "event_type": "DELETE", "rows": [order("2", 0)[0]]},
+        {"table": "order_detail", "event_type": "INSERT", "rows": [detail("d1", "1", 0)[0], detail("d2", "1", 0)[0]]},
+        {"table": "user_info", "event_type": "UPDATE", "rows": [user("u1", 0, "4")[0]]},
+    )
+    run_job(tmp_path, "cdc", changes, "topics")
+    topic = lambda name: str(tmp_path / "topics" / f"topic={name}")
+    run_job(tmp_path, "gmv", topic("order_info"), "orders")
+    run_job(tmp_path, "users", topic("user_info"), "users")
+    run_job(tmp_path, "sales", topic("order_info"), "sales", "--details", topic("order_detail"), "--users", str(tmp_path / "users"))
+    sales = jobs.sale_table(str(tmp_path / "sales")).read(spark)
+    assert rows_of(sales, "doc_id", "user_level", "sku_price") == [("1-d1", "4", 3.5), ("1-d2", "4", 3.5)]
+    assert rows_of(jobs.order_table(str(tmp_path / "orders")).read(spark), "ID") == [("1",)]
+
+    sent = feed_folder(tmp_path, "logs", {"type": "startup", "mid": "m1"}, {"type": "event", "mid": "m1", "evid": "coupon", "uid": "a"})
+    run_job(tmp_path, "logs", sent, "routed")
+    run_job(tmp_path, "archive", sent, "archived")
+    run_job(tmp_path, "dau", str(tmp_path / "routed" / "topic=startup_log"), "dau")
+    run_job(tmp_path, "alerts", str(tmp_path / "routed" / "topic=event_log"), "panes")
+    assert rows_of(jobs.dau_table(str(tmp_path / "dau")).read(spark), "MID") == [("m1",)]
+    assert rows_of(jobs.pane_table(str(tmp_path / "panes")).read(spark), "mid", "uids") == [("m1", [("a",)])]
+    assert spark.read.text(str(tmp_path / "archived")).count() == 2
+    bad = feed_folder(tmp_path, "bad", {"ts": "never"}, {"ts": 1})
+    run_job(tmp_path, "quarantine", bad, "aside", "--record", "startup")
+    assert [r.value for r in spark.read.text(str(tmp_path / "aside")).collect()] == ['{"ts": "never"}']
