@@ -8,7 +8,7 @@ what it brings, and a batch that is run again after a failure replaces only its
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +40,13 @@ class KeyedTable:
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         """Add one micro-batch. Running it again replaces the same folder."""
-        rows = batch.select(*self.schema.fieldNames()).withColumn("written_at", F.current_timestamp())
+        self._write(batch.select(*self.schema.fieldNames()).withColumn("written_at", F.current_timestamp()), batch_id)
+
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
         target = f"{self.path}/writer={self.writer}/batch={batch_id}"
         # Rebalancing writes few files per day without putting a large day into one task.
         near = [c for c in (self.partition_by or self.cluster_by,) if c]
-        with adaptive(batch.sparkSession):
+        with adaptive(rows.sparkSession):
             out = rows.hint("rebalance", *near)
             if self.partition_by:
                 out.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
@@ -69,11 +71,24 @@ class KeyedTable:
         rows = self.versions(spark)
         if only is not None:
             rows = rows.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
+        return self._best(rows).select(*self.schema.fieldNames())
+
+    def _best(self, rows: DataFrame) -> DataFrame:
         keys = list(self.keys)
         if self.partition_by and self.partition_by not in keys:
             keys.append(self.partition_by)
-        order = [*self.order, F.col("written_at").desc(), F.col("batch").desc()]
-        return first_per_key(rows, keys, order).select(*self.schema.fieldNames())
+        return first_per_key(rows, keys, [*self.order, F.col("written_at").desc(), F.col("batch").desc()])
+
+    def compact(self, spark: SparkSession, path: str) -> KeyedTable:
+        """A copy with one row per key in few files, for when many small batches have piled up.
+
+        Stop the writing query, compact, and start it on the copy with its old checkpoint: its
+        next batches count as newer, since rows keep the time they were first written.
+        """
+        best = self._best(self.versions(spark)).select(*self.schema.fieldNames(), "written_at")
+        copy = replace(self, path=path, writer="compacted")
+        copy._write(best, 0)
+        return replace(self, path=path)
 
 
 def upsert_table(df: DataFrame, table: KeyedTable) -> DataStreamWriter:

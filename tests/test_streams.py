@@ -202,6 +202,16 @@ def test_same_document_id_overwrites_and_a_batch_can_run_again(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
+def test_compacted_table_takes_newer_batches(spark, tmp_path):
+    table = sinks.KeyedTable(str(tmp_path / "docs"), DOC, ["doc_id"], "dt")
+    table.add(docs(spark, ("a", 1, "d1"), ("b", 1, "d2")), 0)
+    table.add(docs(spark, ("a", 2, "d1")), 1)
+    copy = table.compact(spark, str(tmp_path / "copy"))
+    assert rows_of(copy.read(spark)) == [("a", 2, "d1"), ("b", 1, "d2")] and copy.versions(spark).count() == 2
+    copy.add(docs(spark, ("b", 5, "d2")), 2)
+    assert rows_of(copy.read(spark)) == [("a", 2, "d1"), ("b", 5, "d2")]
+
+
 def test_documents_without_id_get_one(spark, tmp_path, messages):
     feed = messages("docs")
     feed.send(({"doc_id": "a", "v": 1}, 0), ({"v": 2}, 0), ({"v": 3}, 0))
