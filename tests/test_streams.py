@@ -311,3 +311,39 @@ def test_jobs_run_from_the_command_line(spark, tmp_path):
     bad = feed_folder(tmp_path, "bad", {"ts": "never"}, {"ts": 1})
     run_job(tmp_path, "quarantine", bad, "aside", "--record", "startup")
     assert [r.value for r in spark.read.text(str(tmp_path / "aside")).collect()] == ['{"ts": "never"}']
+
+
+def test_reports_from_stored_tables(spark, tmp_path, messages, capsys):
+    import json
+
+    from shoptide.plans import serving
+
+    starts, orders, details, people = (messages(n) for n in ("start", "orders", "details", "users"))
+    starts.send(start_log("m1", START - DAY), start_log("m1", START + 3_600_000), start_log("m2", START + 7_200_000))
+    orders.send(order("1", 10), order("2", 10, total_amount="0.5"))
+    details.send(detail("d1", "1", 10), detail("d2", "2", 10))
+    people.send(user("u1", 0), user("u2", 0, gender="M"))
+    dau, sold, known, sales = (str(tmp_path / f"{n}-table") for n in ("dau", "orders", "users", "sales"))
+    run(spark, jobs.dau(starts.stream(), jobs.dau_table(dau)), tmp_path, "c1")
+    run(spark, jobs.gmv(orders.stream(), jobs.order_table(sold)), tmp_path, "c2")
+    run(spark, jobs.users(people.stream(), jobs.user_table(known)), tmp_path, "c3")
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), jobs.user_table(known), jobs.sale_table(sales), "2024-01-15"), tmp_path, "c4")
+
+    def ask(*args):
+        serving.main([*args, "--date", "2024-01-15", "--dau", dau, "--orders", sold, "--sales", sales])
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    assert ask("total") == [
+        {"id": "dau", "name": "新增日活", "value": 2.0},
+        {"id": "new_mid", "name": "新增设备", "value": 1.0},
+        {"id": "order_amount", "name": "新增交易额", "value": 13.0},
+    ]
+    assert ask("hours", "--id", "dau") == {"yesterday": {"00": 1.0}, "today": {"01": 1.0, "02": 1.0}}
+    assert ask("hours", "--id", "order_amount") == {"yesterday": {}, "today": {"10": 13.0}}
+    got = ask("sales", "--keyword", "plate", "--page", "1", "--size", "1")
+    assert got["total"] == 2 and [r["order_detail_id"] for r in got["detail"]] == ["d1"]
+    assert got["stat"] == [
+        {"title": "年龄占比", "options": [{"name": "20岁以下", "value": 0.0}, {"name": "20岁到30岁", "value": 0.0}, {"name": "30岁以上", "value": 100.0}]},
+        {"title": "性别占比", "options": [{"name": "男", "value": 50.0}, {"name": "女", "value": 50.0}]},
+    ]
+    assert ask("sales", "--keyword", "nothing")["total"] == 0
