@@ -41,6 +41,13 @@ def first_per_day_state(logs: DataFrame, event_time: str, lateness: str = "2 day
     )
 
 
+def first_arrivals(logs: DataFrame, event_time: str, lateness: str = "2 days") -> DataFrame:
+    """Streaming form with the least delay, for append mode: the log that *arrives* first for each
+    device and day, which need not be the earliest. Comes out once and is never corrected."""
+    days = logs.withColumn("day_start", F.date_trunc("day", F.col(event_time)))
+    return days.withWatermark("day_start", lateness).dropDuplicatesWithinWatermark(DEVICE_DAY).drop("day_start")
+
+
 def stage_counts(logs: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows before de-duplication, after the seen-set filter and after first-per-day.
 

@@ -2,9 +2,11 @@
 
     python -m shoptide.plans.serving total --date 2024-01-15 --dau /tables/dau --orders /tables/orders
     python -m shoptide.plans.serving hours --id dau --date 2024-01-15 --dau ... --orders ...
+    python -m shoptide.plans.serving alerts --date 2024-01-15 --panes /tables/panes --out /reports/alerts
     python -m shoptide.plans.serving sales --date 2024-01-15 --keyword red --page 1 --size 20 --sales /tables/sales
 
-Each form gives one row (json). They take finished reports: three totals, at most 48 hours, one page.
+The reports come as one JSON text each; they are small by nature: three totals, at most 48 hours,
+one page. Alerts come as JSON lines, a file per partition, in the folder ``--out``.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ import argparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.operators import metrics
+from shoptide.operators import alerts, metrics
 from shoptide.plans import reports
 from shoptide.session import build_session
+from shoptide.sources.tables import on_dates
 from shoptide.streaming import jobs
 
 
@@ -75,17 +78,26 @@ def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page:
     return reports.sale_detail_report(jobs.sale_table(sales).read(spark), date, keyword, page, size)
 
 
+def stored_alerts(spark: SparkSession, panes: str, date: str, **window: int) -> DataFrame:
+    """Alerts of a day. Its first windows reach into the day before, so two days are read."""
+    days = on_dates(jobs.pane_table(panes).read(spark), "dt", date, reports.day_before(date))
+    return alerts.pane_alerts(days, **window).filter(F.col("dt") == date)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide.plans.serving", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("report", choices=["total", "hours", "sales"])
+    parser.add_argument("report", choices=["total", "hours", "sales", "alerts"])
     parser.add_argument("--date", required=True)
-    for name in ("--id", "--dau", "--orders", "--sales", "--keyword"):
+    for name in ("--id", "--dau", "--orders", "--sales", "--panes", "--out", "--keyword"):
         parser.add_argument(name, default="")
     parser.add_argument("--page", type=int, default=1)
     parser.add_argument("--size", type=int, default=20)
     args = parser.parse_args(argv)
 
     spark = build_session(f"shoptide-{args.report}")
+    if args.report == "alerts":
+        stored_alerts(spark, args.panes, args.date).write.json(args.out)
+        return
     if args.report == "total":
         out = total_json(stored_totals(spark, args.dau, args.orders, args.date))
     elif args.report == "hours":

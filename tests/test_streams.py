@@ -347,3 +347,26 @@ def test_reports_from_stored_tables(spark, tmp_path, messages, capsys):
         {"title": "性别占比", "options": [{"name": "男", "value": 50.0}, {"name": "女", "value": 50.0}]},
     ]
     assert ask("sales", "--keyword", "nothing")["total"] == 0
+
+
+def test_first_arrivals(spark, messages, tmp_path):
+    feed = messages("start")
+    feed.send(start_log("m1", START + 500))
+    feed.send(start_log("m1", START + 100), start_log("m2", START + 7))
+    rows = jobs.startup_rows(feed.stream()).withColumn("at", F.timestamp_millis("ts"))
+    out = dedup.first_arrivals(rows, "at").select("mid", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    run(spark, out, tmp_path)
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == [("m1", START + 500), ("m2", START + 7)]
+
+
+def test_stored_alerts_of_a_day(spark, messages, tmp_path):
+    from shoptide.plans import serving
+
+    feed = messages("events")
+    # Coupons just before midnight: their windows end on the next day.
+    feed.send(*[event("m", u, "coupon", i * 1000 - 60_000, i) for i, u in enumerate("abc")])
+    table = jobs.pane_table(str(tmp_path / "panes"))
+    run(spark, jobs.coupon_panes(feed.stream(), table, schema=WITH_SEQ, tie="seq"), tmp_path)
+    serving.main(["alerts", "--date", "2024-01-15", "--panes", table.path, "--out", str(tmp_path / "out")])
+    assert spark.read.json(str(tmp_path / "out")).count() == 5
+    assert serving.stored_alerts(spark, table.path, "2024-01-14").count() == 1
