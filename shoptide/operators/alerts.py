@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.functions import doc_id, minute_of
+from shoptide.operators.keyed import near_keys
 
 # Event types.
 COUPON = "coupon"
@@ -106,8 +107,10 @@ def _documents(windows: DataFrame, panes: DataFrame, size_ms: int) -> DataFrame:
     placed = panes.withColumn("block", _block(F.col("at"), size_ms))
     inside = (F.col("at") >= start) & (F.col("at") < F.col("window_end"))
     ended = F.timestamp_millis("window_end")
+    # All events are read here, but only those near an alert may reach the shuffle.
     return (
-        placed.join(wanted, ["mid", "block"])
+        near_keys(placed, wanted, ["mid", "block"])
+        .join(wanted, ["mid", "block"])
         .filter(inside)
         .groupBy("mid", "window_end")
         .agg(

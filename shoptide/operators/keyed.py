@@ -1,4 +1,5 @@
-"""One row per key: the building block of de-duplication and of keyed upserts."""
+"""One row per key: the building block of de-duplication and of keyed upserts. And a bounded filter
+that keeps rows from a shuffle they would not survive."""
 
 from __future__ import annotations
 
@@ -20,3 +21,19 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str, ties: list[str]
     """The row of the highest ``version`` for each key; equal versions are settled by ``ties``."""
     order = [F.col(version).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in ties or []]
     return first_per_key(df, keys, order)
+
+
+# A slot is one long: the set of all slots is 8 MB, however many keys fall into them.
+SLOTS = 1 << 20
+
+
+def near_keys(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose keys may be among those of ``wanted``: all that are, and few others.
+
+    Keys are hashed to a fixed number of slots, so what is broadcast has a fixed bound. Put it
+    before a join of a large table with few keys that may still be too many to broadcast; the
+    join then shuffles only rows that have a chance. Key types must agree on both sides.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+    taken = wanted.select(slot.alias("_slot")).distinct()
+    return df.withColumn("_slot", slot).join(F.broadcast(taken), "_slot", "left_semi").drop("_slot")

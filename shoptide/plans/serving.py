@@ -65,13 +65,14 @@ def sale_detail_json(report: DataFrame) -> DataFrame:
 
 
 def stored_totals(spark: SparkSession, dau: str, orders: str, date: str) -> DataFrame:
-    devices, sold = jobs.dau_table(dau).read(spark), jobs.order_table(orders).read(spark)
-    return reports.realtime_total(devices, devices, sold, date)
+    devices, sold = jobs.dau_table(dau), jobs.order_table(orders).read(spark)
+    # The first log ever is a minimum, which needs no choice between versions of a row.
+    return reports.realtime_total(devices.read(spark), devices.versions(spark), sold, date)
 
 
 def stored_hours(spark: SparkSession, dau: str, orders: str, metric: str, date: str) -> DataFrame:
-    devices, sold = jobs.dau_table(dau).read(spark), jobs.order_table(orders).read(spark)
-    return reports.realtime_hours(spark, metric, date, devices, devices, sold)
+    devices, sold = jobs.dau_table(dau), jobs.order_table(orders).read(spark)
+    return reports.realtime_hours(spark, metric, date, devices.read(spark), devices.versions(spark), sold)
 
 
 def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page: int, size: int) -> DataFrame:

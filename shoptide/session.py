@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,11 +26,19 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+PARTITIONS_PER_CORE = 4
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Give an existing session the settings the plans count on."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        # Batch shuffles start out fine enough for the cluster and are merged by measured size. The
+        # number of state partitions is a setting of its own and stays what it is.
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * context.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     return spark
 
 
@@ -55,7 +64,7 @@ def build_session(app: str = "shoptide", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -68,9 +77,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="shoptide-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shoptide-")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:

@@ -145,7 +145,7 @@ def sale_details(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch.sparkSession):
-            sales = sinks.staged(batch, f"{table.path}-staging")
+            sales = sinks.staged(batch, f"{table.path}-staging/{table.writer}")
             buyers = sales.select(F.col("user_id").alias("id"))
             known = users_from.read(batch.sparkSession, only=buyers)
             rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)

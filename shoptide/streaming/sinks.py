@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from shoptide.operators.keyed import first_per_key
+from shoptide.operators.keyed import first_per_key, near_keys
 from shoptide.session import adaptive
 from shoptide.sources.tables import upper_columns
 
@@ -65,12 +65,12 @@ class KeyedTable:
     def read(self, spark: SparkSession, only: DataFrame | None = None) -> DataFrame:
         """One row per key. A filter on the partition column prunes folders.
 
-        ``only`` limits the result to the keys it lists, before rows are compared; a small list
-        then saves the shuffle of the whole table.
+        ``only`` limits the result to the keys it lists, before rows are shuffled and compared.
         """
         rows = self.versions(spark)
         if only is not None:
-            rows = rows.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
+            wanted = only.select(*self.keys).distinct()
+            rows = near_keys(rows, wanted, self.keys).join(wanted, self.keys, "left_semi")
         return self._best(rows).select(*self.schema.fieldNames())
 
     def _best(self, rows: DataFrame) -> DataFrame:

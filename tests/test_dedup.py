@@ -5,7 +5,7 @@ import random
 from conftest import rows_of
 
 from shoptide.functions import with_log_time
-from shoptide.operators import dedup, users
+from shoptide.operators import dedup, keyed, users
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -69,3 +69,13 @@ def test_one_row_per_key_leaves_each_task(spark):
     df = logs(spark, *[("hot", START + i, i) for i in range(50)], ("m1", START, 99))
     plan = dedup.first_per_day(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_near_keys_keeps_every_wanted_row_and_few_others(spark):
+    table = spark.range(20_000).selectExpr("cast(id % 5000 AS string) AS k", "id % 3 AS b", "id")
+    wanted = spark.range(40).selectExpr("cast(id * 7 AS string) AS k", "id % 3 AS b")
+    near = keyed.near_keys(table, wanted, ["k", "b"])
+    exact = table.join(wanted, ["k", "b"], "left_semi")
+    assert near.columns == table.columns
+    assert exact.join(near, "id", "left_anti").count() == 0 < exact.count()
+    assert near.count() - exact.count() < 100
