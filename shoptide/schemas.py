@@ -21,6 +21,9 @@ ORDER_INFO = _schema(
     total_amount=T.DoubleType(),
 )
 
+# What a field must look like for its row to be used: an order needs a date and an hour.
+ORDER_INFO_PATTERNS = {"create_time": "^[^ ]+ [^ :]+"}
+
 ORDER_DETAIL = _schema("id order_id sku_name sku_id order_price img_url sku_num")
 
 USER_INFO = _schema("id login_name user_level birthday gender")

@@ -10,13 +10,19 @@ MALFORMED = "malformed"
 RAW = "raw"
 
 
-def decode(df: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+def decode(
+    df: DataFrame,
+    schema: T.StructType,
+    value: str = "value",
+    keep: tuple[str, ...] = (),
+    patterns: dict[str, str] | None = None,
+) -> DataFrame:
     """Columns of ``schema`` by field name, then ``malformed`` and ``raw``.
 
     Every field is first read as text, because change feeds send numbers in quotes and logs send
     ids as bare numbers; it is then cast to its type. A message that is no JSON object, or has a
-    value its type cannot hold, has ``malformed`` set, null fields and its text in ``raw``.
-    ``keep`` passes columns of ``df`` through.
+    value its type cannot hold, has ``malformed`` set, null fields and its text in ``raw``; so has
+    one with a field that does not match its pattern. ``keep`` passes columns of ``df`` through.
     """
     corrupt = "_corrupt"
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(corrupt, T.StringType())])
@@ -35,6 +41,8 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", keep: tupl
         else:
             typed[field.name] = source.try_cast(field.dataType)
             bad = bad | (source.isNotNull() & typed[field.name].isNull())
+    for name, pattern in (patterns or {}).items():
+        bad = bad | ~F.coalesce(F.col(f"p.{name}").rlike(pattern), F.lit(False))
     checked = parsed.select(*keep, RAW, bad.alias(MALFORMED), *[c.alias(n) for n, c in typed.items()])
     good = ~F.col(MALFORMED)
     return checked.select(

@@ -35,7 +35,8 @@ def startup_rows(messages: DataFrame, schema: T.StructType = schemas.STARTUP_LOG
 
 def order_rows(messages: DataFrame, *keep: str) -> DataFrame:
     """Typed orders with date, hour and masked phone number."""
-    rows = with_order_time(decoded(decode.decode(messages, schemas.ORDER_INFO, keep=keep)))
+    typed = decode.decode(messages, schemas.ORDER_INFO, keep=keep, patterns=schemas.ORDER_INFO_PATTERNS)
+    rows = with_order_time(decoded(typed))
     return rows.withColumn("consignee_tel", mask_phone("consignee_tel"))
 
 
@@ -159,7 +160,8 @@ def sale_details(
 
 def quarantine(messages: DataFrame, schema: T.StructType, path: str) -> DataStreamWriter:
     """Messages the jobs leave out, as text in ``path``."""
-    bad = decode.quarantine(decode.decode(messages, schema))
+    patterns = schemas.ORDER_INFO_PATTERNS if schema == schemas.ORDER_INFO else None
+    bad = decode.quarantine(decode.decode(messages, schema, patterns=patterns))
     return bad.filter(F.col("raw").isNotNull()).writeStream.format("text").option("path", path)
 
 

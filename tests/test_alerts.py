@@ -109,3 +109,10 @@ def test_stored_panes_give_the_same_alerts(spark):
 def test_window_must_be_whole_slides(spark):
     with pytest.raises(ValueError, match="multiple"):
         alerts.coupon_alerts(events(spark, *coupons("a")), 300_000, 7_000)
+
+
+def test_alert_record(spark):
+    from shoptide.schemas import COUPON_ALERT
+
+    got = alerts.coupon_alerts(events(spark, *coupons("a", "b", "c"))).schema
+    assert {f.name: f.dataType.simpleString() for f in COUPON_ALERT}.items() <= {f.name: f.dataType.simpleString() for f in got}.items()

@@ -128,7 +128,7 @@ def user(key, second, level="1", gender="F"):
 
 def test_orders_are_masked_and_stored_once(spark, messages, tmp_path):
     feed = messages("orders")
-    feed.send(order("1", 0), order("2", 0, total_amount="x"))
+    feed.send(order("1", 0), order("2", 0, total_amount="x"), order("4", 0, create_time="2024-01-15"))
     feed.send(order("1", 5), order("3", 5, create_time="2024-01-16 01:00:00"))
     table = jobs.order_table(str(tmp_path / "orders"))
     run(spark, jobs.gmv(feed.stream(), table), tmp_path)
@@ -140,10 +140,10 @@ def test_orders_are_masked_and_stored_once(spark, messages, tmp_path):
 
 def test_malformed_messages_are_kept_aside(spark, messages, tmp_path):
     feed = messages("orders")
-    feed.send(order("1", 0), ("{no json", 0), order("2", 0, total_amount="x"))
+    feed.send(order("1", 0), ("{no json", 0), order("2", 0, total_amount="x"), order("4", 0, create_time=None))
     run(spark, jobs.quarantine(feed.stream(), schemas.ORDER_INFO, str(tmp_path / "bad")), tmp_path)
     kept = [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()]
-    assert len(kept) == 2 and "{no json" in kept
+    assert len(kept) == 3 and "{no json" in kept
 
 
 def test_users_keep_the_last_message(spark, messages, tmp_path):
