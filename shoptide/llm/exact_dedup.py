@@ -71,12 +71,12 @@ def digest_state(narrow: DataFrame, files_per_trigger: int = 16) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", digest=sha256,
                 files_per_trigger: int = 16) -> DataFrame:
-    """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256, file, row).
+    """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256, survivor, file, row).
 
     Texts are equal when they are identical after each run of ASCII white space becomes one space; a null text
     is an empty one. The smallest identifier of equal texts stays; a null identifier is larger than any other.
     Rows that repeat an identifier and a text are all counted, and all of them are ``kept`` when their
-    identifier is the one that stays; (file, row) tells them apart. Other columns are not read, whatever their
+    identifier is the one that stays; ``survivor`` holds for exactly one row of a group. Other columns are not read, whatever their
     names. An empty table gives an empty table.
 
     Rows that share a digest are compared byte by byte with the text found at the group's locator. Rows that
@@ -94,14 +94,17 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     held = texts.join(hits, ["digest", *LOCATOR]).select("digest", F.col("_text").alias("held"))
     other = written(texts.join(held, "digest").filter("_text <> held").drop("held"), "collisions")
 
-    out = narrow.join(state.select("digest", "keep_id", "group_size"), "digest")
+    at = F.struct(*LOCATOR)
+    out = narrow.join(state.select("digest", "keep_id", "group_size", at.alias("at")), "digest")
     if not other.isEmpty():
-        first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"))).alias("first")
+        first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), *LOCATOR)).alias("first")
         regrouped = other.groupBy("digest", "_text").agg(first, F.count("*").alias("other_size"))
-        moved = other.join(regrouped, ["digest", "_text"]).select(*LOCATOR, F.col("first._id").alias("other_id"), "other_size")
+        moved = other.join(regrouped, ["digest", "_text"]).select(*LOCATOR, F.col("first._id").alias("other_id"), F.struct("first.file", "first.row").alias("other_at"), "other_size")
         gone = other.groupBy("digest").agg(F.count("*").alias("gone"))
         moves = F.col("other_size").isNotNull()
         out = (out.join(moved, LOCATOR, "left").join(gone, "digest", "left")
+               .withColumn("at", F.coalesce("other_at", "at"))
                .withColumn("keep_id", F.when(moves, F.col("other_id")).otherwise(F.col("keep_id")))
                .withColumn("group_size", F.when(moves, F.col("other_size")).otherwise(F.col("group_size") - F.coalesce("gone", F.lit(0)))))
-    return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", *LOCATOR)
+    kept = F.col("_id").eqNullSafe(F.col("keep_id"))
+    return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "text_sha256", (at == F.col("at")).alias("survivor"), *LOCATOR)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The bounded training sample: so many characters per language, taken from so many texts at most.
 SAMPLE_CHARS = 12_000
@@ -127,15 +128,16 @@ def phrases(model: LanguageModel, windows: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", batch_letters: int = 1 << 21) -> DataFrame:
-    """(id, lang_pred, score) of every row, from its whole text and nothing else.
+def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | list[str] = (), batch_letters: int = 1 << 21) -> DataFrame:
+    """(id, lang_pred, score) of every row, from its whole text and nothing else; with ``keep``, those columns of
+    ``docs`` follow, under their names.
 
     ``score`` is the winner's share of the inverse phrase rates, from 1 / number of languages to 1. ``und`` with
     score 0 where the text is null or has no letter, or nothing was learned. Equal phrase counts are settled by
     the order of the language names. Repeated rows each give a row; an empty table gives an empty table; other
     columns are not read. A text is parsed in windows of ``WINDOW`` characters, so memory follows the batch.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*keep or [F.lit(0)]).alias("_keep"))
     shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +194,10 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
                     flush()
                     size = 0
             flush()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["_id", "_keep", "lang_pred", "score"])
 
-    id_type = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(label, f"_id {id_type}, lang_pred string, score double").withColumnRenamed("_id", id_col)
+    schema = T.StructType([rows.schema["_id"], rows.schema["_keep"]]).add("lang_pred", "string").add("score", "double")
+    found = rows.mapInArrow(label, schema)
+    if keep:
+        return found.select("_keep.*", F.col("lang_pred").alias("lang_pred"), "score") if id_col in keep else found.select(F.col("_id").alias(id_col), "lang_pred", "score", "_keep.*")
+    return found.select(F.col("_id").alias(id_col), "lang_pred", "score")

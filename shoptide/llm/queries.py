@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import exact_dedup, language_id, token_counts, warc
+from shoptide.llm import exact_dedup, jaccard_join, language_id, packing, token_counts, warc
 from shoptide.llm.common import table
 
 
@@ -37,11 +37,22 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
+    "op5_packing": op5_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
@@ -58,4 +69,20 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (text_sha256)""",
+    "op8_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+            FROM w),
+        g AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS g FROM s),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT s.doc_id, len(shingles) AS n_shingles, least(s.doc_id, coalesce(min(reach.b), s.doc_id)) AS component_id
+        FROM s LEFT JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, shingles""",
 }
