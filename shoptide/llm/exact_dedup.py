@@ -12,6 +12,12 @@ from shoptide.session import ROCKSDB_PROVIDER, new_run_dir
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 LOCATOR = ["file", "row"]
+# State on the executors' disks. Without pre-allocation a store takes the disk that its keys need, not 4 MB per
+# partition at least.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -49,8 +55,9 @@ def digest_state(narrow: DataFrame, files_per_trigger: int = 16) -> DataFrame:
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), *LOCATOR)).alias("first")
     state = stream.groupBy("digest").agg(first, F.count("*").alias("group_size"))
     state = state.select("digest", F.col("first._id").alias("keep_id"), "first.file", "first.row", "group_size")
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{run}/versions/batch={number}")
@@ -60,8 +67,8 @@ def digest_state(narrow: DataFrame, files_per_trigger: int = 16) -> DataFrame:
                  .option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        if before is not None:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     versions = spark.read.schema(state.schema).parquet(f"{run}/versions/batch=*")
     # Within a key the count rises with every version and the kept identifier only falls.
     last = F.max_by(F.struct("keep_id", *LOCATOR), "group_size")

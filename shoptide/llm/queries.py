@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import exact_dedup, jaccard_join, language_id, packing, token_counts, warc
+from shoptide.llm import embedding_lsh, exact_dedup, jaccard_join, language_id, packing, quality, token_counts, warc
 from shoptide.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality(docs, labels, host=F.col("source"), path=F.concat_ws("/", "source", "lang"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -46,13 +51,19 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_lsh.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
