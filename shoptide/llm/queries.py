@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import embedding_lsh, exact_dedup, jaccard_join, language_id, packing, quality, token_counts, warc
+from shoptide.llm import embedding_lsh, exact_dedup, html_extract, jaccard_join, language_id, packing, quality, token_counts, warc
 from shoptide.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
+    "op4_html_extract": op4_html_extract,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
