@@ -33,10 +33,12 @@ def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     do not come straight from Parquet files are written to the shared folder first."""
     columns = [F.col(id_col).alias("_id"), F.col(text_col).alias("_text")]
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    try:
-        return docs.select(*columns, *place)
-    except AnalysisException:
-        return written(docs.select(*columns), "texts").select("_id", "_text", *place)
+    if docs.inputFiles():
+        try:
+            return docs.select(*columns, *place)
+        except AnalysisException:  # its rows have been through a join or an aggregation
+            pass
+    return written(docs.select(*columns), "texts").select("_id", "_text", *place)
 
 
 def digest_state(narrow: DataFrame, files_per_trigger: int = 16) -> DataFrame:
