@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import embedding_lsh, exact_dedup, html_extract, jaccard_join, language_id, packing, quality, token_counts, warc
+from shoptide.llm import embedding_lsh, exact_dedup, html_extract, jaccard_join, language_id, packing, piece_lattice, quality, token_counts, warc
 from shoptide.llm.common import table
 
 
@@ -56,6 +56,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return piece_lattice.summary(docs, piece_lattice.load(spark, public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_lsh.near_dedup(table(spark, sf_dir, "embeddings"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_piece_lattice": op9_piece_lattice,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
