@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptide.operators.keyed import SLOTS, near_keys
 from shoptide.session import new_run_dir, tune
 
 
@@ -25,21 +26,50 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of Arrow batches with about ``most`` bytes in one text column, one row at least."""
+def without(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` are not in ``gone``; null keys are in no table.
+
+    Keys of ``gone`` are hashed to a fixed number of slots. Rows of free slots pass at once; only the others are
+    shuffled for the exact anti join, so that wide rows mostly stay where they are.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+    taken = F.broadcast(gone.select(slot.alias("_slot")).distinct())
+    free = df.withColumn("_slot", slot).join(taken, "_slot", "left_anti").drop("_slot")
+    return free.unionByName(near_keys(df, gone, keys).join(gone.select(*keys), keys, "left_anti").select(*df.columns))
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
+    """Batches of rows sorted by their first ``keys`` integer columns, cut so that no run of equal keys is split,
+    each with the (start, end) of its runs. Only the run that a batch ends with is held back."""
     import numpy as np
 
+    def ready(table: pa.Table):
+        batch = table.combine_chunks().to_batches()[0]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for k in range(keys):
+            column = batch.column(k).to_numpy(zero_copy_only=False)
+            new[1:] |= column[1:] != column[:-1]
+        first = np.flatnonzero(new).tolist()
+        return batch, list(zip(first, [*first[1:], batch.num_rows], strict=True))
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.frombuffer(batch.column(column).cast(pa.string()).buffers()[1], dtype=np.int32)
-        sizes = sizes[batch.column(column).offset :][: batch.num_rows + 1].astype(np.int64)
-        start = 0
-        while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + most, side="right")) - 1)
-            end = min(end, batch.num_rows)
-            yield batch.slice(start, end - start)
-            start = end
+        same = np.ones(batch.num_rows, bool)
+        for k in range(keys):
+            column = batch.column(k).to_numpy(zero_copy_only=False)
+            same &= column == column[-1]
+        cut = int(np.argmax(same))
+        if held and (cut or any(held[-1].column(k)[-1].as_py() != batch.column(k)[-1].as_py() for k in range(keys))):
+            yield ready(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = []
+        elif cut:
+            yield ready(pa.Table.from_batches([batch.slice(0, cut)]))
+        held.append(batch.slice(cut))
+    if held:
+        yield ready(pa.Table.from_batches(held))
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

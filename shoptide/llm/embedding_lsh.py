@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import components, written
+from shoptide.llm.common import components, whole_runs, written
 
 THRESHOLD = 0.98
 # Tables, hashes that make up a bucket of a table, and buckets of each table that a vector enters.
@@ -118,42 +118,18 @@ def _compared(rows: DataFrame, dims: int, threshold: float) -> DataFrame:
     sorted_rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep").select(*names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(table: pa.Table):
-            part = table.combine_chunks().to_batches()[0]
-            key, lo, hi, own, rep, weight = (part.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-            x = _matrix(part.column(6), dims).astype(np.float64)
+        for batch, runs in whole_runs(batches, 3):
+            key, lo, hi, own, rep, weight = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            x = _matrix(batch.column(6), dims).astype(np.float64)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            keys = _matrix(part.column(7))
-            first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))))
-            for f, e in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=True):
-                if e - f > 1:
-                    s = slice(f, e)
-                    yield from zip(*bucket_links(rep[s], weight[s], x[s], keys[s], own[s], key[f], (lo[f], hi[f]), threshold), strict=True)
-
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            last = [table.column(i)[-1].as_py() for i in range(3)]
-            same = np.logical_and.reduce([table.column(i).to_numpy() == v for i, v in enumerate(last)])
-            cut = int(np.argmax(same))
-            rest = table.slice(cut)
-            if cut:
-                yield _found(done(table.slice(0, cut)))
-        if rest is not None and rest.num_rows:
-            yield _found(done(rest))
+            keys = _matrix(batch.column(7))
+            found = [bucket_links(rep[f:e], weight[f:e], x[f:e], keys[f:e], own[f:e], key[f], (lo[f], hi[f]), threshold) for f, e in runs if e - f > 1]
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rep", "links", "root"])
 
     return sorted_rows.mapInArrow(compare, "rep bigint, links bigint, root bigint")
 
 
-def _found(rows) -> pa.RecordBatch:
-    found = list(rows)
-    reps, links, roots = zip(*found, strict=True) if found else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (reps, links, roots)], ["rep", "links", "root"])
-
-
 def near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                threshold: float = THRESHOLD, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES, tile: int = TILE) -> DataFrame:
     """One row per row of ``vectors``: (id, n_links, component_id, kept).
