@@ -31,9 +31,13 @@ QUARANTINE = {
 
 def feed(spark: SparkSession, args: argparse.Namespace, source: str) -> DataFrame:
     if args.brokers:
-        return kafka.kafka_stream(spark, args.brokers, [source], args.group)
-    lines = spark.readStream.text(source)
-    return lines.select("value", F.current_timestamp().alias("timestamp"))
+        limit = {"maxOffsetsPerTrigger": str(args.per_trigger)} if args.per_trigger else {}
+        return kafka.kafka_stream(spark, args.brokers, [source], args.group, **limit)
+    lines = spark.readStream
+    if args.per_trigger:
+        lines = lines.option("maxFilesPerTrigger", args.per_trigger)
+    # A later file is newer than an earlier one, and within a file lines follow in order.
+    return lines.text(source).select("value", F.col("_metadata.file_modification_time").alias("timestamp"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def routed_output(df: DataFrame, args: argparse.Namespace) -> DataStreamWriter:
@@ -65,6 +69,10 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
             entries = decode.nested(messages, schemas.CDC_ENVELOPE)
             return routed_output(cdc.flatten(cdc.route(entries)), args)
         case "quarantine":
+            if args.record == "log":
+                return jobs.aside(logs.route(messages).filter("malformed").select(F.col("value").alias("raw")), args.table)
+            if args.record == "change":
+                return jobs.aside(decode.unparsed(messages, schemas.CDC_ENVELOPE), args.table)
             return jobs.quarantine(messages, QUARANTINE[args.record], args.table)
     raise ValueError(args.job)
 
@@ -75,12 +83,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", required=True, help="feed folder, or topic with --brokers")
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")
-    parser.add_argument("--record", choices=sorted(QUARANTINE), help="record of the quarantine job")
+    parser.add_argument("--record", choices=[*sorted(QUARANTINE), "log", "change"], help="record of the quarantine job; log and change are raw device logs and change entries")
     parser.add_argument("--table", help="folder the job writes; not used when it writes topics")
     parser.add_argument("--checkpoint", required=True, help="folder for the job's progress and state")
     parser.add_argument("--writer", default="main", help="new name for a job started over with a new checkpoint")
     parser.add_argument("--brokers", help="Kafka bootstrap servers")
     parser.add_argument("--group", help="Kafka consumer group")
+    parser.add_argument("--per-trigger", type=int, help="at most so many files, or offsets with --brokers, in a micro-batch")
     parser.add_argument("--once", action="store_true", help="stop when the feed is worked off")
     args = parser.parse_args(argv)
 

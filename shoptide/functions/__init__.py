@@ -5,6 +5,7 @@ from shoptide.functions.columns import (
     mask_phone,
     minute_of,
     money,
+    money_sum,
     percent,
     tokens,
     with_log_time,
@@ -18,6 +19,7 @@ __all__ = [
     "mask_phone",
     "minute_of",
     "money",
+    "money_sum",
     "percent",
     "tokens",
     "with_log_time",

@@ -66,11 +66,23 @@ def age_at(birthday: str | Column, as_of: str | Column) -> Column:
 
 
 def money(amount: str | Column) -> Column:
-    """Cents-exact amount: sums of it do not depend on the order of the rows."""
+    """Amount in cents, rounded."""
     col = F.col(amount) if isinstance(amount, str) else amount
     return col.cast("decimal(18,2)")
 
 
+def money_sum(amount: str | Column) -> Column:
+    """Sum of amounts, rounded to cents once at the end.
+
+    Amounts are summed as decimals, so the result does not depend on the order of the rows; one too large
+    for that makes the sum a plain sum of doubles.
+    """
+    col = F.col(amount) if isinstance(amount, str) else amount
+    exact = F.sum(col.try_cast("decimal(28,10)"))
+    whole = F.count(col) == F.count(col.try_cast("decimal(28,10)"))
+    return F.when(whole, F.round(exact, 2).cast("double")).otherwise(F.round(F.sum(col.cast("double")), 2))
+
+
 def percent(part: Column, total: Column) -> Column:
     """Share in percent, rounded half up to one decimal; 0 when there is no total."""
     rounded = F.floor(part * F.lit(1000.0) / F.nullif(total, F.lit(0)) + F.lit(0.5)) / F.lit(10.0)

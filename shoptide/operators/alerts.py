@@ -137,9 +137,10 @@ def _log_entry(tie: str | None) -> Column:
 def coupon_alerts(events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3, tie: str | None = None) -> DataFrame:
     """Alert documents (doc_id, mid, uids, item_ids, events, ts, dt) of a table of events.
 
-    A missing account counts as an account, and stays in ``uids`` as a null. Events without a
-    device belong to none and raise no alert.
+    A missing account counts as an account, and stays in ``uids`` as a null. A missing ``ts`` counts as 0.
+    Events without a device belong to none and raise no alert.
     """
+    events = events.withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
     alerts = last_of_minute(flagged_windows(event_facts(events, slide_ms), size_ms, slide_ms, accounts))
     took = F.col("evid") == COUPON
     none = F.array()
@@ -153,29 +154,29 @@ def coupon_alerts(events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_0
     return _documents(alerts, rows, size_ms)
 
 
-def pane_state(events: DataFrame, event_time: str, slide: str = "5 seconds", lateness: str = "10 minutes", tie: str | None = None) -> DataFrame:
-    """Streaming form, part one, for update mode: one row per device and pane.
+def pane_rows(events: DataFrame, slide_ms: int = 5_000, tie: str | None = None) -> DataFrame:
+    """What one micro-batch adds to the panes: a row per device and pane with its accounts, items, clicks and events.
 
-    The state holds each event once, not once per window, and forgets panes older than
-    ``lateness``. A click that arrives late changes its pane, and so withdraws the alerts of the
-    windows over it the next time they are read.
+    A pane may get rows from many batches, in any order and however late; readers take them together. A click
+    that arrives late withdraws the alerts of the windows over it. A missing ``ts`` counts as 0.
     """
     took = F.col("evid") == COUPON
+    at = F.coalesce("ts", F.lit(0).cast("bigint"))
     return (
-        events.withWatermark(event_time, lateness)
-        .groupBy("mid", F.window(event_time, slide).alias("w"))
+        events.withColumn("ts", at)
+        .groupBy("mid", _floor_to(F.col("ts"), slide_ms).alias("pane"))
         .agg(
             F.collect_set(F.when(took, F.struct("uid"))).alias("uids"),
             F.collect_set(F.when(took, F.struct("itemid"))).alias("items"),
-            F.bool_or(F.col("evid") == CLICK).alias("clicked"),
+            F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("clicked"),
             F.collect_list(_log_entry(tie)).alias("log"),
         )
-        .select("mid", F.unix_millis("w.start").alias("pane"), "uids", "items", "clicked", "log", F.date_format("w.start", "yyyy-MM-dd").alias("dt"))
+        .withColumn("dt", F.date_format(F.timestamp_millis("pane"), "yyyy-MM-dd"))
     )
 
 
 def pane_alerts(panes: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3) -> DataFrame:
-    """Streaming form, part two: alert documents from the stored panes; equals the batch form."""
+    """Streaming form, part two: alert documents from all stored pane rows; equals the batch form."""
     took = panes.select("mid", "pane", F.lit(False).alias("clicked"), F.explode("uids").alias("u"))
     clicks = panes.filter("clicked").select("mid", "pane", "clicked", F.lit(None).cast("string").alias("uid"))
     facts = took.select("mid", "pane", "clicked", "u.uid").unionByName(clicks)

@@ -21,33 +21,6 @@ def first_per_day(logs: DataFrame, tie: str | None = None) -> DataFrame:
     return first_per_key(logs, DEVICE_DAY, order)
 
 
-def first_per_day_state(logs: DataFrame, event_time: str, lateness: str = "2 days", tie: str | None = None) -> DataFrame:
-    """Streaming form of :func:`first_per_day`, for update mode.
-
-    The state holds one row per device and day. The watermark is set on the day itself, so days
-    older than ``lateness`` leave the state. A device-day comes out when its first log arrives,
-    and again only if an earlier log follows; the keyed sink keeps the smallest.
-    """
-    order = F.struct("ts", tie) if tie else F.struct("ts")
-    fields = [c for c in logs.columns if c not in DEVICE_DAY]
-    # The clock stands still within a micro-batch, so it tells the batch a log came with.
-    return (
-        logs.withColumns({"day_start": F.date_trunc("day", F.col(event_time)), "came": F.current_timestamp()})
-        .withWatermark("day_start", lateness)
-        .groupBy(*DEVICE_DAY, "day_start")
-        .agg(F.min_by(F.struct(*fields, "came"), order).alias("first"))
-        .filter(F.col("first.came") == F.current_timestamp())
-        .select(*DEVICE_DAY, *[F.col(f"first.{c}") for c in fields])
-    )
-
-
-def first_arrivals(logs: DataFrame, event_time: str, lateness: str = "2 days") -> DataFrame:
-    """Streaming form with the least delay, for append mode: the log that *arrives* first for each
-    device and day, which need not be the earliest. Comes out once and is never corrected."""
-    days = logs.withColumn("day_start", F.date_trunc("day", F.col(event_time)))
-    return days.withWatermark("day_start", lateness).dropDuplicatesWithinWatermark(DEVICE_DAY).drop("day_start")
-
-
 def stage_counts(logs: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows before de-duplication, after the seen-set filter and after first-per-day.
 

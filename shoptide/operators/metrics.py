@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.functions import money, percent, with_log_time
+from shoptide.functions import money_sum, percent, with_log_time
 from shoptide.sources.tables import on_dates
 
 
@@ -21,7 +21,7 @@ def dau_hours(dau: DataFrame, *dates: str) -> DataFrame:
 
 def gmv_total(orders: DataFrame, date: str) -> DataFrame:
     """One row (value): order amount of ``date``, null when there is no order."""
-    return on_dates(orders, "create_date", date).agg(F.sum(money("total_amount")).cast("double").alias("value"))
+    return on_dates(orders, "create_date", date).agg(money_sum("total_amount").alias("value"))
 
 
 def gmv_hours(orders: DataFrame, *dates: str) -> DataFrame:
@@ -29,7 +29,7 @@ def gmv_hours(orders: DataFrame, *dates: str) -> DataFrame:
     return (
         on_dates(orders, "create_date", *dates)
         .groupBy("create_date", F.col("create_hour").alias("hour"))
-        .agg(F.sum(money("total_amount")).cast("double").alias("value"))
+        .agg(money_sum("total_amount").alias("value"))
     )
 
 
@@ -60,7 +60,7 @@ def new_mid_hours(logs: DataFrame, *dates: str) -> DataFrame:
 def sales_by_province(orders: DataFrame) -> DataFrame:
     """(province_id, orders, amount)."""
     return orders.groupBy("province_id").agg(
-        F.count("*").alias("orders"), F.sum(money("total_amount")).cast("double").alias("amount")
+        F.count("*").alias("orders"), money_sum("total_amount").alias("amount")
     )
 
 
@@ -109,5 +109,5 @@ def observed_sum(df: DataFrame, column: str) -> tuple[DataFrame, Observation]:
     The observation holds the sum of the first action on the result; later actions do not add.
     """
     seen = Observation("observed_sum")
-    watched = df.observe(seen, F.sum(money(column)).cast("double").alias("total"))
+    watched = df.observe(seen, money_sum(column).alias("total"))
     return watched.withColumn(column, F.col(column) * 2), seen

@@ -71,13 +71,14 @@ def device_messages(events: DataFrame) -> DataFrame:
     """(value, stamp): device logs before intake. Sign-ups count as start-ups, errors have no type."""
     kind = F.when(F.col("event_type") == "signup", "startup").otherwise("event")
     typed = F.when(F.col("event_type") == "error", "").otherwise(F.concat(F.lit('"type":"'), kind, F.lit('",')))
-    value = F.concat(F.lit('{"mid":"'), text("user_id"), F.lit('",'), typed, F.lit('"ts":1,"body":'), F.col("props"), F.lit("}"))
+    value = F.concat(F.lit('{"mid":"'), text("user_id"), F.lit('",'), typed, F.lit('"ts":1,"price":1.50,"serial":123456789012345678901234567890,"body":'), F.col("props"), F.lit("}"))
     return events.select(value.alias("value"), _ms("ts").alias("stamp"))
 
 
 def json_messages(df: DataFrame, *columns: str) -> DataFrame:
-    """(value, timestamp) messages holding ``columns``."""
-    return df.select(F.to_json(F.struct(*columns)).alias("value"), "timestamp")
+    """(value, timestamp) messages holding ``columns``, with the ``offset`` if there is one."""
+    place = ["offset"] if "offset" in df.columns else []
+    return df.select(F.to_json(F.struct(*columns)).alias("value"), "timestamp", *place)
 
 
 def phone(key: str) -> Column:
@@ -167,7 +168,8 @@ def user_changes(customer: DataFrame) -> DataFrame:
 
 
 def change_feed(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Change-feed entries (table, event_type, rows); a user entry carries two rows."""
+    """Change-feed entries (table, event_type, entry_type, rows); a user entry carries two rows. Every fifth order has an
+    entry that carries no row data."""
 
     def kind(key: str) -> Column:
         return F.element_at(F.array(F.lit("INSERT"), F.lit("UPDATE"), F.lit("DELETE")), (F.col(key) % 3 + 1).cast("int"))
@@ -176,7 +178,8 @@ def change_feed(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
         return F.create_map(*[x for name, value in fields.items() for x in (F.lit(name), value)])
 
     def entry(df: DataFrame, table: str, event_type: Column, *rows: Column) -> DataFrame:
-        return df.select(F.lit(table).alias("table"), event_type.alias("event_type"), F.array(*rows).alias("rows"))
+        entry_type = F.when(F.col(df.columns[0]) % 5 == 0, "TRANSACTIONEND").otherwise("ROWDATA") if table == "order_info" else F.lit("ROWDATA")
+        return df.select(F.lit(table).alias("table"), event_type.alias("event_type"), entry_type.alias("entry_type"), F.array(*rows).alias("rows"))
 
     order_row = row(id=text("o_orderkey"), user_id=text("o_custkey"), total_amount=text(money("o_totalprice")))
     item_row = row(

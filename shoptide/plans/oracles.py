@@ -78,7 +78,7 @@ FEED = """feed AS (
   SELECT 'order_info' AS tbl, o_orderkey % 3 AS k, CAST(o_orderkey AS VARCHAR) AS row_id, 1 AS n_rows,
          ['{"id":"' || o_orderkey || '","user_id":"' || o_custkey || '","total_amount":"'
           || CAST(o_totalprice AS DECIMAL(18,2)) || '"}'] AS msgs
-  FROM orders
+  FROM orders WHERE o_orderkey % 5 <> 0
   UNION ALL
   SELECT 'order_detail', l_orderkey % 3, l_orderkey || '-' || l_linenumber, 1,
          ['{"id":"' || l_orderkey || '-' || l_linenumber || '","order_id":"' || l_orderkey || '","sku_id":"' || l_partkey
@@ -99,7 +99,7 @@ DEVICE = """device AS (
   SELECT CASE WHEN event_type = 'signup' THEN 'startup_log' ELSE 'event_log' END AS topic,
          '{"mid":"' || user_id || '",'
          || CASE event_type WHEN 'signup' THEN '"type":"startup",' WHEN 'error' THEN '' ELSE '"type":"event",' END
-         || '"body":' || replace(props, ' ', '') || ',"ts":' || epoch_us(ts) // 1000 || '}' AS value,
+         || '"price":1.50,"serial":123456789012345678901234567890,"body":' || props || ',"ts":' || epoch_us(ts) // 1000 || '}' AS value,
          strftime(ts, '%Y-%m-%d') AS log_date
   FROM events)"""
 

@@ -315,7 +315,7 @@ def _with_event_id(schema: T.StructType) -> T.StructType:
 @query("dau_stream")
 def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "dau")
-    rows = bind.startup_logs(tables.stream(spark, sf, "events")).withColumn("timestamp", epoch_ms("ts"))
+    rows = bind.startup_logs(tables.replay(spark, sf, "events", f"{run}/feed")).withColumn("timestamp", epoch_ms("ts"))
     messages = bind.json_messages(rows, "mid", "uid", "ts", "event_id")
     schema = _with_event_id(schemas.STARTUP_LOG)
     table = jobs.dau_table(f"{run}/table", schema, "event_id")
@@ -326,10 +326,10 @@ def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("coupon_alert_stream")
 def coupon_alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "alerts")
-    rows = bind.event_logs(tables.stream(spark, sf, "events")).withColumn("timestamp", epoch_ms("ts"))
+    rows = bind.event_logs(tables.replay(spark, sf, "events", f"{run}/feed")).withColumn("timestamp", epoch_ms("ts"))
     messages = bind.json_messages(rows, "mid", "uid", "evid", "itemid", "ts", "event_id")
     table = jobs.pane_table(f"{run}/table")
-    writer = jobs.coupon_panes(messages, table, "1 hour", schema=_with_event_id(schemas.EVENT_LOG), tie="event_id")
+    writer = jobs.coupon_panes(messages, table, HOUR_MS, schema=_with_event_id(schemas.EVENT_LOG), tie="event_id")
     jobs.run_to_end(spark, writer, f"{run}/checkpoint")
     return _alert_rows(alerts.pane_alerts(table.read(spark), **ALERT))
 
@@ -346,7 +346,8 @@ def _detail_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _user_table(spark: SparkSession, changes: DataFrame, run: str) -> sinks.KeyedTable:
-    stamped = changes.withColumn("timestamp", F.timestamp_seconds("version"))
+    # All versions arrive at the same time; only their place in the feed tells which came last.
+    stamped = changes.withColumns({"timestamp": F.timestamp_seconds(F.lit(1)), "offset": F.col("version").cast("bigint")})
     messages = bind.json_messages(stamped, "id", "login_name", "user_level", "birthday", "gender")
     table = jobs.user_table(f"{run}/users")
     jobs.run_to_end(spark, jobs.users(messages, table), f"{run}/users-checkpoint")
@@ -357,7 +358,7 @@ def _user_table(spark: SparkSession, changes: DataFrame, run: str) -> sinks.Keye
 def user_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "users")
     changes = bind.user_changes(tables.stream(spark, sf, "customer"))
-    return _user_table(spark, changes, run).read(spark).drop("seen_at")
+    return _user_table(spark, changes, run).read(spark).drop("seen_at", "partition", "offset")
 
 
 @query("gmv_stream")

@@ -48,6 +48,8 @@ CDC_ENVELOPE = T.StructType(
     [
         T.StructField("table", T.StringType()),
         T.StructField("event_type", T.StringType()),
+        # Only ROWDATA entries carry rows; an entry without the field counts as one.
+        T.StructField("entry_type", T.StringType()),
         T.StructField("rows", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
     ]
 )

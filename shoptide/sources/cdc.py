@@ -19,7 +19,7 @@ def route(envelopes: DataFrame, routes: dict[str, tuple[str, tuple[str, ...]]] =
     """Add ``topic``; drop changes no route wants and entries that carry no rows."""
     kept = envelopes
     if "entry_type" in envelopes.columns:
-        kept = kept.filter(F.col("entry_type") == "ROWDATA")
+        kept = kept.filter(F.coalesce("entry_type", F.lit("ROWDATA")) == "ROWDATA")
     topic = F.lit(None).cast("string")
     for table, (name, kinds) in routes.items():
         wanted = (F.col("table") == table) & F.col("event_type").isin(*kinds)

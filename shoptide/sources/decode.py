@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,19 @@ def quarantine(df: DataFrame) -> DataFrame:
 
 
 def nested(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Columns of a schema that is not flat; messages that do not parse are left out."""
-    parsed = df.select(F.from_json(F.col(value).cast("string"), schema).alias("p"))
+    """Columns of a schema that is not flat; messages that do not parse are left out, see :func:`unparsed`."""
+    parsed = df.select(_nested(schema, value).alias("p"))
     return parsed.filter(F.col("p").isNotNull()).select("p.*")
+
+
+def unparsed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """(raw): the messages that :func:`nested` leaves out."""
+    return df.filter(_nested(schema, value).isNull()).select(F.col(value).cast("string").alias(RAW))
+
+
+def _nested(schema: T.StructType, value: str) -> Column:
+    """The parsed message; null where it is no JSON object or a field does not have its type."""
+    corrupt = "_corrupt"
+    parsed = F.from_json(F.col(value).cast("string"), T.StructType([*schema, T.StructField(corrupt, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    fields = F.struct(*[parsed[f.name].alias(f.name) for f in schema])
+    return F.when(F.col(value).isNotNull() & (F.trim(F.col(value).cast("string")) != "") & parsed[corrupt].isNull(), fields)

@@ -24,11 +24,12 @@ def kafka_options(brokers: str, topics: Iterable[str], group_id: str | None = No
 def kafka_stream(
     spark: SparkSession, brokers: str, topics: Iterable[str], group_id: str | None = None, **extra: str
 ) -> DataFrame:
-    """Stream of (topic, value text, timestamp)."""
+    """Stream of (topic, value text, timestamp, partition, offset)."""
     reader = spark.readStream.format("kafka").options(**kafka_options(brokers, topics, group_id, **extra))
     return message_values(reader.load())
 
 
 def message_values(df: DataFrame) -> DataFrame:
-    """The message text and its arrival time."""
-    return df.select("topic", F.col("value").cast("string").alias("value"), "timestamp")
+    """The message text, its arrival time, and its place in the topic."""
+    place = [c for c in ("partition", "offset") if c in df.columns]
+    return df.select("topic", F.col("value").cast("string").alias("value"), "timestamp", *place)

@@ -9,6 +9,11 @@ from shoptide import schemas
 from shoptide.functions import epoch_ms
 
 
+# A member "ts" with a plain value.
+TS_NAME = r'"ts"\s*:'
+TS_MEMBER = r'"ts"\s*:\s*(-?[0-9][0-9.eE+-]*|"[^"\\]*"|null|true|false)\s*,?\s*'
+
+
 def route(
     df: DataFrame,
     stamp: Column | None = None,
@@ -23,16 +28,22 @@ def route(
     keeps its value, without a topic.
     """
     at = F.unix_millis(F.current_timestamp()) if stamp is None else stamp
-    # Variant values keep numbers, booleans and nested objects as they were sent.
     fields = F.expr(f"from_json({value}, 'map<string,variant>')")
     parsed = df.select(F.col(value).alias("sent"), at.cast("bigint").alias("ts"), fields.alias("m"))
     parsed = parsed.withColumn("others", F.to_json(F.expr("map_filter(m, (k, v) -> k <> 'ts')")))
-    # Appended as text: building a map would fail on a log that repeats a key.
-    others = F.col("others")
-    body = F.when(others == "{}", "{").otherwise(F.concat(F.substr(others, F.lit(1), F.length(others) - 1), F.lit(",")))
+    # The text is kept as it was sent, numbers and all. Only a log with several members of that name is written anew
+    # from its parsed fields, where 1.50 becomes 1.5.
+    found = F.regexp_count("sent", F.lit(TS_NAME))
+    has = F.expr("map_contains_key(m, 'ts')")
+    text = F.trim("sent")
+    without = F.regexp_replace(F.regexp_replace(text, TS_MEMBER, ""), r",\s*\}$", "}")
+    plain = F.when(found == 0, text).when(has & (found == 1) & text.rlike(TS_MEMBER), without)
+    others = F.coalesce(plain, F.col("others"))
+    inner = F.rtrim(F.substr(others, F.lit(1), F.length(others) - 1))
+    body = F.when(F.regexp_like(others, F.lit(r"^\{\s*\}$")), "{").otherwise(F.concat(inner, F.lit(",")))
     stamped = F.concat(body, F.lit('"ts":'), F.col("ts").cast("string"), F.lit("}"))
     kind = F.get_json_object("sent", "$.type")
-    bad = others.isNull()
+    bad = F.col("others").isNull()
     topic = F.when(kind.eqNullSafe(F.lit("startup")), F.lit(startup_topic)).otherwise(F.lit(event_topic))
     return parsed.select(
         F.when(~bad, topic).alias("topic"),

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import schemas
-from shoptide.functions import epoch_ms, mask_phone, with_log_time, with_order_time
+from shoptide.functions import mask_phone, with_log_time, with_order_time
 from shoptide.operators import alerts, dedup, sale_detail
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
 from shoptide.sources.decode import decoded
+from shoptide.sources.tables import upper_columns
 from shoptide.streaming import sinks
 from shoptide.streaming.sinks import KeyedTable
 
@@ -40,6 +41,34 @@ def order_rows(messages: DataFrame, *keep: str) -> DataFrame:
     return rows.withColumn("consignee_tel", mask_phone("consignee_tel"))
 
 
+# Where a message stood: arrival time, partition and offset in it. For lines of files (with ``block``, the place of the
+# file's part that is read) the offset is counted when a micro-batch is written.
+POSITION = [T.StructField("seen_at", T.TimestampType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+
+
+BLOCK = T.StructField("block", T.LongType())
+PLACE = [*[f.name for f in POSITION], BLOCK.name]
+
+
+def numbered(batch: DataFrame) -> DataFrame:
+    """A micro-batch whose lines of files have an offset: rows of a task follow each other as in the file."""
+    line = F.col("block") + F.monotonically_increasing_id() % (1 << 33)
+    return batch.withColumn("offset", F.coalesce("offset", line))
+
+
+def with_position(messages: DataFrame) -> DataFrame:
+    named = messages.withColumnRenamed("timestamp", "seen_at")
+    for field in [*POSITION[1:], BLOCK]:
+        if field.name not in named.columns:
+            named = named.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return named
+
+
+def _last_sent() -> list[Column]:
+    """Best first. A key keeps to its partition, where offsets rise; between partitions the arrival decides."""
+    return [F.col(c).desc_nulls_last() for c in ("seen_at", "offset", "partition")]
+
+
 # --- daily active devices -------------------------------------------------------------------
 
 
@@ -49,22 +78,30 @@ def dau_table(path: str, schema: T.StructType = schemas.STARTUP_LOG, tie: str |
     return KeyedTable(path, columns, ["MID", "LOG_DATE"], "LOG_DATE", order, writer)
 
 
-def dau(messages: DataFrame, table: KeyedTable, schema: T.StructType = schemas.STARTUP_LOG, tie: str | None = None, lateness: str = "2 days") -> DataStreamWriter:
-    logs = startup_rows(messages, schema).withColumn("event_time", epoch_ms("ts"))
-    first = dedup.first_per_day_state(logs, "event_time", lateness, tie).drop("event_time")
-    return sinks.upsert_table(first, table).outputMode("update")
+def dau(messages: DataFrame, table: KeyedTable, schema: T.StructType = schemas.STARTUP_LOG, tie: str | None = None) -> DataStreamWriter:
+    """Each batch adds its first log per device and day; the table keeps the first of all batches. There is no
+    state and no lateness: a log that comes days late, or has no ``ts``, still counts."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            table.add(upper_columns(dedup.first_per_day(batch, tie)), batch_id)
+
+    logs = startup_rows(messages, schema).withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
+    return with_log_time(logs).writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- order amount ---------------------------------------------------------------------------
 
 
 def order_table(path: str, writer: str = "main") -> KeyedTable:
-    columns = _upper(_string_fields(schemas.ORDER_INFO, "create_date", "create_hour"))
-    return KeyedTable(path, columns, ["ID"], "CREATE_DATE", [], writer)
+    columns = _upper(T.StructType([*_string_fields(schemas.ORDER_INFO, "create_date", "create_hour"), *POSITION]))
+    order = [F.col(c).desc_nulls_last() for c in ("SEEN_AT", "OFFSET", "PARTITION", *[f.name.upper() for f in schemas.ORDER_INFO])]
+    return KeyedTable(path, columns, ["ID"], "CREATE_DATE", order, writer)
 
 
 def gmv(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
-    return sinks.upsert_table(order_rows(messages), table).outputMode("append")
+    rows = order_rows(with_position(messages), *PLACE)
+    return rows.writeStream.foreachBatch(lambda batch, batch_id: table.add(upper_columns(numbered(batch)), batch_id)).outputMode("append")
 
 
 # --- coupon alerts --------------------------------------------------------------------------
@@ -82,39 +119,45 @@ PANE_SCHEMA = (
     .add("clicked", T.BooleanType())
     .add("log", _structs(ts=T.LongType(), tie=T.LongType(), evid=T.StringType()))
     .add("dt", T.StringType())
+    .add("part", T.StringType())
 )
 
 
 def pane_table(path: str, writer: str = "main") -> KeyedTable:
-    return KeyedTable(path, PANE_SCHEMA, ["mid", "pane"], "dt", [], writer)
+    """Rows of panes; a pane has a row of each batch that brought something for it, so no batch replaces another's."""
+    return KeyedTable(path, PANE_SCHEMA, ["mid", "pane", "part"], "dt", [], writer)
 
 
 def coupon_panes(
     messages: DataFrame,
     table: KeyedTable,
-    slide: str = BATCH_INTERVAL,
-    lateness: str = "10 minutes",
+    slide_ms: int = 5_000,
     schema: T.StructType = schemas.EVENT_LOG,
     tie: str | None = None,
 ) -> DataStreamWriter:
-    """Read the alerts with ``alerts.pane_alerts(table.read(spark), ...)``."""
-    events = decoded(decode.decode(messages, schema)).withColumn("event_time", epoch_ms("ts"))
-    panes = alerts.pane_state(events, "event_time", slide, lateness, tie)
-    return panes.writeStream.foreachBatch(table.add).outputMode("update")
+    """Each batch adds its share of the panes. Read the alerts with ``alerts.pane_alerts(table.read(spark), ...)``."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            rows = alerts.pane_rows(batch, slide_ms, tie)
+            table.add(rows.withColumn("part", F.lit(f"{table.writer}:{batch_id}")), batch_id)
+
+    return decoded(decode.decode(messages, schema)).writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- users ----------------------------------------------------------------------------------
 
 
 def user_table(path: str, writer: str = "main") -> KeyedTable:
-    columns = T.StructType([*schemas.USER_INFO, T.StructField("seen_at", T.TimestampType())])
-    return KeyedTable(path, columns, ["id"], None, [F.col("seen_at").desc()], writer)
+    columns = T.StructType([*schemas.USER_INFO, *POSITION])
+    return KeyedTable(path, columns, ["id"], None, _last_sent() + [F.col(f.name).desc_nulls_last() for f in schemas.USER_INFO], writer)
 
 
 def users(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
-    """Keep the latest message of each user; there is no expiry."""
-    rows = decoded(decode.decode(messages, schemas.USER_INFO, keep=("timestamp",))).withColumnRenamed("timestamp", "seen_at")
-    return rows.writeStream.foreachBatch(table.add).outputMode("append")
+    """Keep the last message of each user, by arrival and then by place in the feed; there is no expiry."""
+    placed = with_position(messages)
+    rows = decoded(decode.decode(placed, schemas.USER_INFO, keep=tuple(PLACE)))
+    return rows.writeStream.foreachBatch(lambda batch, batch_id: table.add(numbered(batch), batch_id)).outputMode("append")
 
 
 # --- sale detail ----------------------------------------------------------------------------
@@ -161,8 +204,12 @@ def sale_details(
 def quarantine(messages: DataFrame, schema: T.StructType, path: str) -> DataStreamWriter:
     """Messages the jobs leave out, as text in ``path``."""
     patterns = schemas.ORDER_INFO_PATTERNS if schema == schemas.ORDER_INFO else None
-    bad = decode.quarantine(decode.decode(messages, schema, patterns=patterns))
-    return bad.filter(F.col("raw").isNotNull()).writeStream.format("text").option("path", path)
+    return aside(decode.quarantine(decode.decode(messages, schema, patterns=patterns)), path)
+
+
+def aside(raw: DataFrame, path: str) -> DataStreamWriter:
+    """Raw messages (raw) as lines of text; a message without any text is an empty line."""
+    return raw.select(F.coalesce("raw", F.lit("")).alias("value")).writeStream.format("text").option("path", path)
 
 
 # --- running --------------------------------------------------------------------------------

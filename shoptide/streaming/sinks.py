@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,16 +44,17 @@ class KeyedTable:
         self._write(batch.select(*self.schema.fieldNames()).withColumn("written_at", F.current_timestamp()), batch_id)
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
-        target = f"{self.path}/writer={self.writer}/batch={batch_id}"
+        rows = rows.withColumns({"writer": F.lit(self.writer), "batch": F.lit(batch_id).cast("bigint")})
         # Rebalancing writes few files per day without putting a large day into one task.
         near = [c for c in (self.partition_by or self.cluster_by,) if c]
         with adaptive(rows.sparkSession):
             out = rows.hint("rebalance", *near)
-            if self.partition_by:
-                out.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
-            else:
-                out = out.sortWithinPartitions(*near) if near else out
-                out.write.mode("overwrite").parquet(target)
+            if near and not self.partition_by:
+                out = out.sortWithinPartitions(*near)
+            # The day comes before the batch, so that a reader of a day lists that day's folders only. Only the
+            # folders of this batch are replaced.
+            folders = [c for c in (self.partition_by, "writer", "batch") if c]
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(self.path)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every row written, with ``written_at``, ``writer`` and ``batch``."""
@@ -60,8 +62,17 @@ class KeyedTable:
         full = T.StructType(columns).add("written_at", T.TimestampType()).add("writer", T.StringType()).add("batch", T.LongType())
         if self.partition_by:
             full = full.add(self.schema[self.partition_by])
+        if not self._exists(spark):
+            return spark.createDataFrame([], full)
         return spark.read.schema(full).option("basePath", self.path).parquet(self.path)
 
+    def _exists(self, spark: SparkSession) -> bool:
+        """A table that no batch has been written to yet reads as empty."""
+        try:
+            return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.path).select("path").limit(1).count())
+        except AnalysisException:
+            return False
+
     def read(self, spark: SparkSession, only: DataFrame | None = None) -> DataFrame:
         """One row per key. A filter on the partition column prunes folders.
 

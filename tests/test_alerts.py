@@ -100,7 +100,8 @@ def test_stored_panes_give_the_same_alerts(spark):
     rng = random.Random(5)
     rows = [(f"m{rng.randrange(3)}", rng.choice("abcd"), "i", rng.choice(["coupon"] * 9 + ["clickItem"]), rng.randrange(0, 60 * MIN)) for _ in range(150)]
     df = events(spark, *rows)
-    panes = alerts.pane_state(df.withColumn("at", F.timestamp_millis("ts")), "at", "5 seconds", tie="seq")
+    # Two micro-batches bring parts of the same panes.
+    panes = alerts.pane_rows(df.filter("seq % 2 = 0"), tie="seq").unionByName(alerts.pane_rows(df.filter("seq % 2 = 1"), tie="seq"))
     stored = {r.doc_id: r for r in alerts.pane_alerts(panes).collect()}
     assert stored == {r.doc_id: r for r in alerts.coupon_alerts(df, tie="seq").collect()}
     assert stored

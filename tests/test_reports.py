@@ -189,3 +189,16 @@ def test_fold_equals_the_fold_of_every_value(spark, groups, zero, pick):
 def test_fold_refuses_other_picks(spark):
     with pytest.raises(ValueError, match="pick"):
         text.fold_lengths(spark.range(1).withColumn("v", F.lit("")), "id", "id", "v", pick="sum")
+
+
+def test_sums_round_once_and_take_large_amounts(spark):
+    from shoptide.functions import money_sum
+
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(money_sum("v").alias("s")).first().s
+
+    assert total(*[0.005] * 1000) == 5.0
+    assert total(*[1 / 3] * 3) == 1.0
+    assert total(1e17, 0.25) == 1e17 + 0.25
+    assert total(1e30, 1.0) == 1e30
+    assert total(None) is None

@@ -5,6 +5,7 @@ import json
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoptide import schemas
 from shoptide.sources import cdc, decode, kafka, logs, tables
@@ -44,7 +45,7 @@ def test_decode_reads_numbers_as_text_and_keeps_columns(spark):
 
 
 def feed(spark, *entries):
-    return spark.createDataFrame(entries, schemas.CDC_ENVELOPE)
+    return spark.createDataFrame(entries, T.StructType([f for f in schemas.CDC_ENVELOPE if f.name != "entry_type"]))
 
 
 def test_cdc_routes(spark):
@@ -155,3 +156,15 @@ def test_table_replay_reads_files_and_folders(spark, tmp_path, folder):
     query = tables.stream(spark, str(tmp_path), "t").writeStream.format("memory").queryName(f"replay_{folder}").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table(f"replay_{folder}").count() == 10
+
+
+def test_logs_keep_numbers_as_sent(spark):
+    sent = ('{"mid":"m","price":1.50,"big":' + "9" * 50 + ',"ts":12,"e":1e3}', '{"ts": "x"}', '{ "a" : 1 }', '{"a":{"ts":1},"ts":2}')
+    got = [r.value for r in logs.route(values(spark, *sent), F.lit(7)).collect()]
+    assert got == ['{"mid":"m","price":1.50,"big":' + "9" * 50 + ',"e":1e3,"ts":7}', '{"ts":7}', '{ "a" : 1,"ts":7}', '{"a":{"ts":1},"ts":7}']
+
+
+def test_change_entries_that_do_not_parse_are_told_apart(spark):
+    df = values(spark, '{"table":"user_info","event_type":"INSERT","rows":[{"id":"1"}]}', "nope", "")
+    assert decode.nested(df, schemas.CDC_ENVELOPE).count() == 1
+    assert sorted(r.raw for r in decode.unparsed(df, schemas.CDC_ENVELOPE).collect()) == ["", "nope"]

@@ -13,6 +13,7 @@ from shoptide import schemas
 from shoptide.functions import with_log_time
 from shoptide.operators import alerts, dedup
 from shoptide.sources import decode, logs
+from shoptide.sources.tables import upper_columns
 from shoptide.streaming import jobs, sinks
 
 DAY = 86_400_000
@@ -68,19 +69,18 @@ def test_dau_goes_on_from_its_checkpoint(spark, messages, tmp_path):
     feed.send(start_log("m1", START + 70), start_log("m2", START + DAY))
     run(spark, jobs.dau(feed.stream(), table), tmp_path)
     assert rows_of(table.read(spark), "mid", "ts") == [("m1", START + 50), ("m2", START), ("m2", START + DAY)]
-    # The state knew m1: the second run had nothing to write for it.
-    assert table.versions(spark).filter("MID = 'm1'").count() == 1
 
 
-def test_days_leave_the_state(spark, messages, tmp_path):
+def test_late_and_timeless_logs_count(spark, messages, tmp_path):
     feed = messages("start")
-    for day in range(6):
+    for day in range(5):
         feed.send(start_log("m1", START + day * DAY))
+    feed.send(start_log("late", START + 7))
+    feed.send(({"mid": "nots", "uid": "u", "type": "startup"}, 0))
     table = jobs.dau_table(str(tmp_path / "dau"))
-    query = jobs.dau(feed.stream(), table).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert table.read(spark).count() == 6
-    assert query.lastProgress.stateOperators[0].numRowsTotal <= 3
+    run(spark, jobs.dau(feed.stream(), table), tmp_path)
+    got = rows_of(table.read(spark), "MID", "LOG_DATE")
+    assert ("late", "2024-01-15") in got and ("nots", "1970-01-01") in got and len(got) == 7
 
 
 def event(mid, uid, evid, at, seq, item="1"):
@@ -259,7 +259,7 @@ def test_outputs_leave_the_stream_session_as_it_was(spark, tmp_path, messages):
     table = jobs.dau_table(str(tmp_path / "dau"))
 
     def spy(batch, batch_id):
-        table.add(batch, batch_id)
+        table.add(upper_columns(batch), batch_id)
         seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
 
     writer = jobs.dau(feed.stream(), table).foreachBatch(sinks.split_outputs(spy))
@@ -349,14 +349,53 @@ def test_reports_from_stored_tables(spark, tmp_path, messages, capsys):
     assert ask("sales", "--keyword", "nothing")["total"] == 0
 
 
-def test_first_arrivals(spark, messages, tmp_path):
-    feed = messages("start")
-    feed.send(start_log("m1", START + 500))
-    feed.send(start_log("m1", START + 100), start_log("m2", START + 7))
-    rows = jobs.startup_rows(feed.stream()).withColumn("at", F.timestamp_millis("ts"))
-    out = dedup.first_arrivals(rows, "at").select("mid", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out"))
-    run(spark, out, tmp_path)
-    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == [("m1", START + 500), ("m2", START + 7)]
+def test_coupon_and_click_that_come_days_late(spark, messages, tmp_path):
+    feed = messages("events")
+    feed.send(event("m", "a", "coupon", 0, 0), event("m", "b", "coupon", 1000, 1))
+    feed.send(event("x", "z", "coupon", 9 * DAY, 2))
+    feed.send(event("m", "c", "coupon", 2000, 3))
+    assert stream_alerts(spark, feed, tmp_path).count() == 6
+    feed.send(event("m", "a", "clickItem", 500, 4))
+    assert stream_alerts(spark, feed, tmp_path).count() == 0
+
+
+def test_of_two_versions_sent_at_once_the_later_stays(spark, tmp_path):
+    lines = [m for i in range(40) for m in (user(f"u{i:02d}", 0, "9")[0], user(f"u{i:02d}", 0, "1")[0])]
+    run_job(tmp_path, "users", feed_folder(tmp_path, "sent", *lines), "users")
+    got = jobs.user_table(str(tmp_path / "users")).read(spark)
+    assert got.count() == 40 and got.filter("user_level <> '1'").count() == 0
+
+
+def test_absent_table_is_empty_and_sales_start_before_users(spark, messages, tmp_path):
+    known = jobs.user_table(str(tmp_path / "nobody"))
+    assert known.read(spark).count() == 0
+    orders, details = messages("orders"), messages("details")
+    orders.send(order("1", 10))
+    details.send(detail("d1", "1", 10))
+    table = jobs.sale_table(str(tmp_path / "sales"))
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), known, table, "2024-01-15"), tmp_path)
+    assert rows_of(table.read(spark), "doc_id", "user_known") == [("1-d1", False)]
+
+
+def test_the_day_comes_before_the_batch(spark, tmp_path):
+    table = sinks.KeyedTable(str(tmp_path / "docs"), DOC, ["doc_id"], "dt")
+    for i in range(6):
+        table.add(docs(spark, ("a", i, "d1"), (f"b{i}", i, f"e{i}")), i)
+    days = sorted(p.name for p in (tmp_path / "docs").glob("dt=*"))
+    assert days == ["dt=d1", *[f"dt=e{i}" for i in range(6)]]
+    assert rows_of(table.read(spark).filter("dt = 'd1'")) == [("a", 5, "d1")]
+    assert len(table.versions(spark).filter("dt = 'e3'").inputFiles()) >= 1
+    assert len(list((tmp_path / "docs" / "dt=e3").rglob("*.parquet"))) == 1
+
+
+def test_raw_logs_and_change_entries_that_do_not_parse_are_kept(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "1.txt").write_text('{"type":"startup"}\nno json\n')
+    run_job(tmp_path, "quarantine", str(folder), "bad-logs", "--record", "log")
+    assert [r.value for r in spark.read.text(str(tmp_path / "bad-logs")).collect()] == ["no json"]
+    run_job(tmp_path, "quarantine", str(folder), "bad-changes", "--record", "change")
+    assert [r.value for r in spark.read.text(str(tmp_path / "bad-changes")).collect()] == ["no json"]
 
 
 def test_stored_alerts_of_a_day(spark, messages, tmp_path):
