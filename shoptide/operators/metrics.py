@@ -64,20 +64,24 @@ def sales_by_province(orders: DataFrame) -> DataFrame:
     )
 
 
-def share_counts(sales: DataFrame) -> DataFrame:
-    """One row with every count the gender and age shares need.
+def share_counts(sales: DataFrame, weight: str | None = None) -> DataFrame:
+    """One row with every count the gender and age shares need. With ``weight``, a row stands for so many sales.
 
     An unknown user has age 0 and so counts as under 20. The total counts every row, whatever
     its gender.
     """
-    age, gender = F.col("user_age"), F.col("user_gender")
+    age, gender, each = F.col("user_age"), F.col("user_gender"), F.col(weight) if weight else F.lit(1)
+
+    def count_if(test):
+        return F.coalesce(F.sum(F.when(test, each)), F.lit(0)).cast("bigint")
+
     return sales.agg(
-        F.count("*").alias("total"),
-        F.count_if(gender == "M").alias("male"),
-        F.count_if(gender == "F").alias("female"),
-        F.count_if(age < 20).alias("under_20"),
-        F.count_if((age >= 20) & (age < 30)).alias("from_20"),
-        F.count_if(age >= 30).alias("from_30"),
+        count_if(F.lit(True)).alias("total"),
+        count_if(gender == "M").alias("male"),
+        count_if(gender == "F").alias("female"),
+        count_if(age < 20).alias("under_20"),
+        count_if((age >= 20) & (age < 30)).alias("from_20"),
+        count_if(age >= 30).alias("from_30"),
     )
 
 
@@ -93,14 +97,14 @@ def _shares(counts: DataFrame, options: dict[str, str]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def gender_share(sales: DataFrame) -> DataFrame:
+def gender_share(sales: DataFrame, weight: str | None = None) -> DataFrame:
     """(name, value): percent of rows with male and with female users."""
-    return _shares(share_counts(sales), GENDER_OPTIONS)
+    return _shares(share_counts(sales, weight), GENDER_OPTIONS)
 
 
-def age_share(sales: DataFrame) -> DataFrame:
+def age_share(sales: DataFrame, weight: str | None = None) -> DataFrame:
     """(name, value): percent of rows by the age bands under 20, 20 to 29, 30 and over."""
-    return _shares(share_counts(sales), AGE_OPTIONS)
+    return _shares(share_counts(sales, weight), AGE_OPTIONS)
 
 
 def observed_sum(df: DataFrame, column: str) -> tuple[DataFrame, Observation]:

@@ -115,6 +115,19 @@ def one_per_item(joined: DataFrame) -> DataFrame:
     return first_per_key(joined, ["order_id", "order_detail_id"], [F.col(c).asc_nulls_first() for c in REPEAT_ORDER])
 
 
+ORDER_REPEATS = ("order_status", "create_time", "user_id")
+
+
+def sales_by_order(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:
+    """What :func:`sale_detail` says about orders, one row per order: its user's columns, and ``sales``, how many sale
+    rows it has. Enough for counts by user, and items are shuffled once, as two narrow columns."""
+    items = details.select("order_id", F.col("id").alias("item")).distinct()
+    counts = items.groupBy("order_id").agg(F.count("*").alias("sales"))
+    # The order row that one_per_item would keep.
+    placed = first_per_key(order_side(orders), ["order_id"], [F.col(c).asc_nulls_first() for c in ORDER_REPEATS])
+    return enrich_user(placed.join(counts, "order_id"), users, as_of)
+
+
 def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:
     """Wide sale rows, one per (order_id, order_detail_id)."""
     return enrich_user(one_per_item(join_orders(orders, details)), users, as_of)

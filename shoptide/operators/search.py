@@ -20,9 +20,11 @@ def search(sales: DataFrame, date: str, keyword: str) -> DataFrame:
     return sales.filter((F.col("dt") == date) & match_all("sku_name", keyword))
 
 
-def terms(df: DataFrame, column: str, size: int) -> DataFrame:
-    """(column, n): the ``size`` most frequent values, ties in value order. Nulls do not count."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+def terms(df: DataFrame, column: str, size: int, weight: str | None = None) -> DataFrame:
+    """(column, n): the ``size`` most frequent values, ties in value order. Nulls do not count. With ``weight``, a row
+    stands for so many."""
+    n = F.sum(weight) if weight else F.count("*")
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(n.alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column)).limit(size)
 
 

@@ -69,6 +69,11 @@ def _sales(spark: SparkSession, sf: str, date: str | None = None) -> DataFrame:
     return sale_detail.sale_detail(bind.orders(orders), _details(spark, sf), bind.users(customer), AS_OF)
 
 
+def _order_sales(spark: SparkSession, sf: str) -> DataFrame:
+    orders, lineitem, customer = _t(spark, sf, "orders", "lineitem", "customer")
+    return sale_detail.sales_by_order(bind.orders(orders), bind.details(lineitem, None), bind.users(customer), AS_OF)
+
+
 # --- sources ----------------------------------------------------------------------------------
 
 
@@ -120,11 +125,11 @@ def mask_phone_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("doc_id")
 def doc_ids(spark: SparkSession, sf: str) -> DataFrame:
-    by_day = _startup(spark, sf).select(doc_id("_", "mid", "log_date").alias("doc_id"))
-    by_minute = _startup(spark, sf).select(doc_id("_", "mid", minute_of(epoch_ms("ts"))).alias("doc_id"))
+    both = F.array(doc_id("_", "mid", "log_date"), doc_id("_", "mid", minute_of(epoch_ms("ts"))))
+    logs_ids = _startup(spark, sf).select(F.explode(both).alias("doc_id"))
     items = _t(spark, sf, "lineitem")
     by_item = items.select(doc_id("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("doc_id"))
-    return by_day.unionByName(by_minute).unionByName(by_item)
+    return logs_ids.unionByName(by_item)
 
 
 @query("user_age")
@@ -222,6 +227,7 @@ def realtime_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- orders and items -------------------------------------------------------------------------
 
+# The columns of the sale record.
 SALE_COLUMNS = [
     "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
     "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt", "user_known",
@@ -260,22 +266,22 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("gender_terms")
 def gender_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return search.terms(_sales(spark, sf), "user_gender", 2)
+    return search.terms(_order_sales(spark, sf), "user_gender", 2, "sales")
 
 
 @query("age_terms")
 def age_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return search.terms(_sales(spark, sf), "user_age", 100)
+    return search.terms(_order_sales(spark, sf), "user_age", 100, "sales")
 
 
 @query("gender_share")
 def gender_share(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.gender_share(_sales(spark, sf))
+    return metrics.gender_share(_order_sales(spark, sf), "sales")
 
 
 @query("age_share")
 def age_share(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.age_share(_sales(spark, sf))
+    return metrics.age_share(_order_sales(spark, sf), "sales")
 
 
 @query("sale_detail_page")

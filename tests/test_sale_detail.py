@@ -104,3 +104,26 @@ def test_hot_order_is_split_and_nothing_is_lost(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_sales_by_order_counts_as_the_wide_rows_do(spark):
+    from shoptide.operators import metrics, search
+    from shoptide.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    wide, narrow = queries._sales(spark, sf), queries._order_sales(spark, sf)
+    assert rows_of(search.terms(wide, "user_age", 100)) == rows_of(search.terms(narrow, "user_age", 100, "sales"))
+    assert rows_of(metrics.share_counts(wide)) == rows_of(metrics.share_counts(narrow, "sales"))
+
+
+def test_counts_by_user_move_items_once_and_read_no_product(spark):
+    from shoptide.plans import queries
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = queries.QUERIES["gender_terms"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "p_name" not in plan and "p_partkey" not in plan and "l_extendedprice" not in plan
