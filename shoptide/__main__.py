@@ -55,7 +55,10 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
         case "gmv":
             return jobs.gmv(messages, jobs.order_table(args.table, writer=args.writer))
         case "alerts":
-            return jobs.coupon_panes(messages, jobs.pane_table(args.table, writer=args.writer))
+            panes = jobs.pane_table(args.table, writer=args.writer)
+            if args.docs:
+                return jobs.coupon_alert_docs(messages, panes, jobs.alert_table(args.docs, writer=args.writer))
+            return jobs.coupon_panes(messages, panes)
         case "users":
             return jobs.users(messages, jobs.user_table(args.table, writer=args.writer))
         case "sales":
@@ -83,6 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", required=True, help="feed folder, or topic with --brokers")
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")
+    parser.add_argument("--docs", help="folder of alert documents that the alerts job keeps beside its panes")
     parser.add_argument("--record", choices=[*sorted(QUARANTINE), "log", "change"], help="record of the quarantine job; log and change are raw device logs and change entries")
     parser.add_argument("--table", help="folder the job writes; not used when it writes topics")
     parser.add_argument("--checkpoint", required=True, help="folder for the job's progress and state")

@@ -247,6 +247,8 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber * 40 <=
 SELECT order_id || '-' || order_detail_id AS doc_id, {SALE_COLUMNS} FROM sales WHERE l_linenumber * 40 <= 120""",
     "keyword_match": f"""SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_name AS sku_name FROM part
 WHERE list_contains(string_split(lower(p_name), ' '), '{KEYWORD}')""",
+    "keyword_match_all": """SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_name || ' 红色 手机' AS sku_name FROM part
+WHERE p_partkey % 2 = 0 AND list_contains(string_split(lower(p_name), ' '), 'bolt')""",
     "gender_terms": f"""WITH {SALES} SELECT user_gender, count(*) AS n FROM sales
 WHERE user_gender IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 2""",
     "age_terms": f"WITH {SALES} SELECT user_age, count(*) AS n FROM sales GROUP BY 1 ORDER BY n DESC, 1 LIMIT 100",

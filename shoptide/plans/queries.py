@@ -264,6 +264,14 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
     return part.filter(search.match_all("sku_name", KEYWORD))
 
 
+@query("keyword_match_all")
+def keyword_match_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Several tokens in any order, some of them Chinese, upper and lower case."""
+    more = F.when(F.col("p_partkey") % 2 == 0, F.lit(" 红色 手机")).otherwise("")
+    part = _t(spark, sf, "part").select(bind.text("p_partkey").alias("sku_id"), F.concat("p_name", more).alias("sku_name"))
+    return part.filter(search.match_all("sku_name", "手机 BOLT 红色"))
+
+
 @query("gender_terms")
 def gender_terms(spark: SparkSession, sf: str) -> DataFrame:
     return search.terms(_order_sales(spark, sf), "user_gender", 2, "sales")
@@ -334,10 +342,10 @@ def coupon_alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "alerts")
     rows = bind.event_logs(tables.replay(spark, sf, "events", f"{run}/feed")).withColumn("timestamp", epoch_ms("ts"))
     messages = bind.json_messages(rows, "mid", "uid", "evid", "itemid", "ts", "event_id")
-    table = jobs.pane_table(f"{run}/table")
-    writer = jobs.coupon_panes(messages, table, HOUR_MS, schema=_with_event_id(schemas.EVENT_LOG), tie="event_id")
+    panes, docs = jobs.pane_table(f"{run}/panes"), jobs.alert_table(f"{run}/docs")
+    writer = jobs.coupon_alert_docs(messages, panes, docs, **ALERT, schema=_with_event_id(schemas.EVENT_LOG), tie="event_id")
     jobs.run_to_end(spark, writer, f"{run}/checkpoint")
-    return _alert_rows(alerts.pane_alerts(table.read(spark), **ALERT))
+    return _alert_rows(jobs.standing(docs.read(spark)))
 
 
 def _order_messages(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import schemas
-from shoptide.functions import mask_phone, with_log_time, with_order_time
+from shoptide.functions import doc_id, mask_phone, minute_of, with_log_time, with_order_time
 from shoptide.operators import alerts, dedup, sale_detail
+from shoptide.operators.keyed import near_keys
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
 from shoptide.sources.decode import decoded
@@ -145,6 +146,54 @@ def coupon_panes(
     return decoded(decode.decode(messages, schema)).writeStream.foreachBatch(add).outputMode("append")
 
 
+def alert_table(path: str, writer: str = "main") -> KeyedTable:
+    """Alert documents, one per device and minute; ``withdrawn`` marks those that a later event has undone."""
+    columns = T.StructType([T.StructField("doc_id", T.StringType()), *schemas.COUPON_ALERT]).add("dt", T.StringType()).add("withdrawn", T.BooleanType())
+    return KeyedTable(path, columns, ["doc_id"], "dt", [], writer)
+
+
+def standing(docs: DataFrame) -> DataFrame:
+    return docs.filter(~F.col("withdrawn")).drop("withdrawn")
+
+
+def coupon_alert_docs(
+    messages: DataFrame,
+    panes: KeyedTable,
+    docs: KeyedTable,
+    size_ms: int = 300_000,
+    slide_ms: int = 5_000,
+    accounts: int = 3,
+    schema: T.StructType = schemas.EVENT_LOG,
+    tie: str | None = None,
+) -> DataStreamWriter:
+    """Store the panes, and the alert documents of the minutes that a batch touches.
+
+    The windows over a batch's panes are decided again from the stored panes of its devices, of the batch's days and
+    their neighbours only; windows are at most a day long. A document that no longer stands is marked as withdrawn.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with adaptive(spark):
+            rows = alerts.pane_rows(batch, slide_ms, tie).withColumn("part", F.lit(f"{panes.writer}:{batch_id}"))
+            panes.add(rows, batch_id)
+            came = panes.versions(spark).filter((F.col("writer") == panes.writer) & (F.col("batch") == batch_id)).select("mid", "pane", "dt").distinct()
+            near_days = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.date_add(F.col("dt").cast("date"), d).cast("string"))
+            days = [r.dt for r in came.select(F.explode(near_days).alias("dt")).distinct().collect()]
+            mids = came.select("mid").distinct()
+            stored = near_keys(panes.read(spark).filter(F.col("dt").isin(days)), mids, ["mid"]).join(mids, "mid", "left_semi")
+            ends = F.sequence(F.col("pane") + slide_ms, F.col("pane") + size_ms, F.lit(slide_ms).cast("bigint"))
+            minute = minute_of(F.timestamp_millis("window_end"))
+            touched = came.select("mid", F.explode(ends).alias("window_end")).select(doc_id("_", "mid", minute).alias("doc_id")).distinct()
+            now = alerts.pane_alerts(stored, size_ms, slide_ms, accounts).join(touched, "doc_id", "left_semi")
+            now = sinks.staged(now, f"{docs.path}-staging/{docs.writer}")
+            before = standing(docs.read(spark).filter(F.col("dt").isin(days))).join(touched, "doc_id", "left_semi")
+            gone = before.join(now.select("doc_id"), "doc_id", "left_anti").withColumn("withdrawn", F.lit(True))
+            docs.add(now.withColumn("withdrawn", F.lit(False)).unionByName(gone.select(*now.columns, "withdrawn")), batch_id)
+
+    return decoded(decode.decode(messages, schema)).writeStream.foreachBatch(add).outputMode("append")
+
+
 # --- users ----------------------------------------------------------------------------------
 
 

@@ -359,6 +359,28 @@ def test_coupon_and_click_that_come_days_late(spark, messages, tmp_path):
     assert stream_alerts(spark, feed, tmp_path).count() == 0
 
 
+def test_alert_documents_are_stored_and_withdrawn(spark, messages, tmp_path):
+    feed = messages("events")
+    panes, docs = jobs.pane_table(str(tmp_path / "panes")), jobs.alert_table(str(tmp_path / "docs"))
+
+    def stored():
+        run(spark, jobs.coupon_alert_docs(feed.stream(), panes, docs, schema=WITH_SEQ, tie="seq"), tmp_path)
+        want = {r.doc_id: (r.uids, r.item_ids, r.events, r.ts) for r in alerts.pane_alerts(panes.read(spark)).collect()}
+        got = {r.doc_id: (r.uids, r.item_ids, r.events, r.ts) for r in jobs.standing(docs.read(spark)).collect()}
+        assert got == want
+        return got
+
+    feed.send(event("m", "a", "coupon", 0, 0), event("m", "b", "coupon", 1000, 1), event("x", "z", "coupon", 9 * DAY, 2))
+    assert not stored()
+    feed.send(event("m", "c", "coupon", 2000, 3), event("o", "z", "coupon", 5000, 4))
+    assert len(stored()) == 6
+    feed.send(event("m", "d", "coupon", 240_000, 5))
+    assert len(stored()) == 6
+    feed.send(event("m", "a", "clickItem", 500, 6))
+    assert len(stored()) < 6
+    assert docs.read(spark).filter("withdrawn").count() > 0
+
+
 def test_of_two_versions_sent_at_once_the_later_stays(spark, tmp_path):
     lines = [m for i in range(40) for m in (user(f"u{i:02d}", 0, "9")[0], user(f"u{i:02d}", 0, "1")[0])]
     run_job(tmp_path, "users", feed_folder(tmp_path, "sent", *lines), "users")
