@@ -37,13 +37,15 @@ def total_json(report: DataFrame) -> DataFrame:
 
 
 def hours_json(report: DataFrame) -> DataFrame:
-    """``{"yesterday": {"09": 1.0, ...}, "today": {...}}``"""
+    """``{"yesterday": {"09": 1.0, ...}, "today": {...}}``; null for the days of a metric that does not exist."""
 
     def day(label: str) -> Column:
         entry = F.when((F.col("label") == label) & F.col("hour").isNotNull(), F.struct("hour", "value"))
-        return F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(label)
+        hours = F.map_from_entries(F.array_sort(F.collect_list(entry)))
+        unknown = F.coalesce(F.bool_or((F.col("label") == label) & F.col("hour").isNull()), F.lit(False))
+        return F.when(~unknown, hours).alias(label)
 
-    return report.agg(F.to_json(F.struct(day("yesterday"), day("today"))).alias("json"))
+    return report.agg(F.to_json(F.struct(day("yesterday"), day("today")), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def sale_detail_json(report: DataFrame) -> DataFrame:

@@ -340,6 +340,7 @@ def test_reports_from_stored_tables(spark, tmp_path, messages, capsys):
     ]
     assert ask("hours", "--id", "dau") == {"yesterday": {"00": 1.0}, "today": {"01": 1.0, "02": 1.0}}
     assert ask("hours", "--id", "order_amount") == {"yesterday": {}, "today": {"10": 13.0}}
+    assert ask("hours", "--id", "nothing") == {"yesterday": None, "today": None}
     got = ask("sales", "--keyword", "plate", "--page", "1", "--size", "1")
     assert got["total"] == 2 and [r["order_detail_id"] for r in got["detail"]] == ["d1"]
     assert got["stat"] == [
