@@ -352,9 +352,14 @@ def fit(pages: list[str], *, rounds: int = 16, batch: int = 32, rate: float = 0.
 
 
 def train(pages: DataFrame, *, html_col: str = "html", sample: int = SAMPLE) -> Labeller:
-    """The labeller from at most ``sample`` pages, those with the smallest hashes; null pages are left out."""
-    rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample)
-    return fit([r.html for r in rows.collect()])
+    """The labeller from at most ``sample`` pages, those with the smallest hashes, copies once; null pages are left out.
+    The hashes are picked first, so that no more than the sample is sent to the driver."""
+    rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("at"))
+    last = rows.select("at").distinct().orderBy("at").limit(sample).agg(F.max("at")).first()[0]
+    if last is None:
+        return fit([])
+    picked = rows.filter(F.col("at") <= last).groupBy("at").agg(F.first("html").alias("html"))
+    return fit([r.html for r in sorted(picked.collect())])
 
 
 def extract(pages: DataFrame, model: Labeller, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
