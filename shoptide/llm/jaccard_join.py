@@ -16,23 +16,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import components, written
+from shoptide.llm.common import components, whole_runs, written
 from shoptide.operators.keyed import near_keys
 
 WORDS = 4
 PERCENT = 85
 # Shingles in more prefixes than this come last in the common order, so that few prefixes hold them.
-FREQUENT = 32
+FREQUENT = 16
 # Frequent shingles are marked in a bitmap of fixed size, 4 MB. A rare one that shares a bit comes late too, which is harmless.
 BITMAP_BITS = 1 << 25
-# Bits of a document's signature.
-SIGNATURE_BITS = 1024
+# A document's signature has four to eight bits per shingle, a power of two between these. So few of them are set that
+# what two documents differ in shows almost in full.
+LEAST_BITS, MOST_BITS = 256, 1 << 16
 LEAF, FAN_OUT = 8, 8
 # Larger blocks are cut into tiles of this many documents and every pair of tiles is a task's work.
 TILE = 1024
 # Positions of the prefix that the first round looks at.
 FIRST = 3
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 
 _U = np.uint64
 _BYTES = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -147,9 +148,9 @@ def is_frequent(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> _U(6)).astype(np.int64)] >> (slot & _U(63))) & _U(1) > 0
 
 
-def _frequent(classes: DataFrame) -> np.ndarray | None:
+def _frequent(documents: DataFrame) -> np.ndarray | None:
     """Bitmap of the shingles in more than FREQUENT prefixes; at most BITMAP_BITS / 64 words reach the driver."""
-    often = classes.select(F.explode("prefix").alias("h")).groupBy("h").count().filter(F.col("count") > FREQUENT)
+    often = documents.select(F.explode("prefix").alias("h")).groupBy("h").count().filter(F.col("count") > FREQUENT)
     slot = F.col("h").bitwiseAND(F.lit(BITMAP_BITS - 1))
     bit = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
     words = often.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
@@ -168,45 +169,25 @@ def _blocks(postings: DataFrame) -> DataFrame:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        rest = None
-        for batch in chain_last(batches):
-            if batch is None:
-                h, rep, n = rest if rest is not None else (np.zeros(0, np.int64),) * 3
-                rest = None
-            else:
-                h, rep, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-                if rest is not None:
-                    h, rep, n = (np.concatenate(x) for x in zip(rest, (h, rep, n), strict=True))
-                if not len(h):
-                    continue
-                last = int(np.searchsorted(h, h[-1])) if batch is not None else len(h)
-                rest = h[last:], rep[last:], n[last:]
-                h, rep, n = h[:last], rep[:last], n[:last]
-            if not len(h):
-                continue
-            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            size = np.diff(first, append=len(h))
-            mark = np.add.reduceat(_mix(rep.astype(np.uint64) + _STEP[1]), first)
-            out = []
-            for f, s, m in zip(first[size > 1], size[size > 1], mark[size > 1].tolist(), strict=True):
-                if m not in seen:
+        for batch, found in whole_runs(batches, 1):
+            _, rep, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            mark = np.add.reduceat(_mix(rep.astype(np.uint64) + _STEP[1]), [start for start, _ in found]).tolist()
+            picks, marks, sizes = [], [], []
+            for (start, end), m in zip(found, mark, strict=True):
+                if end - start > 1 and m not in seen:
                     if len(seen) < 1 << 20:
                         seen.add(m)
-                    out.append((m, f, s))
-            if out:
-                marks, at, sizes = (np.array(x) for x in zip(*out, strict=True))
-                pick = np.repeat(at - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-                block = np.repeat(marks.astype(np.uint64).view(np.int64), sizes)
+                    picks.append(np.arange(start, end))
+                    marks.append(m)
+                    sizes.append(end - start)
+            if picks:
+                pick = np.concatenate(picks)
+                block = np.repeat(np.array(marks, np.uint64).view(np.int64), sizes)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (block, rep[pick], n[pick], np.repeat(sizes, sizes))], ["block", "rep", "n", "members"])
 
     return sorted_rows.select("h", "rep", "n").mapInArrow(runs, "block bigint, rep bigint, n bigint, members bigint").dropDuplicates(["block", "rep"])
 
 
-def chain_last(batches):
-    yield from batches
-    yield None
-
-
 def _tiled(blocks: DataFrame) -> DataFrame:
     """Blocks over TILE documents become pairs of tiles: each document goes to the pairs that hold its tile."""
     tiles = F.ceil(F.col("members") / TILE)
@@ -216,19 +197,23 @@ def _tiled(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("pair", F.explode(pairs))
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(rep, grams) of the documents named in ``wanted`` (rep), from their texts."""
-    id_type = rows.schema["_id"].dataType.simpleString()
+def _sets(rows: DataFrame, wanted: DataFrame, words: int, signatures: bool = False) -> DataFrame:
+    """(rep, grams) of the documents named in ``wanted`` (rep), from their texts; or (rep, sig), their bitmaps."""
+    name = "sig" if signatures else "grams"
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [g for part in _text_sets(batch.column(1), words) for g in part]
-            ends = pa.array(np.concatenate(([0], np.cumsum([len(g) for g in found]))), pa.int32())
-            values = pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, values)], ["rep", "grams"])
+            if signatures:
+                values = pa.array([signature(g).tobytes() for g in found], pa.binary())
+            else:
+                ends = pa.array(np.concatenate(([0], np.cumsum([len(g) for g in found]))), pa.int32())
+                flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+                values = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["rep", name])
 
     near = near_keys(rows.withColumnRenamed("_id", "rep"), wanted, ["rep"])
-    return near.select("rep", "_text").mapInArrow(grams, f"rep {id_type}, grams array<bigint>").join(wanted, "rep", "left_semi")
+    return near.select("rep", "_text").mapInArrow(run, f"rep bigint, {name} {'binary' if signatures else 'array<bigint>'}").join(wanted, "rep", "left_semi")
 
 
 class Tree:
@@ -293,11 +278,29 @@ class Tree:
         return out
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
-    """Bitmap of a set of hashes."""
-    bits = np.zeros(SIGNATURE_BITS, bool)
-    bits[((grams.view(np.uint64) >> _U(40)) % _U(SIGNATURE_BITS)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.uint64)
+def signature_bits(size: int) -> int:
+    return min(max(4 << max(size - 1, 0).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def signature(grams: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Bitmap of a set of hashes. The halves of a bitmap, ORed, are the bitmap of half as many bits."""
+    bits = bits or signature_bits(len(grams))
+    taken = np.zeros(bits, bool)
+    taken[(grams.view(np.uint64) >> _U(40)).astype(np.int64) & (bits - 1)] = True
+    return np.packbits(taken).view(np.uint64)
+
+
+def possible_pairs(maps: list[np.ndarray], n: np.ndarray, group: np.ndarray, percent: int) -> np.ndarray:
+    """(k, 2) numbers of documents that may be similar, of unequal ``group``. There is a tree for each width of bitmap,
+    which also takes the folded bitmaps of the next width that are in reach by size; no pair spans more."""
+    width = np.array([len(m) for m in maps])
+    found = [np.zeros((0, 2), np.int64)]
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero((width == w) | ((width == 2 * w) & (n * percent <= 100 * n[width == w].max())))
+        at = at[np.argsort(n[at], kind="stable")]
+        folded = np.stack([maps[i] if width[i] == w else maps[i][:w] | maps[i][w:] for i in at])
+        found.append(at[Tree(folded, n[at]).pairs(percent, group[at])])
+    return np.concatenate(found)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -305,36 +308,71 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], group: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def block_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect the documents of a block as all its similar pairs would: pairs are compared exactly in the
     order of the tree walk, and those already connected are passed over."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    ids, sets, group = ids[order], [sets[i] for i in order], group[order]
     sizes = np.array([len(s) for s in sets], np.int64)
-    tree = Tree(np.stack([signature(s) for s in sets]), sizes)
-    _, root = np.unique(group, return_inverse=True)
-    root = root.astype(np.int64)
+    order = np.argsort(sizes, kind="stable")
+    ids, sets, sizes = ids[order], [sets[i] for i in order], sizes[order]
+    bits = signature_bits(int(sizes[-1]))
+    pairs = Tree(np.stack([signature(s, bits) for s in sets]), sizes).pairs(percent)
+    root = np.arange(len(ids))
     links = []
-    for a, b in tree.pairs(percent, root).tolist():
+    for a, b in pairs.tolist():
         if root[a] != root[b] and similar(sets[a], sets[b], percent):
             links.append((int(ids[a]), int(ids[b])))
             root[root == root[b]] = root[a]
     return links
 
 
-def _link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links found in blocks (block, pair, rep, comp)."""
-    import pandas as pd
+def _by_block(members: DataFrame, column: DataFrame, names: list[str], function) -> DataFrame:
+    """(a, b): what ``function`` of (a batch, the start and end of a block's rows) finds, block after block."""
+    rows = members.join(column, "rep").repartition("block", "pair").sortWithinPartitions("block", "pair", "rep").select("block", "pair", "rep", *names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in whole_runs(batches, 2):
+            links = [link for start, end in found if end - start > 1 for link in function(batch, start, end)]
+            a, b = zip(*dict.fromkeys(links), strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
+
+
+def _linked(blocks: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): exact links inside blocks (block, pair, rep), one tree and comparison of whole sets per block."""
+
+    def links(batch: pa.RecordBatch, start: int, end: int):
+        reps = batch.column(2).slice(start, end - start).to_numpy()
+        column = batch.column(3).slice(start, end - start)
+        sets = [column[i].values.to_numpy() for i in range(len(column))]
+        first = np.flatnonzero(np.diff(reps, prepend=reps[0] - 1))  # a repeated id keeps one of its sets
+        return block_links(reps[first], [sets[i] for i in first], percent)
+
+    return _by_block(blocks, _sets(rows, blocks.select("rep").distinct(), words), ["grams"], links)
+
+
+def _candidates(blocks: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): pairs of documents of different components that the bitmaps leave possible, from one tree per block
+    (block, pair, rep, n, comp)."""
+
+    def pairs(batch: pa.RecordBatch, start: int, end: int):
+        reps, n, comp = (batch.column(i).slice(start, end - start).to_numpy() for i in (2, 3, 4))
+        maps = [np.frombuffer(m, np.uint64) for m in batch.column(5).slice(start, end - start).to_pylist()]
+        found = possible_pairs(maps, n, comp, percent)
+        a, b = reps[found[:, 0]], reps[found[:, 1]]
+        return zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)
+
+    signatures = _sets(rows, blocks.select("rep").distinct(), words, signatures=True)
+    return _by_block(blocks, signatures, ["n", "comp", "sig"], pairs).distinct().filter("a < b")
 
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("rep")
-        if len(pdf) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        found = block_links(pdf["rep"].to_numpy(), [np.asarray(g, np.int64) for g in pdf["grams"]], pdf["comp"].to_numpy(), percent)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    rows = members.join(sets, "rep").select("block", "pair", "rep", "comp", "grams")
-    return rows.groupBy("block", "pair").applyInPandas(join, "a bigint, b bigint")
+def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets are similar."""
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = written(_sets(rows, wanted, words), "sets")
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb")), "b")
+    common = F.size(F.array_intersect("ga", "gb"))
+    return both.filter(100 * common >= percent * (F.size("ga") + F.size("gb") - common)).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -360,26 +398,24 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         return full.filter("rep IS NOT NULL")
 
     names = everything.select("_id", *key)
-    reps = written(classes(everything), "shingle-classes")
-    bitmap = _frequent(reps)
-    if bitmap is not None:
-        reps = written(classes(_documents(rows, words, percent, bitmap)), "shingle-classes")
+    bitmap = _frequent(everything)
+    documents = everything if bitmap is None else _documents(rows, words, percent, bitmap)
+    reps = written(classes(documents), "shingle-classes")
     postings = lambda prefix: reps.select("rep", "n", F.explode(prefix).alias("h"))
 
     # First round: the shingles at the head of the prefixes, which join nearly all that is similar.
     blocks = written(_tiled(_blocks(postings(F.slice("prefix", 1, FIRST)))), "blocks")
-    wanted = blocks.select("rep").distinct()
-    links = written(_link(blocks.withColumn("comp", F.col("rep")), _sets(rows, wanted, words), percent), "links")
+    links = written(_linked(blocks, rows, words, percent), "links")
     comps = written(components(links, "components"), "components")
 
-    # Second round: all of the prefixes. A block that lies within one component can add nothing; that leaves few.
+    # Second round: all of the prefixes. A block that lies within one component can add nothing; the others need
+    # only their bitmaps until few pairs are left.
     blocks = written(_blocks(postings("prefix")), "blocks")
     named = blocks.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     open_blocks = named.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block")
     left = written(_tiled(named.join(open_blocks, "block").select("block", "rep", "n", "members", "comp")), "blocks")
-    wanted = left.select("rep").distinct()
-    more = _link(left, _sets(rows, wanted, words), percent)
-    comps = components(written(links.unionByName(more), "links"), "components")
+    pairs = written(_candidates(left, rows, words, percent), "pairs")
+    comps = components(written(links.unionByName(_verified(pairs, rows, words, percent)), "links"), "components")
 
     named = reps.select(*key, "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(*key, F.coalesce("component", "rep").alias("found"))

@@ -141,10 +141,16 @@ def test_tree_walk_loses_no_pair():
             kept = base[rng.random(len(base)) > rng.choice([0, 0.05, 0.1])]
             sets.append(np.unique(kept if len(kept) else base))
     sets.sort(key=len)
-    tree = jaccard_join.Tree(np.stack([jaccard_join.signature(s) for s in sets]), np.array([len(s) for s in sets]))
+    tree = jaccard_join.Tree(np.stack([jaccard_join.signature(s, 1024) for s in sets]), np.array([len(s) for s in sets]))
     found = {tuple(p) for p in tree.pairs(85).tolist()}
     want = {(a, b) for a, b in combinations(range(len(sets)), 2) if jaccard_join.similar(sets[a], sets[b], 85)}
     assert want <= found and len(found) < len(sets) * (len(sets) - 1) / 4
+    sets += [np.arange(k, k + n, dtype=np.uint64) << np.uint64(40) for n in (240, 255, 256, 257, 270, 500, 520, 1100) for k in (0, 3)]
+    maps, n = [jaccard_join.signature(s) for s in sets], np.array([len(s) for s in sets])
+    assert len({len(m) for m in maps}) > 2
+    some = {tuple(sorted(p)) for p in jaccard_join.possible_pairs(maps, n, np.arange(len(sets)), 85).tolist()}
+    assert {(a, b) for a, b in combinations(range(len(sets)), 2) if jaccard_join.similar(sets[a], sets[b], 85)} <= some
+    sets = sets[:-16]
     group = np.array([a // 2 for a in range(len(sets))])
     assert {tuple(p) for p in tree.pairs(85, group).tolist()} >= {(a, b) for a, b in want if group[a] != group[b]}
 
