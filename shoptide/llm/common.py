@@ -12,8 +12,18 @@ from shoptide.operators.keyed import SLOTS, near_keys
 from shoptide.session import new_run_dir, tune
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Rows that are sent to Python at once. Texts of some kilobytes make some megabytes, of which a task holds several copies.
+ROWS_AT_ONCE = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Give the session the settings that the operators count on."""
     tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -44,7 +44,7 @@ class ChunkTokenizer:
     ids are the word's and then the punctuation's.
     """
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -246,7 +246,7 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = _tokenizer(path)
+        tokenizer = ChunkTokenizer(path)  # it goes with the task, as other stages use the same workers
         packer = Packer(TaskContext.get().partitionId())
         ids: list = []
         shard: list[np.ndarray] = []
@@ -276,6 +276,8 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                         ids, shard, held = [], [], 0
         if shard:
             yield from close()
+        del tokenizer, shard, ids
+        pa.default_memory_pool().release_unused()
 
     id_type = rows.schema["_id"].dataType.simpleString()
     schema = f"{id_arrow} {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -283,11 +285,3 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
 
 
 NAMES = ["_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-_tokenizers: dict[str, ChunkTokenizer] = {}
-
-
-def _tokenizer(path: str) -> ChunkTokenizer:
-    """One tokenizer with its remembered chunks per Python worker."""
-    if path not in _tokenizers:
-        _tokenizers[path] = ChunkTokenizer(path)
-    return _tokenizers[path]
