@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The bounded training sample: so many characters per language, taken from so many texts at most.
+# The bounded training sample: so many characters per language, dealt out evenly to so many texts at most.
 SAMPLE_CHARS = 12_000
 SAMPLE_TEXTS = 200
 # Long texts are parsed in windows of this many letters and spaces, which lets a batch be parsed side by side.
@@ -74,17 +74,45 @@ class LanguageModel:
         return self.table.shape[1]
 
 
+def _sample(parts: list[tuple[int, str]], chars: int) -> str:
+    """A stretch of each of the (hash, text), of one length for all that are long enough, joined in hash order."""
+    sizes = sorted(len(p) for _, p in parts)
+    room, width, more = chars - len(parts) + 1, sizes[-1], 0
+    for k, size in enumerate(sizes):
+        if size * (len(sizes) - k) > room:
+            width, more = divmod(max(0, room), len(sizes) - k)
+            break
+        room -= size
+    out = []
+    for at, part in parts:
+        size = width + (more > 0 and len(part) > width)
+        more -= size > width
+        start = at % max(1, len(part) - size + 1)
+        out.append(part[start : start + size])
+    return " ".join(out)[:chars]
+
+
 def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
-    """Automata of a bounded sample per language; rows without text or language are left out. The sample is the
-    texts with the smallest hashes, which does not follow the order of rows."""
-    text = F.substring(F.col(text_col), 1, 4 * sample_chars // sample_texts)
-    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("part"), F.xxhash64(text_col).alias("at"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "part"))
-    picked = rows.withColumn("rank", rank).filter(F.col("rank") <= sample_texts).select("lang", "part").collect()
-    texts: dict[str, list[str]] = {}
+    """Automata of a bounded sample per language; rows without text or language are left out.
+
+    The sample is a passage of each of the ``sample_texts`` distinct texts with the smallest hashes, however often a
+    text is repeated, and follows neither the order of rows nor that of texts. Passages lie at hashed positions of the
+    whole texts and are of equal length, about ``sample_chars / sample_texts`` characters; where a language has fewer
+    or shorter texts, the others' are longer, until ``sample_chars`` are reached. The hashes are picked first, so that no
+    more than the sample, at four times its size, is sent to the driver."""
+    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    hashes = rows.select("lang", "at").distinct().withColumn("rank", rank).filter(F.col("rank") <= sample_texts)
+    last = hashes.groupBy("lang").agg(F.max("at").alias("last"), F.count("*").alias("texts"))  # a row per language
+    size = (F.lit(4 * sample_chars) / F.col("texts")).cast("int")
+    start = F.pmod(F.col("at"), F.greatest(F.length("text") - size + 1, F.lit(1)).cast("bigint")).cast("int") + 1
+    near = rows.join(F.broadcast(last), "lang").filter(F.col("at") <= F.col("last"))
+    picked = near.groupBy("lang", "at").agg(F.min(F.col("text").substr(start, size)).alias("part")).collect()
+    texts: dict[str, list[tuple[int, str]]] = {}
     for row in sorted(picked):
-        texts.setdefault(row.lang, []).append(fold(row.part))
-    samples = {lang: joined for lang, parts in sorted(texts.items()) if (joined := " ".join(p for p in parts if p)[:sample_chars])}
+        if part := fold(row.part):
+            texts.setdefault(row.lang, []).append((row.at, part))
+    samples = {lang: _sample(parts, sample_chars) for lang, parts in sorted(texts.items())}
     letters = sorted({c for s in samples.values() for c in s} | {" "})
     codes = {c: i for i, c in enumerate(letters)}
     alphabet = len(letters) + 1

@@ -48,6 +48,17 @@ def test_parse_equals_substring_search():
                 assert plain_phrases(sample, text) == n
 
 
+def test_sample_holds_a_passage_of_every_picked_text(spark):
+    # Each text repeats a letter pair of its own; the hot text is there more often than the sample has texts.
+    letters = [chr(0x4E00 + i) for i in range(150)]
+    rows = [(f"{c}。" * 40 + f"{c}終" * 200, "zh") for c in letters] + [("熱い " * 50, "zh")] * 400
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(letters) <= set(model.codes) and "終" in model.codes
+    assert len(model.table) <= 2 * language_id.SAMPLE_CHARS
+    few = language_id.train(spark.createDataFrame([("ab " * 9000, "x"), ("short", "x")], "text string, lang string"), sample_chars=600)
+    assert language_id.phrases(few, [np.array([few.codes[c] for c in "ab " * 100])]).tolist() == [[1]] and set("short") <= set(few.codes)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.col("lang").alias("truth"))
     out = QUERIES["op3_language_id"](spark, SF)
