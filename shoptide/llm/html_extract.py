@@ -30,12 +30,17 @@ TRAIN_BLOCKS, BATCH_BLOCKS = 96, 1 << 15
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-# Elements whose content is never text of the page.
-HIDDEN_TAGS = "script|style|noscript|template|svg|iframe|object|canvas|select|textarea|button|head"
+# Elements whose content is never text of the page: RAW ones hold no tags and end with their end tag only, the others
+# are hidden between their tags.
+RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea")}
+TITLE_END = re.compile(r"</title\s*>", re.I)
+HIDDEN_TAGS = frozenset("noscript template svg iframe object canvas select button".split())
+# Any other start tag ends the head.
+HEAD_TAGS = frozenset("html head title base link meta script style noscript template".split())
+# Quotes count behind "=" only; nothing is tried twice, so that a tag without end costs one pass.
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{HIDDEN_TAGS})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
-HIDDEN_NAME = re.compile(r"<([a-zA-Z]+)")
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)|=)*+)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -58,20 +63,52 @@ class Block:
     linked: int
 
 
-def _hidden_end(page: str, start: int, name: str) -> int:
-    end = re.compile(rf"</{name}\s*>", re.I).search(page, start)
-    return end.end() if end else len(page)
+@dataclass
+class Tag:
+    start: int
+    end: int
+    name: str
+    closes: bool
+    rest: str
+    pair: int = -1  # of a hidden element: the number of its end tag
+
+
+def _tags(page: str) -> list[Tag]:
+    """The tags, comments and declarations (without name) of a page. Raw elements are one tag with their content;
+    titles hold no tags. A start tag of a hidden element knows its end tag, if it has one."""
+    tags: list[Tag] = []
+    opened: dict[str, list[Tag]] = {}
+    at, titles = 0, True
+    while token := TOKEN.search(page, at):
+        at = token.end()
+        tag = Tag(token.start(), at, (token["tag"] or "").lower(), bool(token["close"]), token["rest"] or "")
+        if tag.closes:
+            if opened.get(tag.name):
+                opened[tag.name].pop().pair = len(tags)
+        elif not tag.rest.endswith("/"):
+            if tag.name in RAW:
+                end = RAW[tag.name].search(page, at)
+                at = tag.end = end.end() if end else len(page)
+            elif tag.name in HIDDEN_TAGS:
+                opened.setdefault(tag.name, []).append(tag)
+            elif tag.name == "title" and titles:
+                end = TITLE_END.search(page, at)
+                at, titles = (end.start(), True) if end else (at, False)
+        tags.append(tag)
+    return tags
 
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page that hold text. Character references are decoded, white space inside a block is one
     space. Content of scripts, styles and the like, comments and the head are left out. Any text is accepted:
-    tags that are never closed or never opened change the path only."""
+    tags that are never closed or never opened change the path only; a script, style or textarea without end reaches to
+    the end of the page, a head to the first text or element that cannot stand in one."""
     found: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     linked = 0
     at = 0
+    head = -1  # place of an open head on the stack
 
     def close():
         nonlocal linked
@@ -82,37 +119,49 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     def text(raw: str):
-        nonlocal linked
+        nonlocal linked, head
+        if head >= 0:
+            if not raw.strip() or stack[-1][0] == "title":
+                return
+            del stack[head:]
+            head = -1
         if raw:
             decoded = references.unescape(raw)
             parts.append(decoded)
             if any(tag == "a" for tag, _ in stack):
                 linked += len(decoded)
 
-    while True:
-        token = TOKEN.search(page, at)
-        if token is None:
-            text(page[at:])
-            break
-        text(page[at : token.start()])
-        at = token.end()
-        tag = (token["tag"] or "").lower()
+    tags = _tags(page)
+    number = 0
+    while number < len(tags):
+        token, tag = tags[number], tags[number].name
+        text(page[at : token.start])
+        at = token.end
+        number += 1
         if not tag:
-            name = HIDDEN_NAME.match(token[0])
-            if name:
-                if name[1].lower() not in ("select", "button", "textarea"):
-                    close()
-                at = _hidden_end(page, at, name[1])
             continue
+        opens = not token.closes and not token.rest.endswith("/")
+        if opens and (tag in RAW or token.pair >= 0):
+            if tag not in ("select", "button", "textarea"):
+                close()
+            if token.pair >= 0:
+                at, number = tags[token.pair].end, token.pair + 1
+            continue
+        if head >= 0 and not token.closes and tag not in HEAD_TAGS:
+            del stack[head:]
+            head = -1
         block = tag not in INLINE
         if block:
             close()
-        if token["close"]:
+        if token.closes:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
+                    head = head if head < k else -1
                     break
-        elif tag not in VOID and not token["rest"].endswith("/"):
+        elif tag not in VOID and opens:
+            if tag == "head" and head < 0:
+                head = len(stack)
             if tag in CLOSES_P or tag == "li":
                 wanted = "li" if tag == "li" else "p"
                 for k in range(len(stack) - 1, -1, -1):
@@ -121,8 +170,9 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[k][0] not in INLINE:
                         break
-            names = " ".join(a or b or c for a, b, c in NAMES.findall(token["rest"])).lower() if token["rest"] else ""
+            names = " ".join(a or b or c for a, b, c in NAMES.findall(token.rest)).lower() if token.rest else ""
             stack.append((tag, f"{tag} {names}" if names else tag))
+    text(page[at:])
     close()
     return found
 

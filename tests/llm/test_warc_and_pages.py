@@ -88,6 +88,24 @@ def test_other_templates(labeller):
     assert [b.text for b, yes in zip(found, chosen, strict=True) if yes] == ["Big title", "First para of the story & more text here.", "Second para of the story."]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>t</title><body><article><p>Body text</p></article>", ["Body text"]),
+        ("<head><title>a <b> <script></title><meta charset=x><style>p {}</style><p>first", ["first"]),
+        ("<head><title>t</title>plain <b>text</b>", ["plain text"]),
+        ("<head><title>t</title></head><body>b", ["b"]),
+        *[(f"<p>a</p><{tag}><p>b</p><p>c", ["a", "b", "c"]) for tag in sorted(html_extract.HIDDEN_TAGS)],
+        *[(f"<p>a</p><{tag}><p>b</p><{tag}>no</{tag}><p>c", ["a", "b", "c"]) for tag in sorted(html_extract.HIDDEN_TAGS)],
+        *[(f"<p>a</p><{tag}><p>b</p></{tag}><p>c", ["a", "c"]) for tag in sorted(html_extract.HIDDEN_TAGS)],
+        *[(f"<p>a</p><{tag}><p>b</p>", ["a"]) for tag in sorted(html_extract.RAW)],
+        ("<p title=it's>one</p><p>it's two</p>", ["one", "it's two"]),
+        ("<p title='a > b'>one<p data-x=\"it's\" title = 'y>'>two", ["one", "two"]),
+    ])
+def test_tags_without_end_hide_nothing(page, want):
+    assert [b.text for b in html_extract.blocks(page)] == want
+
+
 def test_gradients_are_right():
     import numpy as np
 
