@@ -55,29 +55,14 @@ def _within(order_time: str, detail_time: str, tolerance: str) -> Column:
 
 def join_orders_within(orders: DataFrame, details: DataFrame, tolerance: str = "120 seconds", time: str = "ingest_ts") -> DataFrame:
     """:func:`join_orders` for partners that arrived within ``tolerance`` of each other."""
-    left = order_side(orders, F.col(time).alias("order_seen"))
-    right = detail_side(details, F.col(time).alias("detail_seen"))
-    joined = left.join(right.withColumnRenamed("order_id", "item_order_id"), (F.col("order_id") == F.col("item_order_id")) & _within("order_seen", "detail_seen", tolerance))
-    return joined.drop("item_order_id", "order_seen", "detail_seen")
-
+    return match_within(order_side(orders, F.col(time).alias("seen")), detail_side(details, F.col(time).alias("seen")), tolerance)
 
-def join_orders_stream(
-    orders: DataFrame,
-    details: DataFrame,
-    tolerance: str = "120 seconds",
-    lateness: str = "120 seconds",
-    time: str = "ingest_ts",
-) -> DataFrame:
-    """Streaming form: both sides wait in state until the watermark has passed ``tolerance``.
 
-    An item sent twice comes out twice; the keyed sink keeps one row per order and item.
-    """
-    left = order_side(orders, F.col(time).alias("order_seen")).withWatermark("order_seen", lateness)
-    right = detail_side(details, F.col(time).alias("detail_seen")).withWatermark("detail_seen", lateness)
-    joined = left.join(
-        right.withColumnRenamed("order_id", "item_order_id"),
-        (F.col("order_id") == F.col("item_order_id")) & _within("order_seen", "detail_seen", tolerance),
-    )
+def match_within(placed: DataFrame, items: DataFrame, tolerance: str = "120 seconds") -> DataFrame:
+    """Rows of :func:`order_side` and :func:`detail_side`, each with its arrival ``seen``, that arrived within ``tolerance``."""
+    left = placed.withColumnRenamed("seen", "order_seen")
+    right = items.withColumnsRenamed({"seen": "detail_seen", "order_id": "item_order_id"})
+    joined = left.join(right, (F.col("order_id") == F.col("item_order_id")) & _within("order_seen", "detail_seen", tolerance))
     return joined.drop("item_order_id", "order_seen", "detail_seen")
 
 

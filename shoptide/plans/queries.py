@@ -348,14 +348,14 @@ def coupon_alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _alert_rows(jobs.standing(docs.read(spark)))
 
 
-def _order_messages(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bind.orders(tables.stream(spark, sf, "orders"), bind.order_arrival().alias("timestamp"))
+def _order_messages(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    rows = bind.orders(tables.replay(spark, sf, "orders", f"{run}/order-feed"), bind.order_arrival().alias("timestamp"))
     return bind.json_messages(rows, "id", "user_id", "order_status", "total_amount", "create_time", "consignee_tel")
 
 
-def _detail_messages(spark: SparkSession, sf: str) -> DataFrame:
+def _detail_messages(spark: SparkSession, sf: str, run: str) -> DataFrame:
     part = tables.read(spark, sf, "part")
-    rows = bind.details(tables.stream(spark, sf, "lineitem"), part, bind.detail_arrival().alias("timestamp"))
+    rows = bind.details(tables.replay(spark, sf, "lineitem", f"{run}/detail-feed"), part, bind.detail_arrival().alias("timestamp"))
     return bind.json_messages(rows, "id", "order_id", "sku_name", "sku_id", "order_price", "sku_num")
 
 
@@ -391,7 +391,7 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     first_versions = bind.users(tables.stream(spark, sf, "customer"), F.lit(1).alias("version"))
     known = _user_table(spark, first_versions, run)
     table = jobs.sale_table(f"{run}/table", partition_by_day=False)
-    writer = jobs.sale_details(_order_messages(spark, sf), _detail_messages(spark, sf), known, table, AS_OF)
+    writer = jobs.sale_details(_order_messages(spark, sf, run), _detail_messages(spark, sf, run), known, table, AS_OF)
     jobs.run_to_end(spark, writer, f"{run}/checkpoint")
     return table.read(spark).select("doc_id", *SALE_COLUMNS)
 

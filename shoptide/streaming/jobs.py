@@ -221,6 +221,11 @@ def sale_table(path: str, writer: str = "main", partition_by_day: bool = True) -
     return KeyedTable(path, columns, ["doc_id"], None, order, writer, cluster_by="dt")
 
 
+def side_table(table: KeyedTable, side: str, rows: DataFrame) -> KeyedTable:
+    """Every row of one side of the join, beside the sale table and sorted by arrival."""
+    return KeyedTable(f"{table.path}-{side}", rows.schema, ["order_id"], writer=table.writer, cluster_by="seen")
+
+
 def sale_details(
     order_messages: DataFrame,
     detail_messages: DataFrame,
@@ -228,23 +233,46 @@ def sale_details(
     table: KeyedTable,
     as_of: str | Column | None = None,
     tolerance: str = "120 seconds",
-    lateness: str = "120 seconds",
 ) -> DataStreamWriter:
     """Join orders and items that arrive within ``tolerance`` of each other, add the user as known
-    when the batch runs, and upsert by ``{order_id}-{order_detail_id}``."""
-    orders = order_rows(order_messages, "timestamp").withColumnRenamed("timestamp", "ingest_ts")
-    details = decoded(decode.decode(detail_messages, schemas.ORDER_DETAIL, keep=("timestamp",))).withColumnRenamed("timestamp", "ingest_ts")
-    joined = sale_detail.join_orders_stream(orders, details, tolerance, lateness)
+    when the batch runs, and upsert by ``{order_id}-{order_detail_id}``.
+
+    Both sides are stored, and each batch is matched with what is stored of the other side. There is no state and no
+    lateness: a row that is read long after its arrival finds its partner all the same.
+    """
+    orders = order_rows(order_messages, "timestamp")
+    details = decoded(decode.decode(detail_messages, schemas.ORDER_DETAIL, keep=("timestamp",)))
+    matchable = "order_id IS NOT NULL AND seen IS NOT NULL"
+    placed = sale_detail.order_side(orders, F.col("timestamp").alias("seen")).filter(matchable)
+    items = sale_detail.detail_side(details, F.col("timestamp").alias("seen")).filter(matchable)
+    sides = {"orders": (placed, side_table(table, "orders", placed)), "items": (items, side_table(table, "items", items))}
+    packed = [rows.select(F.struct(*rows.columns).alias(side)) for side, (rows, _) in sides.items()]
+
+    def near(stored: DataFrame, came: DataFrame) -> DataFrame:
+        """Stored rows that may match a row that came, by arrival and order."""
+        first, last = (F.timestamp_micros(F.lit(t).cast("bigint")) for t in came.agg(F.unix_micros(F.min("seen")), F.unix_micros(F.max("seen"))).first())
+        reach = F.expr(f"INTERVAL {tolerance}")
+        return near_keys(stored.filter(F.col("seen").between(first - reach, last + reach)), came, ["order_id"])
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        with adaptive(batch.sparkSession):
-            sales = sinks.staged(batch, f"{table.path}-staging/{table.writer}")
+        spark = batch.sparkSession
+        with adaptive(spark):
+            stored, came, before = {}, {}, {}
+            for side, (rows, kept) in sides.items():
+                kept.add(batch.filter(F.col(side).isNotNull()).select(f"{side}.*"), batch_id)
+                versions = kept.versions(spark)
+                own = (F.col("writer") == kept.writer) & (F.col("batch") == batch_id)
+                stored[side], came[side], before[side] = (v.select(*rows.columns) for v in (versions, versions.filter(own), versions.filter(~own)))
+            # What came on one side meets all of the other, and what had been there before meets what came.
+            found = sale_detail.match_within(came["orders"], near(stored["items"], came["orders"]), tolerance)
+            found = found.unionByName(sale_detail.match_within(near(before["orders"], came["items"]), came["items"], tolerance))
+            sales = sinks.staged(found, f"{table.path}-staging/{table.writer}")
             buyers = sales.select(F.col("user_id").alias("id"))
-            known = users_from.read(batch.sparkSession, only=buyers)
+            known = users_from.read(spark, only=buyers)
             rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
             table.add(sale_detail.with_doc_id(rows), batch_id)
 
-    return joined.writeStream.foreachBatch(add).outputMode("append")
+    return packed[0].unionByName(packed[1], allowMissingColumns=True).writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- malformed messages ---------------------------------------------------------------------

@@ -183,6 +183,21 @@ def test_sale_details_over_batches(spark, messages, tmp_path):
     assert rows_of(got.filter("dt = '2024-01-15'").select("dt").distinct()) == [("2024-01-15",)]
 
 
+def test_sale_partners_that_are_read_late_still_match(spark, messages, tmp_path):
+    orders, details = messages("orders"), messages("details")
+    # All partners arrive 10 s apart, but one of each pair is read two batches after rows that arrived an hour later.
+    orders.send(order("1", 10))
+    details.send(detail("d2", "2", 20))
+    for second in (4000, 8000):
+        orders.send(order(f"at{second}", second))
+        details.send(detail("d", f"at{second}", second))
+    orders.send(order("2", 10))
+    details.send(detail("d1", "1", 20), detail("d3", "1", 131))
+    table = jobs.sale_table(str(tmp_path / "sales"))
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), jobs.user_table(str(tmp_path / "nobody")), table, "2024-01-15"), tmp_path)
+    assert rows_of(table.read(spark), "doc_id") == [("1-d1",), ("2-d2",), ("at4000-d",), ("at8000-d",)]
+
+
 DOC = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("dt", T.StringType())])
 
 
