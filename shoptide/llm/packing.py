@@ -1,10 +1,11 @@
 """Packing of documents into token sequences: each seed document's window is filled with its lexical neighbours,
-found in a sharded BM25 index."""
+found in a sharded BM25 index with the statistics of the whole table."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -12,14 +13,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoptide.llm.common import written
+
 WINDOW = 2048
 END_ID = 1
-# A shard of the index: documents of one scan partition, closed at this many tokens.
+# A shard of the index: a stretch of the documents in the order of their rare terms, closed at this many tokens.
 SHARD_TOKENS = 1 << 18
 # White space of Python that is none for the tokenizer; such texts are encoded as a whole.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 K1, B = 1.2, 0.75
+# Rare terms that decide where a document is put.
+KEYS = 3
 
 
 class _Known(dict):
@@ -146,10 +151,45 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+@dataclass
+class Statistics:
+    """Of all documents: their number, their mean length, and term -> number of documents with it."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        return np.log1p((self.n - self.df[terms] + 0.5) / (self.df[terms] + 0.5))
+
+
+def postings(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the document, term, frequency), sorted by document and term."""
+    keys = np.concatenate(docs).astype(np.int64)
+    keys += np.repeat(np.arange(len(docs), dtype=np.int64) << 16, [len(d) for d in docs])
+    keys.sort()
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[new] >> 16, keys[new] & 0xFFFF, np.diff(new, append=len(keys))
+
+
+def rare_terms(docs: list[np.ndarray], stats: Statistics) -> np.ndarray:
+    """(document, KEYS): its terms of the greatest BM25 weight that another document has too, best first; -1 for none."""
+    number, term, tf = postings(docs)
+    sizes = np.array([len(d) for d in docs])
+    weight = stats.idf(term) * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * sizes / max(stats.mean, 1)))[number])
+    weight[stats.df[term] < 2] = -1
+    order = np.lexsort((term, -weight, number))
+    starts = np.searchsorted(number, np.arange(len(docs)))
+    at = starts[:, None] + np.arange(KEYS)
+    inside = at < np.append(starts[1:], len(number))[:, None]
+    best = order[np.minimum(at, len(number) - 1)]
+    return np.where(inside & (weight[best] >= 0), term[best], -1)
+
+
 class Index:
-    """BM25 over the documents of one shard; terms are token ids."""
+    """BM25 over the documents of one shard; terms are token ids. Without ``stats`` the statistics are the shard's."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], stats: Statistics | None = None):
         n = len(docs)
         sizes = np.array([len(d) for d in docs])
         keys = np.concatenate(docs).astype(np.int64 if n >> 15 else np.int32)
@@ -162,8 +202,8 @@ class Index:
         first = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
         self.terms, df = term[first], np.diff(first, append=len(term))
         self.first, self.df, self.n = first, df, n
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        damp = K1 * (1 - B + B * sizes / max(sizes.mean(), 1))
+        idf = stats.idf(self.terms) if stats else np.log1p((n - df + 0.5) / (df + 0.5))
+        damp = K1 * (1 - B + B * sizes / max(stats.mean if stats else sizes.mean(), 1))
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + damp[self.doc])
 
     def scores(self, doc: np.ndarray) -> np.ndarray:
@@ -176,7 +216,8 @@ class Index:
 class Packer:
     """Fills one window after the other; what is open stays open from shard to shard."""
 
-    def __init__(self, task: int):
+    def __init__(self, task: int, stats: Statistics | None = None):
+        self.stats = stats
         self.next_id = task << 32
         self.room = WINDOW
 
@@ -196,7 +237,7 @@ class Packer:
         """Every document once, as (number, piece). The first unused document is the seed; its unused neighbours
         follow by falling score (ties: by position) until its last window is full. The document that is cut at the
         end of a window opens the next one and is the next seed."""
-        index = Index(docs)
+        index = Index(docs, self.stats)
         unused = np.ones(len(docs), bool)
         seed, at = None, 0
         while True:
@@ -237,17 +278,21 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     last of a task is full. Repeated rows are packed each on its own; null identifiers are kept; other columns are
     not read; an empty table gives an empty table.
 
-    Nothing is shuffled: a shard of the index is a stretch of a scan partition with about ``shard_tokens`` ids,
-    which bounds memory whatever a source or group of copies holds.
+    Document frequencies and the mean length are those of all rows. Rows are dealt out by range over their
+    ``KEYS`` rarest terms and their place, so that documents which share them come together whatever file they were in, and
+    a group of any size is spread over tasks by its further terms and then by its rows. A shard of the index is a stretch
+    of that order with about ``shard_tokens`` ids, which bounds memory; neighbours are sought in it only.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    id_arrow = "_id"
+    tokens = written(_tokenized(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), path), "packing")
+    shared = tokens.sparkSession.sparkContext.broadcast(statistics(tokens))  # a number per token of the vocabulary
+    order = [*[f"_k{k}" for k in range(KEYS)], "_at"]
+    dealt = _keyed(tokens, shared).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = dealt.select("_id", "_ids")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = ChunkTokenizer(path)  # it goes with the task, as other stages use the same workers
-        packer = Packer(TaskContext.get().partitionId())
+        packer = Packer(TaskContext.get().partitionId(), shared.value)
         ids: list = []
         shard: list[np.ndarray] = []
         held = 0
@@ -263,25 +308,82 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
 
         for batch in batches:
             id_kind = batch.column(0).type
-            texts = batch.column(1)
-            for start in range(0, batch.num_rows, 256):
-                part = texts.slice(start, 256).to_pylist()
-                names = batch.column(0).slice(start, 256).to_pylist()
-                for name, doc in zip(names, tokenizer.encode(part), strict=True):
-                    ids.append(name)
-                    shard.append(np.append(doc, np.uint16(END_ID)))
-                    held += len(doc) + 1
-                    if held >= shard_tokens:
-                        yield from close()
-                        ids, shard, held = [], [], 0
+            for name, doc in zip(batch.column(0).to_pylist(), _arrays(batch.column(1)), strict=True):
+                ids.append(name)
+                shard.append(doc)
+                held += len(doc)
+                if held >= shard_tokens:
+                    yield from close()
+                    ids, shard, held = [], [], 0
         if shard:
             yield from close()
-        del tokenizer, shard, ids
+        del shard, ids
         pa.default_memory_pool().release_unused()
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    schema = f"{id_arrow} {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
+    schema = f"_id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     return rows.mapInArrow(pieces, schema).withColumnRenamed("_id", id_col)
 
 
 NAMES = ["_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(ids, "<u2") for ids in column.to_pylist()]
+
+
+def _tokenized(rows: DataFrame, path: str) -> DataFrame:
+    """(_id, _at, _ids): ids as unsigned 16-bit numbers with ``END_ID`` behind; ``_at`` tells rows apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        tokenizer = ChunkTokenizer(path)  # it goes with the task, as other stages use the same workers
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                docs = [np.append(doc, np.uint16(END_ID)).astype("<u2").tobytes() for doc in tokenizer.encode(part.column(1).to_pylist())]
+                places = pa.array(np.arange(at, at + len(docs)))
+                at += len(docs)
+                yield pa.RecordBatch.from_arrays([part.column(0), places, pa.array(docs, pa.binary())], ["_id", "_at", "_ids"])
+        del tokenizer
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _at bigint, _ids binary")
+
+
+def statistics(tokens: DataFrame) -> Statistics:
+    """Of all documents (_ids); each task sends a number per token of the vocabulary at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, size = np.zeros(1 << 16, np.int64), 0, 0
+        for batch in batches:
+            docs = _arrays(batch.column(0))
+            if docs:
+                df += np.bincount(postings(docs)[1], minlength=1 << 16)
+                n += len(docs)
+                size += sum(map(len, docs))
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *terms.tolist()], pa.int64()), pa.array([size, n, *df[terms].tolist()], pa.int64())], ["term", "n"])
+
+    found = tokens.select("_ids").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counts = {r.term: r.n for r in found}
+    size, n = counts.pop(-2, 0), counts.pop(-1, 0)
+    df = np.zeros(1 << 16, np.int64)
+    df[list(counts)] = list(counts.values())
+    return Statistics(n, size / max(n, 1), df)
+
+
+def _keyed(tokens: DataFrame, shared) -> DataFrame:
+    """``tokens`` with the rare terms of each row as ``_k0``, ``_k1``, ..."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = rare_terms(_arrays(batch.column(2)), shared.value)
+                columns = [pa.array(keys[:, k].astype(np.int32)) for k in range(KEYS)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *[f"_k{k}" for k in range(KEYS)]])
+
+    fields = ", ".join(f"_k{k} int" for k in range(KEYS))
+    return tokens.select("_id", "_at", "_ids").mapInArrow(run, f"_id {tokens.schema['_id'].dataType.simpleString()}, _at bigint, _ids binary, {fields}")

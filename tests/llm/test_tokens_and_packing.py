@@ -73,6 +73,29 @@ def test_neighbours_follow_their_seed():
     assert order == [0, 2, 1, 3]
 
 
+def test_related_documents_meet_whatever_their_place(spark):
+    # Twins lie in the two halves of the table; a shard holds a few documents of the forty only.
+    words = [f"{a}{b}" for a in ("ocean", "violin", "marble", "tiger", "castle", "engine", "pepper", "winter") for b in ("stone", "berry", "light", "craft", "house")]
+    twins = [" ".join(["the house and the light of the day"] * 4 + [w] * 5) for w in words]
+    df = spark.createDataFrame(list(enumerate(twins + twins)), "doc_id long, text string").repartitionByRange(4, "doc_id")
+    rows = sorted(packing.pack(df, WORDS, shard_tokens=400).collect(), key=lambda r: (r.sequence_id, r.offset))
+    place = {}
+    for r in rows:
+        place.setdefault(r.doc_id, len(place))
+    near = sum(abs(place[i] - place[i + len(words)]) <= 8 for i in range(len(words)))
+    assert len(place) == 80 and near >= 0.8 * len(words)
+
+
+def test_statistics_are_those_of_all_documents(spark):
+    docs = [np.array(d, np.uint16) for d in ([5, 5, 7], [5, 9], [7])]
+    df = spark.createDataFrame([(d.tobytes(),) for d in docs], "_ids binary").repartition(3)
+    stats = packing.statistics(df)
+    assert (stats.n, stats.mean, stats.df[[5, 7, 9, 1]].tolist()) == (3, 2.0, [2, 2, 1, 0])
+    assert packing.rare_terms(docs, stats).tolist() == [[5, 7, -1], [5, -1, -1], [7, -1, -1]]
+    assert np.allclose(packing.Index(docs, stats).scores(docs[0]), packing.Index(docs).scores(docs[0]))
+    assert packing.statistics(df.limit(0)).n == 0
+
+
 def check_pieces(rows, texts, library):
     """Every id in one piece, gapless sequences of at most 2048, all but the last of a task full."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
