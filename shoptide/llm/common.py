@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoptide.operators.keyed import SLOTS, near_keys
@@ -48,6 +48,26 @@ def without(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     return free.unionByName(near_keys(df, gone, keys).join(gone.select(*keys), keys, "left_anti").select(*df.columns))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, as_name: str) -> DataFrame:
+    """``df`` with its rows numbered from 1 in ``order`` as the column ``name``.
+
+    Rows are dealt out by range and written once. Each range is numbered on its own and starts where the ones before
+    it end; only their sizes, one number per task, come to the driver. Give an order without ties, so that a hot
+    value is spread over ranges.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, as_name)
+    sizes = ranged.groupBy("_part").count()
+    start, starts = 0, []
+    for part, size in sorted(sizes.collect()):
+        starts.append((part, start))
+        start += size
+    before = F.broadcast(spark.createDataFrame(starts, "_part int, _start long"))
+    row = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.join(before, "_part").withColumn(name, F.col("_start") + row).drop("_part", "_start")
+
+
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
     """Batches of rows sorted by their first ``keys`` integer columns, cut so that no run of equal keys is split,
     each with the (start, end) of its runs. Only the run that a batch ends with is held back."""
