@@ -19,62 +19,66 @@ QUERY_STEP = 50
 # Vectors of a block, which has sorted lists of its own; queries that travel together; blocks that a task goes through
 # with the same queries, so that the scores of the first ones shorten the reading of the others.
 BLOCK, QUERIES, CHAIN = 4096, 256, 8
-# Share of the lists that is read before the bounds are looked at first; it doubles each time.
-FIRST_READ = 32
+# Depths at which the reading of a list may stop; steps that it goes on to tell vectors apart that were met, and the share
+# of a block that may be left then.
+STEPS, FURTHER, FEW = 64, 8, 8
 
 
 class SortedLists:
-    """A block of vectors with a list per component: (value, vector) from the smallest value to the largest."""
+    """A block of vectors with two lists per component, from the largest value down and from the smallest one up."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.order = np.argsort(x, axis=0, kind="stable")
-        self.values = np.take_along_axis(x, self.order, axis=0)
+        up = np.argsort(x.T, axis=1, kind="stable")
+        self.order = np.concatenate((up[:, ::-1], up))
+        self.values = np.take_along_axis(np.concatenate((x.T, x.T)), self.order, axis=1).astype(np.float64)
+        # Depths at which reading may stop.
+        self.depths = np.unique(np.ceil(np.arange(1, STEPS + 1) * len(x) / STEPS).astype(np.int64))
 
     def candidates(self, query: np.ndarray, top: int, floor: float, slack: float = 0.0) -> np.ndarray:
         """Vectors that may be among the ``top`` best or reach ``floor``, a score that ``top`` vectors of other
         blocks reach: all others score less than ``top`` vectors that are known.
 
         Each list is read from the end that raises the score: downwards for a positive component of the query,
-        upwards for a negative one. A vector's lower bound takes the worst value of each list it was not met in,
-        its upper bound the value last read there.
+        upwards for a negative one, all to the same depth. A vector's lower bound takes the worst value of each list it
+        was not met in, its upper bound the value last read there. Reading stops where a vector that was met in no list
+        cannot qualify: its upper bound is the sum of the values last read.
         """
         size = len(self.x)
         used = np.flatnonzero(query)
-        q = query[used]
-        worst = q * np.where(q > 0, self.values[0, used], self.values[-1, used])
-        falling = q > 0
-        lower = np.full(size, worst.sum(), np.float64)
-        read = 0
+        q = query[used].astype(np.float64)
+        lists = np.where(q > 0, used, used + self.x.shape[1])
+        frontier = self.values[lists][:, self.depths - 1] * q[:, None]
+        outside = frontier.sum(axis=0)
+        worst = frontier[:, -1]
+        lower = np.full(size, worst.sum())
+        bound, read = floor - slack, 0
         while True:
-            depth = min(size, max(1, size // FIRST_READ) if not read else 2 * read)
-            found, values = self._read(used, falling, read, depth)
-            lower += np.bincount(found.ravel(), (values * q - worst).ravel(), size)
+            # Straight to where outsiders cannot reach the bound; in larger and larger steps while none is known.
+            known = np.flatnonzero(outside < bound)
+            step = int(known[0]) if len(known) else len(self.depths) - 1
+            if floor == -np.inf:
+                step = min(step, int(np.searchsorted(self.depths, min(size, max(2 * read, 1)))))
+            depth = int(self.depths[step])
+            if floor == -np.inf and size >= top:
+                lower += self._sums(lists, read, depth, q, worst)
+                bound = max(bound, np.partition(lower, size - top)[size - top] - slack)
             read = depth
-            if read == size:
-                frontier = worst
-            else:
-                _, last = self._read(used, falling, read - 1, read)
-                frontier = (last * q)[0]
-            bound = floor
-            if size >= top:
-                bound = max(bound, np.partition(lower, size - top)[size - top])
-            bound -= slack
-            # No vector that was met in no list reaches the bound.
-            if read == size or frontier.sum() < bound:
+            if read == size or outside[step] < bound:
                 break
-        found, _ = self._read(used, falling, 0, read)
-        open_lists = (frontier - worst).sum() - np.bincount(found.ravel(), np.broadcast_to(frontier - worst, found.shape).ravel(), size)
-        return np.flatnonzero(lower + open_lists >= bound)
-
-    def _read(self, used: np.ndarray, falling: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(vectors, values) of the entries ``start`` to ``end`` of the lists, counted from the end they are read from."""
-        size = len(self.x)
-        up, down = slice(start, end), slice(size - end, size - start)
-        found, values = np.empty((end - start, len(used)), np.int64), np.empty((end - start, len(used)), np.int64)
-        found[:, falling], values[:, falling] = self.order[down][::-1][:, used[falling]], self.values[down][::-1][:, used[falling]]
-        found[:, ~falling], values[:, ~falling] = self.order[up][:, used[~falling]], self.values[up][:, used[~falling]]
-        return found, values
+        # Some steps further, until few are left of those that were met.
+        while True:
+            step = min(step + FURTHER, len(self.depths) - 1)
+            read = int(self.depths[step])
+            upper = outside[step] + self._sums(lists, 0, read, q, frontier[:, step])
+            found = np.flatnonzero(upper >= bound)
+            if read == size or len(found) <= max(top, size // FEW):
+                return found
+
+    def _sums(self, lists: np.ndarray, start: int, end: int, q: np.ndarray, less: np.ndarray) -> np.ndarray:
+        """By vector, what the entries ``start`` to ``end`` of the lists add to a sum of ``less`` over all lists."""
+        found = self.order[lists, start:end]
+        return np.bincount(found.ravel(), (self.values[lists, start:end] * q[:, None] - less[:, None]).ravel(), len(self.x))
 
 
 def best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
