@@ -5,14 +5,14 @@ Event input: ``mid, uid, itemid, evid, ts`` (epoch milliseconds) and, if wanted,
 settles the order of events with equal ``ts``.
 
 A window of 5 minutes that slides by 5 seconds puts every event into 60 windows. So the windows
-are decided on a small set of facts (distinct accounts and clicks per pane, a pane being one
-slide), and only for stretches of time in which enough accounts met on the device. Whole events
-are touched only for the windows that raise an alert.
+are decided by a sweep over a small set of facts (distinct accounts and clicks per pane, a pane being
+one slide): each fact counts up when windows begin to hold it and down when they cease to. Whole
+events are touched only for the windows that raise an alert.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptide.functions import doc_id, minute_of
@@ -53,46 +53,67 @@ def event_facts(events: DataFrame, slide_ms: int) -> DataFrame:
     )
 
 
-def _promising(facts: DataFrame, size_ms: int, accounts: int) -> DataFrame:
-    """Facts in stretches where a window could reach the number of accounts.
+# A sweep goes over stretches of so many window lengths, each on its own.
+SWEEP_SIZES = 12
 
-    A window lies in two neighbouring blocks of its own length, so a pair of blocks with too few
-    accounts holds no alert.
-    """
-    block = _block(F.col("pane"), size_ms)
-    pairs = (
-        facts.filter(~F.col("clicked"))
-        .select("mid", "uid", F.explode(F.array(block - 1, block)).alias("pair"))
-        .distinct()
-        .groupBy("mid", "pair")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= accounts)
-    )
-    blocks = pairs.select("mid", F.explode(F.array(F.col("pair"), F.col("pair") + 1)).alias("block")).distinct()
-    return facts.withColumn("block", block).join(blocks, ["mid", "block"], "left_semi").drop("block")
 
+def _changes(facts: DataFrame, keys: list[str], size_ms: int, slide_ms: int, *counts: Column) -> DataFrame:
+    """(mid, stretch, at, accounts, clicks): at the window end ``at`` the number of accounts or clicks in the window changes.
 
-def flagged_windows(facts: DataFrame, size_ms: int, slide_ms: int, accounts: int = 3) -> DataFrame:
-    """(mid, window_end) of the windows that raise an alert. Times are epoch milliseconds."""
+    A fact in ``pane`` is in the windows that end from ``pane + slide`` to ``pane + size``. Up to the next fact with the same
+    ``keys`` the fact counts itself, from there on that one does, so a stay of any length is a chain of spans
+    without overlap. Spans are cut where a stretch ends.
+    """
+    following = F.lead("pane").over(Window.partitionBy(*keys).orderBy("pane"))
+    end = F.least(F.col("pane") + size_ms, F.coalesce(following, F.col("pane") + size_ms)) + slide_ms
+    spans = facts.select(*keys, "pane").distinct().select("mid", (F.col("pane") + slide_ms).alias("start"), end.alias("end"))
+    width = SWEEP_SIZES * size_ms
+    touched = F.array_distinct(F.array(_block(F.col("start"), width), _block(F.col("end") - 1, width)))
+    spans = spans.select("mid", "start", "end", F.explode(touched).alias("stretch"))
+    first, after = F.col("stretch") * width, (F.col("stretch") + 1) * width
+    change = lambda at, sign: F.struct(at.alias("at"), *[(c * sign).alias(n) for c, n in zip(counts, ("accounts", "clicks"), strict=True)])
+    ends = F.when(F.col("end") < after, change(F.col("end"), -1))
+    both = F.array_compact(F.array(change(F.greatest("start", first), 1), ends))
+    return spans.select("mid", "stretch", F.inline(both))
+
+
+def flagged_spans(facts: DataFrame, size_ms: int, slide_ms: int, accounts: int = 3) -> DataFrame:
+    """(mid, start, end): stretches of window ends, ``start`` to before ``end``, whose windows raise an alert.
+
+    A sweep over the times at which an account enters or leaves the window, instead of a copy of each fact per window:
+    every fact counts up once and down once. A stretch of ``SWEEP_SIZES`` window lengths is swept on its
+    own, so a device with a share of all events is spread over tasks. Times are epoch milliseconds, a missing account counts
+    as an account.
+    """
     _check(size_ms, slide_ms)
-    # Repeats within a pane go before the windows multiply what is left.
-    kept = _promising(facts, size_ms, accounts) if size_ms > 2 * slide_ms else facts
-    ends = F.sequence(F.col("pane") + slide_ms, F.col("pane") + size_ms, F.lit(slide_ms).cast("bigint"))
-    return (
-        kept.distinct()
-        .select("mid", "clicked", "uid", F.explode(ends).alias("window_end"))
-        .distinct()
-        .groupBy("mid", "window_end")
-        .agg(F.bool_or("clicked").alias("vetoed"), F.count("*").alias("n"))
-        .filter((F.col("n") >= accounts) & ~F.col("vetoed"))
-        .select("mid", "window_end")
+    one, none = F.lit(1), F.lit(0)
+    facts = facts.filter("mid IS NOT NULL")
+    took = _changes(facts.filter(~F.col("clicked")), ["mid", "uid"], size_ms, slide_ms, one, none)
+    clicks = _changes(facts.filter("clicked"), ["mid"], size_ms, slide_ms, none, one)
+    changes = took.unionByName(clicks).groupBy("mid", "stretch", "at").agg(F.sum("accounts").alias("accounts"), F.sum("clicks").alias("clicks"))
+    along = Window.partitionBy("mid", "stretch").orderBy("at")
+    running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = (F.col("stretch") + 1) * (SWEEP_SIZES * size_ms)
+    swept = changes.select(
+        "mid",
+        F.col("at").alias("start"),
+        F.coalesce(F.lead("at").over(along), after).alias("end"),
+        F.sum("accounts").over(running).alias("n"),
+        F.sum("clicks").over(running).alias("clicks"),
     )
+    return swept.filter((F.col("n") >= accounts) & (F.col("clicks") == 0)).select("mid", "start", "end")
 
 
-def last_of_minute(windows: DataFrame) -> DataFrame:
-    """The last flagged window of each device and minute."""
-    minute = _floor_to(F.col("window_end"), MS_PER_MINUTE)
-    return windows.groupBy("mid", minute.alias("minute")).agg(F.max("window_end").alias("window_end")).drop("minute")
+def last_of_minute(spans: DataFrame, slide_ms: int) -> DataFrame:
+    """(mid, window_end): the last flagged window of each device and minute. Rows are made per alert, not per window."""
+    last = F.col("end") - slide_ms
+    if slide_ms % MS_PER_MINUTE == 0:  # at most one window ends in a minute
+        return spans.select("mid", F.explode(F.sequence("start", last, F.lit(slide_ms).cast("bigint"))).alias("window_end"))
+    minutes = F.sequence(_floor_to(F.col("start"), MS_PER_MINUTE), _floor_to(last, MS_PER_MINUTE), F.lit(MS_PER_MINUTE).cast("bigint"))
+    placed = spans.select("mid", "start", last.alias("last"), F.explode(minutes).alias("minute"))
+    end = F.least("last", _floor_to(F.col("minute") + MS_PER_MINUTE - 1, slide_ms))
+    placed = placed.select("mid", "minute", "start", end.alias("window_end")).filter((F.col("window_end") >= F.col("minute")) & (F.col("window_end") >= F.col("start")))
+    return placed.groupBy("mid", "minute").agg(F.max("window_end").alias("window_end")).drop("minute")
 
 
 def _documents(windows: DataFrame, panes: DataFrame, size_ms: int) -> DataFrame:
@@ -141,7 +162,7 @@ def coupon_alerts(events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_0
     Events without a device belong to none and raise no alert.
     """
     events = events.withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
-    alerts = last_of_minute(flagged_windows(event_facts(events, slide_ms), size_ms, slide_ms, accounts))
+    alerts = last_of_minute(flagged_spans(event_facts(events, slide_ms), size_ms, slide_ms, accounts), slide_ms)
     took = F.col("evid") == COUPON
     none = F.array()
     rows = events.select(
@@ -175,10 +196,31 @@ def pane_rows(events: DataFrame, slide_ms: int = 5_000, tie: str | None = None)
     )
 
 
-def pane_alerts(panes: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3) -> DataFrame:
-    """Streaming form, part two: alert documents from all stored pane rows; equals the batch form."""
+def touched_minutes(panes: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
+    """(mid, minute): the minutes whose last window may change when something comes into ``panes`` (mid, pane)."""
+    if slide_ms % MS_PER_MINUTE == 0:
+        minutes = F.sequence(F.col("pane") + slide_ms, F.col("pane") + size_ms, F.lit(slide_ms).cast("bigint"))
+    else:
+        minutes = F.sequence(_floor_to(F.col("pane") + slide_ms, MS_PER_MINUTE), _floor_to(F.col("pane") + size_ms, MS_PER_MINUTE), F.lit(MS_PER_MINUTE).cast("bigint"))
+    return panes.filter("mid IS NOT NULL").select("mid", F.explode(minutes).alias("minute")).select("mid", _floor_to(F.col("minute"), MS_PER_MINUTE).alias("minute")).distinct()
+
+
+def near_panes(stored: DataFrame, came: DataFrame, size_ms: int) -> DataFrame:
+    """Stored pane rows that windows over the minutes touched by ``came`` (mid, pane) may hold."""
+    width = size_ms + MS_PER_MINUTE
+    block = _block(F.col("pane"), width)
+    blocks = came.filter("mid IS NOT NULL").select("mid", F.explode(F.array(block - 1, block, block + 1)).alias("block")).distinct()
+    placed = stored.withColumn("block", block)
+    return near_keys(placed, blocks, ["mid", "block"]).join(blocks, ["mid", "block"], "left_semi").drop("block")
+
+
+def pane_alerts(panes: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3, only: DataFrame | None = None) -> DataFrame:
+    """Streaming form, part two: alert documents from all stored pane rows; equals the batch form. ``only`` limits
+    them to some minutes (mid, minute)."""
     took = panes.select("mid", "pane", F.lit(False).alias("clicked"), F.explode("uids").alias("u"))
     clicks = panes.filter("clicked").select("mid", "pane", "clicked", F.lit(None).cast("string").alias("uid"))
     facts = took.select("mid", "pane", "clicked", "u.uid").unionByName(clicks)
-    alerts = last_of_minute(flagged_windows(facts, size_ms, slide_ms, accounts))
+    alerts = last_of_minute(flagged_spans(facts, size_ms, slide_ms, accounts), slide_ms)
+    if only is not None:
+        alerts = alerts.withColumn("minute", _floor_to(F.col("window_end"), MS_PER_MINUTE)).join(only, ["mid", "minute"], "left_semi").drop("minute")
     return _documents(alerts, panes.withColumnRenamed("pane", "at"), size_ms)

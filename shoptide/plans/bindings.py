@@ -68,10 +68,16 @@ def event_messages(events: DataFrame) -> DataFrame:
 
 
 def device_messages(events: DataFrame) -> DataFrame:
-    """(value, stamp): device logs before intake. Sign-ups count as start-ups, errors have no type."""
+    """(value, stamp): device logs before intake. Sign-ups count as start-ups, errors have no type. Some have white space
+    around them or a ``ts`` in their body, and every 17th is followed by something else, so that it is no JSON."""
     kind = F.when(F.col("event_type") == "signup", "startup").otherwise("event")
+    nested = F.when(F.col("event_id") % 11 == 3, F.lit(',"more":{"ts":5}')).otherwise("")
+    ends = {1: "\n", 2: "\t", 3: "\r\n", 4: " }", 5: " x"}
+    end = F.lit("")
+    for rest, text_after in ends.items():
+        end = F.when(F.col("event_id") % 17 == rest, F.lit(text_after)).otherwise(end)
     typed = F.when(F.col("event_type") == "error", "").otherwise(F.concat(F.lit('"type":"'), kind, F.lit('",')))
-    value = F.concat(F.lit('{"mid":"'), text("user_id"), F.lit('",'), typed, F.lit('"ts":1,"price":1.50,"serial":123456789012345678901234567890,"body":'), F.col("props"), F.lit("}"))
+    value = F.concat(F.lit('{"mid":"'), text("user_id"), F.lit('",'), typed, F.lit('"ts":1,"price":1.50,"serial":123456789012345678901234567890,"body":'), F.col("props"), nested, F.lit("}"), end)
     return events.select(value.alias("value"), _ms("ts").alias("stamp"))
 
 

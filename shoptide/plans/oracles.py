@@ -99,9 +99,10 @@ DEVICE = """device AS (
   SELECT CASE WHEN event_type = 'signup' THEN 'startup_log' ELSE 'event_log' END AS topic,
          '{"mid":"' || user_id || '",'
          || CASE event_type WHEN 'signup' THEN '"type":"startup",' WHEN 'error' THEN '' ELSE '"type":"event",' END
-         || '"price":1.50,"serial":123456789012345678901234567890,"body":' || props || ',"ts":' || epoch_us(ts) // 1000 || '}' AS value,
+         || CASE WHEN event_id % 11 = 3 THEN '"price":1.5' ELSE '"price":1.50' END || ',"serial":123456789012345678901234567890,"body":'
+         || CASE WHEN event_id % 11 = 3 THEN replace(props, ': ', ':') || ',"more":{"ts":5}' ELSE props END || ',"ts":' || epoch_us(ts) // 1000 || '}' AS value,
          strftime(ts, '%Y-%m-%d') AS log_date
-  FROM events)"""
+  FROM events WHERE event_id % 17 NOT IN (4, 5))"""
 
 SIZE, SLIDE, K = ALERT["size_ms"], ALERT["slide_ms"], ALERT["accounts"]
 ALERTS = f"""WITH {EVENT_LOGS}, placed AS (

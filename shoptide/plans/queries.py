@@ -102,7 +102,7 @@ def cdc_flatten(spark: SparkSession, sf: str) -> DataFrame:
 @query("log_route")
 def log_route(spark: SparkSession, sf: str) -> DataFrame:
     sent = bind.device_messages(_t(spark, sf, "events"))
-    return logs.route(sent, F.col("stamp")).select("topic", "value")
+    return logs.route(sent, F.col("stamp")).filter("NOT malformed").select("topic", "value")
 
 
 # --- projections ------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
     python -m shoptide.plans.serving total --date 2024-01-15 --dau /tables/dau --orders /tables/orders
     python -m shoptide.plans.serving hours --id dau --date 2024-01-15 --dau ... --orders ...
-    python -m shoptide.plans.serving alerts --date 2024-01-15 --panes /tables/panes --out /reports/alerts
+    python -m shoptide.plans.serving alerts --date 2024-01-15 --docs /tables/alerts --out /reports/alerts
     python -m shoptide.plans.serving sales --date 2024-01-15 --keyword red --page 1 --size 20 --sales /tables/sales
 
 The reports come as one JSON text each; they are small by nature: three totals, at most 48 hours,
@@ -81,9 +81,12 @@ def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page:
     return reports.sale_detail_report(jobs.sale_table(sales).read(spark), date, keyword, page, size)
 
 
-def stored_alerts(spark: SparkSession, panes: str, date: str, **window: int) -> DataFrame:
-    """Alerts of a day. Its first windows reach into the day before, so two days are read."""
-    days = on_dates(jobs.pane_table(panes).read(spark), "dt", date, reports.day_before(date))
+def stored_alerts(spark: SparkSession, panes: str, date: str, docs: str = "", **window: int) -> DataFrame:
+    """Alerts of a day: the documents that the alerts job keeps in ``docs`` and that still stand, or, of a job that keeps none,
+    decided from its panes. A day's first windows reach into the day before, so two days of panes are read."""
+    if docs:
+        return on_dates(jobs.standing(jobs.alert_table(docs).read(spark, folders=[date])), "dt", date)
+    days = jobs.pane_table(panes).read(spark, folders=[date, reports.day_before(date)])
     return alerts.pane_alerts(days, **window).filter(F.col("dt") == date)
 
 
@@ -91,7 +94,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide.plans.serving", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("report", choices=["total", "hours", "sales", "alerts"])
     parser.add_argument("--date", required=True)
-    for name in ("--id", "--dau", "--orders", "--sales", "--panes", "--out", "--keyword"):
+    for name in ("--id", "--dau", "--orders", "--sales", "--panes", "--docs", "--out", "--keyword"):
         parser.add_argument(name, default="")
     parser.add_argument("--page", type=int, default=1)
     parser.add_argument("--size", type=int, default=20)
@@ -99,7 +102,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(f"shoptide-{args.report}")
     if args.report == "alerts":
-        stored_alerts(spark, args.panes, args.date).write.json(args.out)
+        stored_alerts(spark, args.panes, args.date, args.docs).write.json(args.out)
         return
     if args.report == "total":
         out = total_json(stored_totals(spark, args.dau, args.orders, args.date))

@@ -9,9 +9,12 @@ from shoptide import schemas
 from shoptide.functions import epoch_ms
 
 
-# A member "ts" with a plain value.
+# White space of JSON, and a member "ts" with a plain value.
+SPACE = " \t\n\r"
 TS_NAME = r'"ts"\s*:'
 TS_MEMBER = r'"ts"\s*:\s*(-?[0-9][0-9.eE+-]*|"[^"\\]*"|null|true|false)\s*,?\s*'
+# Names that are escaped, and strings in single quotes, which the parser takes and JSON does not know.
+ODD_TEXT = r"\\u|[,:{\[]\s*'"
 
 
 def route(
@@ -24,33 +27,26 @@ def route(
     """(topic, value, ts, malformed): the log with its ``ts`` set and the topic it belongs to.
 
     ``ts`` replaces any sent by the device. A start-up log goes to one topic, every other one,
-    also one without a type, to the other. Text that is no JSON object has ``malformed`` set and
-    keeps its value, without a topic.
+    also one without a type, to the other. Text that is no JSON object, or has something other than white space
+    behind one, has ``malformed`` set and keeps its value, without a topic.
     """
     at = F.unix_millis(F.current_timestamp()) if stamp is None else stamp
-    fields = F.expr(f"from_json({value}, 'map<string,variant>')")
-    parsed = df.select(F.col(value).alias("sent"), at.cast("bigint").alias("ts"), fields.alias("m"))
-    parsed = parsed.withColumn("others", F.to_json(F.expr("map_filter(m, (k, v) -> k <> 'ts')")))
-    # The text is kept as it was sent, numbers and all. Only a log with several members of that name is written anew
-    # from its parsed fields, where 1.50 becomes 1.5.
-    found = F.regexp_count("sent", F.lit(TS_NAME))
-    has = F.expr("map_contains_key(m, 'ts')")
-    text = F.trim("sent")
-    without = F.regexp_replace(F.regexp_replace(text, TS_MEMBER, ""), r",\s*\}$", "}")
-    plain = F.when(found == 0, text).when(has & (found == 1) & text.rlike(TS_MEMBER), without)
-    others = F.coalesce(plain, F.col("others"))
-    inner = F.rtrim(F.substr(others, F.lit(1), F.length(others) - 1))
-    body = F.when(F.regexp_like(others, F.lit(r"^\{\s*\}$")), "{").otherwise(F.concat(inner, F.lit(",")))
-    stamped = F.concat(body, F.lit('"ts":'), F.col("ts").cast("string"), F.lit("}"))
-    kind = F.get_json_object("sent", "$.type")
-    bad = F.col("others").isNull()
+    # The parser stops at the end of a value. An empty object behind it shows whether there is anything else.
+    pair = F.expr(f"from_json('[' || {value} || ',{{}}]', 'array<map<string,variant>>')")
+    parsed = df.select(F.trim(F.col(value), F.lit(SPACE)).alias("text"), F.col(value).alias("sent"), at.cast("bigint").alias("ts"), pair.alias("pair"))
+    parsed = parsed.select("text", "sent", "ts", F.when((F.size("pair") == 2) & F.endswith("text", F.lit("}")), F.get("pair", F.lit(0))).alias("m"))
+    # The text is kept as it was sent, numbers and all. Only a log whose "ts" is not plain to see is written anew from
+    # its parsed fields, where 1.50 becomes 1.5.
+    named = F.regexp_count("text", F.lit(TS_NAME))
+    seen = F.when(F.expr("map_contains_key(m, 'ts')"), (named == 1) & F.col("text").rlike(TS_MEMBER)).otherwise(named == 0)
+    others = F.when(seen & ~F.col("text").rlike(ODD_TEXT), F.regexp_replace("text", TS_MEMBER, "")).otherwise(F.to_json(F.expr("map_filter(m, (k, v) -> k <> 'ts')")))
+    # Without the last brace and a comma that is left over; an object without members gets no comma.
+    members = F.regexp_replace(F.concat(F.regexp_replace(others, r"\s*,?\s*\}$", ""), F.lit(",")), r"^\{\s*,$", "{")
+    stamped = F.concat(members, F.lit('"ts":'), F.col("ts").cast("string"), F.lit("}"))
+    kind = F.expr("try_variant_get(element_at(m, 'type'), '$', 'string')")
     topic = F.when(kind.eqNullSafe(F.lit("startup")), F.lit(startup_topic)).otherwise(F.lit(event_topic))
-    return parsed.select(
-        F.when(~bad, topic).alias("topic"),
-        F.when(bad, F.col("sent")).otherwise(stamped).alias("value"),
-        "ts",
-        bad.alias("malformed"),
-    )
+    bad = F.col("m").isNull()
+    return parsed.select(F.when(~bad, topic).alias("topic"), F.when(bad, F.col("sent")).otherwise(stamped).alias("value"), "ts", bad.alias("malformed"))
 
 
 def archive_rows(routed: DataFrame) -> DataFrame:

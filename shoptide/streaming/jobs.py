@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import schemas
-from shoptide.functions import doc_id, mask_phone, minute_of, with_log_time, with_order_time
+from shoptide.functions import mask_phone, with_log_time, with_order_time
 from shoptide.operators import alerts, dedup, sale_detail
 from shoptide.operators.keyed import near_keys
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
@@ -168,28 +168,33 @@ def coupon_alert_docs(
 ) -> DataStreamWriter:
     """Store the panes, and the alert documents of the minutes that a batch touches.
 
-    The windows over a batch's panes are decided again from the stored panes of its devices, of the batch's days and
-    their neighbours only; windows are at most a day long. A document that no longer stands is marked as withdrawn.
+    The windows over those minutes are decided again from the stored panes near them, which are read of the batch's days and
+    their neighbours only; windows are at most a day long. What has changed is compared with the documents as they stood
+    before the batch, and a document that no longer stands is marked as withdrawn. A batch that is run again stores the same.
     """
+    attempts = sinks.Attempts(panes, docs)
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        work = f"{docs.path}-staging/{docs.writer}"
         with adaptive(spark):
+            attempts.clear(spark, batch_id)
             rows = alerts.pane_rows(batch, slide_ms, tie).withColumn("part", F.lit(f"{panes.writer}:{batch_id}"))
+            rows = sinks.staged(rows, f"{work}/came")
             panes.add(rows, batch_id)
-            came = panes.versions(spark).filter((F.col("writer") == panes.writer) & (F.col("batch") == batch_id)).select("mid", "pane", "dt").distinct()
+            came = rows.select("mid", "pane").distinct()
             near_days = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.date_add(F.col("dt").cast("date"), d).cast("string"))
-            days = [r.dt for r in came.select(F.explode(near_days).alias("dt")).distinct().collect()]
-            mids = came.select("mid").distinct()
-            stored = near_keys(panes.read(spark).filter(F.col("dt").isin(days)), mids, ["mid"]).join(mids, "mid", "left_semi")
-            ends = F.sequence(F.col("pane") + slide_ms, F.col("pane") + size_ms, F.lit(slide_ms).cast("bigint"))
-            minute = minute_of(F.timestamp_millis("window_end"))
-            touched = came.select("mid", F.explode(ends).alias("window_end")).select(doc_id("_", "mid", minute).alias("doc_id")).distinct()
-            now = alerts.pane_alerts(stored, size_ms, slide_ms, accounts).join(touched, "doc_id", "left_semi")
-            now = sinks.staged(now, f"{docs.path}-staging/{docs.writer}")
-            before = standing(docs.read(spark).filter(F.col("dt").isin(days))).join(touched, "doc_id", "left_semi")
+            days = [r.dt for r in rows.select(F.explode(near_days).alias("dt")).distinct().collect()]
+            touched = alerts.touched_minutes(came, size_ms, slide_ms)
+            near = sinks.staged(alerts.near_panes(panes.read(spark, folders=days), came, size_ms), f"{work}/near")
+            now = sinks.staged(alerts.pane_alerts(near, size_ms, slide_ms, accounts, touched), f"{work}/now")
+            minute = F.unix_millis(F.date_trunc("minute", F.timestamp_millis("ts")))
+            before = standing(docs.read(spark, folders=days, before=batch_id)).withColumn("minute", minute).join(touched, ["mid", "minute"], "left_semi")
+            before = before.select(*now.columns)
             gone = before.join(now.select("doc_id"), "doc_id", "left_anti").withColumn("withdrawn", F.lit(True))
-            docs.add(now.withColumn("withdrawn", F.lit(False)).unionByName(gone.select(*now.columns, "withdrawn")), batch_id)
+            same = before.select("doc_id", F.struct(*now.columns).alias("known"))
+            new = now.join(same, "doc_id", "left").filter(~F.col("known").eqNullSafe(F.struct(*[now[c] for c in now.columns])))
+            docs.add(new.select(*now.columns, F.lit(False).alias("withdrawn")).unionByName(gone), batch_id)
 
     return decoded(decode.decode(messages, schema)).writeStream.foreachBatch(add).outputMode("append")
 

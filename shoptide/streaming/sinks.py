@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,13 +20,20 @@ from shoptide.session import adaptive
 from shoptide.sources.tables import upper_columns
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """The file system of a folder and the folder's path in it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """``order`` ranks the rows of a key, best first; later batches win among equals.
 
     ``writer`` names the query that writes. A query that starts over with a new checkpoint needs
     a new name, since its batch numbers start over too. ``partition_by`` gives each value a folder,
-    right for live data, where a batch touches a day or two. ``cluster_by`` instead sorts the
+    right for live data, where a batch touches a day or two. ``buckets`` gives each hash of a key one, so that a
+    lookup of few keys opens few folders. ``cluster_by`` instead sorts the
     files by a column, right for a replay of years, where folders per day would be tiny.
     """
 
@@ -38,50 +44,80 @@ class KeyedTable:
     order: list[Column] = field(default_factory=list)
     writer: str = "main"
     cluster_by: str | None = None
+    buckets: int | None = None
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
-        """Add one micro-batch. Running it again replaces the same folder."""
+        """Add one micro-batch. Running it again replaces the same folders."""
         self._write(batch.select(*self.schema.fieldNames()).withColumn("written_at", F.current_timestamp()), batch_id)
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         rows = rows.withColumns({"writer": F.lit(self.writer), "batch": F.lit(batch_id).cast("bigint")})
+        if self.buckets:
+            rows = rows.withColumn("bucket", self._bucket())
         # Rebalancing writes few files per day without putting a large day into one task.
-        near = [c for c in (self.partition_by or self.cluster_by,) if c]
+        near = [c for c in (self.partition_by or self.cluster_by, "bucket" if self.buckets else None) if c]
         with adaptive(rows.sparkSession):
             out = rows.hint("rebalance", *near)
-            if near and not self.partition_by:
+            if self.cluster_by and not self.partition_by:
                 out = out.sortWithinPartitions(*near)
             # The day comes before the batch, so that a reader of a day lists that day's folders only. Only the
             # folders of this batch are replaced.
-            folders = [c for c in (self.partition_by, "writer", "batch") if c]
+            folders = [c for c in (self.partition_by, "bucket" if self.buckets else None, "writer", "batch") if c]
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(self.path)
 
-    def versions(self, spark: SparkSession) -> DataFrame:
-        """Every row written, with ``written_at``, ``writer`` and ``batch``."""
+    def clear(self, spark: SparkSession, batch_id: int) -> None:
+        """Remove what this writer has stored of ``batch_id`` and later ones: an attempt that did not end. Replacing
+        folders would leave those standing that the batch has no rows for any more."""
+        files, path = _folder(spark, self.path)
+        levels = (self.partition_by is not None) + (self.buckets is not None)
+        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(["*"] * levels + [f"writer={self.writer}", "batch=*"])))
+        for folder in found or []:
+            if int(folder.getPath().getName().removeprefix("batch=")) >= batch_id:
+                files.delete(folder.getPath(), True)
+
+    def versions(self, spark: SparkSession, folders: list | None = None, before: int | None = None) -> DataFrame:
+        """Every row written, with ``written_at``, ``writer`` and ``batch``.
+
+        ``folders`` limits what is listed and read to these values of ``partition_by``, or to these buckets.
+        With ``before``, rows of this writer's batches from that number on are left out: what a batch compares
+        with then is the table before it, also when it is run again.
+        """
         columns = [f for f in self.schema if f.name != self.partition_by]
         full = T.StructType(columns).add("written_at", T.TimestampType()).add("writer", T.StringType()).add("batch", T.LongType())
         if self.partition_by:
             full = full.add(self.schema[self.partition_by])
-        if not self._exists(spark):
+        if self.buckets:
+            full = full.add("bucket", T.IntegerType())
+        paths = [self.path] if folders is None else [f"{self.path}/{self.partition_by or 'bucket'}={value}" for value in folders]
+        paths = [p for p in paths if self._exists(spark, p)]
+        if not paths:
             return spark.createDataFrame([], full)
-        return spark.read.schema(full).option("basePath", self.path).parquet(self.path)
+        rows = spark.read.schema(full).option("basePath", self.path).parquet(*paths)
+        return rows if before is None else rows.filter((F.col("writer") != self.writer) | (F.col("batch") < before))
 
-    def _exists(self, spark: SparkSession) -> bool:
+    @staticmethod
+    def _exists(spark: SparkSession, path: str) -> bool:
         """A table that no batch has been written to yet reads as empty."""
-        try:
-            return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.path).select("path").limit(1).count())
-        except AnalysisException:
-            return False
+        files, there = _folder(spark, path)
+        return files.exists(there)
 
-    def read(self, spark: SparkSession, only: DataFrame | None = None) -> DataFrame:
-        """One row per key. A filter on the partition column prunes folders.
+    def read(self, spark: SparkSession, only: DataFrame | None = None, folders: list | None = None, before: int | None = None) -> DataFrame:
+        """One row per key. A filter on the partition column prunes folders; ``folders`` and ``before`` are those of
+        :meth:`versions`.
 
-        ``only`` limits the result to the keys it lists, before rows are shuffled and compared.
+        ``only`` limits the result to the keys it lists, before rows are shuffled and compared; of a table in
+        buckets, to their buckets' folders.
         """
-        rows = self.versions(spark)
-        if only is not None:
-            wanted = only.select(*self.keys).distinct()
-            rows = near_keys(rows, wanted, self.keys).join(wanted, self.keys, "left_semi")
+        if only is None:
+            return self._best(self.versions(spark, folders, before)).select(*self.schema.fieldNames())
+        wanted = only.select(*self.keys).distinct()
+        if self.buckets and folders is None:
+            folders = sorted(r.bucket for r in wanted.select(self._bucket().alias("bucket")).distinct().collect())
+        rows = self.versions(spark, folders, before)
+        rows = near_keys(rows, wanted, self.keys).join(wanted, self.keys, "left_semi")
         return self._best(rows).select(*self.schema.fieldNames())
 
     def _best(self, rows: DataFrame) -> DataFrame:
@@ -102,6 +138,19 @@ class KeyedTable:
         return replace(self, path=path)
 
 
+class Attempts:
+    """Clears what an attempt that did not end has left in ``tables``, before a query's first batch. Only the first one
+    after a start can be a repetition."""
+
+    def __init__(self, *tables: KeyedTable):
+        self.tables: tuple[KeyedTable, ...] = tables
+
+    def clear(self, spark: SparkSession, batch_id: int) -> None:
+        for table in self.tables:
+            table.clear(spark, batch_id)
+        self.tables = ()
+
+
 def upsert_table(df: DataFrame, table: KeyedTable) -> DataStreamWriter:
     """Keyed upsert into a wide table, whose column names are upper case."""
     return upper_columns(df).writeStream.foreachBatch(table.add)

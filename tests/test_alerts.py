@@ -96,6 +96,36 @@ def test_equals_brute_force(spark, size, slide, accounts):
     assert {(r.mid, r.ts): (set(r.uids), set(r.item_ids), r.events) for r in got} == want
 
 
+@pytest.mark.parametrize("stretch", [1, 3])
+@pytest.mark.parametrize(("size", "slide"), [(300_000, 5_000), (60_000, 60_000), (180_000, 90_000), (3_600_000, 600_000)])
+def test_sweep_flags_the_windows_of_the_definition(spark, monkeypatch, stretch, size, slide):
+    monkeypatch.setattr(alerts, "SWEEP_SIZES", stretch)
+    rng = random.Random(size)
+    facts = []
+    for _ in range(400):
+        clicked = rng.random() < 0.1
+        facts.append((rng.choice(["m", "m", "n", None]), rng.randrange(-40, 80) * slide, clicked, None if clicked else rng.choice(["a", "b", "c", "d", None])))
+    counted, clicks = defaultdict(set), set()
+    for mid, pane, clicked, uid in facts:
+        for end in range(pane + slide, pane + size + 1, slide):
+            clicks.add((mid, end)) if clicked else counted[mid, end].add(uid)
+    want = {(mid, end) for (mid, end), uids in counted.items() if mid and len(uids) >= 2 and (mid, end) not in clicks}
+    spans = alerts.flagged_spans(spark.createDataFrame(facts, "mid string, pane bigint, clicked boolean, uid string"), size, slide, 2)
+    got = [(r.mid, end) for r in spans.collect() for end in range(r.start, r.end, slide)]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    last = {}
+    for mid, end in want:
+        last[mid, end // MIN] = max(end, last.get((mid, end // MIN), end))
+    found = alerts.last_of_minute(spans, slide).collect()
+    assert sorted((r.mid, r.window_end) for r in found) == sorted((mid, end) for (mid, _), end in last.items())
+
+
+def test_no_fact_is_copied_into_its_windows(spark):
+    facts = spark.createDataFrame([("m", 0, False, "a")], "mid string, pane bigint, clicked boolean, uid string")
+    plan = alerts.flagged_spans(facts, 300_000, 5_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan
+
+
 def test_stored_panes_give_the_same_alerts(spark):
     rng = random.Random(5)
     rows = [(f"m{rng.randrange(3)}", rng.choice("abcd"), "i", rng.choice(["coupon"] * 9 + ["clickItem"]), rng.randrange(0, 60 * MIN)) for _ in range(150)]

@@ -164,6 +164,22 @@ def test_logs_keep_numbers_as_sent(spark):
     assert got == ['{"mid":"m","price":1.50,"big":' + "9" * 50 + ',"e":1e3,"ts":7}', '{"ts":7}', '{ "a" : 1,"ts":7}', '{"a":{"ts":1},"ts":7}']
 
 
+@pytest.mark.parametrize("end", ["\n", "\t", "\r", " ", "\r\n \t"])
+def test_logs_with_white_space_around_stay_json(spark, end):
+    sent = ('{"a":1}', '{"ts":5}', '{"a":{"ts":3}}', '{"ts":{"x":1},"a":"}"}', "{}", '{"\\u0074s":4,"a":1.50}', "{'a':1}", '{"a":[1,{"ts":2}],"ts":9,"b":",}"}')
+    got = logs.route(values(spark, *[end + s + end for s in sent]), F.lit(7)).collect()
+    assert not any(r.malformed for r in got)
+    assert [json.loads(r.value) for r in got] == [
+        {"a": 1, "ts": 7}, {"ts": 7}, {"a": {"ts": 3}, "ts": 7}, {"a": "}", "ts": 7}, {"ts": 7}, {"a": 1.5, "ts": 7}, {"a": 1, "ts": 7}, {"a": [1, {"ts": 2}], "b": ",}", "ts": 7},
+    ]
+
+
+def test_logs_with_something_behind_are_malformed(spark):
+    sent = ('{"a":1} x', '{"a":1}}', '{"a":1}]}', '{"a":1} {"b":2}', '{"a":1},{"b":2}', "[{}]", "null", "", "7", None)
+    got = logs.route(values(spark, *sent), F.lit(7)).collect()
+    assert [(r.malformed, r.topic, r.value) for r in got] == [(True, None, s) for s in sent]
+
+
 def test_change_entries_that_do_not_parse_are_told_apart(spark):
     df = values(spark, '{"table":"user_info","event_type":"INSERT","rows":[{"id":"1"}]}', "nope", "")
     assert decode.nested(df, schemas.CDC_ENVELOPE).count() == 1

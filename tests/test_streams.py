@@ -397,6 +397,56 @@ def test_alert_documents_are_stored_and_withdrawn(spark, messages, tmp_path):
     assert docs.read(spark).filter("withdrawn").count() > 0
 
 
+def uncommit(tmp_path, name="checkpoint"):
+    """Take back the commit of the last batch, as if the query had ended between storing it and noting that."""
+    commits = tmp_path / name / "commits"
+    last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    for path in (commits / str(last), commits / f".{last}.crc"):
+        path.unlink(missing_ok=True)
+
+
+def test_alert_documents_of_a_batch_that_runs_again_are_the_same(spark, messages, tmp_path):
+    feed = messages("events")
+    panes, docs = jobs.pane_table(str(tmp_path / "panes")), jobs.alert_table(str(tmp_path / "docs"))
+
+    def stored(writer_of=jobs.coupon_alert_docs):
+        run(spark, writer_of(feed.stream(), panes, docs, schema=WITH_SEQ, tie="seq"), tmp_path)
+        versions = docs.versions(spark).drop("written_at")
+        return rows_of(versions), rows_of(jobs.standing(docs.read(spark)).select("doc_id", "uids", "item_ids", "events", "ts"))
+
+    feed.send(event("A", "a", "coupon", 0, 0), event("A", "b", "coupon", 1000, 1), event("A", "c", "coupon", 2000, 2))
+    batches = [
+        [event("A", "a", "clickItem", 30_000, 3), *[event("B", u, "coupon", 1000, 4 + i) for i, u in enumerate("abc")]],
+        [event("A", u, "coupon", DAY + 500_000, 10 + i) for i, u in enumerate("abcd")],
+        [event("B", "x", "clickItem", 500, 20), event("C", "x", "coupon", -DAY, 21)],
+        [event("C", u, "coupon", -DAY, 22 + i) for i, u in enumerate("yz")],
+    ]
+    for sent in batches:
+        first = stored()
+        uncommit(tmp_path)
+        assert stored() == first
+        feed.send(*sent)
+        want = rows_of(alerts.pane_alerts(panes.read(spark)).select("doc_id", "uids", "item_ids", "events", "ts"))
+        assert first[1] == want
+    stored()
+    assert stored()[1] == rows_of(alerts.pane_alerts(panes.read(spark)).select("doc_id", "uids", "item_ids", "events", "ts"))
+
+
+def test_a_repeated_batch_without_rows_for_a_day_clears_it(spark, tmp_path):
+    table = sinks.KeyedTable(str(tmp_path / "docs"), DOC, ["doc_id"], "dt")
+    table.add(docs(spark, ("a", 1, "d1")), 0)
+    table.add(docs(spark, ("b", 1, "d1"), ("c", 1, "d2")), 1)
+    other = sinks.KeyedTable(table.path, DOC, ["doc_id"], "dt", writer="other")
+    other.add(docs(spark, ("o", 1, "d1")), 7)
+    attempts = sinks.Attempts(table)
+    attempts.clear(spark, 1)
+    attempts.clear(spark, 0)
+    assert rows_of(table.read(spark), "doc_id") == [("a",), ("o",)]
+    table.add(docs(spark, ("c", 2, "d2")), 1)
+    assert rows_of(table.read(spark), "doc_id") == [("a",), ("c",), ("o",)]
+    assert rows_of(table.read(spark, before=1), "doc_id") == [("a",), ("o",)]
+
+
 def test_of_two_versions_sent_at_once_the_later_stays(spark, tmp_path):
     lines = [m for i in range(40) for m in (user(f"u{i:02d}", 0, "9")[0], user(f"u{i:02d}", 0, "1")[0])]
     run_job(tmp_path, "users", feed_folder(tmp_path, "sent", *lines), "users")
@@ -447,3 +497,12 @@ def test_stored_alerts_of_a_day(spark, messages, tmp_path):
     serving.main(["alerts", "--date", "2024-01-15", "--panes", table.path, "--out", str(tmp_path / "out")])
     assert spark.read.json(str(tmp_path / "out")).count() == 5
     assert serving.stored_alerts(spark, table.path, "2024-01-14").count() == 1
+    # The same from stored documents, of which a late click withdraws some.
+    docs = jobs.alert_table(str(tmp_path / "docs"))
+    run(spark, jobs.coupon_alert_docs(feed.stream(), table, docs, schema=WITH_SEQ, tie="seq"), tmp_path, "docs-checkpoint")
+    assert serving.stored_alerts(spark, "", "2024-01-15", docs.path).count() == 5
+    serving.main(["alerts", "--date", "2024-01-14", "--docs", docs.path, "--out", str(tmp_path / "before")])
+    assert spark.read.json(str(tmp_path / "before")).count() == 1
+    feed.send(event("m", "a", "clickItem", -50_000, 9))
+    run(spark, jobs.coupon_alert_docs(feed.stream(), table, docs, schema=WITH_SEQ, tie="seq"), tmp_path, "docs-checkpoint")
+    assert serving.stored_alerts(spark, "", "2024-01-15", docs.path).count() == 0
