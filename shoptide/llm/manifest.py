@@ -64,8 +64,8 @@ def _before(counts: DataFrame, group: list[str], key: str) -> DataFrame:
     return out.withColumn(node, parent).join(nodes, [*group, node]).withColumn("before", F.col("before") + F.col("_base")).select(*counts.columns, "before")
 
 
-def placed(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``leaves`` (sid, _id, ...) with ``pos``, the row's place among its group's by ``_id``, and the groups' sizes (sid, n).
+def placed(leaves: DataFrame) -> DataFrame:
+    """``leaves`` (sid, _id, ...) with ``pos``, the row's place among its group's by ``_id``, and ``n``, the group's size.
 
     A group's identifiers are merged to bitmap words of 64 within the tasks and then over them. A row's place is the
     number of rows in words before its own and the ones before its own bit. Only in words where rows share an
@@ -76,26 +76,29 @@ def placed(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = F.coalesce(F.call_function("shiftleft", F.lit(1).cast("long"), bit), F.lit(0).cast("long"))
     words = leaves.select("sid", word.alias("word"), one.alias("one")).groupBy("sid", "word").agg(F.bit_or("one").alias("bits"), F.count("*").alias("n"))
     words = written(words, "manifest-words")
-    sizes = words.groupBy("sid").agg(F.sum("n").alias("n"))
+    sizes = words.groupBy("sid").agg(F.sum("n").alias("size"))
     nulls = words.filter("word IS NULL").select("sid", F.col("n").alias("nulls"))
     before = _before(words.filter("word IS NOT NULL"), ["sid"], "word").join(nulls, "sid", "left")
     before = before.select("sid", "word", "bits", "n", (F.col("before") + F.coalesce("nulls", F.lit(0))).alias("before"))
-    before = written(before, "manifest-directory")
+    # The sizes come with the words: rows themselves are never dealt out by their group alone.
+    before = written(before.join(sizes, "sid"), "manifest-directory")
     single = F.bit_count("bits") == F.col("n")
 
     smaller = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), bit))
     rank = F.bit_count(F.col("bits").bitwiseAND(smaller))
     plain = leaves.withColumn("word", word).join(before.filter(single), ["sid", "word"]).withColumn("pos", F.col("before") + rank)
-    plain = plain.select(*leaves.columns, "pos")
+    columns = [*leaves.columns, "pos", F.col("size").alias("n")]
+    plain = plain.select(*columns)
 
     # Words with more rows than identifiers: equal rows are counted, then ordered among those of the first bits of their leaf.
-    crowded = before.filter(~single).select("sid", "word", "before").unionByName(nulls.select("sid", F.lit(None).cast("long").alias("word"), F.lit(0).cast("long").alias("before")))
+    missing = nulls.join(sizes, "sid").select("sid", F.lit(None).cast("long").alias("word"), F.lit(0).cast("long").alias("before"), "size")
+    crowded = before.filter(~single).select("sid", "word", "before", "size").unionByName(missing)
     crowded = written(crowded.withColumn("key", F.coalesce(F.col("word").cast("string"), F.lit("-"))), "manifest-crowded")
     if crowded.isEmpty():
-        return plain, sizes
+        return plain
     rows = leaves.withColumn("key", F.coalesce(word.cast("string"), F.lit("-")))
-    rows = near_keys(rows, crowded, ["sid", "key"]).join(crowded.select("sid", "key", "before"), ["sid", "key"])
-    rows = rows.groupBy(*leaves.columns, "key", "before").agg(F.count("*").alias("n"))
+    rows = near_keys(rows, crowded, ["sid", "key"]).join(crowded.select("sid", "key", "before", "size"), ["sid", "key"])
+    rows = rows.groupBy(*leaves.columns, "key", "before", "size").agg(F.count("*").alias("n"))
     rows = rows.withColumn("_bit", F.coalesce(bit, F.lit(0))).withColumn("_part", F.conv(F.substring("leaf", 1, DIRECTORY_BITS // 4), 16, 10).cast("long"))
     parts = rows.groupBy("sid", "key", "_bit", "_part").agg(F.sum("n").alias("parts"))
     earlier = Window.partitionBy("sid", "key").orderBy("_bit", "_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,7 +107,7 @@ def placed(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("_in", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(parts, ["sid", "key", "_bit", "_part"])
     rows = rows.withColumn("_from", F.col("before") + F.col("_base") + F.col("_in"))
     rows = rows.withColumn("pos", F.explode(F.sequence(F.col("_from"), F.col("_from") + F.col("n") - 1)))
-    return plain.unionByName(rows.select(*leaves.columns, "pos")), sizes
+    return plain.unionByName(rows.select(*columns))
 
 
 def reduced(nodes: list[str], size: int, count: int) -> list[list[str]]:
@@ -238,8 +241,7 @@ def manifest(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "sour
     text as proof. Other columns are not read, whatever their names; an empty table gives an empty table.
     """
     leaves = written(leaves_of(docs, id_col=id_col, source_col=source_col, text_col=text_col, fields=fields), "manifest-leaves")
-    rows, sizes = placed(leaves)
-    passes, subroots = _tree(rows.join(sizes, "sid"), levels, "manifest")
+    passes, subroots = _tree(placed(leaves), levels, "manifest")
     # The tree over the sources: one group, its nodes in the order of the sources.
     sources = numbered(subroots, [F.col("sid")], "pos", "manifest-sources").withColumn("pos", F.col("pos") - 1)
     n_sources = sources.count()
