@@ -52,8 +52,12 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     match args.job:
         case "dau":
             return jobs.dau(messages, jobs.dau_table(args.table, writer=args.writer))
+        case "first":
+            devices = jobs.device_table(f"{args.table}-devices", writer=args.writer)
+            return jobs.first_seen(messages, devices, jobs.first_day_table(args.table, writer=args.writer))
         case "gmv":
-            return jobs.gmv(messages, jobs.order_table(args.table, writer=args.writer))
+            hours = jobs.hour_table(args.hours, writer=args.writer) if args.hours else None
+            return jobs.gmv(messages, jobs.order_table(args.table, writer=args.writer), hours)
         case "alerts":
             panes = jobs.pane_table(args.table, writer=args.writer)
             if args.docs:
@@ -82,10 +86,11 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["dau", "gmv", "alerts", "users", "sales", "logs", "archive", "cdc", "quarantine"])
+    parser.add_argument("job", choices=["dau", "first", "gmv", "alerts", "users", "sales", "logs", "archive", "cdc", "quarantine"])
     parser.add_argument("--source", required=True, help="feed folder, or topic with --brokers")
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")
+    parser.add_argument("--hours", help="folder of hourly totals that the gmv job keeps beside its orders")
     parser.add_argument("--docs", help="folder of alert documents that the alerts job keeps beside its panes")
     parser.add_argument("--record", choices=[*sorted(QUARANTINE), "log", "change"], help="record of the quarantine job; log and change are raw device logs and change entries")
     parser.add_argument("--table", help="folder the job writes; not used when it writes topics")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.operators.keyed import first_per_key
+from shoptide.operators.keyed import first_per_key, near_keys
 
 DEVICE_DAY = ["mid", "log_date"]
 
@@ -15,6 +15,13 @@ def unseen(logs: DataFrame, seen: DataFrame) -> DataFrame:
     return logs.join(seen.select(*DEVICE_DAY).distinct(), DEVICE_DAY, "left_anti")
 
 
+def unseen_or_earlier(logs: DataFrame, seen: DataFrame, tie: str | None = None) -> DataFrame:
+    """Logs, one per (mid, log_date), that the seen ones (mid, log_date, ts) have none of, or only later ones."""
+    place = F.struct("ts", *([tie] if tie else []))
+    first = near_keys(seen, logs, DEVICE_DAY).groupBy(*DEVICE_DAY).agg(F.min(place).alias("_seen"))
+    return logs.join(first, DEVICE_DAY, "left").filter(F.col("_seen").isNull() | (place < F.col("_seen"))).select(*logs.columns)
+
+
 def first_per_day(logs: DataFrame, tie: str | None = None) -> DataFrame:
     """The log with the smallest ``ts`` for each (mid, log_date)."""
     order = [F.col("ts").asc()] + ([F.col(tie).asc()] if tie else [])

@@ -33,6 +33,27 @@ def gmv_hours(orders: DataFrame, *dates: str) -> DataFrame:
     )
 
 
+def hour_change(orders: DataFrame, sign: int) -> DataFrame:
+    """(create_date, hour, amount, orders) that stored orders add to their hours, or take from them. An amount that is missing, or of
+    10^18 or more, counts as 0."""
+    amount = F.coalesce(F.col("TOTAL_AMOUNT").try_cast("decimal(28,10)"), F.lit(0)) * sign
+    hour = F.col("CREATE_HOUR").alias("hour")
+    return orders.select(F.col("CREATE_DATE").alias("create_date"), hour, amount.cast("decimal(28,10)").alias("amount"), F.lit(sign).cast("bigint").alias("orders"))
+
+
+def changed_hours(stood: DataFrame, change: DataFrame) -> DataFrame:
+    """The hours that ``change`` touches with their new totals."""
+    touched = change.groupBy("create_date", "hour").agg(F.sum("amount").alias("more"), F.sum("orders").alias("n")).filter("more <> 0 OR n <> 0")
+    joined = touched.join(stood, ["create_date", "hour"], "left")
+    amount = (F.coalesce("amount", F.lit(0)) + F.col("more")).cast("decimal(38,10)")
+    return joined.select("create_date", "hour", amount.alias("amount"), (F.coalesce("orders", F.lit(0)) + F.col("n")).alias("orders"))
+
+
+def kept_hours(hours: DataFrame, *dates: str) -> DataFrame:
+    """(create_date, hour, value) from totals that are kept by hour; hours whose orders have all moved away are left out."""
+    return on_dates(hours, "create_date", *dates).filter("orders > 0").select("create_date", "hour", F.round("amount", 2).cast("double").alias("value"))
+
+
 def fill_hours(spark: SparkSession, hourly: DataFrame, date_col: str, *dates: str) -> DataFrame:
     """All 24 hours of each date, hours without a row having value 0."""
     hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.lpad(h.cast("string"), 2, "0"))
@@ -47,14 +68,15 @@ def first_seen(logs: DataFrame) -> DataFrame:
     return with_log_time(logs.groupBy("mid").agg(F.min("ts").alias("ts")))
 
 
-def new_mid_total(logs: DataFrame, date: str) -> DataFrame:
-    """One row (value): devices never seen before ``date``."""
-    return dau_total(first_seen(logs), date)
+def new_mid_total(first: DataFrame, date: str) -> DataFrame:
+    """One row (value): devices never seen before ``date``. ``first`` has the first log ever of each device, see
+    :func:`first_seen`; the one that is kept by day is read of that day only."""
+    return dau_total(first, date)
 
 
-def new_mid_hours(logs: DataFrame, *dates: str) -> DataFrame:
+def new_mid_hours(first: DataFrame, *dates: str) -> DataFrame:
     """(log_date, hour, value): new devices by hour."""
-    return dau_hours(first_seen(logs), *dates)
+    return dau_hours(first, *dates)
 
 
 def sales_by_province(orders: DataFrame) -> DataFrame:

@@ -48,9 +48,19 @@ def join_status(orders: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
-def _within(order_time: str, detail_time: str, tolerance: str) -> Column:
-    reach = F.expr(f"INTERVAL {tolerance}")
-    return F.col(detail_time).between(F.col(order_time) - reach, F.col(order_time) + reach)
+# Seconds of the units that a tolerance is given in.
+UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds(tolerance: str) -> int:
+    """``"120 seconds"`` as a number of seconds."""
+    number, unit = tolerance.split()
+    return int(number) * UNITS[unit.removesuffix("s")]
+
+
+def arrival_bucket(time: Column, width: int) -> Column:
+    """Number of the stretch of ``width`` seconds in which ``time`` lies."""
+    return F.floor(F.unix_micros(time) / (width * 1_000_000))
 
 
 def join_orders_within(orders: DataFrame, details: DataFrame, tolerance: str = "120 seconds", time: str = "ingest_ts") -> DataFrame:
@@ -59,11 +69,18 @@ def join_orders_within(orders: DataFrame, details: DataFrame, tolerance: str = "
 
 
 def match_within(placed: DataFrame, items: DataFrame, tolerance: str = "120 seconds") -> DataFrame:
-    """Rows of :func:`order_side` and :func:`detail_side`, each with its arrival ``seen``, that arrived within ``tolerance``."""
-    left = placed.withColumnRenamed("seen", "order_seen")
-    right = items.withColumnsRenamed({"seen": "detail_seen", "order_id": "item_order_id"})
-    joined = left.join(right, (F.col("order_id") == F.col("item_order_id")) & _within("order_seen", "detail_seen", tolerance))
-    return joined.drop("item_order_id", "order_seen", "detail_seen")
+    """Rows of :func:`order_side` and :func:`detail_side`, each with its arrival ``seen``, that arrived within ``tolerance``.
+
+    An item is in the bucket of its arrival, an order in its own and the two beside it, so that the join is one of equal
+    keys that takes an order with very many items apart by time.
+    """
+    width = seconds(tolerance)
+    bucket = arrival_bucket(F.col("seen"), width)
+    left = placed.withColumn("arrival", F.explode(F.array(bucket - 1, bucket, bucket + 1))).withColumnRenamed("seen", "order_seen")
+    right = items.withColumn("arrival", bucket).withColumnRenamed("seen", "detail_seen")
+    reach = F.expr(f"INTERVAL {width} SECONDS")
+    inside = F.col("detail_seen").between(F.col("order_seen") - reach, F.col("order_seen") + reach)
+    return left.join(right, ["order_id", "arrival"]).filter(inside).drop("arrival", "order_seen", "detail_seen")
 
 
 def enrich_user(sales: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:

@@ -35,6 +35,12 @@ def between_days(df: DataFrame, ts: str, *dates: str) -> DataFrame:
     return df.filter(keep)
 
 
+def up_to_day(df: DataFrame, ts: str, date: str) -> DataFrame:
+    """Rows up to the end of a day, as a range of the raw time column."""
+    after = (Date.fromisoformat(date) + timedelta(days=1)).isoformat()
+    return df.filter(F.col(ts) < F.lit(after).cast("timestamp_ntz"))
+
+
 def startup_logs(events: DataFrame) -> DataFrame:
     logs = events.select("event_id", text("user_id").alias("mid"), text("user_id").alias("uid"), _ms("ts").alias("ts"))
     return with_log_time(logs)

@@ -19,7 +19,7 @@ DAU = STARTUP + """, dau AS (
   WHERE rn = 1)"""
 
 FIRST_SEEN = """first_seen AS (
-  SELECT mid, min(log_date) AS log_date, strftime(make_timestamp(min(ts) * 1000), '%H') AS log_hour
+  SELECT mid, min(ts) AS ts, min(log_date) AS log_date, strftime(make_timestamp(min(ts) * 1000), '%H') AS log_hour
   FROM startup GROUP BY mid)"""
 
 EVENT_LOGS = """logs AS (
@@ -211,6 +211,10 @@ UNION ALL SELECT 'after_first', count(*) FROM (SELECT DISTINCT mid, log_date FRO
     "dau_total": f"SELECT count(DISTINCT user_id) AS value FROM events WHERE strftime(ts, '%Y-%m-%d') = '{DATE}'",
     "dau_hours": f"""WITH {DAU}
 SELECT log_date, log_hour AS hour, count(*) AS value FROM dau WHERE log_date = '{DATE}' GROUP BY ALL""",
+    "new_mid_stream": f"WITH {STARTUP}, {FIRST_SEEN} SELECT mid, ts, log_date, log_hour FROM first_seen",
+    "gmv_hours_stream": f"""WITH {TIMED_ORDERS}
+SELECT create_date, create_hour AS hour, round(CAST(sum(CAST(total_amount AS DECIMAL(28,10)) * CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 2 ELSE 1 END) AS DOUBLE), 2) AS value, count(*) AS orders
+FROM timed GROUP BY ALL""",
     "new_mid_total": f"WITH {STARTUP}, {FIRST_SEEN} SELECT count(*) AS value FROM first_seen WHERE log_date = '{FIRST_DATE}'",
     "new_mid_hours": f"""WITH {STARTUP}, {FIRST_SEEN}
 SELECT log_date, log_hour AS hour, count(*) AS value FROM first_seen WHERE log_date = '{FIRST_DATE}' GROUP BY ALL""",

@@ -49,6 +49,11 @@ def _startup(spark: SparkSession, sf: str, *dates: str) -> DataFrame:
     return bind.startup_logs(bind.between_days(events, "ts", *dates) if dates else events)
 
 
+def _first_seen(spark: SparkSession, sf: str, date: str) -> DataFrame:
+    """Devices and their first log ever; what comes after ``date`` makes no device of that day or earlier ones new."""
+    return metrics.first_seen(bind.startup_logs(bind.up_to_day(_t(spark, sf, "events"), "ts", date)))
+
+
 def _dau(spark: SparkSession, sf: str, *dates: str) -> DataFrame:
     return dedup.first_per_day(_startup(spark, sf, *dates), "event_id")
 
@@ -178,12 +183,12 @@ def dau_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("new_mid_total")
 def new_mid_total(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.new_mid_total(_startup(spark, sf), FIRST_DATE)
+    return metrics.new_mid_total(_first_seen(spark, sf, FIRST_DATE), FIRST_DATE)
 
 
 @query("new_mid_hours")
 def new_mid_hours(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.new_mid_hours(_startup(spark, sf), FIRST_DATE)
+    return metrics.new_mid_hours(_first_seen(spark, sf, FIRST_DATE), FIRST_DATE)
 
 
 # --- order amount -----------------------------------------------------------------------------
@@ -214,13 +219,13 @@ def sales_by_province(spark: SparkSession, sf: str) -> DataFrame:
 @query("realtime_total")
 def realtime_total(spark: SparkSession, sf: str) -> DataFrame:
     dau, orders = _dau(spark, sf, FIRST_DATE), _timed_orders(spark, sf, FIRST_DATE)
-    return reports.realtime_total(dau, _startup(spark, sf), orders, FIRST_DATE)
+    return reports.realtime_total(dau, _first_seen(spark, sf, FIRST_DATE), orders, FIRST_DATE)
 
 
 @query("realtime_hours")
 def realtime_hours(spark: SparkSession, sf: str) -> DataFrame:
     days = (DATE, reports.day_before(DATE))
-    inputs = (_dau(spark, sf, *days), _startup(spark, sf), _timed_orders(spark, sf, *days))
+    inputs = (_dau(spark, sf, *days), _first_seen(spark, sf, DATE), _timed_orders(spark, sf, *days))
     dau = reports.realtime_hours(spark, "dau", DATE, *inputs)
     return dau.unionByName(reports.realtime_hours(spark, "order_amount", DATE, *inputs))
 
@@ -337,6 +342,15 @@ def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(spark).select("mid", "log_date", "log_hour", "ts", "event_id")
 
 
+@query("new_mid_stream")
+def new_mid_stream(spark: SparkSession, sf: str) -> DataFrame:
+    run = new_run_dir(spark, "new-mid")
+    rows = bind.startup_logs(tables.replay(spark, sf, "events", f"{run}/feed")).withColumn("timestamp", epoch_ms("ts"))
+    devices, days = jobs.device_table(f"{run}/devices", buckets=16), jobs.first_day_table(f"{run}/days")
+    jobs.run_to_end(spark, jobs.first_seen(bind.json_messages(rows, "mid", "uid", "ts"), devices, days), f"{run}/checkpoint")
+    return jobs.standing(days.read(spark)).select("mid", "ts", "log_date", "log_hour")
+
+
 @query("coupon_alert_stream")
 def coupon_alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "alerts")
@@ -363,7 +377,7 @@ def _user_table(spark: SparkSession, changes: DataFrame, run: str) -> sinks.Keye
     # All versions arrive at the same time; only their place in the feed tells which came last.
     stamped = changes.withColumns({"timestamp": F.timestamp_seconds(F.lit(1)), "offset": F.col("version").cast("bigint")})
     messages = bind.json_messages(stamped, "id", "login_name", "user_level", "birthday", "gender")
-    table = jobs.user_table(f"{run}/users")
+    table = jobs.user_table(f"{run}/users", buckets=16)
     jobs.run_to_end(spark, jobs.users(messages, table), f"{run}/users-checkpoint")
     return table
 
@@ -371,27 +385,42 @@ def _user_table(spark: SparkSession, changes: DataFrame, run: str) -> sinks.Keye
 @query("user_stream")
 def user_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "users")
-    changes = bind.user_changes(tables.stream(spark, sf, "customer"))
+    changes = bind.user_changes(tables.replay(spark, sf, "customer", f"{run}/feed"))
     return _user_table(spark, changes, run).read(spark).drop("seen_at", "partition", "offset")
 
 
+def _purchases(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    rows = bind.timed_orders(tables.replay(spark, sf, "events", f"{run}/feed"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return bind.json_messages(rows, "id", "user_id", "total_amount", "create_time", "consignee_tel")
+
+
 @query("gmv_stream")
 def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "gmv")
-    rows = bind.timed_orders(tables.stream(spark, sf, "events"), F.col("ts").cast("timestamp").alias("timestamp"))
-    messages = bind.json_messages(rows, "id", "user_id", "total_amount", "create_time", "consignee_tel")
     table = jobs.order_table(f"{run}/table")
-    jobs.run_to_end(spark, jobs.gmv(messages, table), f"{run}/checkpoint")
+    jobs.run_to_end(spark, jobs.gmv(_purchases(spark, sf, run), table), f"{run}/checkpoint")
     return table.read(spark).select("id", "user_id", "total_amount", "create_date", "create_hour", "consignee_tel")
 
 
+@query("gmv_hours_stream")
+def gmv_hours_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals by hour kept by change; every fifth order is sent a second time with another amount."""
+    run = new_run_dir(spark, "gmv-hours")
+    sent = bind.timed_orders(tables.replay(spark, sf, "events", f"{run}/feed"), F.col("ts").cast("timestamp").alias("timestamp"))
+    later = sent.filter(F.col("id").cast("bigint") % 5 == 0).withColumns({"total_amount": F.col("total_amount") * 2, "timestamp": F.expr("timestamp + INTERVAL 1 HOUR")})
+    messages = bind.json_messages(sent.unionByName(later), "id", "user_id", "total_amount", "create_time", "consignee_tel")
+    table, hours = jobs.order_table(f"{run}/table"), jobs.hour_table(f"{run}/hours")
+    jobs.run_to_end(spark, jobs.gmv(messages, table, hours), f"{run}/checkpoint")
+    return hours.read(spark).select("create_date", "hour", F.round("amount", 2).cast("double").alias("value"), "orders")
+
+
 @query("sale_detail_stream")
 def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "sales")
-    first_versions = bind.users(tables.stream(spark, sf, "customer"), F.lit(1).alias("version"))
+    first_versions = bind.users(tables.replay(spark, sf, "customer", f"{run}/user-feed"), F.lit(1).alias("version"))
     known = _user_table(spark, first_versions, run)
     table = jobs.sale_table(f"{run}/table", partition_by_day=False)
-    writer = jobs.sale_details(_order_messages(spark, sf, run), _detail_messages(spark, sf, run), known, table, AS_OF)
+    writer = jobs.sale_details(_order_messages(spark, sf, run), _detail_messages(spark, sf, run), known, table, AS_OF, side_width="6 hours")
     jobs.run_to_end(spark, writer, f"{run}/checkpoint")
     return table.read(spark).select("doc_id", *SALE_COLUMNS)
 
@@ -399,7 +428,7 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("log_archive")
 def log_archive(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "archive")
-    sent = bind.device_messages(tables.stream(spark, sf, "events"))
+    sent = bind.device_messages(tables.replay(spark, sf, "events", f"{run}/feed"))
     lines = logs.archive_rows(logs.route(sent, F.col("stamp")))
     jobs.run_to_end(spark, sinks.archive(lines, f"{run}/lines"), f"{run}/checkpoint")
     return spark.read.schema("value string, log_date string").text(f"{run}/lines").select("log_date", "value")

@@ -20,11 +20,11 @@ def day_before(date: str) -> str:
     return (Date.fromisoformat(date) - timedelta(days=1)).isoformat()
 
 
-def realtime_total(dau: DataFrame, logs: DataFrame, orders: DataFrame, date: str) -> DataFrame:
-    """(id, name, value): active devices, new devices and order amount of a day."""
+def realtime_total(dau: DataFrame, first: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+    """(id, name, value): active devices, new devices and order amount of a day. ``first`` has each device's first log ever."""
     parts = {
         "dau": metrics.dau_total(dau, date),
-        "new_mid": metrics.new_mid_total(logs, date),
+        "new_mid": metrics.new_mid_total(first, date),
         "order_amount": metrics.gmv_total(orders, date),
     }
     rows = [
@@ -34,7 +34,7 @@ def realtime_total(dau: DataFrame, logs: DataFrame, orders: DataFrame, date: str
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-def realtime_hours(spark: SparkSession, metric: str, date: str, dau: DataFrame, logs: DataFrame, orders: DataFrame) -> DataFrame:
+def realtime_hours(spark: SparkSession, metric: str, date: str, dau: DataFrame, first: DataFrame, orders: DataFrame) -> DataFrame:
     """(id, label, hour, value) for ``date`` (today) and the day before (yesterday).
 
     Hours without data have no row. A metric that does not exist gives one row per label with a
@@ -44,13 +44,18 @@ def realtime_hours(spark: SparkSession, metric: str, date: str, dau: DataFrame,
     if metric == "dau":
         hourly, day = metrics.dau_hours(dau, *days), "log_date"
     elif metric == "new_mid":
-        hourly, day = metrics.new_mid_hours(logs, *days), "log_date"
+        hourly, day = metrics.new_mid_hours(first, *days), "log_date"
     elif metric == "order_amount":
         hourly, day = metrics.gmv_hours(orders, *days), "create_date"
     else:
         labels = F.explode(F.array(F.lit("today"), F.lit("yesterday")))
         blank = [F.lit(None).cast("string").alias("hour"), F.lit(None).cast("double").alias("value")]
         return spark.range(1).select(F.lit(metric).alias("id"), labels.alias("label"), *blank)
+    return hours_of_days(metric, hourly, day, date)
+
+
+def hours_of_days(metric: str, hourly: DataFrame, day: str, date: str) -> DataFrame:
+    """(id, label, hour, value) of hourly values (day, hour, value)."""
     label = F.when(F.col(day) == date, "today").otherwise("yesterday")
     return hourly.select(F.lit(metric).alias("id"), label.alias("label"), "hour", F.col("value").cast("double").alias("value"))
 

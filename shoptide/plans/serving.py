@@ -1,6 +1,6 @@
 """The reports as JSON, read from the tables the jobs keep.
 
-    python -m shoptide.plans.serving total --date 2024-01-15 --dau /tables/dau --orders /tables/orders
+    python -m shoptide.plans.serving total --date 2024-01-15 --dau /tables/dau --first /tables/first --orders /tables/orders
     python -m shoptide.plans.serving hours --id dau --date 2024-01-15 --dau ... --orders ...
     python -m shoptide.plans.serving alerts --date 2024-01-15 --docs /tables/alerts --out /reports/alerts
     python -m shoptide.plans.serving sales --date 2024-01-15 --keyword red --page 1 --size 20 --sales /tables/sales
@@ -66,19 +66,29 @@ def sale_detail_json(report: DataFrame) -> DataFrame:
     return report.agg(text.alias("json"))
 
 
-def stored_totals(spark: SparkSession, dau: str, orders: str, date: str) -> DataFrame:
-    devices, sold = jobs.dau_table(dau), jobs.order_table(orders).read(spark)
-    # The first log ever is a minimum, which needs no choice between versions of a row.
-    return reports.realtime_total(devices.read(spark), devices.versions(spark), sold, date)
+def _stored_first(spark: SparkSession, dau: str, first: str, *dates: str) -> DataFrame:
+    """First logs ever of devices: of the table that the job of new devices keeps by day, or, without one, of all device days."""
+    if first:
+        return jobs.standing(jobs.first_day_table(first).read(spark, folders=list(dates)))
+    # A minimum needs no choice between versions of a row.
+    return metrics.first_seen(jobs.dau_table(dau).versions(spark))
 
 
-def stored_hours(spark: SparkSession, dau: str, orders: str, metric: str, date: str) -> DataFrame:
-    devices, sold = jobs.dau_table(dau), jobs.order_table(orders).read(spark)
-    return reports.realtime_hours(spark, metric, date, devices.read(spark), devices.versions(spark), sold)
+def stored_totals(spark: SparkSession, dau: str, orders: str, date: str, first: str = "") -> DataFrame:
+    devices, sold = jobs.dau_table(dau).read(spark, folders=[date]), jobs.order_table(orders).read(spark, folders=[date])
+    return reports.realtime_total(devices, _stored_first(spark, dau, first, date), sold, date)
+
+
+def stored_hours(spark: SparkSession, dau: str, orders: str, metric: str, date: str, first: str = "", hours: str = "") -> DataFrame:
+    days = [date, reports.day_before(date)]
+    if metric == "order_amount" and hours:
+        return reports.hours_of_days(metric, metrics.kept_hours(jobs.hour_table(hours).read(spark, folders=days), *days), "create_date", date)
+    devices, sold = jobs.dau_table(dau).read(spark, folders=days), jobs.order_table(orders).read(spark, folders=days)
+    return reports.realtime_hours(spark, metric, date, devices, _stored_first(spark, dau, first, *days), sold)
 
 
 def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page: int, size: int) -> DataFrame:
-    return reports.sale_detail_report(jobs.sale_table(sales).read(spark), date, keyword, page, size)
+    return reports.sale_detail_report(jobs.sale_table(sales).read(spark, folders=[date]), date, keyword, page, size)
 
 
 def stored_alerts(spark: SparkSession, panes: str, date: str, docs: str = "", **window: int) -> DataFrame:
@@ -94,7 +104,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide.plans.serving", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("report", choices=["total", "hours", "sales", "alerts"])
     parser.add_argument("--date", required=True)
-    for name in ("--id", "--dau", "--orders", "--sales", "--panes", "--docs", "--out", "--keyword"):
+    for name in ("--id", "--dau", "--first", "--orders", "--hours", "--sales", "--panes", "--docs", "--out", "--keyword"):
         parser.add_argument(name, default="")
     parser.add_argument("--page", type=int, default=1)
     parser.add_argument("--size", type=int, default=20)
@@ -105,9 +115,9 @@ def main(argv: list[str] | None = None) -> None:
         stored_alerts(spark, args.panes, args.date, args.docs).write.json(args.out)
         return
     if args.report == "total":
-        out = total_json(stored_totals(spark, args.dau, args.orders, args.date))
+        out = total_json(stored_totals(spark, args.dau, args.orders, args.date, args.first))
     elif args.report == "hours":
-        out = hours_json(stored_hours(spark, args.dau, args.orders, args.id, args.date))
+        out = hours_json(stored_hours(spark, args.dau, args.orders, args.id, args.date, args.first, args.hours))
     else:
         out = sale_detail_json(stored_sales(spark, args.sales, args.date, args.keyword, args.page, args.size))
     print(out.first().json)

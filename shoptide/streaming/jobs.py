@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import schemas
 from shoptide.functions import mask_phone, with_log_time, with_order_time
-from shoptide.operators import alerts, dedup, sale_detail
+from shoptide.operators import alerts, dedup, metrics, sale_detail
 from shoptide.operators.keyed import near_keys
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
@@ -80,15 +80,68 @@ def dau_table(path: str, schema: T.StructType = schemas.STARTUP_LOG, tie: str |
 
 
 def dau(messages: DataFrame, table: KeyedTable, schema: T.StructType = schemas.STARTUP_LOG, tie: str | None = None) -> DataStreamWriter:
-    """Each batch adds its first log per device and day; the table keeps the first of all batches. There is no
-    state and no lateness: a log that comes days late, or has no ``ts``, still counts."""
+    """Each batch adds, of its first logs per device and day, those that the table does not have or has a later one of.
+
+    The table is the seen set: of the batch's days its keys are read, and a device that starts up a hundred times is
+    stored once. There is no state and no lateness: a log that comes days late, or has no ``ts``, still counts.
+    """
+    attempts = sinks.Attempts(table)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        with adaptive(batch.sparkSession):
-            table.add(upper_columns(dedup.first_per_day(batch, tie)), batch_id)
+        spark = batch.sparkSession
+        with adaptive(spark):
+            attempts.clear(spark, batch_id)
+            came = sinks.staged(dedup.first_per_day(batch, tie), f"{table.path}-staging/{table.writer}")
+            days = [r.log_date for r in came.select("log_date").distinct().collect()]
+            stored = table.versions(spark, folders=days, before=batch_id)
+            stored = stored.select(*[F.col(c.upper()).alias(c) for c in ("mid", "log_date", "ts", *([tie] if tie else []))])
+            table.add(upper_columns(dedup.unseen_or_earlier(came, stored, tie)), batch_id)
+
+    return timed_logs(messages, schema).writeStream.foreachBatch(add).outputMode("append")
+
+
+def timed_logs(messages: DataFrame, schema: T.StructType = schemas.STARTUP_LOG) -> DataFrame:
+    """Start-up logs with date and hour; one without ``ts`` is of time 0."""
+    return with_log_time(startup_rows(messages, schema).withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint"))))
+
 
-    logs = startup_rows(messages, schema).withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
-    return with_log_time(logs).writeStream.foreachBatch(add).outputMode("append")
+# --- new devices ------------------------------------------------------------------------------
+
+FIRST_SEEN = T.StructType().add("mid", T.StringType()).add("ts", T.LongType()).add("log_date", T.StringType()).add("log_hour", T.StringType())
+KEY_BUCKETS = 64
+
+
+def device_table(path: str, writer: str = "main", buckets: int = KEY_BUCKETS) -> KeyedTable:
+    """The first log ever of each device, in a folder per hash of the device."""
+    return KeyedTable(path, FIRST_SEEN, ["mid"], None, [F.col("ts").asc()], writer, buckets=buckets)
+
+
+def first_day_table(path: str, writer: str = "main") -> KeyedTable:
+    """The same in a folder per day; ``withdrawn`` marks devices of which an earlier log has come since."""
+    return KeyedTable(path, T.StructType([*FIRST_SEEN]).add("withdrawn", T.BooleanType()), ["mid"], "log_date", [], writer)
+
+
+def first_seen(messages: DataFrame, devices: KeyedTable, days: KeyedTable, schema: T.StructType = schemas.STARTUP_LOG) -> DataStreamWriter:
+    """Keep the first log ever of each device, so that the new devices of a day are read from its folder alone.
+
+    A batch looks up its devices in their buckets only and writes those that are new or were first seen later than
+    now known; of the latter the row of the later day is withdrawn. A log may come late by any time.
+    """
+    attempts = sinks.Attempts(devices, days)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with adaptive(spark):
+            attempts.clear(spark, batch_id)
+            came = sinks.staged(metrics.first_seen(batch), f"{days.path}-staging/{days.writer}")
+            known = devices.read(spark, only=came, before=batch_id).select("mid", F.struct("ts", "log_date", "log_hour").alias("known"))
+            earlier = came.join(known, "mid", "left").filter(F.col("known").isNull() | (F.col("ts") < F.col("known.ts")))
+            earlier = sinks.staged(earlier, f"{days.path}-staging/{days.writer}-earlier")
+            devices.add(earlier, batch_id)
+            moved = earlier.filter(F.col("known.log_date") != F.col("log_date")).select("mid", "known.*", F.lit(True).alias("withdrawn"))
+            days.add(earlier.select(*FIRST_SEEN.fieldNames(), F.lit(False).alias("withdrawn")).unionByName(moved), batch_id)
+
+    return timed_logs(messages, schema).filter("mid IS NOT NULL").writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- order amount ---------------------------------------------------------------------------
@@ -100,9 +153,40 @@ def order_table(path: str, writer: str = "main") -> KeyedTable:
     return KeyedTable(path, columns, ["ID"], "CREATE_DATE", order, writer)
 
 
-def gmv(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
-    rows = order_rows(with_position(messages), *PLACE)
-    return rows.writeStream.foreachBatch(lambda batch, batch_id: table.add(upper_columns(numbered(batch)), batch_id)).outputMode("append")
+def hour_table(path: str, writer: str = "main") -> KeyedTable:
+    """Order amount and number of orders by hour, a folder per day."""
+    columns = T.StructType().add("create_date", T.StringType()).add("hour", T.StringType()).add("amount", T.DecimalType(38, 10)).add("orders", T.LongType())
+    return KeyedTable(path, columns, ["create_date", "hour"], "create_date", [], writer)
+
+
+def gmv(messages: DataFrame, table: KeyedTable, hours: KeyedTable | None = None) -> DataStreamWriter:
+    """Store orders, the last message of each; with ``hours`` also keep the totals by hour.
+
+    Totals are kept by change: what an order that a batch brings stood for before is taken out and what it stands
+    for now put in, so an order that is sent again, or is changed by a message read late, counts once. A batch that is run
+    again compares with the tables as they were before it.
+    """
+    attempts = sinks.Attempts(table, *([hours] if hours else []))
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with adaptive(spark):
+            attempts.clear(spark, batch_id)
+            came = upper_columns(numbered(batch))
+            if hours is None:
+                table.add(came, batch_id)
+                return
+            work = f"{hours.path}-staging/{hours.writer}"
+            came = sinks.staged(came, f"{work}/came")
+            days = [r[0] for r in came.select("CREATE_DATE").distinct().collect()]
+            before = sinks.staged(table.read(spark, only=came, folders=days, before=batch_id), f"{work}/before")
+            table.add(came, batch_id)
+            after = table.read(spark, only=came, folders=days, before=batch_id + 1)
+            change = metrics.hour_change(after, 1).unionByName(metrics.hour_change(before, -1))
+            stood = hours.read(spark, folders=days, before=batch_id)
+            hours.add(metrics.changed_hours(stood, change), batch_id)
+
+    return order_rows(with_position(messages), *PLACE).writeStream.foreachBatch(add).outputMode("append")
 
 
 # --- coupon alerts --------------------------------------------------------------------------
@@ -202,9 +286,10 @@ def coupon_alert_docs(
 # --- users ----------------------------------------------------------------------------------
 
 
-def user_table(path: str, writer: str = "main") -> KeyedTable:
+def user_table(path: str, writer: str = "main", buckets: int = KEY_BUCKETS) -> KeyedTable:
+    """The last message of each user, in a folder per hash of the id, so that the buyers of a batch are looked up in theirs only."""
     columns = T.StructType([*schemas.USER_INFO, *POSITION])
-    return KeyedTable(path, columns, ["id"], None, _last_sent() + [F.col(f.name).desc_nulls_last() for f in schemas.USER_INFO], writer)
+    return KeyedTable(path, columns, ["id"], None, _last_sent() + [F.col(f.name).desc_nulls_last() for f in schemas.USER_INFO], writer, buckets=buckets)
 
 
 def users(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
@@ -226,9 +311,12 @@ def sale_table(path: str, writer: str = "main", partition_by_day: bool = True) -
     return KeyedTable(path, columns, ["doc_id"], None, order, writer, cluster_by="dt")
 
 
+SIDE_WIDTH = "1 hour"
+
+
 def side_table(table: KeyedTable, side: str, rows: DataFrame) -> KeyedTable:
-    """Every row of one side of the join, beside the sale table and sorted by arrival."""
-    return KeyedTable(f"{table.path}-{side}", rows.schema, ["order_id"], writer=table.writer, cluster_by="seen")
+    """Every row of one side of the join, beside the sale table, in a folder per stretch of arrival."""
+    return KeyedTable(f"{table.path}-{side}", rows.schema, ["order_id"], "slot", writer=table.writer)
 
 
 def sale_details(
@@ -238,42 +326,48 @@ def sale_details(
     table: KeyedTable,
     as_of: str | Column | None = None,
     tolerance: str = "120 seconds",
+    side_width: str = SIDE_WIDTH,
 ) -> DataStreamWriter:
     """Join orders and items that arrive within ``tolerance`` of each other, add the user as known
     when the batch runs, and upsert by ``{order_id}-{order_detail_id}``.
 
-    Both sides are stored, and each batch is matched with what is stored of the other side. There is no state and no
-    lateness: a row that is read long after its arrival finds its partner all the same.
+    Both sides are stored in folders by arrival, and each batch is matched with what is stored of the other side in the
+    folders within reach of its rows: what is listed and read does not grow with history, and a row that is read days late
+    opens the folders of its own time only. There is no state and no lateness.
     """
     orders = order_rows(order_messages, "timestamp")
     details = decoded(decode.decode(detail_messages, schemas.ORDER_DETAIL, keep=("timestamp",)))
     matchable = "order_id IS NOT NULL AND seen IS NOT NULL"
-    placed = sale_detail.order_side(orders, F.col("timestamp").alias("seen")).filter(matchable)
-    items = sale_detail.detail_side(details, F.col("timestamp").alias("seen")).filter(matchable)
+    width, reach = sale_detail.seconds(side_width), F.expr(f"INTERVAL {sale_detail.seconds(tolerance)} SECONDS")
+    slot = sale_detail.arrival_bucket(F.col("seen"), width).alias("slot")
+    placed = sale_detail.order_side(orders, F.col("timestamp").alias("seen")).filter(matchable).select("*", slot)
+    items = sale_detail.detail_side(details, F.col("timestamp").alias("seen")).filter(matchable).select("*", slot)
     sides = {"orders": (placed, side_table(table, "orders", placed)), "items": (items, side_table(table, "items", items))}
     packed = [rows.select(F.struct(*rows.columns).alias(side)) for side, (rows, _) in sides.items()]
+    attempts = sinks.Attempts(table, *[kept for _, kept in sides.values()])
+    work = f"{table.path}-staging/{table.writer}"
 
-    def near(stored: DataFrame, came: DataFrame) -> DataFrame:
-        """Stored rows that may match a row that came, by arrival and order."""
-        first, last = (F.timestamp_micros(F.lit(t).cast("bigint")) for t in came.agg(F.unix_micros(F.min("seen")), F.unix_micros(F.max("seen"))).first())
-        reach = F.expr(f"INTERVAL {tolerance}")
-        return near_keys(stored.filter(F.col("seen").between(first - reach, last + reach)), came, ["order_id"])
+    def near(side: str, came: DataFrame, batch_id: int) -> DataFrame:
+        """Rows of a side stored before the batch that may match a row that came, by arrival and order."""
+        rows, kept = sides[side]
+        first, last = (sale_detail.arrival_bucket(t, width) for t in (F.col("seen") - reach, F.col("seen") + reach))
+        slots = sorted(r.slot for r in came.select(F.explode(F.sequence(first, last)).alias("slot")).distinct().collect())
+        return near_keys(kept.versions(came.sparkSession, folders=slots, before=batch_id).select(*rows.columns), came, ["order_id"])
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with adaptive(spark):
-            stored, came, before = {}, {}, {}
-            for side, (rows, kept) in sides.items():
-                kept.add(batch.filter(F.col(side).isNotNull()).select(f"{side}.*"), batch_id)
-                versions = kept.versions(spark)
-                own = (F.col("writer") == kept.writer) & (F.col("batch") == batch_id)
-                stored[side], came[side], before[side] = (v.select(*rows.columns) for v in (versions, versions.filter(own), versions.filter(~own)))
+            attempts.clear(spark, batch_id)
+            came = {}
+            for side, (_, kept) in sides.items():
+                came[side] = sinks.staged(batch.filter(F.col(side).isNotNull()).select(f"{side}.*"), f"{work}/{side}")
+                kept.add(came[side], batch_id)
             # What came on one side meets all of the other, and what had been there before meets what came.
-            found = sale_detail.match_within(came["orders"], near(stored["items"], came["orders"]), tolerance)
-            found = found.unionByName(sale_detail.match_within(near(before["orders"], came["items"]), came["items"], tolerance))
-            sales = sinks.staged(found, f"{table.path}-staging/{table.writer}")
-            buyers = sales.select(F.col("user_id").alias("id"))
-            known = users_from.read(spark, only=buyers)
+            of_orders = came["items"].unionByName(near("items", came["orders"], batch_id))
+            found = sale_detail.match_within(came["orders"].drop("slot"), of_orders.drop("slot"), tolerance)
+            found = found.unionByName(sale_detail.match_within(near("orders", came["items"], batch_id).drop("slot"), came["items"].drop("slot"), tolerance))
+            sales = sinks.staged(found, f"{work}/sales")
+            known = users_from.read(spark, only=sales.select(F.col("user_id").alias("id")))
             rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
             table.add(sale_detail.with_doc_id(rows), batch_id)
 

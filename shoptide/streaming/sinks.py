@@ -75,8 +75,16 @@ class KeyedTable:
         levels = (self.partition_by is not None) + (self.buckets is not None)
         found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(["*"] * levels + [f"writer={self.writer}", "batch=*"])))
         for folder in found or []:
-            if int(folder.getPath().getName().removeprefix("batch=")) >= batch_id:
-                files.delete(folder.getPath(), True)
+            gone = folder.getPath()
+            if int(gone.getName().removeprefix("batch=")) < batch_id:
+                continue
+            files.delete(gone, True)
+            # Folders that are left empty go too: a reader tells from folders what they are divided by.
+            for _ in range(levels + 1):
+                gone = gone.getParent()
+                if len(files.listStatus(gone)):
+                    break
+                files.delete(gone, False)
 
     def versions(self, spark: SparkSession, folders: list | None = None, before: int | None = None) -> DataFrame:
         """Every row written, with ``written_at``, ``writer`` and ``batch``.

@@ -54,8 +54,8 @@ def logs(spark, *rows):
 def test_new_devices(spark):
     day = 86_400_000
     df = logs(spark, ("a", 10 * day + 3_600_000), ("a", 11 * day), ("b", 11 * day + 7_200_000), ("b", 12 * day))
-    assert rows_of(metrics.new_mid_total(df, "1970-01-12")) == [(1,)]
-    assert rows_of(metrics.new_mid_hours(df, "1970-01-11", "1970-01-12")) == [("1970-01-11", "01", 1), ("1970-01-12", "02", 1)]
+    assert rows_of(metrics.new_mid_total(metrics.first_seen(df), "1970-01-12")) == [(1,)]
+    assert rows_of(metrics.new_mid_hours(metrics.first_seen(df), "1970-01-11", "1970-01-12")) == [("1970-01-11", "01", 1), ("1970-01-12", "02", 1)]
 
 
 def test_shares(spark):
@@ -105,14 +105,14 @@ def test_pages(spark):
 
 
 def test_realtime_total(spark):
-    devices, starts = dau(spark, ("a", "1970-01-12", "09")), logs(spark, ("a", 10 * 86_400_000), ("a", 11 * 86_400_000))
+    devices, starts = dau(spark, ("a", "1970-01-12", "09")), metrics.first_seen(logs(spark, ("a", 10 * 86_400_000), ("a", 11 * 86_400_000)))
     got = rows_of(reports.realtime_total(devices, starts, orders(spark, ("1970-01-12", "09", 7.5)), "1970-01-12"))
     assert got == [("dau", "新增日活", 1.0), ("new_mid", "新增设备", 0.0), ("order_amount", "新增交易额", 7.5)]
 
 
 def test_realtime_hours(spark):
     devices = dau(spark, ("a", "2024-03-01", "09"), ("b", "2024-02-29", "10"))
-    starts = logs(spark, ("a", 1_709_280_000_000))
+    starts = metrics.first_seen(logs(spark, ("a", 1_709_280_000_000)))
     amounts = orders(spark, ("2024-03-01", "09", 7.5), ("2024-02-28", "09", 1.0))
     ask = lambda name: rows_of(reports.realtime_hours(spark, name, "2024-03-01", devices, starts, amounts))
     assert ask("dau") == [("dau", "today", "09", 1.0), ("dau", "yesterday", "10", 1.0)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shoptide import schemas
 from shoptide.functions import with_log_time
-from shoptide.operators import alerts, dedup
+from shoptide.operators import alerts, dedup, metrics
 from shoptide.sources import decode, logs
 from shoptide.sources.tables import upper_columns
 from shoptide.streaming import jobs, sinks
@@ -447,6 +447,110 @@ def test_a_repeated_batch_without_rows_for_a_day_clears_it(spark, tmp_path):
     assert rows_of(table.read(spark, before=1), "doc_id") == [("a",), ("o",)]
 
 
+def test_dau_stores_only_unseen_and_earlier_logs(spark, messages, tmp_path):
+    rng = random.Random(3)
+    feed, table = messages("start"), jobs.dau_table(str(tmp_path / "dau"))
+    sent, corrections, least = [], 0, {}
+    for _ in range(20):
+        logs_of_batch = [(f"m{rng.randrange(6)}", START + rng.randrange(2 * DAY)) for _ in range(30)]
+        sent += logs_of_batch
+        first = {}
+        for mid, ts in logs_of_batch:
+            key = (mid, ts // DAY)
+            first[key] = min(ts, first.get(key, ts))
+        for key, ts in first.items():
+            corrections += key in least and ts < least[key]
+            least[key] = min(ts, least.get(key, ts))
+        feed.send(*[start_log(*x) for x in logs_of_batch])
+    run(spark, jobs.dau(feed.stream(), table), tmp_path)
+    batch = dedup.first_per_day(with_log_time(spark.createDataFrame(sent, "mid string, ts bigint")))
+    assert rows_of(table.read(spark), "mid", "log_date", "ts") == rows_of(batch, "mid", "log_date", "ts")
+    assert table.versions(spark).count() == len(least) + corrections < 20 * 12
+
+
+def test_new_devices_are_kept_by_day(spark, messages, tmp_path):
+    rng = random.Random(4)
+    feed = messages("start")
+    devices, days = jobs.device_table(str(tmp_path / "devices"), buckets=8), jobs.first_day_table(str(tmp_path / "days"))
+    sent = [(f"m{rng.randrange(40)}", START + rng.randrange(6 * DAY)) for _ in range(200)]
+    for i in range(0, 200, 40):
+        feed.send(*[start_log(*x) for x in sent[i : i + 40]], ({"uid": "no device", "type": "startup", "ts": START}, 0))
+        run(spark, jobs.first_seen(feed.stream(), devices, days), tmp_path)
+        before = rows_of(days.versions(spark).drop("written_at"))
+        uncommit(tmp_path)
+        run(spark, jobs.first_seen(feed.stream(), devices, days), tmp_path)
+        assert rows_of(days.versions(spark).drop("written_at")) == before
+    want = metrics.first_seen(spark.createDataFrame(sent, "mid string, ts bigint"))
+    assert rows_of(jobs.standing(days.read(spark)), "mid", "ts", "log_date") == rows_of(want, "mid", "ts", "log_date")
+    day = "2024-01-16"
+    one = jobs.standing(days.read(spark, folders=[day]))
+    assert rows_of(one, "mid") == rows_of(want.filter(F.col("log_date") == day), "mid")
+    assert one.inputFiles() and all(f"log_date={day}/" in f for f in one.inputFiles())
+    assert rows_of(metrics.new_mid_hours(one, day)) == rows_of(metrics.new_mid_hours(want, day))
+
+
+def test_hours_follow_every_change_of_an_order(spark, messages, tmp_path):
+    rng = random.Random(5)
+    feed = messages("orders")
+    table, hours = jobs.order_table(str(tmp_path / "sold")), jobs.hour_table(str(tmp_path / "hours"))
+    for _ in range(5):
+        feed.send(*[order(f"{rng.randrange(25)}", rng.randrange(100), total_amount=f"{rng.randrange(1000)}.{rng.randrange(100):02d}", create_time=f"2024-01-{15 + rng.randrange(2)} 1{rng.randrange(3)}:00:00") for _ in range(20)])
+        run(spark, jobs.gmv(feed.stream(), table, hours), tmp_path)
+        before = rows_of(hours.versions(spark).drop("written_at"))
+        uncommit(tmp_path)
+        run(spark, jobs.gmv(feed.stream(), table, hours), tmp_path)
+        assert rows_of(hours.versions(spark).drop("written_at")) == before
+        sold = table.read(spark)
+        for day in ("2024-01-15", "2024-01-16"):
+            assert rows_of(metrics.kept_hours(hours.read(spark, folders=[day]), day)) == rows_of(metrics.gmv_hours(sold, day))
+            assert hours.read(spark).filter(F.col("create_date") == day).agg(F.sum("orders")).first()[0] == sold.filter(F.col("CREATE_DATE") == day).count()
+
+
+def test_users_are_looked_up_in_their_buckets(spark, messages, tmp_path):
+    feed, table = messages("users"), jobs.user_table(str(tmp_path / "users"))
+    for batch in range(3):
+        feed.send(*[user(f"u{i}", batch, str(batch)) for i in range(60)])
+    run(spark, jobs.users(feed.stream(), table), tmp_path)
+    assert table.read(spark).count() == 60
+    only = spark.createDataFrame([("u7",), ("u8",), ("u999",)], "id string")
+    found = table.read(spark, only=only)
+    assert rows_of(found, "id", "user_level") == [("u7", "2"), ("u8", "2")]
+    read = {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles() if "bucket=" in f}
+    assert 1 <= len(read) <= 3
+    assert len({p.name for p in (tmp_path / "users").glob("bucket=*")}) > 20
+
+
+def test_what_the_sale_job_reads_does_not_grow_with_history(spark, messages, tmp_path, monkeypatch):
+    orders, details = messages("orders"), messages("details")
+    table, nobody = jobs.sale_table(str(tmp_path / "sales")), jobs.user_table(str(tmp_path / "nobody"))
+    opened = []
+    versions = sinks.KeyedTable.versions
+
+    def watched(self, spark, folders=None, before=None):
+        rows = versions(self, spark, folders, before)
+        if self.path.endswith(("-orders", "-items")):
+            opened[-1] += len(rows.inputFiles())
+        return rows
+
+    monkeypatch.setattr(sinks.KeyedTable, "versions", watched)
+    for batch in range(20):
+        opened.append(0)
+        second = 7200 * batch
+        orders.send(order(f"o{batch}", second))
+        details.send(detail("d", f"o{batch}", second + 5))
+        run(spark, jobs.sale_details(orders.stream(), details.stream(), nobody, table, "2024-01-15"), tmp_path)
+    # A batch opens what it has stored itself, as nothing else arrived near it; what a late row opens is its own time.
+    assert set(opened) == {2}
+    opened.append(0)
+    details.send(detail("late", "o3", 3 * 7200 + 60))
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), nobody, table, "2024-01-15"), tmp_path)
+    assert opened[-1] == 1
+    assert rows_of(table.read(spark), "doc_id") == sorted([(f"o{i}-d",) for i in range(20)] + [("o3-late",)])
+    uncommit(tmp_path)
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), nobody, table, "2024-01-15"), tmp_path)
+    assert table.read(spark).count() == 21
+
+
 def test_of_two_versions_sent_at_once_the_later_stays(spark, tmp_path):
     lines = [m for i in range(40) for m in (user(f"u{i:02d}", 0, "9")[0], user(f"u{i:02d}", 0, "1")[0])]
     run_job(tmp_path, "users", feed_folder(tmp_path, "sent", *lines), "users")
