@@ -4,7 +4,7 @@ Documents meet in blocks: by the prefix principle two documents whose Jaccard si
 a shingle among the first few of either in any order that holds for all documents. Inside a block a tree is built whose
 nodes hold OR-combined bitmaps and size ranges; pairs of nodes are walked down together and left as soon as the largest
 possible overlap below them is too small, or everything below them is already known to be connected. What reaches the
-leaves is compared exactly.
+leaves is compared exactly, by whole sets and within the task that holds them: pairs are never rows.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import components, whole_runs, written
+from shoptide.llm.common import components, whole_runs, without, written
+from shoptide.llm.exact_dedup import located
 from shoptide.operators.keyed import near_keys
 
 WORDS = 4
@@ -31,9 +32,11 @@ LEAST_BITS, MOST_BITS = 256, 1 << 16
 LEAF, FAN_OUT = 8, 8
 # Larger blocks are cut into tiles of this many documents and every pair of tiles is a task's work.
 TILE = 1024
-# Positions of the prefix that the first round looks at.
-FIRST = 3
+# Smallest shingles of a set by which the first round brings documents together.
+LOWEST = 2
 BATCH_BYTES = 1 << 20
+# Bitmaps that pairs of nodes are compared by at once.
+PAIR_BYTES = 1 << 25
 
 _U = np.uint64
 _BYTES = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -116,31 +119,35 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def _documents(rows: DataFrame, words: int, percent: int, frequent=None) -> DataFrame:
-    """(_id, n, s1, s2, prefix) of rows (_id, _text): set size, two sums that stand for the set, prefix."""
+    """(_id, file, row, n, s1, s2, low, prefix) of rows (_id, _text, file, row): set size, two sums that stand for the set, its
+    smallest shingles, its prefix."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
 
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        ends = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64), pa.int64()))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value if shared is not None else None
         for batch in batches:
-            sizes, one, two, prefixes = [], [], [], []
+            sizes, one, two, low, prefixes = [], [], [], [], []
             for found in _text_sets(batch.column(1), words):
                 for grams in found:
                     sizes.append(len(grams))
                     one.append(grams.sum(dtype=np.uint64))
                     two.append(_mix(grams ^ _STEP[2]).sum(dtype=np.uint64))
+                    low.append(grams[:LOWEST])
                     need = prefix_length(len(grams), percent) if len(grams) else 0
                     if bitmap is not None and need:
                         often = is_frequent(bitmap, grams)
                         grams = np.concatenate((grams[~often][:need], grams[often][:need]))
-                    prefixes.append(grams[:need].view(np.int64))
-            ends = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))), pa.int32())
-            values = pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64), pa.int64())
+                    prefixes.append(grams[:need])
             as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), as_long(one), as_long(two), pa.ListArray.from_arrays(ends, values)], ["_id", "n", "s1", "s2", "prefix"])
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()), as_long(one), as_long(two), lists(low), lists(prefixes)]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "file", "row", "n", "s1", "s2", "low", "prefix"])
 
-    id_type = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(sets, f"_id {id_type}, n bigint, s1 bigint, s2 bigint, prefix array<bigint>")
+    return rows.select("_id", "_text", "file", "row").mapInArrow(
+        sets, "_id bigint, file string, row bigint, n bigint, s1 bigint, s2 bigint, low array<bigint>, prefix array<bigint>")
 
 
 def is_frequent(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -161,31 +168,74 @@ def _frequent(documents: DataFrame) -> np.ndarray | None:
     return bitmap.view(np.uint64)
 
 
-def _blocks(postings: DataFrame) -> DataFrame:
-    """(block, rep, n, members): the documents that share a shingle of ``postings`` (h, rep, n), where there are
-    two or more. Shingles shared by the same documents make one block. Rows are sorted within tasks and read
-    as a stream."""
-    sorted_rows = postings.repartition("h").sortWithinPartitions("h", "rep")
+# Blocks over this many documents are taken apart in Spark and not looked through for rows that cannot meet.
+HOT = 1 << 16
+
+
+def meeting(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> np.ndarray:
+    """Numbers of the members of a block that may be similar to one of another component, ordered by size.
+
+    Two sets whose first common shingle stands at place ``pos`` of one of them share at most what follows there, which limits
+    the size of the other; and a size must be in reach of the other.
+    """
+    at = np.lexsort((pos, n))
+    while len(at):
+        size, group = n[at], comp[at]
+        most = np.minimum(100 * size // percent, (size - pos[at]) * (100 + percent) // percent - size)
+        lo, hi = np.searchsorted(size, -(-percent * size // 100)), np.searchsorted(size, most, side="right")
+        # Where the next member of another component than a member's stands.
+        change = np.flatnonzero(np.diff(group)) + 1
+        following = np.append(change, len(at))[np.searchsorted(change, np.arange(len(at)), side="right")]
+        first = np.minimum(lo, len(at) - 1)
+        keep = (lo < hi) & ((group[first] != group) | (following[first] < hi))
+        if keep.all():
+            break
+        at = at[keep]
+    return at
+
+
+def _blocks(postings: DataFrame, percent: int) -> DataFrame:
+    """(block, rep, n, comp, members): of the documents that share a shingle of ``postings`` (h, rep, n, comp, pos), those that
+    may be similar to one of another component. Shingles shared by the same documents make one block.
+
+    Rows are sorted within tasks and read as a stream. Shingles of more than ``HOT`` documents are counted before and never
+    gathered: their documents go on as they are, to be dealt out in tiles.
+    """
+    hot = written(postings.groupBy("h").agg(F.count("*").alias("members")).filter(F.col("members") > HOT), "hot-shingles")
+    some = not hot.isEmpty()
+    few = without(postings, hot, ["h"]) if some else postings
+    sorted_rows = few.repartition("h").sortWithinPartitions("h", "rep")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch, found in whole_runs(batches, 1):
-            _, rep, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            mark = np.add.reduceat(_mix(rep.astype(np.uint64) + _STEP[1]), [start for start, _ in found]).tolist()
+            _, rep, n, comp, pos = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            starts = np.array([start for start, _ in found])
+            several = np.flatnonzero(np.minimum.reduceat(comp, starts) < np.maximum.reduceat(comp, starts)).tolist()
             picks, marks, sizes = [], [], []
-            for (start, end), m in zip(found, mark, strict=True):
-                if end - start > 1 and m not in seen:
+            for k in several:
+                start, end = found[k]
+                pick = start + meeting(n[start:end], pos[start:end], comp[start:end], percent)
+                mark = int(_mix(rep[pick].astype(np.uint64) + _STEP[1]).sum(dtype=np.uint64))
+                if len(pick) and mark not in seen:
                     if len(seen) < 1 << 20:
-                        seen.add(m)
-                    picks.append(np.arange(start, end))
-                    marks.append(m)
-                    sizes.append(end - start)
+                        seen.add(mark)
+                    picks.append(pick)
+                    marks.append(mark)
+                    sizes.append(len(pick))
             if picks:
                 pick = np.concatenate(picks)
                 block = np.repeat(np.array(marks, np.uint64).view(np.int64), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (block, rep[pick], n[pick], np.repeat(sizes, sizes))], ["block", "rep", "n", "members"])
-
-    return sorted_rows.select("h", "rep", "n").mapInArrow(runs, "block bigint, rep bigint, n bigint, members bigint").dropDuplicates(["block", "rep"])
+                columns = [block, rep[pick], n[pick], comp[pick], np.repeat(sizes, sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["block", "rep", "n", "comp", "members"])
+
+    schema = "block bigint, rep bigint, n bigint, comp bigint, members bigint"
+    out = sorted_rows.select("h", "rep", "n", "comp", "pos").mapInArrow(runs, schema).dropDuplicates(["block", "rep"])
+    if some:
+        rows = near_keys(postings, hot, ["h"]).join(hot, "h")
+        spread = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("h")
+        out = out.unionByName(rows.join(spread, "h").select(F.col("h").alias("block"), "rep", "n", "comp", "members"))
+    return out
 
 
 def _tiled(blocks: DataFrame) -> DataFrame:
@@ -198,22 +248,23 @@ def _tiled(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, words: int, signatures: bool = False) -> DataFrame:
-    """(rep, grams) of the documents named in ``wanted`` (rep), from their texts; or (rep, sig), their bitmaps."""
+    """(rep, grams) of the documents named in ``wanted`` (rep, file, row), from their texts; or (rep, sig), their bitmaps."""
     name = "sig" if signatures else "grams"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [g for part in _text_sets(batch.column(1), words) for g in part]
+            found = [g for part in _text_sets(batch.column(2), words) for g in part]
             if signatures:
                 values = pa.array([signature(g).tobytes() for g in found], pa.binary())
             else:
                 ends = pa.array(np.concatenate(([0], np.cumsum([len(g) for g in found]))), pa.int32())
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
                 values = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["rep", name])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], ["file", "row", name])
 
-    near = near_keys(rows.withColumnRenamed("_id", "rep"), wanted, ["rep"])
-    return near.select("rep", "_text").mapInArrow(run, f"rep bigint, {name} {'binary' if signatures else 'array<bigint>'}").join(wanted, "rep", "left_semi")
+    near = near_keys(rows, wanted, ["file", "row"]).select("file", "row", "_text")
+    found = near.mapInArrow(run, f"file string, row bigint, {name} {'binary' if signatures else 'array<bigint>'}")
+    return found.join(wanted, ["file", "row"]).select("rep", name)
 
 
 class Tree:
@@ -268,8 +319,9 @@ class Tree:
         # The larger set must not outgrow the smaller one.
         out = (100 * high[left] >= percent * low[right]) & (100 * high[right] >= percent * low[left])
         at = np.flatnonzero(out)
-        for start in range(0, len(at), 1 << 16):
-            part = at[start : start + (1 << 16)]
+        step = max(1, PAIR_BYTES // maps[0].nbytes)
+        for start in range(0, len(at), step):
+            part = at[start : start + step]
             l, r = left[part], right[part]
             common = np.bitwise_count(maps[l] & maps[r]).sum(axis=1).astype(np.int64)
             overlap = np.minimum(high[l] - np.maximum(few[l] - common, 0), high[r] - np.maximum(few[r] - common, 0))
@@ -308,20 +360,23 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def block_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the documents of a block as all its similar pairs would: pairs are compared exactly in the
-    order of the tree walk, and those already connected are passed over."""
+    order of the tree walk, and those already connected, at first by ``group``, are passed over."""
     sizes = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(sizes, kind="stable")
     ids, sets, sizes = ids[order], [sets[i] for i in order], sizes[order]
+    root = np.arange(len(ids)) if group is None else np.unique(group[order], return_inverse=True)[1]
     bits = signature_bits(int(sizes[-1]))
-    pairs = Tree(np.stack([signature(s, bits) for s in sets]), sizes).pairs(percent)
-    root = np.arange(len(ids))
+    pairs = Tree(np.stack([signature(s, bits) for s in sets]), sizes).pairs(percent, root.copy())
     links = []
-    for a, b in pairs.tolist():
-        if root[a] != root[b] and similar(sets[a], sets[b], percent):
-            links.append((int(ids[a]), int(ids[b])))
-            root[root == root[b]] = root[a]
+    # Pairs that have been connected meanwhile are left out now and then, all at once.
+    for start in range(0, len(pairs), 1 << 12):
+        part = pairs[start : start + (1 << 12)]
+        for a, b in part[root[part[:, 0]] != root[part[:, 1]]].tolist():
+            if root[a] != root[b] and similar(sets[a], sets[b], percent):
+                links.append((int(ids[a]), int(ids[b])))
+                root[root == root[b]] = root[a]
     return links
 
 
@@ -338,87 +393,106 @@ def _by_block(members: DataFrame, column: DataFrame, names: list[str], function)
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _linked(blocks: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): exact links inside blocks (block, pair, rep), one tree and comparison of whole sets per block."""
+def _linked(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): exact links inside blocks (block, pair, rep, comp), one tree and comparison of whole sets per block."""
 
     def links(batch: pa.RecordBatch, start: int, end: int):
-        reps = batch.column(2).slice(start, end - start).to_numpy()
-        column = batch.column(3).slice(start, end - start)
-        sets = [column[i].values.to_numpy() for i in range(len(column))]
-        first = np.flatnonzero(np.diff(reps, prepend=reps[0] - 1))  # a repeated id keeps one of its sets
-        return block_links(reps[first], [sets[i] for i in first], percent)
+        ids, comp = (batch.column(i).slice(start, end - start).to_numpy() for i in (2, 3))
+        column = batch.column(4).slice(start, end - start)
+        return block_links(ids, [column[i].values.to_numpy() for i in range(len(column))], percent, comp)
 
-    return _by_block(blocks, _sets(rows, blocks.select("rep").distinct(), words), ["grams"], links)
+    wanted = reps.select("rep", "file", "row").join(blocks.select("rep").distinct(), "rep", "left_semi")
+    return _by_block(blocks, _sets(rows, wanted, words), ["comp", "grams"], links)
 
 
-def _candidates(blocks: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): pairs of documents of different components that the bitmaps leave possible, from one tree per block
-    (block, pair, rep, n, comp)."""
+def _candidates(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that connect the documents of each block (block, pair, rep, n, comp) as all pairs of different components
+    would that the bitmaps leave possible, from one tree per block. A document has one of them per block at most."""
 
-    def pairs(batch: pa.RecordBatch, start: int, end: int):
-        reps, n, comp = (batch.column(i).slice(start, end - start).to_numpy() for i in (2, 3, 4))
+    def forest(batch: pa.RecordBatch, start: int, end: int):
+        ids, n, comp = (batch.column(i).slice(start, end - start).to_numpy() for i in (2, 3, 4))
         maps = [np.frombuffer(m, np.uint64) for m in batch.column(5).slice(start, end - start).to_pylist()]
         found = possible_pairs(maps, n, comp, percent)
-        a, b = reps[found[:, 0]], reps[found[:, 1]]
-        return zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)
+        root = np.arange(len(ids))
+        while True:
+            a, b = root[found[:, 0]], root[found[:, 1]]
+            apart = a != b
+            if not apart.any():
+                break
+            found = found[apart]
+            np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+            while not (root[root] == root).all():
+                root = root[root]
+        at = np.flatnonzero(root != np.arange(len(ids)))
+        return zip(ids[root[at]].tolist(), ids[at].tolist(), strict=True)
+
+    wanted = reps.select("rep", "file", "row").join(blocks.select("rep").distinct(), "rep", "left_semi")
+    return _by_block(blocks, _sets(rows, wanted, words, signatures=True), ["n", "comp", "sig"], forest)
 
-    signatures = _sets(rows, blocks.select("rep").distinct(), words, signatures=True)
-    return _by_block(blocks, signatures, ["n", "comp", "sig"], pairs).distinct().filter("a < b")
 
+def _counted(blocks: DataFrame) -> DataFrame:
+    """Blocks (block, rep, ...) of two or more documents, with ``members``."""
+    sizes = blocks.groupBy("block").agg(F.count("*").alias("members")).filter("members > 1")
+    return blocks.join(sizes, "block")
 
-def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = written(_sets(rows, wanted, words), "sets")
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb")), "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return both.filter(100 * common >= percent * (F.size("ga") + F.size("gb") - common)).select("a", "b")
+
+def _with_component(reps: DataFrame, comps: DataFrame) -> DataFrame:
+    return reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: (id, n_shingles, component_id).
+    """One row per row of ``docs``: (id, n_shingles, component_id, survivor, file, row).
 
     A-Z are read as a-z and words are runs of anything but ASCII white space. A document's set holds its distinct
     shingles of ``words`` words; with fewer words the whole sequence is its one shingle; null and empty texts and
     those without words have an empty set and no link. Two documents are linked when 100 * |A and B| >= percent *
-    |A or B|; the component is the smallest id that links lead to, the own one included. Rows with a null id take
-    part with their text, but are no component's name unless they have no equal: then it is null. Rows that
-    repeat an id are one node. Other columns are not read; an empty table gives an empty table.
+    |A or B|; the component is the smallest id that links lead to, the own one included. Every row is a document of
+    its own: rows with a null id take part with their text and only name a component of nothing else, which then is null;
+    rows that repeat an id with other texts may belong to different components. ``survivor`` holds for one row of every
+    component and for every row with an empty set. Other columns are not read; an empty table gives an empty table.
 
     Ids are integers. Shingles are compared as 64-bit hashes. Documents with equal sets are one class,
     whatever its size, and only classes are joined; the links kept are enough to connect what all similar
     pairs connect, so a group of near copies gives no pair list.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = located(docs.withColumn(id_col, F.col(id_col).cast("long")), id_col, text_col).withColumn("_text", F.coalesce(F.col("_text"), F.lit("")))
     everything = written(_documents(rows, words, percent), "shingles")
     key = ["n", "s1", "s2"]
-
-    def classes(documents: DataFrame) -> DataFrame:
-        full = documents.filter("n > 0").groupBy(*key).agg(F.min("_id").alias("rep"), F.first("prefix").alias("prefix"))
-        return full.filter("rep IS NOT NULL")
-
-    names = everything.select("_id", *key)
+    place = F.struct(F.col("_id").isNull().alias("none"), "_id", "file", "row")
     bitmap = _frequent(everything)
     documents = everything if bitmap is None else _documents(rows, words, percent, bitmap)
-    reps = written(classes(documents), "shingle-classes")
-    postings = lambda prefix: reps.select("rep", "n", F.explode(prefix).alias("h"))
-
-    # First round: the shingles at the head of the prefixes, which join nearly all that is similar.
-    blocks = written(_tiled(_blocks(postings(F.slice("prefix", 1, FIRST)))), "blocks")
-    links = written(_linked(blocks, rows, words, percent), "links")
+    full = documents.filter("n > 0").groupBy(*key).agg(F.min(place).alias("first"), F.first("low").alias("low"), F.first("prefix").alias("prefix"))
+    # A class has a number of its own, fixed by writing it, and the place of one of its texts.
+    reps = written(full.withColumn("rep", F.monotonically_increasing_id()).withColumns({"file": F.col("first.file"), "row": F.col("first.row")}), "shingle-classes")
+
+    # First round: documents that share one of their smallest shingles, which near copies mostly do. It only saves work:
+    # a large block is cut into tiles that are not compared with each other, but for one document of each component.
+    blocks = _counted(reps.select("rep", F.explode("low").alias("block"), F.col("rep").alias("comp")))
+    tile = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / TILE))
+    blocks = written(blocks.withColumn("pair", tile), "blocks")
+    links = written(_linked(blocks, rows, reps, words, percent), "links")
     comps = written(components(links, "components"), "components")
-
-    # Second round: all of the prefixes. A block that lies within one component can add nothing; the others need
-    # only their bitmaps until few pairs are left.
-    blocks = written(_blocks(postings("prefix")), "blocks")
-    named = blocks.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    open_blocks = named.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block")
-    left = written(_tiled(named.join(open_blocks, "block").select("block", "rep", "n", "members", "comp")), "blocks")
-    pairs = written(_candidates(left, rows, words, percent), "pairs")
-    comps = components(written(links.unionByName(_verified(pairs, rows, words, percent)), "links"), "components")
-
-    named = reps.select(*key, "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select(*key, F.coalesce("component", "rep").alias("found"))
-    out = names.join(named, key, "left")
-    component = F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("found"))
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    large = _with_component(blocks.filter(F.col("members") > TILE).select("block", "rep"), comps)
+    large = _counted(large.groupBy("block", "comp").agg(F.min("rep").alias("rep")))
+    large = written(large.withColumn("pair", tile), "blocks")
+    if not large.isEmpty():
+        links = written(links.unionByName(_linked(large, rows, reps, words, percent)), "links")
+        comps = written(components(links, "components"), "components")
+
+    # Second round: all of the prefixes. Documents that may be similar to one of another component are told by their
+    # bitmaps; the groups they make are compared by whole sets, each document in one group.
+    postings = _with_component(reps, comps).select("rep", "n", "comp", F.posexplode("prefix").alias("pos", "h"))
+    blocks = written(_tiled(_blocks(postings, percent)).select("block", "pair", "rep", "n", "comp"), "blocks")
+    near = written(components(written(_candidates(blocks, rows, reps, words, percent), "candidates"), "near"), "near")
+    groups = _with_component(near.select(F.col("node").alias("rep"), F.col("component").alias("block")), comps)
+    groups = written(_tiled(_counted(groups)), "groups")
+    comps = components(written(links.unionByName(_linked(groups, rows, reps, words, percent)), "links"), "components")
+
+    named = _with_component(reps.select(*key, "rep", "first"), comps)
+    names = named.groupBy("comp").agg(F.min("first").alias("name"))
+    out = everything.select("_id", "file", "row", *key).join(named.join(names, "comp").select(*key, "name"), key, "left")
+    empty = F.col("n") == 0
+    own = (F.col("file") == F.col("name.file")) & (F.col("row") == F.col("name.row"))
+    return out.select(
+        F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(empty, F.col("_id")).otherwise(F.col("name._id")).alias("component_id"),
+        (empty | own).alias("survivor"), "file", "row")

@@ -86,9 +86,20 @@ def shingles(text, words):
 
 
 def plain_join(rows, words, percent):
-    sets = {i: shingles(t, words) for i, t in rows}
-    links = [(a, b) for a, b in combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
-    return {i: (len(s), c) for (i, s), c in zip(sets.items(), smallest(sets, links).values(), strict=True)}
+    """(id, set size, component) of every row; a row is a node of its own, whatever its id."""
+    sets = [shingles(t, words) for _, t in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    root = smallest(range(len(rows)), links)
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(root[k], []).append(i)
+    name = {r: min((i for i in ids if i is not None), default=None) for r, ids in groups.items()}
+    return sorted(((i, len(sets[k]), name[root[k]]) for k, (i, _) in enumerate(rows)), key=repr), len([k for k in range(len(rows)) if not sets[k] or root[k] == k])
+
+
+def joined(df, **options):
+    out = jaccard_join.jaccard_components(df, **options).collect()
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=repr), sum(r.survivor for r in out)
 
 
 def near_rows(seed, copies):
@@ -113,22 +124,49 @@ def near_rows(seed, copies):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("words", "percent", "tile", "frequent"), [(4, 85, 1024, 16), (5, 80, 8, 3)])
-def test_jaccard_join_equals_brute_force(spark, monkeypatch, words, percent, tile, frequent):
+@pytest.mark.parametrize(("words", "percent", "tile", "frequent", "hot"), [(4, 85, 1024, 16, 1 << 16), (5, 80, 8, 3, 1 << 16), (4, 85, 4, 2, 5)])
+def test_jaccard_join_equals_brute_force(spark, monkeypatch, words, percent, tile, frequent, hot):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
     rows = near_rows(percent, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = jaccard_join.jaccard_components(df, words=words, percent=percent)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == plain_join(rows, words, percent)
+    assert joined(df, words=words, percent=percent) == plain_join(rows, words, percent)
+
+
+def test_jaccard_join_of_missing_and_repeated_ids(spark):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(500)}" for _ in range(200)]
+    changed = lambda k: " ".join(base[:k] + ["other"] + base[k + 1 :])
+    unique = " ".join(f"u{i}" for i in range(60))
+    rows = [(None, changed(50)), (None, changed(120)), (None, "alone here and without an id"), (5, changed(30)), (5, unique), (2, changed(90)), (2, changed(90)), (9, unique + " end"), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = joined(df)
+    assert got == plain_join(rows, 4, 85)
+    assert got[0].count((5, 57, 5)) == 1 and (None, 197, 2) in got[0]
+    kept = [(r.doc_id, r.n_shingles) for r in jaccard_join.jaccard_components(df).filter("survivor").collect()]
+    assert (5, 57) in kept and (2, 197) in kept and (None, 3) in kept and len(kept) == 5
+
+
+def test_members_of_a_block_that_cannot_meet_go():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        size = int(rng.integers(2, 12))
+        n, comp = rng.integers(1, 40, size), rng.integers(0, 4, size)
+        pos = (rng.random(size) * np.array([jaccard_join.prefix_length(int(k), 80) for k in n])).astype(int)
+        kept = set(jaccard_join.meeting(n, pos, comp, 80).tolist())
+        for a, b in combinations(range(size), 2):
+            shared = min(n[a] - pos[a], n[b] - pos[b])
+            if comp[a] != comp[b] and 180 * min(shared, n[a], n[b]) >= 80 * (n[a] + n[b]):
+                assert a in kept and b in kept
 
 
 def test_jaccard_join_odd_rows(spark):
     df = documents(spark)
     out = jaccard_join.jaccard_components(df)
-    assert out.columns == ["doc_id", "n_shingles", "component_id"] and ids_of(out) == expected_ids()
-    want = plain_join(list(enumerate(TEXTS)), 4, 85)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect() if r.doc_id is not None} == want
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "survivor", "file", "row"] and ids_of(out) == expected_ids()
+    rows = [*enumerate(TEXTS), (None, "no id here at all"), (1, TEXTS[1])]
+    assert joined(df) == plain_join(rows, 4, 85)
     assert jaccard_join.jaccard_components(df.limit(0)).count() == 0
 
 
