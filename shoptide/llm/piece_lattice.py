@@ -1,16 +1,20 @@
 """SentencePiece encoding and decoding as relations: the substrings of every distinct word are joined to the piece
 table, the edges of a word are gathered into its lattice, and a fold over the lattice picks the pieces.
 
-Built-in functions only. For unigram models the fold is Viterbi's best path. BPE models do not take the best path but
-merge the best neighbours first, so for them the fold walks the same lattice by merges; both give the library's ids.
+For unigram models the fold is Viterbi's best path. BPE models do not take the best path but merge the best neighbours
+first, so for them the fold walks the same lattice by merges; both give the library's ids. Built-in functions only, but for
+words of a BPE model that are too long for the fold.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import pairwise
 from string import punctuation
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +22,13 @@ from shoptide.llm.common import written
 from shoptide.llm.exact_dedup import LOCATOR, located
 
 SPACE = "▁"
-# Words of so many characters fold over a bitmap of boundaries in one long; longer ones over an array.
+# Words of so many characters fold over a bitmap of boundaries in one long; longer ones are merged one by one.
 BITMAP_CHARS = 62
-# So many of the most frequent words are broadcast in encoded form; all others are joined by a shuffle.
+# Words whose edges a task holds in a hash table before it sorts them to gather them.
+WORDS_AT_ONCE = 1 << 16
+WORD_PARTITIONS = 64
+# So many of the most frequent words, of at most BITMAP_CHARS characters, are broadcast in encoded form; all others are joined
+# by a shuffle.
 FREQUENT_WORDS = 1 << 17
 UNKNOWN_PENALTY = 10.0
 
@@ -39,6 +47,7 @@ class PieceModel:
     solo: str
     closing: str
     least_score: float
+    scores: dict[str, tuple[int, float]]
 
 
 def load(spark: SparkSession, path: str | None = None, proto: bytes | None = None) -> PieceModel:
@@ -64,7 +73,8 @@ def load(spark: SparkSession, path: str | None = None, proto: bytes | None = Non
     surfaces = [(i, p.replace(SPACE, " ").encode()) for p, i, _ in normal] + [(i, bytes([b])) for b, i in by_byte.items()]
     return PieceModel(
         spark.createDataFrame(normal, "piece string, id int, score double"), spark.createDataFrame(surfaces, "id int, surface binary"),
-        [by_byte[b] for b in range(256)], max(len(p) for p, _, _ in normal), model.trainer_spec.model_type == 2, solo, closing, min(s for _, _, s in normal))
+        [by_byte[b] for b in range(256)], max(len(p) for p, _, _ in normal), model.trainer_spec.model_type == 2, solo, closing, min(s for _, _, s in normal),
+        {p: (i, s) for p, i, s in normal})
 
 
 def words_of(text: Column, model: PieceModel) -> Column:
@@ -82,6 +92,14 @@ def words_of(text: Column, model: PieceModel) -> Column:
 def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     """(word, ids) for distinct words. ``words`` is shuffled by word once; its substrings meet the piece table, whose size is
     the model's, and are gathered again where they are."""
+    lattice = lattice_of(words, model)
+    return _merged_bitmap(lattice) if model.bpe else lattice.select("word", _viterbi().alias("ids"))
+
+
+def lattice_of(words: DataFrame, model: PieceModel) -> DataFrame:
+    """(word, n, edges): the pieces found in every distinct word, by score and then from left to right."""
+    # Gathering is by a hash table of words: sorting the edges of all words costs more than all the rest.
+    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(WORDS_AT_ONCE))
     sized = words.select("word", F.char_length("word").alias("n"))
     at = sized.select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
     spans = at.select("word", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start")))).alias("len"))
@@ -96,11 +114,7 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     edges = edges.withColumn("ends", F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)"))
     edges = edges.withColumn("inner", F.expr("shiftleft(shiftleft(1L, len - 1) - 1, start + 1)"))
     edge = F.struct((-F.col("score")).alias("cost"), "start", "len", "ids", "ends", "inner")
-    lattice = edges.groupBy("word", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    if not model.bpe:
-        return lattice.select("word", _viterbi().alias("ids"))
-    short, long = lattice.filter(F.col("n") <= BITMAP_CHARS), lattice.filter(F.col("n") > BITMAP_CHARS)
-    return _merged_bitmap(short).unionByName(_merged_array(long))
+    return edges.groupBy("word", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
 def _in_order(chosen: str) -> str:
@@ -116,13 +130,57 @@ def _merged_bitmap(lattice: DataFrame) -> DataFrame:
     return lattice.select("word", F.expr(fold).alias("ids"))
 
 
-def _merged_array(lattice: DataFrame) -> DataFrame:
-    """The same for words of any length, with the boundaries in an array."""
-    inside = "size(filter(slice(m, e.start + 2, e.len - 1), b -> b))"
-    step = (f"get(transform(array(get(filter(edges, e -> e.len > 1 AND get(m, e.start) AND get(m, e.start + e.len) AND {inside} = 1), 0)), "
-            "e -> if(e IS NULL, m, transform(m, (b, i) -> b AND NOT (i > e.start AND i < e.start + e.len)))), 0)")
-    last = _in_order(f"filter(edges, e -> get(m, e.start) AND get(m, e.start + e.len) AND (e.len = 1 OR {inside} = 0))")
-    return lattice.select("word", F.expr(f"aggregate(sequence(1, n - 1), array_repeat(true, n + 1), (m, k) -> {step}, m -> {last})").alias("ids"))
+def merged(word: str, scores: dict[str, tuple[int, float]]) -> list[str]:
+    """The symbols of a word after all merges: the neighbours that make the piece with the best score first, the leftmost of
+    equal ones. Takes time in proportion to the word's length, but for a logarithm."""
+    symbols: list[str] = list(word)
+    before, after = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
+    heap: list[tuple[float, int, int, int]] = []
+
+    def push(left: int, right: int) -> None:
+        if left >= 0 and right >= 0 and (found := scores.get(symbols[left] + symbols[right])):
+            heapq.heappush(heap, (-found[1], left, right, len(symbols[left]) + len(symbols[right])))
+
+    for i in range(len(symbols) - 1):
+        push(i, i + 1)
+    while heap:
+        _, left, right, size = heapq.heappop(heap)
+        # One of the two has been merged with another since.
+        if not symbols[left] or not symbols[right] or after[left] != right or len(symbols[left]) + len(symbols[right]) != size:
+            continue
+        symbols[left] += symbols[right]
+        symbols[right] = ""
+        after[left] = after[right]
+        if after[right] >= 0:
+            before[after[right]] = left
+        push(before[left], left)
+        push(left, after[left])
+    return [s for s in symbols if s]
+
+
+def _merged_long(words: DataFrame, model: PieceModel) -> DataFrame:
+    """(word, ids, round_trip) of long words, merged by a queue of neighbours. They are cut before between characters that stand
+    side by side in no piece, so that a text without spaces comes in short stretches."""
+    scores, byte_ids = model.scores, model.byte_ids
+    beside = {pair for piece in scores for pair in pairwise(piece)}
+    surface = {i: p.replace(SPACE, " ").encode() for p, (i, _) in scores.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(batch.num_rows):
+                word = batch.column(0)[start].as_py()
+                ids: list[int] = []
+                first = 0
+                for at in range(1, len(word) + 1):
+                    if at == len(word) or (word[at - 1], word[at]) not in beside:
+                        for symbol in merged(word[first:at], scores):
+                            ids += [scores[symbol][0]] if symbol in scores else [byte_ids[b] for b in symbol.encode()]
+                        first = at
+                same = b"".join(surface[i] for i in ids) == word.replace(SPACE, " ").encode()
+                columns = [pa.array([word], pa.string()), pa.array([ids], pa.list_(pa.int32())), pa.array([same])]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "ids", "round_trip"])
+
+    return words.select("word").mapInArrow(run, "word string, ids array<int>, round_trip boolean")
 
 
 def _viterbi() -> Column:
@@ -138,21 +196,24 @@ def decode(rows: DataFrame, model: PieceModel, keys: list[str], ids: str = "ids"
     """(keys, surface): the bytes that the ids of a row stand for, with the leading space mark as a space. Ids that are not
     in the table (control pieces) stand for nothing."""
     parts = rows.select(*keys, F.posexplode(ids).alias("at", "id")).join(F.broadcast(model.decoded), "id")
-    joined = F.expr("aggregate(array_sort(collect_list(struct(at, surface))), cast('' AS binary), (a, p) -> a || p.surface)")
+    joined = F.expr("unhex(array_join(transform(array_sort(collect_list(struct(at, surface))), p -> hex(p.surface)), ''))")
     return parts.groupBy(*keys).agg(joined.alias("surface"))
 
 
 def dictionary(words: DataFrame, model: PieceModel) -> DataFrame:
-    """(word, ids, round_trip) of distinct words: ids, and whether they decode to the word's own bytes."""
-    encoded = encode_words(words, model)
-    back = decode(encoded, model, ["word", "ids"])
-    return back.select("word", "ids", (F.col("surface") == F.encode(F.replace(F.col("word"), F.lit(SPACE), F.lit(" ")), "UTF-8")).alias("round_trip"))
+    """(word, ids, round_trip) of distinct words: ids, and whether they decode to the word's own bytes. Words of a BPE
+    model that are over BITMAP_CHARS characters have no lattice: the fold would be quadratic, see :func:`_merged_long`."""
+    short = words.filter(F.char_length("word") <= BITMAP_CHARS) if model.bpe else words
+    back = decode(encode_words(short, model), model, ["word", "ids"])
+    found = back.select("word", "ids", (F.col("surface") == F.encode(F.replace(F.col("word"), F.lit(SPACE), F.lit(" ")), "UTF-8")).alias("round_trip"))
+    return found.unionByName(_merged_long(words.filter(F.char_length("word") > BITMAP_CHARS), model)) if model.bpe else found
 
 
 def encode(docs: DataFrame, model: PieceModel, *, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_WORDS) -> tuple[DataFrame, DataFrame]:
     """Two tables: all rows of ``docs`` as (_id, file, row), and one row (_id, file, row, pos, word, ids, round_trip) for
     every word of every text. A null text has no words, nor has an empty one. Repeated rows are told apart by their
-    place (file, row); null ids are kept; other columns are not read; an empty table gives empty tables.
+    place (file, row); null ids are kept; other columns are not read; an empty table gives empty tables. Texts and
+    words may have any length.
 
     Every distinct word is encoded once. The ``frequent`` most frequent words, a fixed number, reach the texts by a
     broadcast, so that hot words are never shuffled; the others by a join on the word.
@@ -162,8 +223,8 @@ def encode(docs: DataFrame, model: PieceModel, *, id_col: str = "doc_id", text_c
     text = F.when(F.col("_text") != "", F.col("_text"))
     said = rows.select("_id", *LOCATOR, F.posexplode(words_of(text, model)).alias("pos", "word"))
     counts = written(said.groupBy("word").count(), "words")
-    top = counts.orderBy(F.desc("count"), "word").limit(frequent).select("word")
-    common = written(dictionary(top.repartition("word"), model), "frequent-words")
+    top = counts.filter(F.char_length("word") <= BITMAP_CHARS).orderBy(F.desc("count"), "word").limit(frequent).select("word")
+    common = written(dictionary(top.repartition(WORD_PARTITIONS, "word"), model), "frequent-words")
     rare = dictionary(counts.join(F.broadcast(common.select("word")), "word", "left_anti").select("word").repartition("word"), model)
     matched = said.join(F.broadcast(common), "word")
     rest = said.join(F.broadcast(common.select("word")), "word", "left_anti").join(rare, "word")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import public_tokenizers
 import pytest
@@ -39,6 +40,25 @@ def test_ids_equal_the_library(spark, model, library):
         assert got.get(i, []) == library.encode(text or ""), text
 
 
+def test_long_words_are_merged_as_the_library_does(spark, model, library):
+    rng = random.Random(3)
+    syllables = ["on", "at", "th", "er", "ing", "é", "ß", "日", "🎉", "tion", "a", "b", "▁", ".", "x"]
+    words = ["".join(rng.choice(syllables) for _ in range(n)) for n in (20, 40, 63, 64, 200, 3000)] + ["a" * 63, "a" * 5000, "ab" * 700, "日本" * 90, "b" * 62]
+    for word in words[:40]:
+        symbols = piece_lattice.merged("▁" + word.replace("▁", "_"), model.scores)
+        assert [i for s in symbols for i in ([model.scores[s][0]] if s in model.scores else [model.byte_ids[b] for b in s.encode()])] == library.encode(word.replace("▁", "_"))
+    _, encoded = piece_lattice.encode(table_of(spark, words), model, frequent=4)
+    got = {r["_id"]: r.ids for r in piece_lattice.assemble(encoded).collect()}
+    for i, word in enumerate(words):
+        assert got[i] == library.encode(word), word[:50]
+
+
+def test_a_word_of_a_hundred_thousand_letters_ends(spark, model, library):
+    words = ["th" * 50_000, "onatrenthe" * 10_000]
+    rows = piece_lattice.summary(table_of(spark, words), model).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(library.encode(w)) for i, w in enumerate(words)} and all(r.round_trip for r in rows)
+
+
 def test_decoding_gives_the_text_back(spark, model):
     texts = [t for t in TEXTS if t and len(t) < 1000] + [t for t in MORE if "▁" not in t]
     _, encoded = piece_lattice.encode(table_of(spark, texts), model)
