@@ -23,7 +23,7 @@ from shoptide.operators.keyed import near_keys
 WORDS = 4
 PERCENT = 85
 # Shingles in more prefixes than this come last in the common order, so that few prefixes hold them.
-FREQUENT = 16
+FREQUENT, SHARE = 16, 4
 # Frequent shingles are marked in a bitmap of fixed size, 4 MB. A rare one that shares a bit comes late too, which is harmless.
 BITMAP_BITS = 1 << 25
 # A document's signature has four to eight bits per shingle, a power of two between these. So few of them are set that
@@ -155,9 +155,16 @@ def is_frequent(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> _U(6)).astype(np.int64)] >> (slot & _U(63))) & _U(1) > 0
 
 
+def _share(rows: DataFrame, parts: int, *columns: str) -> DataFrame:
+    """One in ``parts`` of the rows, by their hash. What is counted from it only says how work is dealt out."""
+    return rows.filter(F.pmod(F.xxhash64(*columns), F.lit(parts)) == 0)
+
+
 def _frequent(documents: DataFrame) -> np.ndarray | None:
-    """Bitmap of the shingles in more than FREQUENT prefixes; at most BITMAP_BITS / 64 words reach the driver."""
-    often = documents.select(F.explode("prefix").alias("h")).groupBy("h").count().filter(F.col("count") > FREQUENT)
+    """Bitmap of the shingles in more than about FREQUENT prefixes, counted in one document of four; at most
+    BITMAP_BITS / 64 words reach the driver. Any bitmap makes an order that holds for all documents."""
+    some = _share(documents, SHARE, "file", "row")
+    often = some.select(F.explode("prefix").alias("h")).groupBy("h").count().filter(F.col("count") > FREQUENT // SHARE)
     slot = F.col("h").bitwiseAND(F.lit(BITMAP_BITS - 1))
     bit = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
     words = often.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
@@ -168,8 +175,9 @@ def _frequent(documents: DataFrame) -> np.ndarray | None:
     return bitmap.view(np.uint64)
 
 
-# Blocks over this many documents are taken apart in Spark and not looked through for rows that cannot meet.
-HOT = 1 << 16
+# Blocks over this many documents are taken apart in Spark and not looked through for rows that cannot meet. One document of so
+# many shows which they are.
+HOT, HOT_SHARE = 1 << 16, 64
 
 
 def meeting(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> np.ndarray:
@@ -201,8 +209,13 @@ def _blocks(postings: DataFrame, percent: int) -> DataFrame:
     Rows are sorted within tasks and read as a stream. Shingles of more than ``HOT`` documents are counted before and never
     gathered: their documents go on as they are, to be dealt out in tiles.
     """
-    hot = written(postings.groupBy("h").agg(F.count("*").alias("members")).filter(F.col("members") > HOT), "hot-shingles")
-    some = not hot.isEmpty()
+    # One document of 64 shows which shingles may be in so many; of those all are counted.
+    seen = _share(postings, HOT_SHARE, "rep").groupBy("h").agg(F.count("*").alias("seen")).filter(F.col("seen") > HOT // (2 * HOT_SHARE))
+    seen = written(seen.select("h"), "hot-shingles")
+    some = not seen.isEmpty()
+    hot = near_keys(postings, seen, ["h"]).groupBy("h").agg(F.count("*").alias("members")).filter(F.col("members") > HOT)
+    hot = written(hot, "hot-shingles") if some else seen
+    some = some and not hot.isEmpty()
     few = without(postings, hot, ["h"]) if some else postings
     sorted_rows = few.repartition("h").sortWithinPartitions("h", "rep")
 

@@ -129,6 +129,7 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, words, percent, til
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "HOT", hot)
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", 2 if hot < 100 else 64)
     rows = near_rows(percent, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert joined(df, words=words, percent=percent) == plain_join(rows, words, percent)
