@@ -67,7 +67,8 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
             return jobs.users(messages, jobs.user_table(args.table, writer=args.writer))
         case "sales":
             known = jobs.user_table(args.users)
-            return jobs.sale_details(messages, feed(spark, args, args.details), known, jobs.sale_table(args.table, writer=args.writer))
+            index = jobs.token_table(args.index, writer=args.writer) if args.index else None
+            return jobs.sale_details(messages, feed(spark, args, args.details), known, jobs.sale_table(args.table, writer=args.writer), index=index)
         case "logs":
             return routed_output(logs.route(messages).filter(~F.col("malformed")), args)
         case "archive":
@@ -91,6 +92,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")
     parser.add_argument("--hours", help="folder of hourly totals that the gmv job keeps beside its orders")
+    parser.add_argument("--index", help="folder of the token index that the sales job keeps beside its table")
     parser.add_argument("--docs", help="folder of alert documents that the alerts job keeps beside its panes")
     parser.add_argument("--record", choices=[*sorted(QUARANTINE), "log", "change"], help="record of the quarantine job; log and change are raw device logs and change entries")
     parser.add_argument("--table", help="folder the job writes; not used when it writes topics")

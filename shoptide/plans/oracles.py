@@ -63,6 +63,11 @@ USERS = f"""users AS (
          c_acctbal
   FROM customer)"""
 
+DESCRIBED = """described AS (
+  SELECT sku_id, sku_name, string_split(replace(sku_name, ',', ''), ' ') AS words FROM (
+    SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_name || CASE WHEN p_partkey % 3 = 0 THEN ' red plate' ELSE '' END
+           || CASE WHEN p_partkey % 5 = 0 THEN ' for the old kitchen, red' ELSE '' END AS sku_name FROM part))"""
+
 SALES = f"""{ORDERS}, {ITEMS}, {UNIQUE_ITEMS}, {USERS}, sales AS (
   SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, gender AS user_gender,
          coalesce(age, 0) AS user_age, user_level, CAST(order_price AS DOUBLE) AS sku_price, sku_name, dt,
@@ -254,6 +259,16 @@ SELECT order_id || '-' || order_detail_id AS doc_id, {SALE_COLUMNS} FROM sales W
 WHERE list_contains(string_split(lower(p_name), ' '), '{KEYWORD}')""",
     "keyword_match_all": """SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_name || ' 红色 手机' AS sku_name FROM part
 WHERE p_partkey % 2 = 0 AND list_contains(string_split(lower(p_name), ' '), 'bolt')""",
+    "keyword_relevance": f"""WITH {DESCRIBED}, stat AS (
+  SELECT count(*) AS n, avg(len(words)) AS length, count(*) FILTER (list_contains(words, 'plate')) AS plates, count(*) FILTER (list_contains(words, 'red')) AS reds FROM described), hits AS (
+  SELECT sku_id, sku_name, len(words) AS size, len(list_filter(words, lambda w: w = 'plate')) AS plate, len(list_filter(words, lambda w: w = 'red')) AS red FROM described)
+SELECT sku_id, sku_name, round(ln(1 + (n - plates + 0.5) / (plates + 0.5)) * plate * 2.2 / (plate + 1.2 * (0.25 + 0.75 * size / length))
+     + ln(1 + (n - reds + 0.5) / (reds + 0.5)) * red * 2.2 / (red + 1.2 * (0.25 + 0.75 * size / length)), 6) AS score
+FROM hits, stat WHERE plate > 0 AND red > 0""",
+    "keyword_index": f"""WITH {DESCRIBED} SELECT sku_id, sku_name FROM described WHERE list_contains(words, 'red') AND list_contains(words, 'kitchen')""",
+    "sale_detail_deep_page": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_orderkey || '-' || l_linenumber AS id, CAST(l_partkey AS VARCHAR) AS sku_id,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS order_price
+FROM lineitem ORDER BY order_id, id, sku_id, order_price LIMIT 200 OFFSET 20000""",
     "gender_terms": f"""WITH {SALES} SELECT user_gender, count(*) AS n FROM sales
 WHERE user_gender IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 2""",
     "age_terms": f"WITH {SALES} SELECT user_age, count(*) AS n FROM sales GROUP BY 1 ORDER BY n DESC, 1 LIMIT 100",

@@ -277,6 +277,33 @@ def keyword_match_all(spark: SparkSession, sf: str) -> DataFrame:
     return part.filter(search.match_all("sku_name", "手机 BOLT 红色"))
 
 
+def _described(spark: SparkSession, sf: str) -> DataFrame:
+    """Products with descriptions of different lengths."""
+    part = _t(spark, sf, "part")
+    extra = F.when(F.col("p_partkey") % 3 == 0, " red plate").otherwise("")
+    more = F.when(F.col("p_partkey") % 5 == 0, " for the old kitchen, red").otherwise("")
+    return part.select(bind.text("p_partkey").alias("sku_id"), F.concat("p_name", extra, more).alias("sku_name"))
+
+
+@query("keyword_relevance")
+def keyword_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    return search.with_relevance(_described(spark, sf), "sku_name", "plate RED")
+
+
+@query("keyword_index")
+def keyword_index(spark: SparkSession, sf: str) -> DataFrame:
+    described = _described(spark, sf)
+    index = search.token_rows(described, "sku_id", "sku_name")
+    return search.only_keys(described, search.keys_of_tokens(index, "red kitchen", "sku_id"), "sku_id")
+
+
+@query("sale_detail_deep_page")
+def sale_detail_deep_page(spark: SparkSession, sf: str) -> DataFrame:
+    """A page from the middle of all items, found by counting."""
+    items = bind.details(_t(spark, sf, "lineitem"), None).select("order_id", "id", "sku_id", "order_price")
+    return search.page(items, 101, 200, ["order_id", "id"], deep=5000)
+
+
 @query("gender_terms")
 def gender_terms(spark: SparkSession, sf: str) -> DataFrame:
     return search.terms(_order_sales(spark, sf), "user_gender", 2, "sales")

@@ -61,15 +61,21 @@ def hours_of_days(metric: str, hourly: DataFrame, day: str, date: str) -> DataFr
 
 
 def sale_detail_report(
-    sales: DataFrame, date: str, keyword: str, page: int, size: int, work_dir: str | None = None
+    sales: DataFrame, date: str, keyword: str, page: int, size: int, work_dir: str | None = None, index: DataFrame | None = None, by_relevance: bool = False
 ) -> DataFrame:
     """(section, title, name, value, detail): total, age and gender shares, one page of rows.
 
     All numbers come from one aggregate over the matches, the page from a second read of them.
     Give ``work_dir``, a new folder, when ``sales`` is a join and not a stored table: the matches
-    are then written there once, and read twice.
+    are then written there once, and read twice. ``index`` (dt, token, doc_id) finds the matches without reading the names
+    of all rows. With ``by_relevance`` rows come in the order of their score over the day's names, best first.
     """
-    hits = search.search(sales, date, keyword)
+    if by_relevance:
+        hits = search.with_relevance(sales.filter(F.col("dt") == date), "sku_name", keyword)
+    elif index is not None:
+        hits = search.only_keys(sales.filter(F.col("dt") == date), search.keys_of_tokens(index.filter(F.col("dt") == date), keyword, "doc_id"), "doc_id")
+    else:
+        hits = search.search(sales, date, keyword)
     if work_dir:
         hits = staged(hits, work_dir)
     counts = metrics.share_counts(hits)
@@ -88,7 +94,7 @@ def sale_detail_report(
     stats = counts.select(F.inline(F.array(*numbers))).withColumn("detail", F.lit(None).cast("string"))
 
     shown = ["order_detail_id", "order_id", "user_id", "user_gender", "user_age", "user_level", "sku_id", "sku_name", "dt"]
-    rows = search.page(hits, page, size, ["order_id", "order_detail_id"]).select(
+    rows = search.page(hits, page, size, [*(["-score"] if by_relevance else []), "order_id", "order_detail_id"]).select(
         F.lit("detail").alias("section"),
         F.lit(None).cast("string").alias("title"),
         F.concat_ws("-", "order_id", "order_detail_id").alias("name"),

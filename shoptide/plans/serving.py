@@ -87,8 +87,9 @@ def stored_hours(spark: SparkSession, dau: str, orders: str, metric: str, date:
     return reports.realtime_hours(spark, metric, date, devices, _stored_first(spark, dau, first, *days), sold)
 
 
-def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page: int, size: int) -> DataFrame:
-    return reports.sale_detail_report(jobs.sale_table(sales).read(spark, folders=[date]), date, keyword, page, size)
+def stored_sales(spark: SparkSession, sales: str, date: str, keyword: str, page: int, size: int, index: str = "", by_relevance: bool = False) -> DataFrame:
+    found = jobs.token_table(index).versions(spark, folders=[date]) if index else None
+    return reports.sale_detail_report(jobs.sale_table(sales).read(spark, folders=[date]), date, keyword, page, size, index=found, by_relevance=by_relevance)
 
 
 def stored_alerts(spark: SparkSession, panes: str, date: str, docs: str = "", **window: int) -> DataFrame:
@@ -104,10 +105,11 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide.plans.serving", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("report", choices=["total", "hours", "sales", "alerts"])
     parser.add_argument("--date", required=True)
-    for name in ("--id", "--dau", "--first", "--orders", "--hours", "--sales", "--panes", "--docs", "--out", "--keyword"):
+    for name in ("--id", "--dau", "--first", "--orders", "--hours", "--sales", "--panes", "--docs", "--index", "--out", "--keyword"):
         parser.add_argument(name, default="")
     parser.add_argument("--page", type=int, default=1)
     parser.add_argument("--size", type=int, default=20)
+    parser.add_argument("--by-relevance", action="store_true", help="sale rows with the best score first")
     args = parser.parse_args(argv)
 
     spark = build_session(f"shoptide-{args.report}")
@@ -119,7 +121,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.report == "hours":
         out = hours_json(stored_hours(spark, args.dau, args.orders, args.id, args.date, args.first, args.hours))
     else:
-        out = sale_detail_json(stored_sales(spark, args.sales, args.date, args.keyword, args.page, args.size))
+        out = sale_detail_json(stored_sales(spark, args.sales, args.date, args.keyword, args.page, args.size, args.index, args.by_relevance))
     print(out.first().json)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import schemas
 from shoptide.functions import mask_phone, with_log_time, with_order_time
-from shoptide.operators import alerts, dedup, metrics, sale_detail
+from shoptide.operators import alerts, dedup, metrics, sale_detail, search
 from shoptide.operators.keyed import near_keys
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
@@ -311,6 +311,15 @@ def sale_table(path: str, writer: str = "main", partition_by_day: bool = True) -
     return KeyedTable(path, columns, ["doc_id"], None, order, writer, cluster_by="dt")
 
 
+TOKEN_ROW = T.StructType().add("token", T.StringType()).add("doc_id", T.StringType()).add("dt", T.StringType())
+
+
+def token_table(path: str, writer: str = "main", partition_by_day: bool = True) -> KeyedTable:
+    """Which sale rows have a token in their product name, by day and sorted by token, so that a search reads of a day
+    what its tokens need."""
+    return KeyedTable(path, TOKEN_ROW, ["token", "doc_id"], "dt" if partition_by_day else None, [], writer, cluster_by="token")
+
+
 SIDE_WIDTH = "1 hour"
 
 
@@ -327,13 +336,15 @@ def sale_details(
     as_of: str | Column | None = None,
     tolerance: str = "120 seconds",
     side_width: str = SIDE_WIDTH,
+    index: KeyedTable | None = None,
 ) -> DataStreamWriter:
     """Join orders and items that arrive within ``tolerance`` of each other, add the user as known
     when the batch runs, and upsert by ``{order_id}-{order_detail_id}``.
 
     Both sides are stored in folders by arrival, and each batch is matched with what is stored of the other side in the
     folders within reach of its rows: what is listed and read does not grow with history, and a row that is read days late
-    opens the folders of its own time only. There is no state and no lateness.
+    opens the folders of its own time only. There is no state and no lateness. ``index`` also stores the
+    tokens of the product names.
     """
     orders = order_rows(order_messages, "timestamp")
     details = decoded(decode.decode(detail_messages, schemas.ORDER_DETAIL, keep=("timestamp",)))
@@ -344,7 +355,7 @@ def sale_details(
     items = sale_detail.detail_side(details, F.col("timestamp").alias("seen")).filter(matchable).select("*", slot)
     sides = {"orders": (placed, side_table(table, "orders", placed)), "items": (items, side_table(table, "items", items))}
     packed = [rows.select(F.struct(*rows.columns).alias(side)) for side, (rows, _) in sides.items()]
-    attempts = sinks.Attempts(table, *[kept for _, kept in sides.values()])
+    attempts = sinks.Attempts(table, *[kept for _, kept in sides.values()], *([index] if index else []))
     work = f"{table.path}-staging/{table.writer}"
 
     def near(side: str, came: DataFrame, batch_id: int) -> DataFrame:
@@ -370,6 +381,8 @@ def sale_details(
             known = users_from.read(spark, only=sales.select(F.col("user_id").alias("id")))
             rows = sale_detail.enrich_user(sales, known, F.current_timestamp() if as_of is None else as_of)
             table.add(sale_detail.with_doc_id(rows), batch_id)
+            if index:
+                index.add(search.token_rows(sale_detail.with_doc_id(sales), "doc_id", "sku_name", "dt").distinct(), batch_id)
 
     return packed[0].unionByName(packed[1], allowMissingColumns=True).writeStream.foreachBatch(add).outputMode("append")
 

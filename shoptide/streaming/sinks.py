@@ -33,8 +33,8 @@ class KeyedTable:
     ``writer`` names the query that writes. A query that starts over with a new checkpoint needs
     a new name, since its batch numbers start over too. ``partition_by`` gives each value a folder,
     right for live data, where a batch touches a day or two. ``buckets`` gives each hash of a key one, so that a
-    lookup of few keys opens few folders. ``cluster_by`` instead sorts the
-    files by a column, right for a replay of years, where folders per day would be tiny.
+    lookup of few keys opens few folders. ``cluster_by`` sorts the files by a column; alone it is
+    right for a replay of years, where folders per day would be tiny.
     """
 
     path: str
@@ -58,11 +58,11 @@ class KeyedTable:
         if self.buckets:
             rows = rows.withColumn("bucket", self._bucket())
         # Rebalancing writes few files per day without putting a large day into one task.
-        near = [c for c in (self.partition_by or self.cluster_by, "bucket" if self.buckets else None) if c]
+        near = [c for c in (self.partition_by, "bucket" if self.buckets else None) if c] or [c for c in (self.cluster_by,) if c]
         with adaptive(rows.sparkSession):
             out = rows.hint("rebalance", *near)
-            if self.cluster_by and not self.partition_by:
-                out = out.sortWithinPartitions(*near)
+            if self.cluster_by:
+                out = out.sortWithinPartitions(*dict.fromkeys([*near, "writer", "batch", self.cluster_by]))
             # The day comes before the batch, so that a reader of a day lists that day's folders only. Only the
             # folders of this batch are replaced.
             folders = [c for c in (self.partition_by, "bucket" if self.buckets else None, "writer", "batch") if c]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import math
+import random
 import re
 
 import pytest
@@ -104,6 +106,52 @@ def test_pages(spark):
     assert search.page(df, 4, 5, ["k"]).collect() == []
 
 
+@pytest.mark.parametrize("order", [["k"], ["-n", "k"], ["n", "k"]])
+def test_deep_pages_equal_a_whole_sort(spark, order):
+    rng = random.Random(1)
+    rows = [(f"{rng.randrange(10**6):06d}", rng.choice([1, 1, 1, 2, 3, None])) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(5)
+    first = {"k": lambda r: (), "-n": lambda r: (r[1] is not None, -(r[1] or 0)), "n": lambda r: (r[1] is not None, r[1] or 0)}[order[0]]
+    want = sorted(rows, key=lambda r: (*first(r), r[0]))
+    for number, size in ((1, 10), (100, 10), (7, 333), (299, 10), (300, 10), (301, 10), (999, 7)):
+        got = search.page(df, number, size, order, deep=50).collect()
+        assert [tuple(r) for r in got] == want[(number - 1) * size : number * size]
+    assert search.page(df.limit(0), 100, 10, order, deep=50).count() == 0
+
+
+def test_deep_page_of_equal_rows_and_its_last_stage(spark):
+    same = spark.range(500).select(F.lit("x").alias("k"))
+    assert search.page(same, 30, 10, ["k"], deep=20).count() == 10
+    df = spark.range(200_000, numPartitions=8).select(F.col("id").alias("k"))
+    stretch, skip = search.stretch_of(df, [F.col("k")], 100_000, 10, 10_000)
+    assert stretch.count() <= 10_000
+    assert [r.k for r in search.page(df, 10_001, 10, ["k"]).collect()] == list(range(100_000, 100_010))
+
+
+def test_relevance(spark):
+    names = ["red plate", "red red plate", "plate, red and small", "blue plate", None, "RED plate for a very long kitchen shelf", "red"]
+    df = spark.createDataFrame(list(enumerate(names)), "k int, name string")
+    got = {r.k: r.score for r in search.with_relevance(df, "name", "red plate").collect()}
+    assert set(got) == {0, 1, 2, 5} and got[1] > got[0] > got[2] > got[5] > 0
+    rows = [n for n in names if n]
+    split = [re.findall("[a-z]+", n.lower()) for n in rows]
+    idf = {w: math.log(1 + (len(rows) - sum(w in t for t in split) + 0.5) / (sum(w in t for t in split) + 0.5)) for w in ("red", "plate")}
+    mean = sum(map(len, split)) / len(split)
+    want = [sum(idf[w] * t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / mean)) for w in idf) for t in split]
+    assert got[0] == pytest.approx(want[0], abs=1e-6) and got[5] == pytest.approx(want[4], abs=1e-6)
+    assert search.with_relevance(df, "name", "").count() == 0
+    assert search.with_relevance(df.limit(0), "name", "red").count() == 0
+
+
+def test_token_index(spark):
+    names = ["red plate", "Red bolt", None, "plate", "red, red plate", ""]
+    df = spark.createDataFrame(list(enumerate(names)), "k int, name string")
+    index = search.token_rows(df, "k", "name")
+    for keyword in ("red", "plate RED", "red red", "nothing", "", "red nothing"):
+        got = rows_of(search.only_keys(df, search.keys_of_tokens(index, keyword, "k"), "k"))
+        assert got == rows_of(df.filter(search.match_all("name", keyword)))
+
+
 def test_realtime_total(spark):
     devices, starts = dau(spark, ("a", "1970-01-12", "09")), metrics.first_seen(logs(spark, ("a", 10 * 86_400_000), ("a", 11 * 86_400_000)))
     got = rows_of(reports.realtime_total(devices, starts, orders(spark, ("1970-01-12", "09", 7.5)), "1970-01-12"))

@@ -364,6 +364,20 @@ def test_reports_from_stored_tables(spark, tmp_path, messages, capsys):
     ]
     assert ask("sales", "--keyword", "nothing")["total"] == 0
 
+    # The same from the tables that are kept by day, by hour and by token.
+    first, hours, index = (str(tmp_path / n) for n in ("first", "hours", "index"))
+    run(spark, jobs.first_seen(starts.stream(), jobs.device_table(f"{first}-devices"), jobs.first_day_table(first)), tmp_path, "c5")
+    run(spark, jobs.gmv(orders.stream(), jobs.order_table(f"{sold}-2"), jobs.hour_table(hours)), tmp_path, "c6")
+    indexed = jobs.sale_table(f"{sales}-2")
+    run(spark, jobs.sale_details(orders.stream(), details.stream(), jobs.user_table(known), indexed, "2024-01-15", index=jobs.token_table(index)), tmp_path, "c7")
+    assert ask("total", "--first", first) == ask("total")
+    assert ask("hours", "--id", "new_mid", "--first", first) == ask("hours", "--id", "new_mid") == {"yesterday": {"00": 1.0}, "today": {"02": 1.0}}
+    assert ask("hours", "--id", "order_amount", "--hours", hours) == ask("hours", "--id", "order_amount")
+    paged = ("--page", "1", "--size", "5")
+    for keyword in ("plate", "red plate", "nothing", "plate nothing"):
+        want = ask("sales", "--keyword", keyword, *paged)
+        assert ask("sales", "--keyword", keyword, "--index", index, *paged) == ask("sales", "--keyword", keyword, "--by-relevance", *paged) == want
+
 
 def test_coupon_and_click_that_come_days_late(spark, messages, tmp_path):
     feed = messages("events")
