@@ -4,7 +4,7 @@ sample; the language that needs the fewest phrases for the text's length wins.""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 # The bounded training sample: so many characters per language, dealt out evenly to so many texts at most.
 SAMPLE_CHARS = 12_000
 SAMPLE_TEXTS = 200
+RANK_PARTS = 64
 # Long texts are parsed in windows of this many letters and spaces, which lets a batch be parsed side by side.
 WINDOW = 1024
 
@@ -24,8 +25,16 @@ def fold(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions (state, code) -> state of the automaton of all substrings; 0 is the start, -1 a missing one."""
+# Codes below this, those of the most frequent characters, have a column of the transition table each; the few transitions by
+# other characters are kept as a sorted list, so that a large alphabet does not make a large table.
+DENSE = 64
+# Texts of so many letters at least are judged on whether they are in a learned language at all, by this many passages of
+# labelled texts, of so many characters each.
+LEAST_LETTERS, PROOF_TEXTS, PROOF_CHARS = 200, 2000, 4000
+
+
+def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """Transitions code -> state by state of the automaton of all substrings; 0 is the start."""
     links, lengths, moves = [-1], [0], [{}]
     last = 0
     for c in codes.tolist():
@@ -51,27 +60,64 @@ def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
                     at = links[at]
                 links[to] = links[now] = copy
         last = now
-    table = np.full((len(lengths), alphabet), -1, np.int32)
-    for state, out in enumerate(moves):
-        for c, to in out.items():
-            table[state, c] = to
-    return table
+    return moves
 
 
 @dataclass
 class LanguageModel:
-    """langs: the learned values. codes: character -> code, unknown letters have the code ``alphabet - 1``, which
-    no automaton holds. table: the automata of all languages one below the other, row ``starts[k]`` being the
-    start of language k; a missing transition leads to -1."""
+    """langs: the learned values. codes: character -> code, by falling frequency; unknown letters have the code ``alphabet -
+    1``, which no automaton holds. table: the automata of all languages one below the other, row ``starts[k]`` being the
+    start of language k, for codes below ``DENSE - 1``; a missing transition leads to -1. keys, targets: the
+    transitions by other codes, ``state * alphabet + code`` in order. cuts: by language the phrase rate above which a text is
+    taken for one of no learned language."""
 
     langs: list[str]
     codes: dict[str, int]
     table: np.ndarray
+    keys: np.ndarray
+    targets: np.ndarray
     starts: np.ndarray
+    cuts: np.ndarray | None = None
 
     @property
     def alphabet(self) -> int:
-        return self.table.shape[1]
+        return len(self.codes) + 1
+
+    def move(self, state: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The state that each of (language, window) states goes to by its window's character, -1 for none."""
+        to = self.table.reshape(-1)[state * DENSE + np.minimum(chars, DENSE - 1)]
+        rare = np.flatnonzero(chars >= DENSE - 1)
+        if len(rare) and len(self.keys):
+            wanted = state[:, rare].astype(np.int64) * self.alphabet + chars[rare]
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            to[:, rare] = np.where(self.keys[at] == wanted, self.targets[at], -1)
+        return to
+
+
+def build(samples: dict[str, str]) -> LanguageModel:
+    """The automata of a text per language."""
+    counts: dict[str, int] = {" ": 0}
+    for sample in samples.values():
+        for c in sample:
+            counts[c] = counts.get(c, 0) + 1
+    codes = {c: i for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c)))}
+    alphabet = len(codes) + 1
+    tables, starts, edges, at = [], [], [], 0
+    for sample in samples.values():
+        moves = suffix_automaton(np.array([codes[c] for c in sample], np.int64))
+        table = np.full((len(moves), DENSE), -1, np.int32)
+        for state, out in enumerate(moves):
+            for c, to in out.items():
+                if c < DENSE - 1:
+                    table[state, c] = to + at
+                else:
+                    edges.append(((state + at) * alphabet + c, to + at))
+        tables.append(table)
+        starts.append(at)
+        at += len(moves)
+    listed = np.array(sorted(edges), np.int64).reshape(-1, 2)
+    table = np.concatenate(tables) if tables else np.zeros((0, DENSE), np.int32)
+    return LanguageModel(list(samples), codes, table, listed[:, 0].copy(), listed[:, 1].astype(np.int32), np.array(starts, np.int32))
 
 
 def _sample(parts: list[tuple[int, str]], chars: int) -> str:
@@ -101,8 +147,10 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     or shorter texts, the others' are longer, until ``sample_chars`` are reached. The hashes are picked first, so that no
     more than the sample, at four times its size, is sent to the driver."""
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
-    hashes = rows.select("lang", "at").distinct().withColumn("rank", rank).filter(F.col("rank") <= sample_texts)
+    # In two steps, so that the texts of a frequent language are not ranked by one task.
+    part, whole = (F.row_number().over(Window.partitionBy("lang", *by).orderBy("at")) for by in ([F.pmod("at", F.lit(RANK_PARTS))], []))
+    hashes = rows.select("lang", "at").distinct().withColumn("rank", part).filter(F.col("rank") <= sample_texts)
+    hashes = hashes.withColumn("rank", whole).filter(F.col("rank") <= sample_texts)
     last = hashes.groupBy("lang").agg(F.max("at").alias("last"), F.count("*").alias("texts"))  # a row per language
     size = (F.lit(4 * sample_chars) / F.col("texts")).cast("int")
     start = F.pmod(F.col("at"), F.greatest(F.length("text") - size + 1, F.lit(1)).cast("bigint")).cast("int") + 1
@@ -113,16 +161,27 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
         if part := fold(row.part):
             texts.setdefault(row.lang, []).append((row.at, part))
     samples = {lang: _sample(parts, sample_chars) for lang, parts in sorted(texts.items())}
-    letters = sorted({c for s in samples.values() for c in s} | {" "})
-    codes = {c: i for i, c in enumerate(letters)}
-    alphabet = len(letters) + 1
-    tables, starts, at = [], [], 0
-    for sample in samples.values():
-        table = suffix_automaton(np.array([codes[c] for c in sample]), alphabet)
-        tables.append(np.where(table >= 0, table + at, -1).astype(np.int32))
-        starts.append(at)
-        at += len(table)
-    return LanguageModel(list(samples), codes, np.concatenate(tables) if tables else np.zeros((0, alphabet), np.int32), np.array(starts, np.int32))
+    return build(samples)
+
+
+def calibrated(model: LanguageModel, labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", texts: int = PROOF_TEXTS, chars: int = PROOF_CHARS) -> LanguageModel:
+    """``model`` with cuts: for each language a geometric mean of the median phrase rates of its own texts and, with twice the
+    weight, of those in other languages, both under its automaton. A text beyond it is much more like a foreign one.
+
+    Taken from a bounded sample: a passage of ``chars`` characters of each of the ``texts`` distinct labelled texts
+    with the smallest hashes. Without texts of its own or of others a language has no cut.
+    """
+    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col, F.lit(1)).alias("at"))
+    start = F.pmod(F.col("at"), F.greatest(F.length("text") - chars + 1, F.lit(1)).cast("bigint")).cast("int") + 1
+    passages = rows.select("lang", "at", F.col("text").substr(start, F.lit(chars)).alias("text"))
+    found = predict(passages.orderBy("at", "lang").limit(texts), model, id_col="at", keep=["lang"], rates=True)
+    judged = found.filter(F.col("letters") >= LEAST_LETTERS).select("lang", "rates").collect()
+    cuts = np.full(len(model.langs), np.inf)
+    for k, lang in enumerate(model.langs):
+        own, other = ([r.rates[k] for r in judged if (r.lang == lang) == same] for same in (True, False))
+        if own and other:
+            cuts[k] = np.median(own) ** (1 / 3) * max(np.median(other), np.median(own)) ** (2 / 3)
+    return replace(model, cuts=cuts)
 
 
 def phrases(model: LanguageModel, windows: list[np.ndarray]) -> np.ndarray:
@@ -135,7 +194,7 @@ def phrases(model: LanguageModel, windows: list[np.ndarray]) -> np.ndarray:
     grid = np.zeros((sizes[0], len(windows)), np.int32)
     for column, i in enumerate(order):
         grid[: sizes[column], column] = windows[i]
-    flat, width, langs = model.table.reshape(-1), model.alphabet, len(model.langs)
+    langs = len(model.langs)
     starts = np.repeat(model.starts, len(windows)).reshape(langs, len(windows))
     found = np.ones((langs, len(windows)), np.int32)
     state = starts.copy()
@@ -144,27 +203,32 @@ def phrases(model: LanguageModel, windows: list[np.ndarray]) -> np.ndarray:
         while sizes[live - 1] <= step:
             live -= 1
         chars = grid[step, :live]
-        to = flat[state[:, :live] * width + chars]
+        to = model.move(state[:, :live], chars)
         missing = to < 0
         if step:
             found[:, :live] += missing
         # A phrase ends; the next one begins with this character, or after it if the sample lacks it.
-        again = flat[starts[:, :live] * width + chars]
+        again = model.move(starts[:, :live], chars)
         np.copyto(to, np.where(again < 0, starts[:, :live], again), where=missing)
         state[:, :live] = to
     counts[order] = found.T
     return counts
 
 
-def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | list[str] = (), batch_letters: int = 1 << 21) -> DataFrame:
-    """(id, lang_pred, score) of every row, from its whole text and nothing else; with ``keep``, those columns of
-    ``docs`` follow, under their names.
+def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | list[str] = (), batch_letters: int = 1 << 21, rates: bool = False) -> DataFrame:
+    """(id, lang_pred, score, known) of every row, from its whole text and nothing else; with ``keep``, those columns of
+    ``docs`` follow, under their names; with ``rates`` also the phrases per letter under each language and the number of
+    letters and spaces. ``known`` is false for ``und``, and for a text of ``LEAST_LETTERS`` or more whose rate is
+    over the cut of a :func:`calibrated` model; a shorter one is too short to tell. Kept columns that are named like a result
+    are not kept.
 
     ``score`` is the winner's share of the inverse phrase rates, from 1 / number of languages to 1. ``und`` with
     score 0 where the text is null or has no letter, or nothing was learned. Equal phrase counts are settled by
     the order of the language names. Repeated rows each give a row; an empty table gives an empty table; other
     columns are not read. A text is parsed in windows of ``WINDOW`` characters, so memory follows the batch.
     """
+    results = ["lang_pred", "score", "known", *(["rates", "letters"] if rates else [])]
+    keep = [c for c in keep if c not in results]
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*keep or [F.lit(0)]).alias("_keep"))
     shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
 
@@ -172,7 +236,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
         m = shared.value
         space, unknown = m.codes[" "], m.alphabet - 1
         # Code of every character of the basic plane and above: letters without a code are unknown, all else is a space.
-        known = np.full(0x110000, -1, np.int16)
+        known = np.full(0x110000, -1, np.int32)
         for c, code in m.codes.items():
             known[ord(c)] = code
 
@@ -190,7 +254,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
             return codes[keep], letters
 
         for batch in batches:
-            names, scores = [], []
+            names, scores, sure, rated, sized = [], [], [], [], []
             waiting: list[tuple[int, bool]] = []
             windows: list[np.ndarray] = []
             size = 0
@@ -203,11 +267,18 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
                     if not letters or not m.langs:
                         names.append("und")
                         scores.append(0.0)
+                        sure.append(False)
+                        rated.append([])
+                        sized.append(0)
                     else:
-                        rate = counts[at : at + n].sum(axis=0) / lengths[at : at + n].sum()
+                        letters = int(lengths[at : at + n].sum())
+                        rate = counts[at : at + n].sum(axis=0) / letters
                         best = int(rate.argmin())
                         names.append(m.langs[best])
                         scores.append(float((1 / rate[best]) / (1 / rate).sum()))
+                        sure.append(m.cuts is None or letters < LEAST_LETTERS or bool(rate[best] <= m.cuts[best]))
+                        rated.append(rate.tolist())
+                        sized.append(letters)
                     at += n
                 waiting.clear()
                 windows.clear()
@@ -222,10 +293,12 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
                     flush()
                     size = 0
             flush()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["_id", "_keep", "lang_pred", "score"])
+            columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_())]
+            columns += [pa.array(rated, pa.list_(pa.float64())), pa.array(sized, pa.int64())] if rates else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["_id", "_keep", *results])
 
-    schema = T.StructType([rows.schema["_id"], rows.schema["_keep"]]).add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([rows.schema["_id"], rows.schema["_keep"]]).add("lang_pred", "string").add("score", "double").add("known", "boolean")
+    schema = schema.add("rates", T.ArrayType(T.DoubleType())).add("letters", "long") if rates else schema
     found = rows.mapInArrow(label, schema)
-    if keep:
-        return found.select("_keep.*", F.col("lang_pred").alias("lang_pred"), "score") if id_col in keep else found.select(F.col("_id").alias(id_col), "lang_pred", "score", "_keep.*")
-    return found.select(F.col("_id").alias(id_col), "lang_pred", "score")
+    own = [] if id_col in keep else [F.col("_id").alias(id_col)]
+    return found.select(*own, *([F.col("_keep.*")] if keep else []), *results)

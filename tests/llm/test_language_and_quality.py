@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from llm_cases import TEXTS, documents, expected_ids, ids_of
 from pyspark.sql import functions as F
 
@@ -22,22 +23,12 @@ def plain_phrases(sample, text):
     return count
 
 
-def model_of(samples):
-    letters = sorted({c for s in samples.values() for c in s} | {" "})
-    codes = {c: i for i, c in enumerate(letters)}
-    tables, starts, at = [], [], 0
-    for sample in samples.values():
-        table = language_id.suffix_automaton(np.array([codes[c] for c in sample]), len(letters) + 1)
-        tables.append(np.where(table >= 0, table + at, -1).astype(np.int32))
-        starts.append(at)
-        at += len(table)
-    return language_id.LanguageModel(list(samples), codes, np.concatenate(tables), np.array(starts, np.int32))
-
-
-def test_parse_equals_substring_search():
+@pytest.mark.parametrize("dense", [2, 64])
+def test_parse_equals_substring_search(monkeypatch, dense):
+    monkeypatch.setattr(language_id, "DENSE", dense)
     rng = np.random.default_rng(3)
     samples = {lang: "".join(rng.choice(list("abc "), 200)) for lang in "xyz"}
-    model = model_of(samples)
+    model = language_id.build(samples)
     texts = ["".join(rng.choice(list("abcd "), rng.integers(1, 90))) for _ in range(40)]
     got = language_id.phrases(model, [np.array([model.codes.get(c, model.alphabet - 1) for c in t]) for t in texts])
     # A letter that the sample lacks ends a phrase and stands in it alone; the next phrase begins after it.
@@ -48,6 +39,17 @@ def test_parse_equals_substring_search():
                 assert plain_phrases(sample, text) == n
 
 
+def test_ten_large_alphabets_fit():
+    rng = np.random.default_rng(4)
+    samples = {f"l{k}": "".join(chr(0x4E00 + 2000 * k + int(c)) for c in rng.integers(0, 3000, 12_000)) for k in range(10)}
+    model = language_id.build(samples)
+    assert sum(x.nbytes for x in (model.table, model.keys, model.targets)) < 200 << 20
+    for k, sample in enumerate(samples.values()):
+        text = sample[500:600] + "q" + sample[9000:9050]
+        row = language_id.phrases(model, [np.array([model.codes.get(c, model.alphabet - 1) for c in text])])[0]
+        assert row[k] == 2 and row.argmin() == k and row.max() > 100
+
+
 def test_sample_holds_a_passage_of_every_picked_text(spark):
     # Each text repeats a letter pair of its own; the hot text is there more often than the sample has texts.
     letters = [chr(0x4E00 + i) for i in range(150)]
@@ -81,12 +83,31 @@ def test_odd_texts_and_no_training_rows(spark):
         no_letter = not any(c.isalpha() for c in text or "")
         assert (got[i].lang_pred == "und") == no_letter and (got[i].score == 0) == no_letter
     kept = language_id.predict(df, model, keep=["doc_id", "text", "lang_pred", "_id"])
-    assert kept.columns[:4] == ["doc_id", "text", "lang_pred", "_id"] and kept.count() == len(expected_ids())
+    assert kept.columns == ["doc_id", "text", "_id", "lang_pred", "score", "known"] and kept.count() == len(expected_ids())
     nothing = language_id.train(df.filter("lang = 'no such'"))
     assert {r.lang_pred for r in language_id.predict(df, nothing).collect()} == {"und"}
     assert language_id.predict(df.limit(0), model).count() == 0
 
 
+def test_texts_of_no_learned_language_are_told_by_their_rate(spark):
+    labelled = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(labelled.filter(~held_out()))
+    model = language_id.calibrated(model, labelled.filter(~held_out()))
+    assert np.isfinite(model.cuts).all()
+    found = language_id.predict(labelled, model, keep=["doc_id", "lang", "text"]).collect()
+    spoken = [r for r in found if sum(c.isalpha() for c in r.text) >= language_id.LEAST_LETTERS]
+    assert np.mean([r.known for r in spoken]) >= 0.99 and all(r.known for r in found if r not in spoken and r.lang_pred != "und")
+    rng = np.random.default_rng(5)
+    soup = ["".join(rng.choice(list(letters), 600)) for letters in ("bcdfghjklmnpqrstvwxz ", "абвгдежзик ", "αβγδεζηθ ", "abcdefghijklmnopqrstuvwxyz      ")]
+    odd = spark.createDataFrame([(i, t) for i, t in enumerate([*soup, "xqzzk", None, "42"])], "doc_id long, text string")
+    got = {r.doc_id: r.known for r in language_id.predict(odd, model).collect()}
+    assert not any(got[i] for i in range(len(soup))) and got[4] and not got[5] and not got[6]
+    # Without texts of another language nothing can be told.
+    alone = labelled.filter("lang = 'en'")
+    assert np.isinf(language_id.calibrated(language_id.train(alone), alone).cuts).all()
+    assert len(language_id.calibrated(language_id.train(alone.limit(0)), alone.limit(0)).cuts) == 0
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = QUERIES["op6_quality"](spark, SF).join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id").collect()
