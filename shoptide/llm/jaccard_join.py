@@ -260,24 +260,33 @@ def _tiled(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("pair", F.explode(pairs))
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, words: int, signatures: bool = False) -> DataFrame:
-    """(rep, grams) of the documents named in ``wanted`` (rep, file, row), from their texts; or (rep, sig), their bitmaps."""
+def _members(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int, signatures: bool = False) -> DataFrame:
+    """``blocks`` (block, pair, rep, n, comp) with the documents' sets (grams) from their texts, or their bitmaps (sig).
+
+    Texts of documents that are in a block meet the list of their blocks by one join; sets, which are wider than texts, are only
+    shuffled to where they are compared.
+    """
     name = "sig" if signatures else "grams"
+    member = F.struct("block", "pair", "n", "comp")
+    wanted = blocks.join(reps.select("rep", "file", "row"), "rep").groupBy("file", "row").agg(F.first("rep").alias("rep"), F.collect_list(member).alias("at"))
+    near = near_keys(rows, wanted, ["file", "row"]).select("file", "row", "_text").join(wanted, ["file", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [g for part in _text_sets(batch.column(2), words) for g in part]
-            if signatures:
-                values = pa.array([signature(g).tobytes() for g in found], pa.binary())
-            else:
-                ends = pa.array(np.concatenate(([0], np.cumsum([len(g) for g in found]))), pa.int32())
-                flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                values = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], ["file", "row", name])
-
-    near = near_keys(rows, wanted, ["file", "row"]).select("file", "row", "_text")
-    found = near.mapInArrow(run, f"file string, row bigint, {name} {'binary' if signatures else 'array<bigint>'}")
-    return found.join(wanted, ["file", "row"]).select("rep", name)
+            start = 0
+            for found in _text_sets(batch.column(0), words):
+                if signatures:
+                    values = pa.array([signature(g).tobytes() for g in found], pa.binary())
+                else:
+                    ends = pa.array(np.concatenate(([0], np.cumsum([len(g) for g in found]))), pa.int32())
+                    values = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found).view(np.int64), pa.int64()))
+                part = batch.slice(start, len(found))
+                start += len(found)
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), values], ["rep", "at", name])
+
+    kinds = "array<struct<block: bigint, pair: bigint, n: bigint, comp: bigint>>"
+    sets = near.select("_text", "rep", "at").mapInArrow(run, f"rep bigint, at {kinds}, {name} {'binary' if signatures else 'array<bigint>'}")
+    return sets.select("rep", F.explode("at").alias("at"), name).select("at.*", "rep", name)
 
 
 class Tree:
@@ -393,9 +402,9 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np
     return links
 
 
-def _by_block(members: DataFrame, column: DataFrame, names: list[str], function) -> DataFrame:
+def _by_block(members: DataFrame, names: list[str], function) -> DataFrame:
     """(a, b): what ``function`` of (a batch, the start and end of a block's rows) finds, block after block."""
-    rows = members.join(column, "rep").repartition("block", "pair").sortWithinPartitions("block", "pair", "rep").select("block", "pair", "rep", *names)
+    rows = members.repartition("block", "pair").sortWithinPartitions("block", "pair", "rep").select("block", "pair", "rep", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in whole_runs(batches, 2):
@@ -407,15 +416,14 @@ def _by_block(members: DataFrame, column: DataFrame, names: list[str], function)
 
 
 def _linked(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): exact links inside blocks (block, pair, rep, comp), one tree and comparison of whole sets per block."""
+    """(a, b): exact links inside blocks (block, pair, rep, n, comp), one tree and comparison of whole sets per block."""
 
     def links(batch: pa.RecordBatch, start: int, end: int):
         ids, comp = (batch.column(i).slice(start, end - start).to_numpy() for i in (2, 3))
         column = batch.column(4).slice(start, end - start)
         return block_links(ids, [column[i].values.to_numpy() for i in range(len(column))], percent, comp)
 
-    wanted = reps.select("rep", "file", "row").join(blocks.select("rep").distinct(), "rep", "left_semi")
-    return _by_block(blocks, _sets(rows, wanted, words), ["comp", "grams"], links)
+    return _by_block(_members(blocks, rows, reps, words), ["comp", "grams"], links)
 
 
 def _candidates(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
@@ -439,8 +447,7 @@ def _candidates(blocks: DataFrame, rows: DataFrame, reps: DataFrame, words: int,
         at = np.flatnonzero(root != np.arange(len(ids)))
         return zip(ids[root[at]].tolist(), ids[at].tolist(), strict=True)
 
-    wanted = reps.select("rep", "file", "row").join(blocks.select("rep").distinct(), "rep", "left_semi")
-    return _by_block(blocks, _sets(rows, wanted, words, signatures=True), ["n", "comp", "sig"], forest)
+    return _by_block(_members(blocks, rows, reps, words, signatures=True), ["n", "comp", "sig"], forest)
 
 
 def _counted(blocks: DataFrame) -> DataFrame:
@@ -480,13 +487,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     # First round: documents that share one of their smallest shingles, which near copies mostly do. It only saves work:
     # a large block is cut into tiles that are not compared with each other, but for one document of each component.
-    blocks = _counted(reps.select("rep", F.explode("low").alias("block"), F.col("rep").alias("comp")))
+    blocks = _counted(reps.select("rep", "n", F.explode("low").alias("block"), F.col("rep").alias("comp")))
     tile = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / TILE))
     blocks = written(blocks.withColumn("pair", tile), "blocks")
     links = written(_linked(blocks, rows, reps, words, percent), "links")
     comps = written(components(links, "components"), "components")
-    large = _with_component(blocks.filter(F.col("members") > TILE).select("block", "rep"), comps)
-    large = _counted(large.groupBy("block", "comp").agg(F.min("rep").alias("rep")))
+    large = _with_component(blocks.filter(F.col("members") > TILE).select("block", "rep", "n"), comps)
+    large = large.groupBy("block", "comp").agg(F.min(F.struct("rep", "n")).alias("one"))
+    large = _counted(large.select("block", "comp", "one.rep", "one.n"))
     large = written(large.withColumn("pair", tile), "blocks")
     if not large.isEmpty():
         links = written(links.unionByName(_linked(large, rows, reps, words, percent)), "links")
@@ -497,7 +505,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     postings = _with_component(reps, comps).select("rep", "n", "comp", F.posexplode("prefix").alias("pos", "h"))
     blocks = written(_tiled(_blocks(postings, percent)).select("block", "pair", "rep", "n", "comp"), "blocks")
     near = written(components(written(_candidates(blocks, rows, reps, words, percent), "candidates"), "near"), "near")
-    groups = _with_component(near.select(F.col("node").alias("rep"), F.col("component").alias("block")), comps)
+    groups = _with_component(near.select(F.col("node").alias("rep"), F.col("component").alias("block")).join(reps.select("rep", "n"), "rep"), comps)
     groups = written(_tiled(_counted(groups)), "groups")
     comps = components(written(links.unionByName(_linked(groups, rows, reps, words, percent)), "links"), "components")
 
