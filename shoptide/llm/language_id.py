@@ -31,6 +31,7 @@ DENSE = 64
 # Texts of so many letters at least are judged on whether they are in a learned language at all, by this many passages of
 # labelled texts, of so many characters each.
 LEAST_LETTERS, PROOF_TEXTS, PROOF_CHARS = 200, 2000, 4000
+FOREIGN, OWN = 0.8, 0.95
 
 
 def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
@@ -165,8 +166,8 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
 
 
 def calibrated(model: LanguageModel, labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", texts: int = PROOF_TEXTS, chars: int = PROOF_CHARS) -> LanguageModel:
-    """``model`` with cuts: for each language a geometric mean of the median phrase rates of its own texts and, with twice the
-    weight, of those in other languages, both under its automaton. A text beyond it is much more like a foreign one.
+    """``model`` with cuts: for each language ``FOREIGN`` of the median phrase rate that texts in other languages have under its
+    automaton, or what ``OWN`` of its own texts keep under, if that is more. A text beyond it reads like a foreign one.
 
     Taken from a bounded sample: a passage of ``chars`` characters of each of the ``texts`` distinct labelled texts
     with the smallest hashes. Without texts of its own or of others a language has no cut.
@@ -180,7 +181,7 @@ def calibrated(model: LanguageModel, labelled: DataFrame, *, text_col: str = "te
     for k, lang in enumerate(model.langs):
         own, other = ([r.rates[k] for r in judged if (r.lang == lang) == same] for same in (True, False))
         if own and other:
-            cuts[k] = np.median(own) ** (1 / 3) * max(np.median(other), np.median(own)) ** (2 / 3)
+            cuts[k] = max(FOREIGN * np.median(other), np.quantile(own, OWN))
     return replace(model, cuts=cuts)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import subprocess
 import sys
@@ -19,7 +20,7 @@ ROOT = Path(__file__).parents[2]
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in names if re.match(r"op\d+_", n)} == {str(n) for n in range(1, 14)}
     assert names["pipeline"] is corpus_pipeline.run and set(ORACLES) < set(QUERIES) < set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "quality classifier", "exact dedup", "near dedup", "packing"]
 
@@ -66,14 +67,38 @@ def test_filters_keep_clean_documents(spark, stages):
     assert len([i for i in texts(given) if label.get(i) == 0]) <= 1.2 * len([i for i in gone if label.get(i) == 0]) + 1
 
 
+def test_the_language_decides(spark):
+    from shoptide.llm.common import written
+
+    rng = random.Random(7)
+    soup = lambda letters: "".join(rng.choice(letters) for _ in range(500))
+    odd = [(10**6, soup("bcdfghjklmnpqrstvwxz ")), (10**6 + 1, soup("абвгдежзик ")), (10**6 + 2, "123 456"), (10**6 + 3, None)]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    more = spark.createDataFrame([(i, t, None, "s", None) for i, t in odd], docs.schema)
+    kept = corpus_pipeline.keep_known_language(spark, written(docs.unionByName(more), "odd"), SF)
+    assert {r.doc_id for r in kept.collect()} == {i for i, t in texts(docs).items() if any(c.isalpha() for c in t or "")}
+
+
+def test_near_copies_lose_no_text_of_a_repeated_id(spark):
+    from shoptide.llm.common import written
+
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join([*words[:50], "other", *words[51:]])
+    rows = [(5, near), (5, "a unique text that stands alone under a repeated id"), (2, " ".join(words)), (None, near + " end"), (None, "without id and alone")]
+    docs = written(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"), "odd")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(2, rows[2][1]), (5, rows[1][1])]
+    assert [r.text for r in kept if r.doc_id is None] == ["without id and alone"]
+
+
 def test_copies_and_near_copies_go(stages):
     from test_dedup_and_joins import plain_groups, plain_join
 
     given, kept = (texts(df) for df in stages[2])
     assert set(kept) == {min(ids) for ids in plain_groups(given.items()).values()}
     given, kept = (texts(df) for df in stages[3])
-    groups = plain_join(list(given.items()), corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT)
-    assert set(kept) == {i for i, (_, component) in groups.items() if component == i}
+    groups, _ = plain_join(list(given.items()), corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT)
+    assert set(kept) == {i for i, _, component in groups if component == i}
 
 
 def test_all_that_is_left_is_packed(stages):
