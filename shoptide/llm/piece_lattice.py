@@ -26,7 +26,8 @@ SPACE = "▁"
 BITMAP_CHARS = 62
 # Words whose edges a task holds in a hash table before it sorts them to gather them.
 WORDS_AT_ONCE = 1 << 16
-WORD_PARTITIONS = 64
+# Distinct words of a partition, whose edges fit a task many times over.
+WORDS_A_PART, LEAST_PARTS = 1 << 13, 64
 # So many of the most frequent words, of at most BITMAP_CHARS characters, are broadcast in encoded form; all others are joined
 # by a shuffle.
 FREQUENT_WORDS = 1 << 17
@@ -224,8 +225,9 @@ def encode(docs: DataFrame, model: PieceModel, *, id_col: str = "doc_id", text_c
     said = rows.select("_id", *LOCATOR, F.posexplode(words_of(text, model)).alias("pos", "word"))
     counts = written(said.groupBy("word").count(), "words")
     top = counts.filter(F.char_length("word") <= BITMAP_CHARS).orderBy(F.desc("count"), "word").limit(frequent).select("word")
-    common = written(dictionary(top.repartition(WORD_PARTITIONS, "word"), model), "frequent-words")
-    rare = dictionary(counts.join(F.broadcast(common.select("word")), "word", "left_anti").select("word").repartition("word"), model)
+    common = written(dictionary(top.repartition(LEAST_PARTS, "word"), model), "frequent-words")
+    parts = max(LEAST_PARTS, counts.count() // WORDS_A_PART)
+    rare = dictionary(counts.join(F.broadcast(common.select("word")), "word", "left_anti").select("word").repartition(parts, "word"), model)
     matched = said.join(F.broadcast(common), "word")
     rest = said.join(F.broadcast(common.select("word")), "word", "left_anti").join(rare, "word")
     columns = ["_id", *LOCATOR, "pos", "word", "ids", "round_trip"]

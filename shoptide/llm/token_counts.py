@@ -72,7 +72,7 @@ def count_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
                 for part in split_text(text, part_chars) if safe and len(text) > part_chars else (text,):
                     owners.append(i)
                     parts.append(part)
-                    size += len(part)
+                    size += len(part) if part.isascii() else len(part.encode())
                     if size >= batch_bytes:
                         flush()
                         size = 0

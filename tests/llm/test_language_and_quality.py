@@ -117,6 +117,49 @@ def test_quality_agrees_with_labels(spark):
 
 
 
+def plain_priors(rows, offset):
+    """(site_prior, quality) of each (host, path, evidence), by loops over hosts and paths."""
+    p = [1 / (1 + np.exp(-(e + offset))) for _, _, e in rows]
+    mean = sum(p) / len(p)
+
+    def strength(groups):
+        several = [(n, s, above) for n, s, above in groups if n > 1]
+        if not several:
+            return 10.0
+        spread = sum(n * (s / n - above) ** 2 for n, s, above in several)
+        chance = sum(above * (1 - above) for _, _, above in several)
+        every = sum(n * above * (1 - above) for n, _, above in several)
+        return 1 / min(max((spread - chance) / max(every - chance, 1e-12), 1e-3), 0.999) - 1
+
+    def sums(key):
+        out = {}
+        for (host, path, _), x in zip(rows, p, strict=True):
+            n, s = out.get(key(host, path), (0, 0.0))
+            out[key(host, path)] = (n + 1, s + x)
+        return out
+
+    hosts, paths = sums(lambda h, q: h), sums(lambda h, q: (h, q))
+    over_hosts = strength([(n, s, mean) for n, s in hosts.values()])
+    host_mean = {h: (s + over_hosts * mean) / (n + over_hosts) for h, (n, s) in hosts.items()}
+    over_paths = strength([(n, s, host_mean[h]) for (h, _), (n, s) in paths.items()])
+    out = []
+    for (host, path, evidence), x in zip(rows, p, strict=True):
+        n, s = paths[host, path]
+        prior = min(max((s - x + over_paths * host_mean[host]) / (n - 1 + over_paths), 0), 1)
+        safe = min(max(prior, 1e-6), 1 - 1e-6)
+        out.append((prior, 1 / (1 + np.exp(-(evidence + np.log(safe / (1 - safe)))))))
+    return out
+
+
+def test_priors_equal_plain_loops(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    docs = docs.withColumn("path", F.concat_ws("/", "source", F.pmod("doc_id", F.lit(7)).cast("string")))
+    out = quality.quality(docs, labels, host=F.col("source"), path=F.col("path"), keep=["doc_id", "source", "path"]).collect()
+    rows = [(r.source or "", r.path or "", r.evidence) for r in out]
+    want = plain_priors(rows, quality.train(docs, labels).offset)
+    assert np.allclose([(r.site_prior, r.quality) for r in out], want, atol=1e-9)
+    assert [r.kept for r in out] == [q >= 0.5 for _, q in want]
+
 
 def test_sparse_sites_are_drawn_to_the_level_above(spark):
     rng = np.random.default_rng(0)
