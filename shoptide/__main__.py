@@ -85,10 +85,25 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     raise ValueError(args.job)
 
 
+# Tables that the compact job knows, by the job that writes them.
+TABLES = {
+    "dau": jobs.dau_table,
+    "first": jobs.first_day_table,
+    "devices": jobs.device_table,
+    "gmv": jobs.order_table,
+    "hours": jobs.hour_table,
+    "panes": jobs.pane_table,
+    "alerts": jobs.alert_table,
+    "users": jobs.user_table,
+    "sales": jobs.sale_table,
+    "index": jobs.token_table,
+}
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["dau", "first", "gmv", "alerts", "users", "sales", "logs", "archive", "cdc", "quarantine"])
-    parser.add_argument("--source", required=True, help="feed folder, or topic with --brokers")
+    parser.add_argument("job", choices=["dau", "first", "gmv", "alerts", "users", "sales", "logs", "archive", "cdc", "quarantine", "compact"])
+    parser.add_argument("--source", help="feed folder, or topic with --brokers")
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")
     parser.add_argument("--hours", help="folder of hourly totals that the gmv job keeps beside its orders")
@@ -96,7 +111,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--docs", help="folder of alert documents that the alerts job keeps beside its panes")
     parser.add_argument("--record", choices=[*sorted(QUARANTINE), "log", "change"], help="record of the quarantine job; log and change are raw device logs and change entries")
     parser.add_argument("--table", help="folder the job writes; not used when it writes topics")
-    parser.add_argument("--checkpoint", required=True, help="folder for the job's progress and state")
+    parser.add_argument("--kind", choices=sorted(TABLES), help="what the table of the compact job holds")
+    parser.add_argument("--up-to", help="last day that the compact job merges")
+    parser.add_argument("--checkpoint", help="folder for the job's progress and state")
     parser.add_argument("--writer", default="main", help="new name for a job started over with a new checkpoint")
     parser.add_argument("--brokers", help="Kafka bootstrap servers")
     parser.add_argument("--group", help="Kafka consumer group")
@@ -105,6 +122,11 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session(f"shoptide-{args.job}")
+    if args.job == "compact":
+        print(*sinks.compact_closed(spark, TABLES[args.kind](args.table), args.up_to), sep="\n")
+        return
+    if not (args.source and args.checkpoint):
+        parser.error("--source and --checkpoint are needed")
     ready = writer(spark, args)
     if args.once:
         jobs.run_to_end(spark, ready, args.checkpoint)

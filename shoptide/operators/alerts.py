@@ -175,6 +175,39 @@ def coupon_alerts(events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_0
     return _documents(alerts, rows, size_ms)
 
 
+# Events of one part of an alert.
+PART_EVENTS = 1000
+
+
+def coupon_alert_parts(
+    events: DataFrame, size_ms: int = 300_000, slide_ms: int = 5_000, accounts: int = 3, tie: str | None = None, most: int = PART_EVENTS
+) -> DataFrame:
+    """The events of the alerts of :func:`coupon_alerts` in ordered parts: (doc_id, pane, part, events).
+
+    A part holds up to ``most`` events of one pane, so that an alert of a device with a share of all events is in no
+    task's memory as a whole; ``pane`` and then ``part`` give the order. For readers that want an alert in one row there is
+    :func:`whole_events`.
+    """
+    events = events.withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
+    windows = last_of_minute(flagged_spans(event_facts(events, slide_ms), size_ms, slide_ms, accounts), slide_ms)
+    start = F.col("window_end") - size_ms
+    blocks = F.array_distinct(F.array(_block(start, size_ms), _block(F.col("window_end") - 1, size_ms)))
+    wanted = windows.select("mid", "window_end", F.explode(blocks).alias("block"))
+    placed = events.select("mid", "ts", "evid", (F.col(tie) if tie else F.lit(0)).cast("bigint").alias("tie"), _block(F.col("ts"), size_ms).alias("block"))
+    inside = (F.col("ts") >= start) & (F.col("ts") < F.col("window_end"))
+    rows = near_keys(placed, wanted, ["mid", "block"]).join(wanted, ["mid", "block"]).filter(inside)
+    rows = rows.select(doc_id("_", "mid", minute_of(F.timestamp_millis("window_end"))).alias("doc_id"), _floor_to(F.col("ts"), slide_ms).alias("pane"), "ts", "tie", "evid")
+    row = F.row_number().over(Window.partitionBy("doc_id", "pane").orderBy("ts", "tie", "evid"))
+    parts = rows.withColumn("part", F.floor((row - 1) / most).cast("int")).groupBy("doc_id", "pane", "part").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "evid"))).alias("log"))
+    return parts.select("doc_id", "pane", "part", F.transform("log", lambda x: x["evid"]).alias("events"))
+
+
+def whole_events(parts: DataFrame) -> DataFrame:
+    """(doc_id, events): the parts of each alert put together."""
+    listed = F.array_sort(F.collect_list(F.struct("pane", "part", "events")))
+    return parts.groupBy("doc_id").agg(listed.alias("parts")).select("doc_id", F.flatten(F.transform("parts", lambda p: p["events"])).alias("events"))
+
+
 def pane_rows(events: DataFrame, slide_ms: int = 5_000, tie: str | None = None) -> DataFrame:
     """What one micro-batch adds to the panes: a row per device and pane with its accounts, items, clicks and events.
 

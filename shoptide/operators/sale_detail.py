@@ -131,5 +131,9 @@ def sales_by_order(orders: DataFrame, details: DataFrame, users: DataFrame, as_o
 
 
 def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:
-    """Wide sale rows, one per (order_id, order_detail_id)."""
-    return enrich_user(one_per_item(join_orders(orders, details)), users, as_of)
+    """Wide sale rows, one per (order_id, order_detail_id).
+
+    Users are joined to orders first, so that items, the largest table, are shuffled once: by their order.
+    """
+    bought = enrich_user(order_side(orders), users, as_of)
+    return one_per_item(detail_side(details).join(bought, "order_id"))

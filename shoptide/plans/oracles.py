@@ -124,6 +124,12 @@ SELECT mid || '_' || strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M
        window_end AS ts, strftime(make_timestamp(window_end * 1000), '%Y-%m-%d') AS dt
 FROM ranked WHERE rn = 1"""
 
+ALERT_PARTS = f"""WITH alerts AS ({ALERTS}), {EVENT_LOGS}, inside AS (
+  SELECT doc_id, logs.ts // {SLIDE} * {SLIDE} AS pane, logs.ts AS at, event_id, evid
+  FROM alerts JOIN logs ON logs.mid = alerts.mid AND logs.ts >= alerts.ts - {SIZE} AND logs.ts < alerts.ts), numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY doc_id, pane ORDER BY at, event_id) - 1) // 2 AS part FROM inside)
+SELECT doc_id, pane, part, string_agg(evid, ',' ORDER BY at, event_id) AS events FROM numbered GROUP BY doc_id, pane, part"""
+
 DAU_ROWS = f"WITH {DAU} SELECT mid, log_date, log_hour, ts, event_id FROM dau"
 
 
@@ -279,6 +285,7 @@ ORDER BY order_id, order_detail_id LIMIT {PAGE_SIZE} OFFSET {(PAGE - 1) * PAGE_S
     "sale_detail_report": _report(),
     "coupon_alert": ALERTS,
     "coupon_alert_stream": ALERTS,
+    "coupon_alert_parts": ALERT_PARTS,
     "word_count": """WITH lines AS (
   SELECT text FROM documents UNION ALL SELECT text FROM conversations), pieces AS (
   SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM lines WHERE text = '' OR rtrim(text, ' ') <> '')

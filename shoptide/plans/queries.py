@@ -350,6 +350,13 @@ def coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
     return _alert_rows(alerts.coupon_alerts(events, **ALERT, tie="event_id"))
 
 
+@query("coupon_alert_parts")
+def coupon_alert_parts(spark: SparkSession, sf: str) -> DataFrame:
+    events = bind.event_logs(_t(spark, sf, "events"))
+    parts = alerts.coupon_alert_parts(events, **ALERT, tie="event_id", most=2)
+    return parts.withColumn("events", F.array_join("events", ","))
+
+
 # --- streams ----------------------------------------------------------------------------------
 # Each replays its tables through the job and reads back what the job stored.
 

@@ -29,12 +29,18 @@ RUNTIME_CONF = {
 PARTITIONS_PER_CORE = 4
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in the driver's process; ``local-cluster`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Give an existing session the settings the plans count on."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not is_local(spark):
         # Batch shuffles start out fine enough for the cluster and are merged by measured size. The
         # number of state partitions is a setting of its own and stays what it is.
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * context.defaultParallelism)
@@ -75,7 +81,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_folder()
 

@@ -146,6 +146,58 @@ class KeyedTable:
         return replace(self, path=path)
 
 
+COMPACTED = "compacted"
+
+
+def compact_closed(spark: SparkSession, table: KeyedTable, up_to: str | None = None, least: int = 8) -> list[str]:
+    """Merge the small folders of closed days beside running writers; the days (or buckets) that were merged.
+
+    Of each folder of the table with at least ``least`` batches, up to the day ``up_to``, the rows that count are written once
+    more in few files, with the time they were first written. The last batch of every writer is left as it is, since it may be
+    run again. Merged folders stay until the next call, for readers that have listed them: until then every row is
+    there twice, which changes no answer. A call that is broken off is made good by the next one.
+    """
+    files, root = _folder(spark, table.path)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    column = table.partition_by or "bucket"
+    if not files.exists(root):
+        return []
+    found: dict[str, list[tuple[str, int]]] = {}
+    for entry in files.globStatus(path(root, f"{column}=*/writer=*/batch=*")) or []:
+        batch = entry.getPath()
+        value = batch.getParent().getParent().getName().removeprefix(f"{column}=")
+        found.setdefault(value, []).append((batch.getParent().getName().removeprefix("writer="), int(batch.getName().removeprefix("batch="))))
+    last: dict[str, int] = {}
+    for writer, batch in (b for batches in found.values() for b in batches):
+        last[writer] = max(batch, last.get(writer, -1))
+    done = []
+    for value, batches in sorted(found.items()):
+        if up_to is not None and value > up_to:
+            continue
+        folder = lambda writer, batch, value=value: path(root, f"{column}={value}/writer={writer}/batch={batch}")
+        merged = max((b for w, b in batches if w == COMPACTED), default=-1)
+        note = path(root, f"_merged/{value}-{merged}")
+        if merged >= 0 and files.exists(note):
+            for status in files.listStatus(note):
+                writer, batch = status.getPath().getName().rsplit("@", 1)
+                files.delete(folder(writer, batch), True)
+                batches = [b for b in batches if b != (writer, int(batch))]
+            files.delete(note, True)
+        closed = [(w, b) for w, b in batches if w == COMPACTED or b < last[w]]
+        if len(closed) < least:
+            continue
+        rows = table.versions(spark, folders=[value])
+        rows = rows.join(F.broadcast(spark.createDataFrame(closed, "writer string, batch bigint")), ["writer", "batch"], "left_semi")
+        best = table._best(rows).select(*table.schema.fieldNames(), "written_at")
+        # Noted before they are written, so that a folder of merged rows always says what it stands for.
+        note = path(root, f"_merged/{value}-{merged + 1}")
+        for writer, batch in closed:
+            files.create(path(note, f"{writer}@{batch}"), True).close()
+        replace(table, writer=COMPACTED)._write(best, merged + 1)
+        done.append(value)
+    return done
+
+
 class Attempts:
     """Clears what an attempt that did not end has left in ``tables``, before a query's first batch. Only the first one
     after a start can be a repetition."""

@@ -137,6 +137,16 @@ def test_stored_panes_give_the_same_alerts(spark):
     assert stored
 
 
+def test_events_of_an_alert_in_parts(spark):
+    rng = random.Random(8)
+    rows = [(f"m{rng.randrange(2)}", rng.choice("abcd"), "i", rng.choice(["coupon"] * 9 + ["addCart"]), rng.randrange(0, 10 * MIN)) for _ in range(200)]
+    df = events(spark, *rows)
+    parts = alerts.coupon_alert_parts(df, tie="seq", most=2)
+    assert parts.filter("size(events) > 2").count() == 0 and parts.filter("part > 0").count() > 0
+    got = {r.doc_id: r.events for r in alerts.whole_events(parts).collect()}
+    assert got == {r.doc_id: r.events for r in alerts.coupon_alerts(df, tie="seq").collect()} and got
+
+
 def test_window_must_be_whole_slides(spark):
     with pytest.raises(ValueError, match="multiple"):
         alerts.coupon_alerts(events(spark, *coupons("a")), 300_000, 7_000)

@@ -32,6 +32,8 @@ def test_shared_folder_is_the_configured_one():
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake("local-cluster[2,1,1024]"))
     local = Fake("local[2]")
     assert session.shared_dir(local) == session.shared_dir(local)
 

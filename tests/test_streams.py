@@ -227,6 +227,36 @@ def test_compacted_table_takes_newer_batches(spark, tmp_path):
     assert rows_of(copy.read(spark)) == [("a", 2, "d1"), ("b", 5, "d2")]
 
 
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_writer_and_compaction_take_turns(spark, tmp_path, buckets):
+    rng = random.Random(9)
+    by_day = None if buckets else "dt"
+    plain, table = (sinks.KeyedTable(str(tmp_path / n), DOC, ["doc_id"], by_day, buckets=buckets) for n in ("plain", "merged"))
+    other = sinks.KeyedTable(table.path, DOC, ["doc_id"], by_day, writer="other", buckets=buckets)
+    merges = 0
+    for batch in range(12):
+        rows = docs(spark, *{f"k{rng.randrange(6)}": (f"k{rng.randrange(6)}", batch, f"d{rng.randrange(2)}") for _ in range(5)}.values()).dropDuplicates(["doc_id"])
+        rows = sinks.staged(rows, str(tmp_path / f"rows-{batch}"))
+        for target in (plain, table):
+            target.add(rows, batch)
+        if batch == 5:
+            late = docs(spark, ("late", 1, "d0"))
+            other.add(late, 0)
+            sinks.KeyedTable(plain.path, DOC, ["doc_id"], by_day, writer="other", buckets=buckets).add(late, 0)
+        if batch % 3 == 2:
+            merges += len(sinks.compact_closed(spark, table, None if buckets else "d0", least=2))
+        assert rows_of(table.read(spark)) == rows_of(plain.read(spark))
+    # The last batch can still be run again.
+    again = docs(spark, ("k0", 99, "d0"))
+    for target in (plain, table):
+        sinks.Attempts(target).clear(spark, 11)
+        target.add(again, 11)
+    assert rows_of(table.read(spark)) == rows_of(plain.read(spark))
+    assert merges >= 3 and table.versions(spark).count() < plain.versions(spark).count()
+    if not buckets:
+        assert not list((tmp_path / "merged" / "dt=d1").glob("writer=compacted"))
+
+
 def test_documents_without_id_get_one(spark, tmp_path, messages):
     feed = messages("docs")
     feed.send(({"doc_id": "a", "v": 1}, 0), ({"v": 2}, 0), ({"v": 3}, 0))
