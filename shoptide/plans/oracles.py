@@ -125,10 +125,10 @@ SELECT mid || '_' || strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M
 FROM ranked WHERE rn = 1"""
 
 ALERT_PARTS = f"""WITH alerts AS ({ALERTS}), {EVENT_LOGS}, inside AS (
-  SELECT doc_id, logs.ts // {SLIDE} * {SLIDE} AS pane, logs.ts AS at, event_id, evid
+  SELECT doc_id, logs.ts // {SLIDE} * {SLIDE} AS pane, logs.ts AS said, event_id, evid
   FROM alerts JOIN logs ON logs.mid = alerts.mid AND logs.ts >= alerts.ts - {SIZE} AND logs.ts < alerts.ts), numbered AS (
-  SELECT *, (row_number() OVER (PARTITION BY doc_id, pane ORDER BY at, event_id) - 1) // 2 AS part FROM inside)
-SELECT doc_id, pane, part, string_agg(evid, ',' ORDER BY at, event_id) AS events FROM numbered GROUP BY doc_id, pane, part"""
+  SELECT *, (row_number() OVER (PARTITION BY doc_id, pane ORDER BY said, event_id) - 1) // 2 AS part FROM inside)
+SELECT doc_id, pane, part, string_agg(evid, ',' ORDER BY said, event_id) AS events FROM numbered GROUP BY doc_id, pane, part"""
 
 DAU_ROWS = f"WITH {DAU} SELECT mid, log_date, log_hour, ts, event_id FROM dau"
 
