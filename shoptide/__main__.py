@@ -69,6 +69,8 @@ def writer(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
             known = jobs.user_table(args.users)
             index = jobs.token_table(args.index, writer=args.writer) if args.index else None
             return jobs.sale_details(messages, feed(spark, args, args.details), known, jobs.sale_table(args.table, writer=args.writer), index=index)
+        case "documents":
+            return jobs.documents(messages, jobs.document_table(args.table, writer=args.writer))
         case "logs":
             return routed_output(logs.route(messages).filter(~F.col("malformed")), args)
         case "archive":
@@ -97,12 +99,13 @@ TABLES = {
     "users": jobs.user_table,
     "sales": jobs.sale_table,
     "index": jobs.token_table,
+    "documents": jobs.document_table,
 }
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shoptide", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["dau", "first", "gmv", "alerts", "users", "sales", "logs", "archive", "cdc", "quarantine", "compact"])
+    parser.add_argument("job", choices=["dau", "first", "gmv", "alerts", "users", "sales", "documents", "logs", "archive", "cdc", "quarantine", "compact"])
     parser.add_argument("--source", help="feed folder, or topic with --brokers")
     parser.add_argument("--details", help="order-item feed of the sales job")
     parser.add_argument("--users", help="user table of the sales job")

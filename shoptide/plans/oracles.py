@@ -286,6 +286,7 @@ ORDER BY order_id, order_detail_id LIMIT {PAGE_SIZE} OFFSET {(PAGE - 1) * PAGE_S
     "coupon_alert": ALERTS,
     "coupon_alert_stream": ALERTS,
     "coupon_alert_parts": ALERT_PARTS,
+    "document_stream": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, event_id % 2 = 1 AS generated FROM events",
     "word_count": """WITH lines AS (
   SELECT text FROM documents UNION ALL SELECT text FROM conversations), pieces AS (
   SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM lines WHERE text = '' OR rtrim(text, ' ') <> '')

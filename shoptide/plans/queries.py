@@ -459,6 +459,19 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(spark).select("doc_id", *SALE_COLUMNS)
 
 
+@query("document_stream")
+def document_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a document; those with an odd number come without an id."""
+    run = new_run_dir(spark, "documents")
+    events = tables.replay(spark, sf, "events", f"{run}/feed")
+    named = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("e"), bind.text("event_id")))
+    rows = events.select(named.alias("doc_id"), "event_id", F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.col("ts").cast("timestamp").alias("timestamp"))
+    table = jobs.document_table(f"{run}/table")
+    jobs.run_to_end(spark, jobs.documents(bind.json_messages(rows, "doc_id", "event_id", "dt"), table), f"{run}/checkpoint")
+    body = F.get_json_object("body", "$.event_id").cast("bigint")
+    return table.read(spark).select(body.alias("event_id"), "dt", F.col("doc_id").startswith("auto-").alias("generated"))
+
+
 @query("log_archive")
 def log_archive(spark: SparkSession, sf: str) -> DataFrame:
     run = new_run_dir(spark, "archive")

@@ -4,7 +4,7 @@ writer that is ready to start; the caller picks trigger and checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from shoptide import schemas
 from shoptide.functions import mask_phone, with_log_time, with_order_time
 from shoptide.operators import alerts, dedup, metrics, sale_detail, search
-from shoptide.operators.keyed import near_keys
+from shoptide.operators.keyed import first_per_key, near_keys
 from shoptide.session import ROCKSDB_PROVIDER, adaptive
 from shoptide.sources import decode
 from shoptide.sources.decode import decoded
@@ -387,6 +387,39 @@ def sale_details(
     return packed[0].unionByName(packed[1], allowMissingColumns=True).writeStream.foreachBatch(add).outputMode("append")
 
 
+# --- documents ------------------------------------------------------------------------------
+
+
+def document_table(path: str, writer: str = "main") -> KeyedTable:
+    columns = T.StructType().add("doc_id", T.StringType()).add("body", T.StringType()).add("dt", T.StringType())
+    return KeyedTable(path, columns, ["doc_id"], "dt", [], writer)
+
+
+def documents(messages: DataFrame, table: KeyedTable) -> DataStreamWriter:
+    """Bulk upsert of JSON documents by their ``doc_id``, in folders of their ``dt`` or of the day they arrived.
+
+    A document without an id gets one from its text and its place in the feed, so that it has the same when a
+    batch is run again, and two equal ones stay two. Of documents with one id in a batch the last by place counts. Text that
+    is no JSON object is left out.
+    """
+    attempts = sinks.Attempts(table)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            attempts.clear(batch.sparkSession, batch_id)
+            place = F.concat_ws("/", F.col("seen_at").cast("string"), F.col("partition").cast("string"), F.col("offset").cast("string"), "value")
+            placed = numbered(batch).withColumn("place", F.sha1(place))
+            # Equal documents of a feed that does not tell places are counted.
+            copy = F.row_number().over(Window.partitionBy("place").orderBy("place")).cast("string")
+            named = placed.withColumn("doc_id", F.coalesce(F.get_json_object("value", "$.doc_id"), F.concat_ws("-", F.lit("auto"), "place", copy)))
+            day = F.coalesce(F.get_json_object("value", "$.dt"), F.date_format("seen_at", "yyyy-MM-dd"))
+            rows = first_per_key(named.withColumn("dt", day), ["doc_id", "dt"], _last_sent())
+            table.add(rows.select("doc_id", F.col("value").alias("body"), "dt"), batch_id)
+
+    rows = with_position(messages).filter(F.expr("json_object_keys(value) IS NOT NULL"))
+    return rows.select("value", *PLACE).writeStream.foreachBatch(add).outputMode("append")
+
+
 # --- malformed messages ---------------------------------------------------------------------
 
 

@@ -267,6 +267,21 @@ def test_documents_without_id_get_one(spark, tmp_path, messages):
     assert sorted(r.v for r in got) == [1, 2, 3] and len({r.doc_id for r in got}) == 3 and None not in {r.doc_id for r in got}
 
 
+def test_documents_get_the_same_id_when_a_batch_runs_again(spark, tmp_path, messages):
+    feed, table = messages("feed"), jobs.document_table(str(tmp_path / "docs"))
+    feed.send(({"doc_id": "a", "v": 1, "dt": "2024-01-15"}, 5), ({"v": 2}, 6), ({"v": 2}, 6), ("no json", 7), ("[1]", 7))
+    run(spark, jobs.documents(feed.stream(), table), tmp_path)
+    first = rows_of(table.versions(spark).drop("written_at"))
+    uncommit(tmp_path)
+    run(spark, jobs.documents(feed.stream(), table), tmp_path)
+    assert rows_of(table.versions(spark).drop("written_at")) == first
+    feed.send(({"doc_id": "a", "v": 3, "dt": "2024-01-15"}, 9))
+    run(spark, jobs.documents(feed.stream(), table), tmp_path)
+    got = table.read(spark).collect()
+    assert len(got) == 3 and [r.body for r in got if r.doc_id == "a"] == ['{"doc_id": "a", "v": 3, "dt": "2024-01-15"}']
+    assert {r.dt for r in got if r.doc_id.startswith("auto-")} == {"1970-01-01"}
+
+
 def test_several_outputs_of_one_batch(spark, tmp_path, messages):
     feed = messages("docs")
     feed.send(("x", 0), ("y", 0))
