@@ -62,6 +62,15 @@ def event_logs(events: DataFrame) -> DataFrame:
     )
 
 
+DENSE_START, DENSITY = 1_704_067_200_000, 200
+
+
+def dense_event_logs(events: DataFrame) -> DataFrame:
+    """Event logs two hundred times as dense, so that windows of minutes hold several."""
+    since = F.call_function("div", F.col("ts") - DENSE_START, F.lit(DENSITY).cast("bigint"))
+    return event_logs(events).withColumn("ts", F.lit(DENSE_START) + since)
+
+
 def event_messages(events: DataFrame) -> DataFrame:
     """(event_id, value): event logs as JSON; those of errors are cut off before the end."""
     e = event_logs(events)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shoptide.operators import metrics
+from shoptide.plans.bindings import DENSE_START, DENSITY
 from shoptide.plans.queries import ALERT, AS_OF, DATE, FIRST_DATE, KEYWORD, PAGE, PAGE_SIZE, SALE_DATE
 from shoptide.plans.reports import TOTALS, day_before
 
@@ -110,20 +111,28 @@ DEVICE = """device AS (
   FROM events WHERE event_id % 17 NOT IN (4, 5))"""
 
 SIZE, SLIDE, K = ALERT["size_ms"], ALERT["slide_ms"], ALERT["accounts"]
-ALERTS = f"""WITH {EVENT_LOGS}, placed AS (
-  SELECT logs.*, unnest(range(ts // {SLIDE} * {SLIDE} + {SLIDE}, ts // {SLIDE} * {SLIDE} + {SIZE} + 1, {SLIDE})) AS window_end
+
+
+def _alerts(logs: str, size: int, slide: int, accounts: int) -> str:
+    return f"""WITH {logs}, placed AS (
+  SELECT logs.*, unnest(range(ts // {slide} * {slide} + {slide}, ts // {slide} * {slide} + {size} + 1, {slide})) AS window_end
   FROM logs), verdict AS (
   SELECT mid, window_end,
          string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (evid = 'coupon') AS uids,
          string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (evid = 'coupon') AS item_ids,
          string_agg(evid, ',' ORDER BY ts, event_id) AS events
   FROM placed GROUP BY mid, window_end
-  HAVING count(DISTINCT uid) FILTER (evid = 'coupon') >= {K} AND NOT bool_or(evid = 'clickItem')), ranked AS (
+  HAVING count(DISTINCT uid) FILTER (evid = 'coupon') >= {accounts} AND NOT bool_or(evid = 'clickItem')), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY mid, window_end // 60000 ORDER BY window_end DESC) AS rn FROM verdict)
 SELECT mid || '_' || strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M') AS doc_id, mid, uids, item_ids, events,
        window_end AS ts, strftime(make_timestamp(window_end * 1000), '%Y-%m-%d') AS dt
 FROM ranked WHERE rn = 1"""
 
+
+ALERTS = _alerts(EVENT_LOGS, SIZE, SLIDE, K)
+# The same events two hundred times as dense, for windows of minutes.
+DENSE_LOGS = EVENT_LOGS.replace("epoch_us(ts) // 1000 AS ts", f"{DENSE_START} + (epoch_us(ts) // 1000 - {DENSE_START}) // {DENSITY} AS ts")
+
 ALERT_PARTS = f"""WITH alerts AS ({ALERTS}), {EVENT_LOGS}, inside AS (
   SELECT doc_id, logs.ts // {SLIDE} * {SLIDE} AS pane, logs.ts AS said, event_id, evid
   FROM alerts JOIN logs ON logs.mid = alerts.mid AND logs.ts >= alerts.ts - {SIZE} AND logs.ts < alerts.ts), numbered AS (
@@ -285,6 +294,7 @@ ORDER BY order_id, order_detail_id LIMIT {PAGE_SIZE} OFFSET {(PAGE - 1) * PAGE_S
     "sale_detail_report": _report(),
     "coupon_alert": ALERTS,
     "coupon_alert_stream": ALERTS,
+    "coupon_alert_live": _alerts(DENSE_LOGS, 300_000, 5_000, 3),
     "coupon_alert_parts": ALERT_PARTS,
     "document_stream": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, event_id % 2 = 1 AS generated FROM events",
     "word_count": """WITH lines AS (

@@ -350,6 +350,12 @@ def coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
     return _alert_rows(alerts.coupon_alerts(events, **ALERT, tie="event_id"))
 
 
+@query("coupon_alert_live")
+def coupon_alert_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The windows of the live job: 5 minutes that slide by 5 seconds."""
+    return _alert_rows(alerts.coupon_alerts(bind.dense_event_logs(_t(spark, sf, "events")), tie="event_id"))
+
+
 @query("coupon_alert_parts")
 def coupon_alert_parts(spark: SparkSession, sf: str) -> DataFrame:
     events = bind.event_logs(_t(spark, sf, "events"))
