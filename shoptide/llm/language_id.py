@@ -174,8 +174,11 @@ def calibrated(model: LanguageModel, labelled: DataFrame, *, text_col: str = "te
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col, F.lit(1)).alias("at"))
     start = F.pmod(F.col("at"), F.greatest(F.length("text") - chars + 1, F.lit(1)).cast("bigint")).cast("int") + 1
-    passages = rows.select("lang", "at", F.col("text").substr(start, F.lit(chars)).alias("text"))
-    found = predict(passages.orderBy("at", "lang").limit(texts), model, id_col="at", keep=["lang"], rates=True)
+    # Hashes are picked first, so that a task sends no texts but those of the sample, copies once.
+    last = rows.select("at").distinct().orderBy("at").limit(texts).agg(F.max("at")).first()[0]
+    near = rows.filter(F.col("at") <= F.lit(last).cast("long"))
+    passages = near.groupBy("lang", "at").agg(F.min(F.col("text").substr(start, F.lit(chars))).alias("text"))
+    found = predict(passages, model, id_col="at", keep=["lang"], rates=True)
     judged = found.filter(F.col("letters") >= LEAST_LETTERS).select("lang", "rates").collect()
     cuts = np.full(len(model.langs), np.inf)
     for k, lang in enumerate(model.langs):
