@@ -25,11 +25,16 @@ def stream(
     return reader.parquet(f"{root}/{name}.[p]arquet")
 
 
+# A file of a replay, and so a task of its micro-batches, has about so many rows while there are cores for more.
+REPLAY_ROWS = 10_000
+
+
 def replay(spark: SparkSession, root: str, name: str, path: str, batches: int = 4) -> DataFrame:
     """Replay a table in about ``batches`` micro-batches whose rows are in no order of time. The rows are dealt out by
-    their hash into files below ``path``."""
+    their hash into files below ``path``. A large table has a file per core in each micro-batch, also when it is one file
+    itself: a small file is read by one task."""
     df = read(spark, root, name)
-    width = max(1, len(df.inputFiles()))
+    width = max(1, len(df.inputFiles()), min(spark.sparkContext.defaultParallelism, df.count() // (batches * REPLAY_ROWS)))
     df.repartition(batches * width, F.xxhash64(*df.columns)).write.parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", width).parquet(path)
 

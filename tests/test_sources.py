@@ -184,3 +184,13 @@ def test_change_entries_that_do_not_parse_are_told_apart(spark):
     df = values(spark, '{"table":"user_info","event_type":"INSERT","rows":[{"id":"1"}]}', "nope", "")
     assert decode.nested(df, schemas.CDC_ENVELOPE).count() == 1
     assert sorted(r.raw for r in decode.unparsed(df, schemas.CDC_ENVELOPE).collect()) == ["", "nope"]
+
+
+def test_replay_of_a_large_single_file_gives_each_core_a_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "REPLAY_ROWS", 100)
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    feed = tables.replay(spark, str(tmp_path), "t", str(tmp_path / "feed"))
+    sizes = []
+    feed.writeStream.foreachBatch(lambda batch, _: sizes.append((batch.rdd.getNumPartitions(), batch.count()))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1 and [tasks for tasks, _ in sizes] == [cores] * 4 and sum(n for _, n in sizes) == 2000
