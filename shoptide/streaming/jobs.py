@@ -370,8 +370,10 @@ def sale_details(
         with adaptive(spark):
             attempts.clear(spark, batch_id)
             came = {}
+            # Both sides in one go: the batch would be read and decoded anew for each.
+            both = sinks.staged(batch, f"{work}/came")
             for side, (_, kept) in sides.items():
-                came[side] = sinks.staged(batch.filter(F.col(side).isNotNull()).select(f"{side}.*"), f"{work}/{side}")
+                came[side] = both.filter(F.col(side).isNotNull()).select(f"{side}.*")
                 kept.add(came[side], batch_id)
             # What came on one side meets all of the other, and what had been there before meets what came.
             of_orders = came["items"].unionByName(near("items", came["orders"], batch_id))

@@ -183,6 +183,23 @@ def test_sale_details_over_batches(spark, messages, tmp_path):
     assert rows_of(got.filter("dt = '2024-01-15'").select("dt").distinct()) == [("2024-01-15",)]
 
 
+def test_sale_messages_are_decoded_once(spark, messages, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    orders, details = messages("orders"), messages("details")
+    orders.send(order("1", 10), order("2", 10))
+    details.send(detail("d1", "1", 10), detail("d2", "2", 12), detail("d3", "3", 12))
+    feeds = [feed.stream().withColumn("value", counted.asNondeterministic()("value")) for feed in (orders, details)]
+    table = jobs.sale_table(str(tmp_path / "sales"))
+    run(spark, jobs.sale_details(*feeds, jobs.user_table(str(tmp_path / "nobody")), table, "2024-01-15"), tmp_path)
+    assert rows_of(table.read(spark), "doc_id") == [("1-d1",), ("2-d2",)] and read.value == 5
+
+
 def test_sale_partners_that_are_read_late_still_match(spark, messages, tmp_path):
     orders, details = messages("orders"), messages("details")
     # All partners arrive 10 s apart, but one of each pair is read two batches after rows that arrived an hour later.
