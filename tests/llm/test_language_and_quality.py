@@ -108,6 +108,23 @@ def test_texts_of_no_learned_language_are_told_by_their_rate(spark):
     assert len(language_id.calibrated(language_id.train(alone.limit(0)), alone.limit(0)).cuts) == 0
 
 
+def test_cuts_are_those_of_all_labelled_texts_as_wholes(spark):
+    rng = np.random.default_rng(3)
+    some = spark.read.parquet(f"{SF}/documents.parquet").filter("lang IS NOT NULL AND length(text) > 300").orderBy("doc_id").limit(60).collect()
+    # The second part of each text is of another kind than the first and longer than any passage.
+    rows = [(r.text + " " + "".join(rng.choice(list("abcdefghij "), 9000 if i % 2 else 100)), r.lang) for i, r in enumerate(some)]
+    labelled = spark.createDataFrame([*rows, *rows[:20]], "text string, lang string")
+    model = language_id.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    found = {(r.at, r.lang): r.rates for r in language_id.predict(labelled.withColumn("at", F.xxhash64("text")), model, id_col="at", keep=["lang"], rates=True).collect()}
+    cuts = language_id.calibrated(model, labelled).cuts
+    for k, lang in enumerate(model.langs):
+        own, other = (sorted(r[k] for (_, of), r in found.items() if (of == lang) == same) for same in (True, False))
+        if own and other:
+            lower = lambda rates, share: rates[int(share * (len(rates) - 1))]
+            assert abs(cuts[k] - max(language_id.FOREIGN * lower(other, 0.5), lower(own, language_id.OWN))) < 1 / language_id.RATE_STEPS
+    assert np.isfinite(cuts).any()
+
+
 def test_quality_agrees_with_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = QUERIES["op6_quality"](spark, SF).join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id").collect()
