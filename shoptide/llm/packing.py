@@ -25,6 +25,10 @@ LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 K1, B = 1.2, 0.75
 # Rare terms that decide where a document is put.
 KEYS = 3
+# Chunks that a task's tokenizer remembers; each takes about 300 bytes, its word included.
+REMEMBERED = 150_000
+# Chunks that the library encodes at once: what it returns for each is much larger than the ids.
+ENCODED_AT_ONCE = 4096
 
 
 class _Known(dict):
@@ -44,12 +48,13 @@ class ChunkTokenizer:
     """Ids of texts by a tokenizers file whose pre-tokenizer drops white space.
 
     No token reaches over white space, so the ids of a text are those of its chunks, one after the other. Each
-    distinct chunk is encoded once by the library and remembered, about ``most`` of them at a time. Most chunks
+    distinct chunk is encoded once by the library and remembered, about ``most`` of them at a time; when there are more,
+    those that were met once are forgotten, so that what is frequent is not encoded anew. Most chunks
     are a word of Latin letters with punctuation behind it: words are encoded once in lower case, and the chunk's
     ids are the word's and then the punctuation's.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = REMEMBERED):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,13 +68,20 @@ class ChunkTokenizer:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.most = most
-        self._reset()
-
-    def _reset(self) -> None:
+        self.known, self.words = _Known(), _Known()
+        self.chunk_ids, self.word_ids = _Flat(), _Flat()
+        self.met = np.zeros(0, np.int64)  # by chunk
+
+    def _forget(self) -> None:
+        """Keep the chunks that were met most, at least twice, up to half of ``most``."""
+        often = np.flatnonzero(self.met > 1)
+        kept = np.sort(often[np.argsort(-self.met[often], kind="stable")[: self.most // 2]])
+        chunks, ids = list(self.known), _Flat()  # in the order of their numbers
+        ids.add(self.chunk_ids.of(kept), self.chunk_ids.lengths(kept))
         self.known = _Known()
-        self.words = _Known()
-        self.chunk_ids = _Flat()
-        self.word_ids = _Flat()
+        self.known.update((chunks[number], i) for i, number in enumerate(kept.tolist()))
+        self.chunk_ids, self.met = ids, np.ones(len(kept), np.int64)
+        self.words, self.word_ids = _Known(), _Flat()
 
     def _learn(self) -> None:
         """Ids of the fresh chunks, in the order of their numbers."""
@@ -85,12 +97,15 @@ class ChunkTokenizer:
             else:
                 odd.append(i)
         fresh, self.words.fresh = self.words.fresh, []
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
+        for at in range(0, len(fresh), ENCODED_AT_ONCE):
+            part = fresh[at : at + ENCODED_AT_ONCE]
             ids = np.array(self.words_only.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint16)
             self.word_ids.add(ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
         lengths = np.where(pairs >= 0, self.word_ids.lengths(pairs), 0)
-        lone = {i: np.array(e.ids, np.uint16) for i, e in zip(odd, self.library.encode_batch([chunks[i] for i in odd], add_special_tokens=False), strict=True)}
+        lone = {}
+        for at in range(0, len(odd), ENCODED_AT_ONCE):
+            part = odd[at : at + ENCODED_AT_ONCE]
+            lone.update((i, np.array(e.ids, np.uint16)) for i, e in zip(part, self.library.encode_batch([chunks[i] for i in part], add_special_tokens=False), strict=True))
         # The odd chunks' ids go into their places among the others'.
         own = np.array([len(lone[i]) for i in odd], np.int64)
         total = lengths.sum(axis=1)
@@ -107,8 +122,11 @@ class ChunkTokenizer:
         odd = {i for i, t in enumerate(texts) if any(c in t for c in ODD_SPACE)}
         split = [[] if i in odd else t.split() for i, t in enumerate(texts)]
         if len(self.known) > self.most:
-            self._reset()
+            self._forget()
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64)
+        met = np.bincount(at, minlength=len(self.known))
+        met[: len(self.met)] += self.met
+        self.met = met
         if self.known.fresh:
             self._learn()
         ids = self.chunk_ids.of(at)

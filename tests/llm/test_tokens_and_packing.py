@@ -52,6 +52,19 @@ def test_chunk_tokenizer_equals_the_library(library):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_tokenizer_remembers_what_is_frequent_and_little_else():
+    own = packing.ChunkTokenizer(WORDS, most=100)
+    learnt = []
+    learn = own._learn
+    own._learn = lambda: (learnt.extend(own.known.fresh), learn())
+    texts = [" ".join(["often", "привет", "again,", *(f"rare{i}x{j}" for j in range(10))]) for i in range(200)]
+    for at in range(0, len(texts), 2):
+        got = own.encode(texts[at : at + 2])
+        assert [ids.tolist() for ids in got] == [own.library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 2]]
+        assert len(own.known) <= 130 and len(own.known) == own.chunk_ids.n == len(own.met)
+    assert learnt.count("often") == learnt.count("привет") == learnt.count("again,") == 1
+
+
 def test_index_is_bm25():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 40, rng.integers(1, 60)).astype(np.uint16) for _ in range(12)]
