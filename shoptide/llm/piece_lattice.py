@@ -32,18 +32,23 @@ WORDS_A_PART, LEAST_PARTS = 1 << 13, 64
 # by a shuffle.
 FREQUENT_WORDS = 1 << 17
 UNKNOWN_PENALTY = 10.0
+# So many characters from a place on tell how long a piece from there can be.
+PREFIX = 3
+# An edge of a word of at most BITMAP_CHARS characters as one long: the rank of its score, start, length and id + 1 (0: none).
+RANK_BITS, PLACE_BITS, ID_BITS = 21, 6, 30
 
 
 @dataclass
 class PieceModel:
-    """A sentencepiece model as a table: pieces (piece, id, score, bytes) hold the normal pieces, byte_ids the ids of
+    """A sentencepiece model as a table: pieces (piece, id, score, rank, back) hold the normal pieces, the best score's rank being 0 (back:
+    see :func:`backward`), reach (prefix, longest) the length of the longest piece with these PREFIX first characters, byte_ids the ids of
     the 256 byte pieces, solo the ASCII characters that are in no piece of several characters, closing the ASCII
     marks that follow a letter in no piece."""
 
     pieces: DataFrame
     decoded: DataFrame
     byte_ids: list[int]
-    longest: int
+    reach: DataFrame
     bpe: bool
     solo: str
     closing: str
@@ -71,11 +76,20 @@ def load(spark: SparkSession, path: str | None = None, proto: bytes | None = Non
     solo = "".join(chr(c) for c in range(1, 128) if chr(c) not in inner and c != 32)
     after_letter = {b for p, _, _ in normal for a, b in pairwise(p) if a.isalpha()}
     closing = "".join(c for c in punctuation if c not in after_letter and c not in solo)
+    rank = {score: k for k, score in enumerate(sorted({score for _, _, score in normal}, reverse=True))}
+    if len(rank) >= 1 << RANK_BITS or len(model.pieces) >= 1 << ID_BITS:
+        raise ValueError("the model has more pieces than an edge can name")
+    reach: dict[str, int] = {}
+    for p, _, _ in normal:
+        if len(p) >= PREFIX:
+            reach[p[:PREFIX]] = max(reach.get(p[:PREFIX], 0), len(p))
     surfaces = [(i, p.replace(SPACE, " ").encode()) for p, i, _ in normal] + [(i, bytes([b])) for b, i in by_byte.items()]
+    scores = {p: (i, s) for p, i, s in normal}
+    bpe = model.trainer_spec.model_type == 2
+    back = backward(scores) if bpe else set()
     return PieceModel(
-        spark.createDataFrame(normal, "piece string, id int, score double"), spark.createDataFrame(surfaces, "id int, surface binary"),
-        [by_byte[b] for b in range(256)], max(len(p) for p, _, _ in normal), model.trainer_spec.model_type == 2, solo, closing, min(s for _, _, s in normal),
-        {p: (i, s) for p, i, s in normal})
+        spark.createDataFrame([(p, i, s, rank[s], p in back) for p, i, s in normal], "piece string, id int, score double, rank long, back boolean"), spark.createDataFrame(surfaces, "id int, surface binary"),
+        [by_byte[b] for b in range(256)], spark.createDataFrame(list(reach.items()), "prefix string, longest int"), bpe, solo, closing, min(s for _, _, s in normal), scores)
 
 
 def words_of(text: Column, model: PieceModel) -> Column:
@@ -85,50 +99,74 @@ def words_of(text: Column, model: PieceModel) -> Column:
     code = lambda chars: "".join(f"\\x{ord(c):02x}" for c in chars)
     alone, closing = code(model.solo), code(model.closing)
     one = f"[{alone}]|" if alone else ""
-    closed = f"{SPACE}*[^{SPACE}{alone}]*?\\p{{L}}(?=[{closing}])|" if closing else ""
-    pattern = f"{one}{closed}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+"
+    # Possessive, and each character is looked at once: a mark goes on with the word unless a letter stands before it.
+    further = f"(?:[^{SPACE}{alone}{closing}]++|(?<!\\p{{L}})[{closing}]++)*+" if closing else f"[^{SPACE}{alone}]*+"
+    pattern = f"{one}{SPACE}*+[^{SPACE}{alone}]{further}|{SPACE}++"
     return F.regexp_extract_all(F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE))), F.lit(pattern), F.lit(0))
 
 
 def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     """(word, ids) for distinct words. ``words`` is shuffled by word once; its substrings meet the piece table, whose size is
     the model's, and are gathered again where they are."""
-    lattice = lattice_of(words, model)
-    return _merged_bitmap(lattice) if model.bpe else lattice.select("word", _viterbi().alias("ids"))
+    return _merged_bitmap(packed_lattice(words, model), model) if model.bpe else lattice_of(words, model).select("word", _viterbi().alias("ids"))
 
 
-def lattice_of(words: DataFrame, model: PieceModel) -> DataFrame:
-    """(word, n, edges): the pieces found in every distinct word, by score and then from left to right."""
+def edges_of(words: DataFrame, model: PieceModel) -> DataFrame:
+    """(word, n, start, len, piece, id, score, rank, back): the pieces found in every distinct word, and all its characters. Substrings
+    are no longer than the longest piece that begins as they do."""
     # Gathering is by a hash table of words: sorting the edges of all words costs more than all the rest.
     words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(WORDS_AT_ONCE))
     sized = words.select("word", F.char_length("word").alias("n"))
     at = sized.select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
-    spans = at.select("word", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start")))).alias("len"))
+    at = at.withColumn("prefix", F.expr(f"substring(word, start + 1, {PREFIX})")).join(F.broadcast(model.reach), "prefix", "left")
+    most = F.least(F.coalesce("longest", F.lit(PREFIX - 1)), F.col("n") - F.col("start"))
+    spans = at.select("word", "n", "start", F.explode(F.sequence(F.lit(1), most)).alias("len"))
     spans = spans.withColumn("piece", F.expr("substring(word, start + 1, len)"))
-    edges = spans.join(F.broadcast(model.pieces), "piece", "left").filter("id IS NOT NULL OR len = 1")
-    code = F.hex(F.encode("piece", "UTF-8"))
+    return spans.join(F.broadcast(model.pieces), "piece", "left").filter("id IS NOT NULL OR len = 1")
+
+
+def bytes_of(piece: Column, model: PieceModel) -> Column:
+    """The ids of the byte pieces of a string."""
+    code = F.hex(F.encode(piece, "UTF-8"))
     table = F.array(*[F.lit(i) for i in model.byte_ids])
-    as_bytes = F.transform(F.sequence(F.lit(1), (F.length(code) / 2).cast("int")), lambda k: F.get(table, F.conv(F.substring(code, k * 2 - 1, F.lit(2)), 16, 10).cast("int")))
-    edges = edges.withColumn("ids", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes))
+    return F.transform(F.sequence(F.lit(1), (F.length(code) / 2).cast("int")), lambda k: F.get(table, F.conv(F.substring(code, k * 2 - 1, F.lit(2)), 16, 10).cast("int")))
+
+
+def lattice_of(words: DataFrame, model: PieceModel) -> DataFrame:
+    """(word, n, edges): the pieces found in every distinct word, by score and then from left to right."""
+    edges = edges_of(words, model)
+    edges = edges.withColumn("ids", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(bytes_of(F.col("piece"), model)))
     edges = edges.withColumn("score", F.coalesce("score", F.lit(model.least_score - UNKNOWN_PENALTY)))
-    # Both ends of the edge, and all boundaries inside it, as bits; a long word's are not used.
-    edges = edges.withColumn("ends", F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)"))
-    edges = edges.withColumn("inner", F.expr("shiftleft(shiftleft(1L, len - 1) - 1, start + 1)"))
-    edge = F.struct((-F.col("score")).alias("cost"), "start", "len", "ids", "ends", "inner")
-    return edges.groupBy("word", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    edge = F.struct((-F.col("score")).alias("cost"), "start", "len", "ids")
+    return edges.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
-def _in_order(chosen: str) -> str:
-    return f"flatten(transform(array_sort(transform({chosen}, e -> named_struct('start', e.start, 'ids', e.ids))), e -> e.ids))"
+def packed_lattice(words: DataFrame, model: PieceModel) -> DataFrame:
+    """(word, n, edges, back): as :func:`lattice_of`, of words of at most BITMAP_CHARS characters; an edge is three longs. ``back``
+    tells whether one is a piece of :func:`backward`."""
+    edge = F.coalesce("rank", F.lit((1 << RANK_BITS) - 1).cast("long"))
+    for part, bits in ((F.col("start"), PLACE_BITS), (F.col("len"), PLACE_BITS), (F.coalesce(F.col("id") + 1, F.lit(0)), ID_BITS)):
+        edge = F.shiftleft(edge, bits).bitwiseOR(part.cast("long"))
+    # Both ends of the edge, and all boundaries inside it, as bits.
+    ends, inner = F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)"), F.expr("shiftleft(1L, start + len) - shiftleft(2L, start)")
+    spans = edges_of(words, model).select("word", "n", edge.alias("edge"), ends.alias("ends"), inner.alias("inner"), "back")
+    return spans.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("edge", "ends", "inner"))).alias("edges"), F.coalesce(F.bool_or("back"), F.lit(False)).alias("back"))
 
 
-def _merged_bitmap(lattice: DataFrame) -> DataFrame:
+def _merged_bitmap(lattice: DataFrame, model: PieceModel) -> DataFrame:
     """Merges with the boundaries of the current symbols as bits of a long. An edge can be merged when both its ends are
-    boundaries and one boundary lies inside; edges stand in the order of their scores, then from left to right."""
-    step = "coalesce(m & ~get(filter(edges, e -> e.len > 1 AND (m & e.ends) = e.ends AND bit_count(m & e.inner) = 1), 0).inner, m)"
-    last = _in_order("filter(edges, e -> (m & e.ends) = e.ends AND (m & e.inner) = 0)")
-    fold = f"aggregate(sequence(1, greatest(n - 1, 1)), shiftleft(1L, n + 1) - 1L, (m, k) -> {step}, m -> {last})"
-    return lattice.select("word", F.expr(fold).alias("ids"))
+    boundaries and one boundary lies inside; edges stand in the order of their scores, then from left to right. They
+    are gone through once, but in words with a piece of :func:`backward` from the first one again after every merge."""
+    all_ends, fits = "shiftleft(1L, n + 1) - 1L", "(m & e.ends) = e.ends AND bit_count(m & e.inner) = 1"
+    place = (1 << PLACE_BITS) - 1
+    pair = f"named_struct('start', shiftright(e.edge, {PLACE_BITS + ID_BITS}) & {place}, 'id', e.edge & {(1 << ID_BITS) - 1})"
+    last = f"sort_array(transform(filter(edges, e -> (m & e.ends) = e.ends AND (m & e.inner) = 0), e -> {pair}))"
+    once = f"aggregate(edges, {all_ends}, (m, e) -> if({fits}, m & ~e.inner, m), m -> {last})"
+    anew = f"aggregate(sequence(1, greatest(n - 1, 1)), {all_ends}, (m, k) -> coalesce(m & ~get(filter(edges, e -> {fits}), 0).inner, m), m -> {last})"
+    # An edge without id is one character, which is in no piece.
+    alone = lambda e: bytes_of(F.substring(F.col("word"), e.start.cast("int") + 1, F.lit(1)), model)
+    ids = F.transform(F.expr(f"if(back, {anew}, {once})"), lambda e: F.when(e.id > 0, F.array(e.id.cast("int") - 1)).otherwise(alone(e)))
+    return lattice.select("word", F.flatten(ids).alias("ids"))
 
 
 def merged(word: str, scores: dict[str, tuple[int, float]]) -> list[str]:
@@ -159,6 +197,23 @@ def merged(word: str, scores: dict[str, tuple[int, float]]) -> list[str]:
     return [s for s in symbols if s]
 
 
+def backward(scores: dict[str, tuple[int, float]]) -> set[str]:
+    """The pieces whose score is not less than those of the two that they are merged from.
+
+    Which two these are does not depend on the word: until they are merged nothing reaches over their ends, so they are
+    what remains of the piece's own characters before its last merge. In a word without such pieces a merge makes
+    possible only merges of lesser scores, so all come in the order of the word's edges.
+    """
+    found = set()
+    for piece in list(scores):
+        own = scores.pop(piece)
+        parts = merged(piece, scores)
+        scores[piece] = own
+        if len(parts) == 2 and any(len(part) > 1 and scores[part][1] <= own[1] for part in parts):
+            found.add(piece)
+    return found
+
+
 def _merged_long(words: DataFrame, model: PieceModel) -> DataFrame:
     """(word, ids, round_trip) of long words, merged by a queue of neighbours. They are cut before between characters that stand
     side by side in no piece, so that a text without spaces comes in short stretches."""
@@ -197,7 +252,7 @@ def decode(rows: DataFrame, model: PieceModel, keys: list[str], ids: str = "ids"
     """(keys, surface): the bytes that the ids of a row stand for, with the leading space mark as a space. Ids that are not
     in the table (control pieces) stand for nothing."""
     parts = rows.select(*keys, F.posexplode(ids).alias("at", "id")).join(F.broadcast(model.decoded), "id")
-    joined = F.expr("unhex(array_join(transform(array_sort(collect_list(struct(at, surface))), p -> hex(p.surface)), ''))")
+    joined = F.expr("unhex(array_join(transform(sort_array(collect_list(struct(at, surface))), p -> hex(p.surface)), ''))")
     return parts.groupBy(*keys).agg(joined.alias("surface"))
 
 

@@ -93,6 +93,43 @@ def test_best_path_of_a_unigram_model(spark):
         assert score(got[i]) >= score(library.encode(text)) - 1e-3 and library.decode(got[i]) == text
 
 
+def test_words_end_before_a_mark_behind_a_letter(spark, model):
+    texts = {"don't (stop). a.b.c 3.14, x..y": ["▁don", "'t", "▁(stop", ").", "▁a", ".b", ".c", "▁", "3", ".", "1", "4", ",", "▁x", "..y"], "a  b ": ["▁a", "▁▁b", "▁"],
+             "...é! ": ["▁...é", "!", "▁"], "·." * 20_000: ["▁" + "·." * 20_000], "a." * 2: ["▁a", ".a", "."]}
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", piece_lattice.words_of(F.col("text"), model).alias("words"))
+    assert {r.text: r.words for r in rows.collect()} == texts
+
+
+def test_substrings_are_no_longer_than_pieces_that_begin_so(spark, model):
+    words = ["▁the", "xqxqxqxq"]
+    spans = piece_lattice.edges_of(spark.createDataFrame([(w,) for w in words], "word string"), model)
+    want = {(w, s, e) for w in words for s in range(len(w)) for e in range(s + 1, len(w) + 1) if e == s + 1 or w[s:e] in model.scores}
+    assert {(r.word, r.start, r.start + r.len) for r in spans.collect()} == want
+    reach = dict(model.reach.collect())
+    assert all(reach[p[:3]] >= len(p) for p in model.scores if len(p) >= 3)
+    backs = {r.word: r.back for r in piece_lattice.packed_lattice(spark.createDataFrame([("▁the",), ("▁▁▁▁a",)], "word string"), model).collect()}
+    assert backs == {"▁the": False, "▁▁▁▁a": True}
+
+
+def test_merges_that_go_back_to_a_better_score(spark, model):
+    # With shuffled scores many pieces are better than what they are merged from; runs of space marks are so in the model itself.
+    assert "▁▁▁" in piece_lattice.backward(model.scores) and "▁the" not in piece_lattice.backward(model.scores)
+    proto = model_pb2.ModelProto()
+    with open(PATH, "rb") as file:
+        proto.ParseFromString(file.read())
+    normal = [p for p in proto.pieces if p.type == p.NORMAL]
+    scores = [-float(i) for i in range(len(normal))]
+    random.Random(5).shuffle(scores)
+    for piece, score in zip(normal, scores, strict=True):
+        piece.score = score
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    own = piece_lattice.load(spark, proto=proto.SerializeToString())
+    assert len(piece_lattice.backward(own.scores)) > 1000
+    texts = ["the international organization of the thing, here and there", "así domira      esmira", "Donaudampfschifffahrt 日本 über alles", "a" * 40 + " " + "th" * 30]
+    _, encoded = piece_lattice.encode(table_of(spark, texts), own, frequent=4)
+    assert {r["_id"]: r.ids for r in piece_lattice.assemble(encoded).collect()} == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
 def test_odd_rows(spark, model, library):
     df = documents(spark)
     out = piece_lattice.summary(df, model)
